@@ -74,3 +74,48 @@ def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int = 64) ->
     ids = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
     ranked = running_sums(ids, col, ["_one"], n_buckets=n_buckets)
     return ranked.select(col, (F.col("_one_cum") - 1).cast("long").alias(index_col))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: list[str] | None = None,
+                    n_buckets: int = 64) -> DataFrame:
+    """Exact linear-interpolation quantiles (position (n-1)q) without buffering a group.
+
+    Values are first collapsed to a (value, count) table, positions come from distributed
+    running counts, and each quantile reads the one or two values around its position.
+    Returns (group..., q, value).
+    """
+    g = list(group_cols or [])
+    freq = (df.where(F.col(col).isNotNull()).groupBy(*g, col)
+            .agg(F.count(F.lit(1)).alias("_n")))
+    run = running_sums(freq, col, ["_n"], group_cols=g, n_buckets=n_buckets)
+    if g:
+        run = run.join(freq.groupBy(*g).agg(F.sum("_n").alias("_tot")), g)
+    else:
+        run = run.withColumn("_tot", freq.select(F.sum("_n")).scalar())
+    start = F.col("_n_cum") - F.col("_n")
+    end = F.col("_n_cum") - 1
+    pos = [F.struct(F.lit(float(q)).alias("q"),
+                    ((F.col("_tot") - 1) * F.lit(float(q))).alias("h")) for q in probs]
+    ex = run.select(*g, col, start.alias("_s"), end.alias("_e"), F.explode(F.array(*pos)).alias("_p"))
+    lo = F.floor(F.col("_p.h"))
+    hi = F.ceil(F.col("_p.h"))
+    ex = ex.select(*g, col, "_s", "_e", F.col("_p.q").alias("q"), F.col("_p.h").alias("h"),
+                   lo.alias("_lo"), hi.alias("_hi"))
+    hit_lo = (F.col("_lo") >= F.col("_s")) & (F.col("_lo") <= F.col("_e"))
+    hit_hi = (F.col("_hi") >= F.col("_s")) & (F.col("_hi") <= F.col("_e"))
+    agg = (ex.where(hit_lo | hit_hi).groupBy(*g, "q")
+           .agg(F.max(F.when(hit_lo, F.col(col))).alias("_vlo"),
+                F.max(F.when(hit_hi, F.col(col))).alias("_vhi"),
+                F.first("h").alias("h"), F.first("_lo").alias("_lo")))
+    vlo = F.col("_vlo").cast("double")
+    vhi = F.col("_vhi").cast("double")
+    return agg.select(*g, "q", (vlo + (F.col("h") - F.col("_lo")) * (vhi - vlo)).alias("value"))
+
+
+def quantile_columns(df: DataFrame, col: str, probs: dict[str, float],
+                     group_cols: list[str] | None = None) -> DataFrame:
+    """Exact quantiles of ``col`` as named columns: (group..., name1, name2, ...)."""
+    g = list(group_cols or [])
+    q = exact_quantiles(df, col, list(probs.values()), g)
+    return q.groupBy(*g).agg(*[F.max(F.when(F.col("q") == float(p), F.col("value"))).alias(name)
+                               for name, p in probs.items()])

@@ -30,4 +30,5 @@ def load_all() -> None:
     """Import every catalog module so that its queries register."""
     from orchard.plans import (  # noqa: F401
         catalog_interactions,
+        catalog_profile,
     )
