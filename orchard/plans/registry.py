@@ -31,4 +31,5 @@ def load_all() -> None:
     from orchard.plans import (  # noqa: F401
         catalog_interactions,
         catalog_profile,
+        catalog_metrics,
     )
