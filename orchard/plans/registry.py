@@ -32,4 +32,5 @@ def load_all() -> None:
         catalog_interactions,
         catalog_profile,
         catalog_metrics,
+        catalog_recommend,
     )
