@@ -43,10 +43,12 @@ def with_range_bucket(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
 
 def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
                  group_cols: list[str] | None = None, n_buckets: int = 64,
-                 descending: bool = False, suffix: str = "_cum") -> DataFrame:
+                 descending: bool = False, suffix: str = "_cum",
+                 tiebreak: list[str] | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` ordered by ``order_col`` within ``group_cols``.
 
-    ``order_col`` must be unique within a group (aggregate ties first). Each value range
+    ``order_col`` (plus ``tiebreak`` columns, ascending) must be unique within a group
+    (aggregate ties first, or name tie-break columns). Each value range
     is one task; offsets from the preceding ranges come from a table of at most
     ``n_buckets`` rows per group.
     """
@@ -55,7 +57,8 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
     if descending:
         b = b.withColumn(BUCKET, -F.col(BUCKET))
     okey = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    local_w = (Window.partitionBy(*group_cols, BUCKET).orderBy(okey)
+    tb = [F.col(c).asc() for c in (tiebreak or [])]
+    local_w = (Window.partitionBy(*group_cols, BUCKET).orderBy(okey, *tb)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in value_cols])
     totals = b.groupBy(*group_cols, BUCKET).agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])

@@ -33,4 +33,5 @@ def load_all() -> None:
         catalog_profile,
         catalog_metrics,
         catalog_recommend,
+        catalog_monitoring,
     )
