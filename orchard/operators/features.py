@@ -298,7 +298,7 @@ def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: i
     feats = F.struct(*[F.col(c).alias(c) for c in feature_cols])
     half = max(1, k // 2)
     near = [F.lag(feats, i).over(w) for i in range(1, half + 1)] + [F.lead(feats, i).over(w) for i in range(1, k - half + 1)]
-    b = b.withColumn("_nb", F.filter(F.array(*near), lambda x: x.isNotNull()))
+    b = b.withColumn("_nb", F.filter(F.array(*near), lambda x: x.isNotNull())).drop(BUCKET)
     ranked = running_sums(b.withColumn("_one", F.lit(1)), "_id", ["_one"], tiebreak=list(feature_cols))
     base, rem = divmod(need, n_min)
     n_syn = F.lit(base) + F.when(F.col("_one_cum") <= rem, 1).otherwise(0)

@@ -34,4 +34,5 @@ def load_all() -> None:
         catalog_metrics,
         catalog_recommend,
         catalog_monitoring,
+        catalog_features,
     )
