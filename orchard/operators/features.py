@@ -166,6 +166,32 @@ def standard_scale(df: DataFrame, stats: ScalerStats) -> DataFrame:
                        if c in stats.mean else F.col(c) for c in df.columns])
 
 
+def impute_means_from(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
+    """Lazy form of fit_means + impute: the training means are one scalar subquery.
+
+    Meant for materialised inputs; over a deep lineage prefer the eager fit (each scalar
+    subquery embeds the whole input plan)."""
+    stats = train.select(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns])).scalar()
+    return df.select(*[F.coalesce(F.col(c).cast("double"), stats.getField(c)).alias(c) if c in columns else F.col(c)
+                       for c in df.columns])
+
+
+def scale_from(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
+    """Lazy form of fit_scaler + standard_scale (population std; 0 -> 1), one scalar subquery."""
+    aggs = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
+    st = train.select(F.struct(*aggs)).scalar()
+
+    def scaled(c):
+        sd = st.getField(f"{c}__s")
+        sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
+        return ((F.col(c).cast("double") - st.getField(f"{c}__m")) / sd).alias(c)
+
+    return df.select(*[scaled(c) if c in columns else F.col(c) for c in df.columns])
+
+
 # --- class weights --------------------------------------------------------------------------
 
 def balanced_weights(df: DataFrame, label_col: str = "label", weight_col: str = "weight") -> DataFrame:
@@ -288,6 +314,8 @@ def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: i
     need = max(counts.values()) - n_min
     if need <= 0:
         return df.select(*feature_cols, label_col)
+    from orchard.session import cut_lineage
+    df = cut_lineage(df.select(*feature_cols, label_col))  # several passes follow
     rng = np.random.default_rng(seed)
     wts = rng.normal(size=len(feature_cols))
     proj = sum((F.col(c).cast("double") * float(w) for c, w in zip(feature_cols, wts)), F.lit(0.0))

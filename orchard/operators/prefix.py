@@ -9,7 +9,6 @@ rows per group) are turned into offsets and joined back.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +29,22 @@ def range_boundaries(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10
     return cuts
 
 
-def with_range_bucket(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
-    """Add ``_range_bucket``: equal values always share a bucket, buckets follow ``col`` order."""
-    cuts = range_boundaries(df, col, n_buckets)
-    if not cuts:
-        return df.withColumn(BUCKET, F.lit(0.0))
-    splits = [float("-inf")] + cuts + [float("inf")]
-    tmp = "_range_key"
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, F.col(col).cast("double"))).drop(tmp)
+def with_range_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> DataFrame:
+    """Add ``_range_bucket``: equal values always share a bucket, buckets follow ``col`` order.
+
+    The cut points are approximate quantiles computed by a scalar subquery inside the same
+    query (no driver round trip); they are fixed once per query execution, so a recomputed
+    task lands rows in the same buckets. Bucket = number of cut points below the value.
+    """
+    if n_buckets <= 1:
+        return df.withColumn(BUCKET, F.lit(0))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = df.select(F.array_distinct(
+        F.percentile_approx(F.col(col).cast("double"), probs, accuracy)).alias("q")).scalar()
+    x = F.col(col).cast("double")
+    return (df.withColumn("_range_cuts", cuts)
+            .withColumn(BUCKET, F.size(F.filter(F.col("_range_cuts"), lambda b: b < x)))
+            .drop("_range_cuts"))
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: list[str],

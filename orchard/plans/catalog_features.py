@@ -10,6 +10,7 @@ from orchard.operators import interactions as I
 from orchard.operators import recommend as R
 from orchard.plans.common import CUSTOMERS_CLEAN_CTE, customers_clean, round_doubles, sql_parse
 from orchard.plans.registry import register
+from orchard.session import cut_lineage
 from orchard.sources import fixtures as fx
 
 CAT = ["gender", "senior_citizen", "contract", "internet_service", "payment_method"]
@@ -149,13 +150,11 @@ def q_scale(spark, sf_dir):
 def loader_pipeline(spark, sf_dir):
     """split -> label encode (train domains) -> mean impute (train) -> scale all features (train)."""
     sp = _split(spark, sf_dir).withColumnRenamed("churn_value", "label")
-    train = sp.where("split = 'train'")
-    dom = H.fit_label_domains(train, CAT)
-    enc = H.label_encode(sp, dom, CAT)
-    enc_train = enc.where("split = 'train'")
-    enc = H.impute(enc, H.fit_means(enc_train, FEATS))
-    stats = H.fit_scaler(enc.where("split = 'train'"), FEATS)
-    return H.standard_scale(enc.select("customerid", "split", "label", *FEATS), stats)
+    dom = H.fit_label_domains(sp.where("split = 'train'"), CAT)
+    # materialised once: the fits below are separate passes over it
+    enc = cut_lineage(H.label_encode(sp, dom, CAT).select("customerid", "split", "label", *FEATS))
+    enc = H.impute(enc, H.fit_means(enc.where("split = 'train'"), FEATS))
+    return H.standard_scale(enc, H.fit_scaler(enc.where("split = 'train'"), FEATS))
 
 
 _ENC = "enc AS (SELECT customerid, split, churn_value AS label, " + ", ".join(
@@ -252,11 +251,11 @@ def q_inference(spark, sf_dir):
     dom = H.fit_label_domains(sp, CAT)
     batch = sp.where("split = 'test'")
     valid, _ = C.valid_category_check(batch, dom.select("column", "value"), CAT, "customerid")
-    enc_all = H.label_encode(sp, dom, CAT)
+    enc_all = cut_lineage(H.label_encode(sp, dom, CAT).select("customerid", *FEATS))
     means = H.fit_means(enc_all, FEATS)
     stats = H.fit_scaler(H.impute(enc_all, means), FEATS)
-    enc = H.impute(H.label_encode(valid, dom, CAT), means)
-    return round_doubles(H.standard_scale(enc.select("customerid", *FEATS), stats))
+    enc = H.impute(H.label_encode(valid, dom, CAT).select("customerid", *FEATS), means)
+    return round_doubles(H.standard_scale(enc, stats))
 
 
 @register("valid_category_check", _sql("""
