@@ -44,3 +44,24 @@ CUSTOMERS_CLEAN_CTE = (
 
 def r(expr: str, alias: str, digits: int = DIGITS) -> str:
     return f"round({expr}, {digits}) AS {alias}"
+
+
+def rank_metrics_sql(p: str, truth: str, tk: str, k: int = 10, variant: str = "model",
+                     per_user: bool = False, suffix: bool = True) -> str:
+    """CTEs ``{p}t .. {p}rm`` computing hit_rate/ndcg/precision/recall/mrr (DuckDB side)."""
+    hits = "hd" if variant == "model" else "hdup"
+    hr = "avg(CASE WHEN hdup > 0 THEN 1e0 ELSE 0e0 END)" if per_user else "sum(hdup) / sum(n_true)"
+    s = f"_{k}" if suffix else ""
+    return f"""{p}t AS (SELECT user_idx, item_idx, count(*) AS mult FROM {truth} GROUP BY user_idx, item_idx),
+{p}nt AS (SELECT user_idx, sum(mult) AS n_true FROM {p}t GROUP BY user_idx),
+{p}h AS (SELECT {tk}.user_idx, count(*) AS hd, sum(mult) AS hdup, sum(1 / log2(rank + 1)) AS dcg, min(rank) AS fr
+  FROM {tk} JOIN {p}t USING (user_idx, item_idx) WHERE rank <= {k} GROUP BY {tk}.user_idx),
+{p}pu AS (SELECT {p}nt.user_idx, n_true, coalesce(hd, 0) AS hd, coalesce(hdup, 0) AS hdup, coalesce(dcg, 0e0) AS dcg,
+  CASE WHEN least(n_true, {k}) > 0 THEN
+    list_sum(list_transform(range(1, CAST(least(n_true, {k}) AS BIGINT) + 1), lambda i: 1 / log2(i + 1))) ELSE 0e0 END
+    AS idcg,
+  CASE WHEN fr IS NOT NULL THEN 1 / fr ELSE 0e0 END AS rr FROM {p}nt LEFT JOIN {p}h USING (user_idx)),
+{p}rm AS (SELECT coalesce({hr}, 0e0) AS hit_rate{s},
+  coalesce(avg(CASE WHEN idcg > 0 THEN dcg / idcg ELSE 0e0 END), 0e0) AS ndcg{s},
+  coalesce(avg({hits} / {k}), 0e0) AS precision{s}, coalesce(avg({hits} / n_true), 0e0) AS recall{s},
+  coalesce(avg(rr), 0e0) AS mrr{s} FROM {p}pu)"""

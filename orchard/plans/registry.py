@@ -35,4 +35,6 @@ def load_all() -> None:
         catalog_recommend,
         catalog_monitoring,
         catalog_features,
+        catalog_experiments,
+        catalog_extensions,
     )
