@@ -37,4 +37,5 @@ def load_all() -> None:
         catalog_features,
         catalog_experiments,
         catalog_extensions,
+        catalog_streaming,
     )
