@@ -38,4 +38,5 @@ def load_all() -> None:
         catalog_experiments,
         catalog_extensions,
         catalog_streaming,
+        catalog_models,
     )
