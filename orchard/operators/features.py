@@ -225,12 +225,13 @@ def negative_sampling(positives: DataFrame, num_items: int | Column, n_neg: int
     ``row_col`` names a unique row key (e.g. an event id). Without it, row ids are assigned
     and frozen with a reliable checkpoint so that a recomputed task draws the same items.
     """
+    from orchard.session import cut_lineage
+    # three passes read the positives: materialise them once (this also freezes generated row ids)
     if row_col is not None:
-        pos = positives.select(user_col, item_col, F.col(row_col).alias("_row"))
+        pos = cut_lineage(positives.select(user_col, item_col, F.col(row_col).alias("_row")))
     else:
-        from orchard.session import cut_lineage
         pos = cut_lineage(positives.select(user_col, item_col).withColumn("_row", F.monotonically_increasing_id()))
-    pairs = positives.select(user_col, item_col).distinct()
+    pairs = pos.select(user_col, item_col).distinct()
     n_items = F.lit(num_items) if not isinstance(num_items, Column) else num_items
 
     def draw(rows: DataFrame, round_seed: int, m: int) -> DataFrame:
@@ -250,7 +251,7 @@ def negative_sampling(positives: DataFrame, num_items: int | Column, n_neg: int
     second = keep_first(draw(short, seed + 7777, 8 * oversample * n_neg).join(short.select("_row", "_miss"), "_row"),
                         F.col("_miss"))
     negs = first.select(user_col, item_col).unionByName(second.select(user_col, item_col))
-    return (positives.select(user_col, item_col, F.lit(1.0).alias("label"))
+    return (pos.select(user_col, item_col, F.lit(1.0).alias("label"))
             .unionByName(negs.select(user_col, item_col, F.lit(0.0).alias("label"))))
 
 

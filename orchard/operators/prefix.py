@@ -42,9 +42,8 @@ def with_range_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 1
     cuts = df.select(F.array_distinct(
         F.percentile_approx(F.col(col).cast("double"), probs, accuracy)).alias("q")).scalar()
     x = F.col(col).cast("double")
-    return (df.withColumn("_range_cuts", cuts)
-            .withColumn(BUCKET, F.size(F.filter(F.col("_range_cuts"), lambda b: b < x)))
-            .drop("_range_cuts"))
+    bucket = F.coalesce(F.size(F.filter(F.col("_range_cuts"), lambda b: b < x)), F.lit(0))
+    return df.withColumn("_range_cuts", cuts).withColumn(BUCKET, bucket).drop("_range_cuts")
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
@@ -72,10 +71,12 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*group_cols, BUCKET, *[
         F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}") for c in value_cols])
-    out = local.join(offsets, [*group_cols, BUCKET])
+    # left join: an inner join would add an inferred not-null filter on the bucket below the
+    # aggregation, which makes the two branches differ and blocks shuffle reuse
+    out = local.join(offsets, [*group_cols, BUCKET], "left")
     return out.select(
         *[c for c in df.columns],
-        *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{c}{suffix}") for c in value_cols])
+        *[(F.coalesce(F.col(f"_off_{c}"), F.lit(0)) + F.col(f"_loc_{c}")).alias(f"{c}{suffix}") for c in value_cols])
 
 
 def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int = 64) -> DataFrame:
