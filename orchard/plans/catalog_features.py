@@ -287,3 +287,22 @@ def q_smote(spark, sf_dir):
     """Minority class of the encoded training split oversampled to parity."""
     lp = loader_pipeline(spark, sf_dir).where("split = 'train'")
     return H.smote(lp, FEATS, "label", k=5)
+
+
+@register("positive_eval_pairs", fx.with_views(f"""WITH {_BIN_IDX},
+sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
+  THEN 'train' ELSE 'validation' END AS split FROM bx)
+SELECT event_id, user_idx, item_idx FROM sx WHERE split = 'validation' ORDER BY event_id LIMIT 1000""",
+                                               "interactions_raw"))
+def q_positive_eval_pairs(spark, sf_dir):
+    """The first 1,000 validation positives in event order (the evaluation cap)."""
+    inter, _, _ = _binary_indexed(spark, sf_dir)
+    sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8).where("split = 'validation'")
+    pos = sx.select("event_id", "user_idx", "item_idx", F.lit(1).alias("label"))
+    return C.positive_eval_pairs(pos, 1000, ["event_id"]).drop("label")
+
+
+@register("head_sample", _sql("SELECT * EXCLUDE (cid) FROM cs ORDER BY cid LIMIT 5"))
+def q_head_sample(spark, sf_dir):
+    """First rows of the cleaned customer table in id order (example input)."""
+    return _cust_ids(spark, sf_dir).orderBy("cid").limit(5).drop("cid")

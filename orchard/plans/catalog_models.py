@@ -221,3 +221,31 @@ def q_experiment_grid(spark, sf_dir):
             F.lit(f"mf_{s}").alias("run"), F.lit("mf").alias("model_type"), F.lit(s).alias("processor"),
             "metric", "value"))
     return round_doubles(X.comparison_table(reduce(lambda a, b: a.unionByName(b), rows)))
+
+
+@register("gbt_tuned")
+def q_gbt_tuned(spark, sf_dir):
+    """Boosted trees with the tuned setting: 150 rounds, depth 6, rate 0.05, subsample 0.8."""
+    tr, te = _xy(spark, sf_dir)
+    return _eval(ML.train_gbt(tr, max_iter=150, max_depth=6, step=0.05, subsample=0.8), te, "gbt_tuned")
+
+
+@register("random_search_gbt")
+def q_random_search_gbt(spark, sf_dir):
+    """3-fold CV over a sampled boosted-trees grid."""
+    from pyspark.ml.classification import GBTClassifier
+    tr, te = _xy(spark, sf_dir)
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42)
+    full = (ParamGridBuilder().addGrid(gbt.maxIter, [20, 50]).addGrid(gbt.maxDepth, [3, 5])
+            .addGrid(gbt.stepSize, [0.05, 0.1]).build())
+    grid = [full[i] for i in sorted({(i * 5 + 1) % len(full) for i in range(3)})]  # seeded sample of 3 cells
+    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, numFolds=3, seed=42, parallelism=3,
+                        evaluator=BinaryClassificationEvaluator(labelCol="label"))
+    return _eval(cv.fit(tr).bestModel, te, "random_search_gbt")
+
+
+@register("event_summary_approx")
+def q_event_summary_approx(spark, sf_dir):
+    """Events and HyperLogLog++ distinct users (constant memory per task)."""
+    from orchard.operators.profile import event_summary_approx
+    return event_summary_approx(fx.interactions_raw(spark, sf_dir))

@@ -113,11 +113,6 @@ def q_top_k_explicit(spark, sf_dir):
 
 # --- C: routing, lookups, rejects ------------------------------------------------------------
 
-_POP = """pop AS (SELECT itemid, CASE WHEN (SELECT max(s) FROM p0) > 0 THEN s / (SELECT max(s) FROM p0) ELSE s END
-  AS popularity FROM p0),
-p0 AS (SELECT itemid, sum(CASE event WHEN 'view' THEN 1e0 WHEN 'addtocart' THEN 2e0 WHEN 'transaction' THEN 3e0
-  ELSE 0e0 END) AS s FROM interactions_raw GROUP BY itemid)"""
-
 _PAIRS = "pr AS (SELECT user_id, unnest(item_ids) AS item_id FROM requests)"
 
 
@@ -262,6 +257,26 @@ def q_sampled_user_eval(spark, sf_dir):
           .unionByName(tk.select("user_idx", "item_idx", F.lit(0).alias("y")))
           .groupBy("user_idx", "item_idx").agg(F.max("y").alias("y_true")))
     sc = R.score_pairs(ev, uf, itf).withColumnRenamed("score", "y_proba")
-    auc = M.roc_auc(sc).crossJoin(M.average_precision(sc))  # two one-row frames
     rm = N.ranking_metrics(tk, truth, K, variant="baseline")
-    return round_doubles(auc.crossJoin(rm))
+    # attach the two one-row rank metrics as scalar subqueries
+    return round_doubles(rm.select(M.roc_auc(sc).select("roc_auc").scalar().alias("roc_auc"),
+                                   M.average_precision(sc).select("average_precision").scalar()
+                                   .alias("average_precision"), "*"))
+
+
+@register("unseen_pairs", _sql(f"""WITH {_TOPK}
+SELECT user_idx, item_idx, rank FROM tk WHERE NOT EXISTS
+  (SELECT 1 FROM truth t WHERE t.user_idx = tk.user_idx AND t.item_idx = tk.item_idx)"""))
+def q_unseen_pairs(spark, sf_dir):
+    """Recommended (user, item) candidates that are not known positives (anti join)."""
+    tk = top_k(spark, sf_dir).select("user_idx", "item_idx", "rank")
+    return tk.join(fx.truth(spark, sf_dir), ["user_idx", "item_idx"], "left_anti")
+
+
+@register("discount", _sql(f"""WITH {_TOPK}
+SELECT user_idx, item_idx, rank, round(1 / log2(rank + 1), 6) AS discount FROM tk"""))
+def q_discount(spark, sf_dir):
+    """DCG position discount 1 / log2(rank + 1) of every top-k position."""
+    from orchard.functions.expressions import discount
+    tk = top_k(spark, sf_dir).select("user_idx", "item_idx", "rank")
+    return round_doubles(tk.withColumn("discount", discount("rank")))

@@ -26,8 +26,9 @@ def q_windowed_popularity(spark, sf_dir):
 WITH p AS (SELECT 'm' || CAST(user_id % 2 AS VARCHAR) AS model, ts, seq, score FROM prediction_log),
 r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ts DESC, seq DESC) AS rn FROM p),
 w AS (SELECT model, count(*) AS n, avg(score) AS mean, stddev_pop(score) AS std FROM r WHERE rn <= 1000 GROUP BY model)
-SELECT model, n, round(mean, 6) AS mean, round(std, 6) AS std, round(mean, 6) AS baseline_mean,
-  round(std, 6) AS baseline_std, 0e0 AS z, false AS has_drift FROM w""", "prediction_log"))
+SELECT model, n, round(mean, 6) AS mean, round(std, 6) AS std,
+  round(CASE WHEN n >= 1000 THEN mean END, 6) AS baseline_mean, round(CASE WHEN n >= 1000 THEN std END, 6) AS baseline_std,
+  CASE WHEN n >= 1000 AND std > 0 THEN 0e0 END AS z, false AS has_drift FROM w""", "prediction_log"))
 def q_stream_monitor(spark, sf_dir):
     """Last-1000 state per model key over the whole log in one trigger (baseline = that window)."""
     log = fx.prediction_log(spark, sf_dir).withColumn(

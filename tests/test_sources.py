@@ -59,3 +59,61 @@ def test_export_samples_partitioned(spark, tmp_path):
                                "user_idx long, item_idx long, label double, split string")
     dest = io.export_samples(df, str(tmp_path / "s"))
     assert {d for d in os.listdir(dest) if d.startswith("split=")} == {"split=train", "split=validation"}
+
+
+def test_load_customers_and_save_clean(spark, tmp_path):
+    p = tmp_path / "c.csv"
+    p.write_text("customerid,gender,senior_citizen,contract,internet_service,payment_method,tenure_months,"
+                 "monthly_charges,total_charges,churn_value\nA,Male,No,One year,DSL,Mailed check,0,20.5, ,1\n")
+    df = io.load_customers(spark, str(p))
+    r = df.first()
+    assert r.tenure_months == 0 and r.monthly_charges == 20.5 and r.total_charges == " "
+    dest = io.save_clean_customers(df, str(tmp_path / "clean"))
+    assert io.load_customers(spark, dest, fmt="parquet").count() == 1
+
+
+def test_ingest_tables_with_prefix(spark, tmp_path):
+    (tmp_path / "events.csv").write_text("timestamp,visitorid,event,itemid,transactionid\n1,1,view,10,\n")
+    (tmp_path / "item_properties_part1.csv").write_text("itemid,property,value\n1,a,x\n")
+    (tmp_path / "item_properties_part2.csv").write_text("itemid,property,value\n2,b,y\n")
+    (tmp_path / "category_tree.csv").write_text("categoryid,parentid\n1,\n")
+    names = io.ingest_tables(spark, io.collect_sources(str(tmp_path)), "retail_db", prefix="raw_")
+    assert names == ["retail_db.raw_events", "retail_db.raw_item_properties", "retail_db.raw_category_tree"]
+    assert io.extract_table(spark, "retail_db.raw_item_properties").count() == 2
+
+
+def test_append_run_metrics(spark, tmp_path):
+    m = spark.createDataFrame([("r1", 1, "loss", 0.5)], "run string, epoch int, metric string, value double")
+    dest = str(tmp_path / "runs")
+    io.append_run_metrics(m, dest)
+    io.append_run_metrics(m, dest)
+    assert spark.read.parquet(dest).count() == 2
+
+
+def test_record_predictions_appends(spark, tmp_path):
+    from orchard.operators.monitoring import record_predictions
+    s = spark.createDataFrame([(1, 10, 0.3)], "user_id long, item_id long, score double")
+    dest = str(tmp_path / "log")
+    record_predictions(s, dest, batch_id=0)
+    record_predictions(s, dest, batch_id=1)
+    got = spark.read.parquet(dest)
+    assert got.count() == 2 and {r.batch_id for r in got.collect()} == {0, 1} and "ts" in got.columns
+
+
+def test_normalize_columns_and_feature_types(spark):
+    from orchard.operators import clean as C
+    df = spark.createDataFrame([("x", 1, 2.0)], "`Customer ID` string, ` Tenure Months ` int, `Monthly Charges` double")
+    out = C.normalize_columns(df)
+    assert out.columns == ["customer_id", "tenure_months", "monthly_charges"]
+    cat, num = C.feature_types(out)
+    assert cat == ["customer_id"] and num == ["tenure_months", "monthly_charges"]
+
+
+def test_coerce_numeric_rules(spark):
+    from orchard.operators import clean as C
+    vals = ["12", "abc", " 7 ", "nan", "inf", "n5.000", "1e3", "5d", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r.s for r in C.coerce_numeric(df, "s", fill=None).collect()]
+    assert got[:9] == [12.0, None, 7.0, None, float("inf"), None, 1000.0, None, None]
+    bad = {r.value for r in C.bad_numeric_values(df, "s").collect()}
+    assert bad == {"abc", "nan", "n5.000", "5d", ""}
