@@ -19,6 +19,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _rows_of(df: DataFrame, rows: list[list], keep: list[str] | None = None) -> DataFrame:
+    """Turn each input row into len(rows) output rows (one projection, no self-union)."""
+    keep = list(keep or [])
+    arr = F.array(*[F.struct(*r) for r in rows])
+    return df.select(*keep, F.explode(arr).alias("_r")).select(*keep, "_r.*")
+
+
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column, n_missing): one aggregate pass, unpivoted."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
@@ -46,9 +53,9 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)
-    stats = _union([one.select(F.lit(c).alias("column"), *[F.col(f"{c}__{m}").alias(m) for m in
-                                                           ("count", "mean", "std", "min", "max")])
-                    for c in columns])
+    stats = _rows_of(one, [[F.lit(c).alias("column"), *[F.col(f"{c}__{m}").alias(m) for m in
+                                                         ("count", "mean", "std", "min", "max")]]
+                           for c in columns])
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column", "value")
     qs = quantile_columns(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
@@ -144,8 +151,8 @@ def group_mean_std(df: DataFrame, label_col: str, columns: list[str]) -> DataFra
     for c in columns:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std")]
     wide = df.groupBy(label_col).agg(*aggs)
-    return _union([wide.select(label_col, F.lit(c).alias("column"), F.col(f"{c}__mean").alias("mean"),
-                               F.col(f"{c}__std").alias("std")) for c in columns])
+    return _rows_of(wide, [[F.lit(c).alias("column"), F.col(f"{c}__mean").alias("mean"),
+                            F.col(f"{c}__std").alias("std")] for c in columns], keep=[label_col])
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -154,10 +161,10 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
     rows = []
     for a, b in pairs:
-        rows.append(one.select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("corr")))
-        rows.append(one.select(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("corr")))
-    diag = [one.select(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("corr")) for c in columns]
-    return _union(rows + diag)
+        rows.append([F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("corr")])
+        rows.append([F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("corr")])
+    rows += [[F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("corr")] for c in columns]
+    return _rows_of(one, rows)
 
 
 def target_correlation(df: DataFrame, columns: list[str], target: str) -> DataFrame:
