@@ -18,22 +18,24 @@ DEFAULT_WEIGHTS: dict[str, float] = {"view": 1.0, "addtocart": 2.0, "transaction
 POSITIVE_EVENTS: tuple[str, ...] = ("addtocart", "transaction")
 
 
-def _weight_map(weights: dict[str, float]) -> Column:
-    pairs = []
+def _weight_of(weights: dict[str, float], col: str = "event") -> Column:
+    """CASE event WHEN ... THEN weight ... END (null for unknown types); codegen-friendly."""
+    expr = None
     for k, v in weights.items():
-        pairs += [F.lit(k), F.lit(float(v))]
-    return F.create_map(*pairs)
+        cond = F.col(col) == F.lit(k)
+        expr = F.when(cond, F.lit(float(v))) if expr is None else expr.when(cond, F.lit(float(v)))
+    return expr if expr is not None else F.lit(None).cast("double")
 
 
 def with_load_weights(events: DataFrame) -> DataFrame:
     """Weight of the plain event loader: known types 1/2/3, unknown types stay null."""
-    return events.withColumn("weight", _weight_map(DEFAULT_WEIGHTS)[F.col("event")])
+    return events.withColumn("weight", _weight_of(DEFAULT_WEIGHTS))
 
 
 def weighted_interactions(events: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """Weight per event type; unknown types get 0.0 and stay. Empty weights -> defaults."""
     w = weights or DEFAULT_WEIGHTS
-    return events.withColumn("weight", F.coalesce(_weight_map(w)[F.col("event")], F.lit(0.0)))
+    return events.withColumn("weight", F.coalesce(_weight_of(w), F.lit(0.0)))
 
 
 def binary_interactions(events: DataFrame, positive_events: tuple[str, ...] | None = None) -> DataFrame:

@@ -30,11 +30,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
+    local = bool(master) or not os.environ.get("SPARK_MASTER")
+    if local:
         builder = builder.master(master or f"local[{cpus}]")
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf["spark.driver.memory"] = os.environ.get("ORCHARD_DRIVER_MEMORY", "16g")
+    if local:
+        # one JVM: as many shuffle partitions as cores, driver memory is the executor memory
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+        conf["spark.driver.memory"] = os.environ.get("ORCHARD_DRIVER_MEMORY", "16g")
+    else:
+        # cluster: start wide and let AQE coalesce to ~256 MB partitions; scans split at 256 MB
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 4000)
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = "256m"
+        conf["spark.sql.files.maxPartitionBytes"] = "256m"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
