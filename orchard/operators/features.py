@@ -266,18 +266,21 @@ def pair_one_hot_entries(pairs: DataFrame, num_users: int | Column, user_col="us
                         F.lit(1.0).alias("value"))
 
 
-def pair_one_hot_vectors(pairs: DataFrame, num_users: int, num_items: int, user_col="user_idx",
-                         item_col="item_idx", out_col="features") -> DataFrame:
-    """Same as a SparseVector column of size num_users + num_items (MLlib input)."""
-    from pyspark.ml.functions import array_to_vector  # noqa: F401
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-    size = int(num_users + num_items)
-
-    @F.udf(VectorUDT())
-    def vec(u, i):
-        return SparseVector(size, [int(u), int(num_users + i)], [1.0, 1.0])
-
-    return pairs.withColumn(out_col, vec(F.col(user_col), F.col(item_col)))
+def pair_one_hot_vectors(pairs: DataFrame, user_index: DataFrame, item_index: DataFrame,
+                         user_col="user_idx", item_col="item_idx", out_col="features") -> DataFrame:
+    """[one-hot(user) | one-hot(item)] as a SparseVector column, JVM-side.
+
+    ``OneHotEncoder`` (dropLast=False) is fitted on the full index tables, so the vector sizes
+    are the catalogue sizes even when a sample misses some ids; ``VectorAssembler`` concatenates.
+    """
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    u = OneHotEncoder(inputCol=user_col, outputCol="_u_oh", dropLast=False).fit(
+        user_index.select(F.col(user_col).cast("double")))
+    i = OneHotEncoder(inputCol=item_col, outputCol="_i_oh", dropLast=False).fit(
+        item_index.select(F.col(item_col).cast("double")))
+    df = pairs.withColumn(user_col, F.col(user_col).cast("double")).withColumn(item_col, F.col(item_col).cast("double"))
+    out = VectorAssembler(inputCols=["_u_oh", "_i_oh"], outputCol=out_col).transform(i.transform(u.transform(df)))
+    return out.drop("_u_oh", "_i_oh")
 
 
 # --- majority baseline ----------------------------------------------------------------------

@@ -130,7 +130,8 @@ def q_churn_batch(spark, sf_dir):
 def _indexed(spark, sf_dir, strategy="weighted"):
     inter, users, items = I.process(fx.interactions_raw(spark, sf_dir), strategy)
     sx = cut_lineage(H.sample_split(inter, ["user_idx", "item_idx"], 0.8))
-    return sx, users, items
+    # the index tables are read by several fits below: materialise them once
+    return sx, cut_lineage(users), cut_lineage(items)
 
 
 @register("mf_train")
@@ -194,14 +195,14 @@ def q_ncf_score(spark, sf_dir):
 def q_logreg_rec(spark, sf_dir):
     """Logistic regression on one-hot (user, item) pair vectors; validation AUC/AP."""
     sx, users, items = _indexed(spark, sf_dir, "binary")
-    nu = users.count()
-    ni = items.count()
+    ni = items.select(F.count(F.lit(1))).first()[0]
     tr = sx.where("split = 'train'")
     samples = H.negative_sampling(tr.select("user_idx", "item_idx", "event_id"), ni, 4, row_col="event_id")
     val = H.negative_sampling(sx.where("split = 'validation'").select("user_idx", "item_idx", "event_id"), ni, 4,
                               seed=7, row_col="event_id")
-    fit = ML.train_logreg(H.pair_one_hot_vectors(samples, nu, ni))
-    p = ML.predictions(fit, H.pair_one_hot_vectors(val, nu, ni)).withColumn("model", F.lit("logreg_recommender"))
+    fit = ML.train_logreg(H.pair_one_hot_vectors(samples, users, items))
+    p = ML.predictions(fit, H.pair_one_hot_vectors(val, users, items)).withColumn(
+        "model", F.lit("logreg_recommender"))
     return round_doubles(M.model_summary(p, ["model"]))
 
 
