@@ -187,12 +187,40 @@ def recommended_model(best: DataFrame, model_col: str = "model") -> DataFrame:
     return best.orderBy(F.col("net_benefit").desc(), F.col(model_col).asc()).limit(1)
 
 
+def rank_and_class_summary(df: DataFrame, group_cols: list[str], y_true="y_true", y_pred="y_pred",
+                           score="y_proba") -> DataFrame:
+    """AUC, AP, accuracy, precision, recall, F1 per group from ONE pass over the predictions.
+
+    Rows collapse to (group, score, y_pred) counts; confusion counts come from that small
+    table, and AUC and AP from one ascending running-sum pass over its distinct scores
+    (AP uses the counts at or above each score: P - positives below, N - negatives below).
+    """
+    g = list(group_cols)
+    t = F.col(y_true)
+    sc = df.groupBy(*g, F.col(score).alias("score"), F.col(y_pred).alias("_yp")).agg(
+        F.sum(t.cast("double")).alias("pos"), F.sum((1 - t).cast("double")).alias("neg"))
+    cm = sc.groupBy(*g).agg(
+        F.sum(F.when(F.col("_yp") == 0, F.col("neg")).otherwise(0.0)).cast("long").alias("tn"),
+        F.sum(F.when(F.col("_yp") == 1, F.col("neg")).otherwise(0.0)).cast("long").alias("fp"),
+        F.sum(F.when(F.col("_yp") == 0, F.col("pos")).otherwise(0.0)).cast("long").alias("fn"),
+        F.sum(F.when(F.col("_yp") == 1, F.col("pos")).otherwise(0.0)).cast("long").alias("tp"))
+    per_score = sc.groupBy(*g, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    rc = _with_totals(running_sums(per_score, "score", ["pos", "neg"], group_cols=g), g)
+    pos_below = F.col("pos_cum") - F.col("pos")
+    neg_below = F.col("neg_cum") - F.col("neg")
+    tp_at = F.col("_P") - pos_below
+    fp_at = F.col("_N") - neg_below
+    rk = rc.groupBy(*g).agg(
+        (F.sum(F.col("pos") * (neg_below + 0.5 * F.col("neg"))) / (F.first("_P") * F.first("_N"))).alias("roc_auc"),
+        (F.sum(F.col("pos") * tp_at / (tp_at + fp_at)) / F.first("_P")).alias("average_precision"))
+    cls = metrics_from_confusion(cm).select(*g, "accuracy", "precision", "recall", "f1")
+    return rk.join(cls, g)
+
+
 def model_summary(df: DataFrame, group_cols: list[str], y_true="y_true", y_pred="y_pred",
                   score="y_proba") -> DataFrame:
     """AUC, AP, accuracy, precision, recall, F1 per group."""
-    parts = [roc_auc(df, group_cols, y_true, score), average_precision(df, group_cols, y_true, score),
-             class_metrics(df, group_cols, y_true, y_pred)]
-    return reduce(lambda a, b: a.join(b, group_cols), parts)
+    return rank_and_class_summary(df, group_cols, y_true, y_pred, score)
 
 
 def leaderboard(df: DataFrame, group_cols: list[str], y_true="y_true", y_pred="y_pred",

@@ -36,11 +36,12 @@ def predictions(model, df: DataFrame, label_col: str = "label", keep: tuple[str,
 
 
 def train_logreg(train: DataFrame, label_col: str = "label", weight_col: str | None = None,
-                 max_iter: int = 1000):
-    """L2 logistic regression equivalent to C = 1 on the summed loss: regParam = 1 / n."""
+                 max_iter: int = 1000, tol: float = 1e-4):
+    """L2 logistic regression equivalent to C = 1 on the summed loss: regParam = 1 / n
+    (sklearn's default tolerance 1e-4)."""
     n = train.count()
     lr = LogisticRegression(featuresCol=FEATURES, labelCol=label_col, regParam=1.0 / max(n, 1),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter)
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol)
     if weight_col:
         lr = lr.setWeightCol(weight_col)
     return lr.fit(train)

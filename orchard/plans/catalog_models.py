@@ -200,7 +200,7 @@ def q_logreg_rec(spark, sf_dir):
     samples = H.negative_sampling(tr.select("user_idx", "item_idx", "event_id"), ni, 4, row_col="event_id")
     val = H.negative_sampling(sx.where("split = 'validation'").select("user_idx", "item_idx", "event_id"), ni, 4,
                               seed=7, row_col="event_id")
-    fit = ML.train_logreg(H.pair_one_hot_vectors(samples, users, items))
+    fit = ML.train_logreg(H.pair_one_hot_vectors(samples, users, items), max_iter=100)  # as the baseline: 100
     p = ML.predictions(fit, H.pair_one_hot_vectors(val, users, items)).withColumn(
         "model", F.lit("logreg_recommender"))
     return round_doubles(M.model_summary(p, ["model"]))
