@@ -228,4 +228,4 @@ def leaderboard(df: DataFrame, group_cols: list[str], y_true="y_true", y_pred="y
     """Models ranked by ROC AUC (rank 1 = best; ties by name)."""
     s = model_summary(df, group_cols, y_true, y_pred, score)
     w = Window.orderBy(F.col("roc_auc").desc(), *[F.col(c).asc() for c in group_cols])
-    return s.withColumn("rank", F.row_number().over(w))
+    return s.withColumn("rank", F.row_number().over(w).cast("long"))

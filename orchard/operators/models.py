@@ -109,11 +109,15 @@ def churn_batch_score(model: PipelineModel, batch: DataFrame, id_col: str = "cus
 
 def train_als(interactions: DataFrame, rank: int = 16, max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0,
               seed: int = 42, user_col: str = "user_idx", item_col: str = "item_idx", rating_col: str = "weight"):
-    """Implicit-feedback matrix factorisation (ALS) on (user, item, weight)."""
+    """Implicit-feedback matrix factorisation (ALS) on (user, item, weight).
+
+    Rows with weight <= 0 (unknown event types) carry no preference and are left out: a user
+    with only such rows would get an unregularised, singular normal equation.
+    """
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol=user_col, itemCol=item_col, ratingCol=rating_col, coldStartStrategy="drop",
               nonnegative=False)
-    return als.fit(interactions.select(F.col(user_col).cast("int").alias(user_col),
+    return als.fit(interactions.where(F.col(rating_col) > 0).select(F.col(user_col).cast("int").alias(user_col),
                                        F.col(item_col).cast("int").alias(item_col),
                                        F.col(rating_col).cast("float").alias(rating_col)))
 

@@ -120,8 +120,9 @@ def top_bottom_groups(rates: DataFrame, group_col: str, rate_col: str = "churn_r
     lo = rates.orderBy(F.col(rate_col).asc(), F.col(group_col).desc()).limit(bottom)
     w_hi = Window.orderBy(F.col(rate_col).desc(), F.col(group_col).asc())
     w_lo = Window.orderBy(F.col(rate_col).asc(), F.col(group_col).desc())
-    return (hi.select(F.lit("top").alias("side"), F.row_number().over(w_hi).alias("rank"), "*")
-            .unionByName(lo.select(F.lit("bottom").alias("side"), F.row_number().over(w_lo).alias("rank"), "*")))
+    return (hi.select(F.lit("top").alias("side"), F.row_number().over(w_hi).cast("long").alias("rank"), "*")
+            .unionByName(lo.select(F.lit("bottom").alias("side"), F.row_number().over(w_lo).cast("long").alias("rank"),
+                                   "*")))
 
 
 def group_rate_summary(rates: DataFrame, rate_col: str = "churn_rate") -> DataFrame:
