@@ -64,10 +64,46 @@ def _array_sum(col: str) -> Column:
                        lambda acc, x: F.when(acc.isNull(), x).otherwise(F.zip_with(acc, x, lambda a, b: a + b)))
 
 
+def sessionize(events: DataFrame, user_col: str, ts_col: str, gap_seconds: float = 1800.0,
+               n_buckets: int = 64) -> DataFrame:
+    """Sessions per user: a new session starts when the gap to the user's previous event is
+    greater than ``gap_seconds`` (Spark's session_window rule). Returns (user, session_id,
+    start, end, n_events).
+
+    A user's events are split into time ranges (approximate quantiles of the timestamps), so a
+    user holding a large share of all events is processed by many tasks: each (user, range) is
+    ordered locally, a per-(user, range) summary - at most ``n_buckets`` rows per user - decides
+    whether the first event of a range continues the previous range's last session, and running
+    counts of session starts number the sessions.
+    """
+    from pyspark.sql import Window
+
+    from orchard.operators.prefix import BUCKET, with_range_bucket
+
+    e = events.select(F.col(user_col).alias("_u"), F.col(ts_col).cast("timestamp").alias("_ts"))
+    e = with_range_bucket(e.withColumn("_t", F.col("_ts").cast("double")), "_t", n_buckets)
+    w = Window.partitionBy("_u", BUCKET).orderBy("_t")
+    prev = F.lag("_t").over(w)
+    e = e.withColumn("_start_in", (prev.isNotNull() & (F.col("_t") - prev > gap_seconds)).cast("int"))
+    summ = e.groupBy("_u", BUCKET).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+                                       F.sum("_start_in").alias("_n_in"))
+    ws = Window.partitionBy("_u").orderBy(BUCKET)
+    prev_last = F.lag("_last").over(ws)
+    summ = summ.withColumn("_first_new", (prev_last.isNull() | (F.col("_first") - prev_last > gap_seconds))
+                           .cast("int"))
+    summ = summ.withColumn("_off", F.coalesce(F.sum(F.col("_n_in") + F.col("_first_new")).over(
+        ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = e.join(summ.select("_u", BUCKET, "_off", "_first_new"), ["_u", BUCKET])
+    local = F.sum("_start_in").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    j = j.withColumn("_sid", F.col("_off") + F.col("_first_new") + local)
+    return j.groupBy(F.col("_u").alias(user_col), F.col("_sid").alias("session_id")).agg(
+        F.min("_ts").alias("start"), F.max("_ts").alias("end"), F.count(F.lit(1)).alias("n_events"))
+
+
 def user_activity(events: DataFrame, ts_col: str = "timestamp", user_col: str = "visitorid",
-                  gap: str = "30 minutes") -> DataFrame:
+                  gap_seconds: float = 1800.0) -> DataFrame:
     """Per day: active users, new users (first seen that day), users retained from the
-    previous day, sessions and mean session length in seconds (sessions split by ``gap``)."""
+    previous day, sessions started that day and their mean length in whole seconds."""
     ev = events.select(F.col(user_col).alias("u"), F.col(ts_col).cast("timestamp").alias("ts"))
     days = ev.select("u", F.to_date("ts").alias("day")).distinct()
     first = days.groupBy("u").agg(F.min("day").alias("first_day"))
@@ -76,11 +112,10 @@ def user_activity(events: DataFrame, ts_col: str = "timestamp", user_col: str =
     per_day = d.groupBy("day").agg(F.count(F.lit(1)).alias("active_users"),
                                    F.count_if(F.col("day") == F.col("first_day")).alias("new_users"),
                                    F.count_if(F.col("_prev") == 1).alias("retained_users"))
-    sess = (ev.groupBy("u", F.session_window("ts", gap).alias("s"))
-            .agg(F.min("ts").alias("t0"), F.max("ts").alias("t1")))
-    slen = sess.groupBy(F.to_date("t0").alias("day")).agg(
+    sess = sessionize(ev, "u", "ts", gap_seconds)
+    slen = sess.groupBy(F.to_date("start").alias("day")).agg(
         F.count(F.lit(1)).alias("sessions"),
-        F.avg(F.unix_timestamp("t1") - F.unix_timestamp("t0")).alias("mean_session_seconds"))
+        F.avg(F.unix_timestamp("end") - F.unix_timestamp("start")).alias("mean_session_seconds"))
     return per_day.join(slen, "day", "left")
 
 

@@ -71,7 +71,7 @@ d AS (SELECT days.u, days.day, first.first_day, p.u IS NOT NULL AS prev FROM day
 per_day AS (SELECT day, count(*) AS active_users, count_if(day = first_day) AS new_users,
   count_if(prev) AS retained_users FROM d GROUP BY day),
 o AS (SELECT u, ts, lag(ts) OVER (PARTITION BY u ORDER BY ts) AS prev_ts FROM ev),
-s1 AS (SELECT *, sum(CASE WHEN prev_ts IS NULL OR ts - prev_ts >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+s1 AS (SELECT *, sum(CASE WHEN prev_ts IS NULL OR ts - prev_ts > INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
   OVER (PARTITION BY u ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o),
 sess AS (SELECT u, sid, min(ts) AS t0, max(ts) AS t1 FROM s1 GROUP BY u, sid),
 slen AS (SELECT CAST(t0 AS DATE) AS day, count(*) AS sessions,

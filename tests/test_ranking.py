@@ -84,3 +84,27 @@ def test_cold_start_popularity(spark):
     assert scores == {10: 5.0, 20: 3.0, 30: 0.0}
     rec = R.recommend(req.select("user_id"), users, items, pop, 1).collect()
     assert [(r.item_id, r.cold_start) for r in rec] == [(10, True)]
+
+
+def test_sessionize_matches_session_window(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    from orchard.operators.extensions import sessionize
+    random.seed(5)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for u in range(4):
+        t = 0
+        for _ in range(300 if u == 0 else 20):  # user 0 is the hot key
+            t += random.choice([10, 60, 600, 1799, 1800, 1801, 7200])
+            rows.append((u, base + dt.timedelta(seconds=t)))
+    df = spark.createDataFrame(rows, "u long, ts timestamp")
+    ours = sessionize(df, "u", "ts", 1800.0, n_buckets=8)
+    ref = df.groupBy("u", F.session_window("ts", "1800 seconds").alias("s")).agg(
+        F.min("ts").alias("start"), F.max("ts").alias("end"), F.count(F.lit(1)).alias("n_events"))
+    a = sorted((r.u, r.start, r.end, r.n_events) for r in ours.collect())
+    b = sorted((r.u, r.start, r.end, r.n_events) for r in ref.collect())
+    assert a == b
