@@ -161,7 +161,7 @@ def q_gmf(spark, sf_dir):
     tr, samples, val = _samples(spark, sf_dir)
     u, i = ML.als_factor_tables(ML.train_als(tr.withColumn("weight", F.lit(1.0))))
     fit = ML.train_logreg(ML.pair_features(samples, u, i, "gmf"))
-    p = ML.predictions(fit, ML.pair_features(val, u, i, "gmf")).withColumn("model", F.lit("gmf"))
+    p = cut_lineage(ML.predictions(fit, ML.pair_features(val, u, i, "gmf")).withColumn("model", F.lit("gmf")))
     return round_doubles(M.model_summary(p, ["model"]))
 
 
@@ -171,7 +171,7 @@ def q_ncf(spark, sf_dir):
     tr, samples, val = _samples(spark, sf_dir)
     u, i = ML.als_factor_tables(ML.train_als(tr.withColumn("weight", F.lit(1.0)), rank=8))
     fit = ML.train_mlp(ML.pair_features(samples, u, i, "ncf"), 16, hidden=(16, 8), max_iter=50)
-    p = ML.predictions(fit, ML.pair_features(val, u, i, "ncf")).withColumn("model", F.lit("ncf"))
+    p = cut_lineage(ML.predictions(fit, ML.pair_features(val, u, i, "ncf")).withColumn("model", F.lit("ncf")))
     return round_doubles(M.model_summary(p, ["model"]))
 
 
@@ -201,8 +201,9 @@ def q_logreg_rec(spark, sf_dir):
     val = H.negative_sampling(sx.where("split = 'validation'").select("user_idx", "item_idx", "event_id"), ni, 4,
                               seed=7, row_col="event_id")
     fit = ML.train_logreg(H.pair_one_hot_vectors(samples, users, items), max_iter=100)  # as the baseline: 100
-    p = ML.predictions(fit, H.pair_one_hot_vectors(val, users, items)).withColumn(
-        "model", F.lit("logreg_recommender"))
+    # predictions feed several metric passes: materialise them once
+    p = cut_lineage(ML.predictions(fit, H.pair_one_hot_vectors(val, users, items)).withColumn(
+        "model", F.lit("logreg_recommender")))
     return round_doubles(M.model_summary(p, ["model"]))
 
 
