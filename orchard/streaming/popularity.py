@@ -18,12 +18,16 @@ def windowed_item_weights(events: DataFrame, window: str = "1 hour", watermark:
                           ts_col: str = "timestamp", item_col: str = "itemid") -> DataFrame:
     """Sum of event weights and event count per (item, event-time window).
 
-    ``ts_col`` may be TIMESTAMP_NTZ; it is cast to TIMESTAMP (session time zone) first, as
-    watermarks need it.
+    On a stream ``ts_col`` is cast to TIMESTAMP (watermarks need it). A static input keeps its
+    type, so TIMESTAMP_NTZ event times give wall-clock windows whatever the session time zone.
     """
-    ev = weighted_interactions(events).withColumn("_ts", F.col(ts_col).cast(T.TimestampType()))
-    if watermark and ev.isStreaming:
-        ev = ev.withWatermark("_ts", watermark)
+    ev = weighted_interactions(events)
+    if ev.isStreaming:
+        ev = ev.withColumn("_ts", F.col(ts_col).cast(T.TimestampType()))
+        if watermark:
+            ev = ev.withWatermark("_ts", watermark)
+    else:
+        ev = ev.withColumn("_ts", F.col(ts_col))
     agg = ev.groupBy(F.window("_ts", window).alias("w"), F.col(item_col)).agg(
         F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n_events"))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), item_col,
