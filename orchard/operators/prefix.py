@@ -86,6 +86,12 @@ def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int = 64) ->
     return ranked.select(col, (F.col("_one_cum") - 1).cast("long").alias(index_col))
 
 
+def value_counts(df: DataFrame, col: str, group_cols: list[str] | None = None, count_col: str = "_n") -> DataFrame:
+    """(group..., value, count) of non-null values: the input of the count-based helpers."""
+    g = list(group_cols or [])
+    return df.where(F.col(col).isNotNull()).groupBy(*g, col).agg(F.count(F.lit(1)).alias(count_col))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: list[str] | None = None,
                     n_buckets: int = 64) -> DataFrame:
     """Exact linear-interpolation quantiles (position (n-1)q) without buffering a group.
@@ -94,9 +100,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: lis
     running counts, and each quantile reads the one or two values around its position.
     Returns (group..., q, value).
     """
+    return quantiles_from_counts(value_counts(df, col, group_cols), col, probs, group_cols, n_buckets=n_buckets)
+
+
+def quantiles_from_counts(freq: DataFrame, col: str, probs: list[float], group_cols: list[str] | None = None,
+                          count_col: str = "_n", n_buckets: int = 64) -> DataFrame:
+    """``exact_quantiles`` over an already collapsed (group..., value, count) table."""
     g = list(group_cols or [])
-    freq = (df.where(F.col(col).isNotNull()).groupBy(*g, col)
-            .agg(F.count(F.lit(1)).alias("_n")))
+    freq = freq.select(*g, col, F.col(count_col).alias("_n"))
     run = running_sums(freq, col, ["_n"], group_cols=g, n_buckets=n_buckets)
     if g:
         run = run.join(freq.groupBy(*g).agg(F.sum("_n").alias("_tot")), g)
@@ -123,9 +134,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: lis
 
 
 def quantile_columns(df: DataFrame, col: str, probs: dict[str, float],
-                     group_cols: list[str] | None = None) -> DataFrame:
-    """Exact quantiles of ``col`` as named columns: (group..., name1, name2, ...)."""
+                     group_cols: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Exact quantiles of ``col`` as named columns: (group..., name1, name2, ...).
+
+    ``counts`` may pass a precomputed ``value_counts`` table (then ``df`` is not read)."""
     g = list(group_cols or [])
-    q = exact_quantiles(df, col, list(probs.values()), g)
+    q = (quantiles_from_counts(counts, col, list(probs.values()), g) if counts is not None
+         else exact_quantiles(df, col, list(probs.values()), g))
     return q.groupBy(*g).agg(*[F.max(F.when(F.col("q") == float(p), F.col("value"))).alias(name)
                                for name, p in probs.items()])

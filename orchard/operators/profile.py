@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orchard.operators.prefix import quantile_columns
+from orchard.operators.prefix import quantile_columns, value_counts
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -44,21 +44,21 @@ def column_types(df: DataFrame) -> list[tuple[str, str]]:
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, linear), max per column.
 
-    One aggregate pass for the moments; the columns are unpivoted to (column, value) so
-    that all quantiles come from one distributed ranking job.
+    The input is read once: columns are unpivoted to (column, value) and collapsed to
+    (column, value, count); moments (two-pass: mean first, then squared deviations),
+    extremes and quantiles all come from that much smaller table.
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    one = df.agg(*aggs)
-    stats = _rows_of(one, [[F.lit(c).alias("column"), *[F.col(f"{c}__{m}").alias(m) for m in
-                                                         ("count", "mean", "std", "min", "max")]]
-                           for c in columns])
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column", "value")
-    qs = quantile_columns(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
+    freq = value_counts(long, "value", ["column"])
+    n = F.col("_n").cast("double")
+    m = freq.groupBy("column").agg(F.sum("_n").alias("count"), (F.sum(n * F.col("value")) / F.sum(n)).alias("mean"),
+                                   F.min("value").alias("min"), F.max("value").alias("max"))
+    dev = freq.join(m.select("column", "mean"), "column").groupBy("column").agg(
+        F.sum(n * (F.col("value") - F.col("mean")) ** 2).alias("_ss"))
+    stats = m.join(dev, "column").withColumn(
+        "std", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))))
+    qs = quantile_columns(None, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"], counts=freq)
     return stats.join(qs, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50",
                                                    "p75", "max")
 
@@ -188,19 +188,20 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 
 def box_stats(df: DataFrame, col: str, label_col: str) -> DataFrame:
-    """Quartiles, IQR, whiskers (extreme values inside 1.5 IQR fences) and outlier count per class."""
+    """Quartiles, IQR, whiskers (extreme values inside the 1.5 IQR fences) and outlier count
+    per class - all from one (class, value, count) table, so the input is read once."""
     x = F.col(col).cast("double")
-    base = df.select(label_col, x.alias(col)).where(F.col(col).isNotNull())
-    q = quantile_columns(base, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [label_col])
+    freq = value_counts(df.select(label_col, x.alias(col)), col, [label_col])
+    q = quantile_columns(None, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [label_col], counts=freq)
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("iqr", iqr).withColumn("lo_fence", F.col("q1") - 1.5 * iqr) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * iqr)
-    j = base.join(q, label_col)
+    j = freq.join(q, label_col)
     inside = (F.col(col) >= F.col("lo_fence")) & (F.col(col) <= F.col("hi_fence"))
     return (j.groupBy(label_col, "q1", "median", "q3", "iqr")
             .agg(F.min(F.when(inside, F.col(col))).alias("whisker_low"),
                  F.max(F.when(inside, F.col(col))).alias("whisker_high"),
-                 F.count_if(~inside).alias("n_outliers")))
+                 F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("n_outliers")))
 
 
 def event_summary(events: DataFrame, user_col="visitorid") -> DataFrame:
