@@ -65,7 +65,7 @@ def _array_sum(col: str) -> Column:
 
 
 def sessionize(events: DataFrame, user_col: str, ts_col: str, gap_seconds: float = 1800.0,
-               n_buckets: int = 64) -> DataFrame:
+               n_buckets: int | None = None) -> DataFrame:
     """Sessions per user: a new session starts when the gap to the user's previous event is
     greater than ``gap_seconds`` (Spark's session_window rule). Returns (user, session_id,
     start, end, n_events).

@@ -297,7 +297,7 @@ def majority_baseline(train: DataFrame, test: DataFrame, label_col: str = "label
 # --- SMOTE ----------------------------------------------------------------------------------
 
 def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: int = 5, seed: int = 42,
-          n_buckets: int = 64) -> DataFrame:
+          n_buckets: int | None = None) -> DataFrame:
     """Oversample the minority class to parity by interpolating towards near neighbours.
 
     Neighbours are the k closest rows along a seeded random projection of the features

@@ -63,7 +63,7 @@ def min_interactions(df: DataFrame, n: int, user_col: str = "visitorid",
     return df.join(users, user_col, "left_semi").join(items, item_col, "left_semi")
 
 
-def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int = 64) -> DataFrame:
+def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int | None = None) -> DataFrame:
     """Distinct ids -> 0-based dense index in ascending id order: (col, index_col)."""
     return _dense_index(df, col, index_col, n_buckets=n_buckets)
 

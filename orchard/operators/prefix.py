@@ -29,25 +29,49 @@ def range_boundaries(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10
     return cuts
 
 
-def with_range_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> DataFrame:
+MAX_INLINE_CUTS = 64
+
+
+def default_buckets(df: DataFrame) -> int:
+    """Value ranges per ordered scan: one per shuffle partition (8 .. 4096)."""
+    try:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        n = 200
+    return max(8, min(4096, n))
+
+
+def with_range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``_range_bucket``: equal values always share a bucket, buckets follow ``col`` order.
 
-    The cut points are approximate quantiles computed by a scalar subquery inside the same
-    query (no driver round trip); they are fixed once per query execution, so a recomputed
-    task lands rows in the same buckets. Bucket = number of cut points below the value.
+    Cut points are approximate quantiles, fixed once per query execution so that a recomputed
+    task lands rows in the same buckets. Up to 64 buckets they come from a scalar subquery
+    inside the same query and each row counts the cut points below it; beyond that the cut
+    points (one small row) are fetched once and MLlib's ``Bucketizer`` binary-searches them.
     """
+    n_buckets = n_buckets or default_buckets(df)
     if n_buckets <= 1:
         return df.withColumn(BUCKET, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = df.select(F.array_distinct(
-        F.percentile_approx(F.col(col).cast("double"), probs, accuracy)).alias("q")).scalar()
+    accuracy = max(accuracy, 10 * n_buckets)
     x = F.col(col).cast("double")
+    if n_buckets > MAX_INLINE_CUTS:
+        from pyspark.ml.feature import Bucketizer
+        cuts = range_boundaries(df, col, n_buckets, accuracy)
+        if not cuts:
+            return df.withColumn(BUCKET, F.lit(0))
+        tmp = "_range_key"
+        b = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp, outputCol=BUCKET,
+                       handleInvalid="keep")
+        out = b.transform(df.withColumn(tmp, x)).drop(tmp)
+        return out.withColumn(BUCKET, F.col(BUCKET).cast("int"))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = df.select(F.array_distinct(F.percentile_approx(x, probs, accuracy)).alias("q")).scalar()
     bucket = F.coalesce(F.size(F.filter(F.col("_range_cuts"), lambda b: b < x)), F.lit(0))
     return df.withColumn("_range_cuts", cuts).withColumn(BUCKET, bucket).drop("_range_cuts")
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
-                 group_cols: list[str] | None = None, n_buckets: int = 64,
+                 group_cols: list[str] | None = None, n_buckets: int | None = None,
                  descending: bool = False, suffix: str = "_cum",
                  tiebreak: list[str] | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` ordered by ``order_col`` within ``group_cols``.
@@ -79,7 +103,7 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str],
         *[(F.coalesce(F.col(f"_off_{c}"), F.lit(0)) + F.col(f"_loc_{c}")).alias(f"{c}{suffix}") for c in value_cols])
 
 
-def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int = 64) -> DataFrame:
+def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int | None = None) -> DataFrame:
     """Distinct values of ``col`` numbered 0..n-1 in ascending order, as (col, index_col)."""
     ids = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1))
     ranked = running_sums(ids, col, ["_one"], n_buckets=n_buckets)
@@ -93,7 +117,7 @@ def value_counts(df: DataFrame, col: str, group_cols: list[str] | None = None, c
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: list[str] | None = None,
-                    n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (position (n-1)q) without buffering a group.
 
     Values are first collapsed to a (value, count) table, positions come from distributed
@@ -104,7 +128,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: lis
 
 
 def quantiles_from_counts(freq: DataFrame, col: str, probs: list[float], group_cols: list[str] | None = None,
-                          count_col: str = "_n", n_buckets: int = 64) -> DataFrame:
+                          count_col: str = "_n", n_buckets: int | None = None) -> DataFrame:
     """``exact_quantiles`` over an already collapsed (group..., value, count) table."""
     g = list(group_cols or [])
     freq = freq.select(*g, col, F.col(count_col).alias("_n"))

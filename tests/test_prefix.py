@@ -50,3 +50,14 @@ def test_running_sums_descending(spark):
     df = spark.createDataFrame([(x, 1) for x in range(20)], "x int, v long")
     got = {r.x: r.v_cum for r in running_sums(df, "x", ["v"], n_buckets=4, descending=True).collect()}
     assert got == {x: 20 - x for x in range(20)}
+
+
+def test_many_buckets_use_binary_search_path(spark):
+    import random
+    random.seed(11)
+    ids = random.sample(range(10**9), 5000)
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = sorted((r.id, r.idx) for r in dense_index(df, "id", "idx", n_buckets=300).collect())
+    assert got == list(zip(sorted(ids), range(len(ids))))
+    qs = {r.q: r.value for r in exact_quantiles(df, "id", [0.5, 0.9], n_buckets=300).collect()}
+    assert qs[0.5] == pytest.approx(float(np.quantile(np.array(ids, dtype=float), 0.5)))
