@@ -30,29 +30,38 @@ def _local_top_k(user_ids: np.ndarray, P: np.ndarray, bu: np.ndarray, item_ids:
                  bi: np.ndarray, k: int, mu: float) -> pd.DataFrame:
     """Exact top-k per user row of S = mu + bu + bi + P Q^T; ties -> smaller item id.
 
-    ``item_ids`` must be ascending so that column order equals id order.
+    ``item_ids`` must be ascending so that column order equals id order. Rows are handled as
+    one matrix (argpartition + lexsort along the rows); only rows with a tie at the k-th
+    score are resolved one by one.
     """
     if len(user_ids) == 0 or len(item_ids) == 0:
-        return pd.DataFrame({"user_idx": [], "item_idx": [], "logit": [], "rank": []})
+        return pd.DataFrame({"user_idx": np.zeros(0, np.int64), "item_idx": np.zeros(0, np.int64),
+                             "logit": np.zeros(0), "rank": np.zeros(0, np.int64)})
     S = P @ Q.T + bu[:, None] + bi[None, :] + mu
-    n = S.shape[1]
+    n_rows, n = S.shape
     kk = min(k, n)
-    # value of the kk-th best score per row; every item at or above it is a candidate
-    kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
-    out_u, out_i, out_s, out_r = [], [], [], []
-    for r in range(S.shape[0]):
+    part = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
+    kth = np.take_along_axis(S, part, axis=1).min(axis=1)
+    n_at_or_above = (S >= kth[:, None]).sum(axis=1)
+    top = np.empty((n_rows, kk), dtype=np.int64)
+    clean = n_at_or_above == kk  # no tie across the k-th boundary: argpartition's set is exact
+    if clean.any():
+        cand = part[clean]
+        sc = np.take_along_axis(S[clean], cand, axis=1)
+        order = np.lexsort((cand, -sc), axis=1)
+        top[clean] = np.take_along_axis(cand, order, axis=1)
+    for r in np.nonzero(~clean)[0]:
         cand = np.nonzero(S[r] >= kth[r])[0]
-        order = cand[np.argsort(-S[r, cand], kind="stable")][:kk]
-        out_u.append(np.full(len(order), user_ids[r], dtype=np.int64))
-        out_i.append(item_ids[order])
-        out_s.append(S[r, order])
-        out_r.append(np.arange(1, len(order) + 1, dtype=np.int64))
-    return pd.DataFrame({"user_idx": np.concatenate(out_u), "item_idx": np.concatenate(out_i).astype(np.int64),
-                         "logit": np.concatenate(out_s), "rank": np.concatenate(out_r)})
+        top[r] = cand[np.argsort(-S[r, cand], kind="stable")][:kk]
+    return pd.DataFrame({"user_idx": np.repeat(user_ids.astype(np.int64), kk),
+                         "item_idx": item_ids[top].ravel().astype(np.int64),
+                         "logit": np.take_along_axis(S, top, axis=1).ravel(),
+                         "rank": np.tile(np.arange(1, kk + 1, dtype=np.int64), n_rows)})
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
+    """Arrow list<double> column (object array of 1-d arrays) -> 2-d float64 matrix."""
+    return np.vstack(series.to_numpy()).astype(np.float64, copy=False)
 
 
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, global_bias: float = 0.0,
