@@ -306,3 +306,17 @@ def q_positive_eval_pairs(spark, sf_dir):
 def q_head_sample(spark, sf_dir):
     """First rows of the cleaned customer table in id order (example input)."""
     return _cust_ids(spark, sf_dir).orderBy("cid").limit(5).drop("cid")
+
+
+@register("export_samples", fx.with_views(f"""WITH {_BIN_IDX},
+sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
+  THEN 'train' ELSE 'validation' END AS split FROM bx)
+SELECT ui.visitorid AS user_id, ii.itemid AS item_id, 1e0 AS label, sx.split
+FROM sx JOIN ui USING (user_idx) JOIN ii USING (item_idx)""", "interactions_raw"))
+def q_export_samples(spark, sf_dir):
+    """Positive training / validation samples with external ids, as written by export_samples."""
+    from orchard.sources.io import samples_for_export
+    inter, users, items = _binary_indexed(spark, sf_dir)
+    sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8).select(
+        "user_idx", "item_idx", F.lit(1.0).alias("label"), "split")
+    return samples_for_export(sx, users, items).select("user_id", "item_id", "label", "split")

@@ -143,16 +143,22 @@ def load_processed(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return out
 
 
-def export_samples(samples: DataFrame, dest: str, user_index: DataFrame | None = None,
-                   item_index: DataFrame | None = None) -> str:
-    """(user_id, item_id, label, split) Parquet partitioned by split; ids decoded if indexes given."""
+def samples_for_export(samples: DataFrame, user_index: DataFrame | None = None,
+                       item_index: DataFrame | None = None) -> DataFrame:
+    """(user_id, item_id, label, split): dense indexes decoded back to external ids."""
     df = samples
     if user_index is not None:
         df = df.join(user_index, "user_idx").withColumnRenamed("visitorid", "user_id")
     if item_index is not None:
         df = df.join(item_index, "item_idx").withColumnRenamed("itemid", "item_id")
     cols = [c for c in ("user_id", "item_id", "user_idx", "item_idx", "label", "split") if c in df.columns]
-    df.select(*cols).write.mode("overwrite").partitionBy("split").parquet(dest)
+    return df.select(*cols)
+
+
+def export_samples(samples: DataFrame, dest: str, user_index: DataFrame | None = None,
+                   item_index: DataFrame | None = None) -> str:
+    """Write ``samples_for_export`` as Parquet partitioned by split."""
+    samples_for_export(samples, user_index, item_index).write.mode("overwrite").partitionBy("split").parquet(dest)
     return dest
 
 
