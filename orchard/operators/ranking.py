@@ -87,3 +87,17 @@ def sampled_truth_users(truth: DataFrame, n_users: int, seed: int = 42) -> DataF
     """Truth rows of at most ``n_users`` users chosen by hash order (semi join)."""
     users = hash_sample(truth.select("user_idx").distinct(), n_users, ["user_idx"], seed)
     return truth.join(users, "user_idx", "left_semi")
+
+
+def capped_evaluation_pairs(samples: DataFrame, order_cols: list[str], sample_cap: int | None = 10000,
+                            positive_cap: int | None = 1000, label_col: str = "label") -> DataFrame:
+    """The evaluation caps: the first ``sample_cap`` samples in ``order_cols`` order, then the
+    first ``positive_cap`` positives among them (each a TakeOrdered of bounded size).
+    Returns (user_idx, item_idx) truth rows."""
+    s = samples
+    if sample_cap is not None:
+        s = s.orderBy(*order_cols).limit(sample_cap)
+    pos = s.where(F.col(label_col) == 1)
+    if positive_cap is not None:
+        pos = pos.orderBy(*order_cols).limit(positive_cap)
+    return pos.select("user_idx", "item_idx")

@@ -8,7 +8,7 @@ from orchard.operators import clean as C
 from orchard.operators import features as H
 from orchard.operators import interactions as I
 from orchard.operators import recommend as R
-from orchard.plans.common import CUSTOMERS_CLEAN_CTE, customers_clean, round_doubles, sql_parse
+from orchard.plans.common import CUSTOMERS_CLEAN_CTE, customers_clean, rank_metrics_sql, round_doubles, sql_parse
 from orchard.plans.registry import register
 from orchard.session import cut_lineage
 from orchard.sources import fixtures as fx
@@ -320,3 +320,30 @@ def q_export_samples(spark, sf_dir):
     sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8).select(
         "user_idx", "item_idx", F.lit(1.0).alias("label"), "split")
     return samples_for_export(sx, users, items).select("user_id", "item_id", "label", "split")
+
+
+@register("ranking_metrics_capped", fx.with_views(f"""WITH {_BIN_IDX},
+sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
+  THEN 'train' ELSE 'validation' END AS split FROM bx),
+pc AS (SELECT item_idx, CAST(count(*) AS DOUBLE) AS s FROM sx WHERE split = 'train' GROUP BY item_idx),
+top AS (SELECT item_idx, row_number() OVER (ORDER BY s DESC, item_idx) AS rank FROM pc ORDER BY s DESC, item_idx LIMIT 10),
+samp AS (SELECT * FROM sx WHERE split = 'validation' ORDER BY event_id LIMIT 10000),
+capped AS (SELECT user_idx, item_idx FROM samp ORDER BY event_id LIMIT 1000),
+ctk AS (SELECT u.user_idx, t.item_idx, t.rank FROM (SELECT DISTINCT user_idx FROM capped) u, top t),
+{rank_metrics_sql("c_", "capped", "ctk", 10, "model")}
+SELECT {", ".join(f"round({m}_10, 6) AS {m}_10" for m in ("hit_rate", "ndcg", "precision", "recall", "mrr"))}
+FROM c_rm""", "interactions_raw"))
+def q_ranking_capped(spark, sf_dir):
+    """Ranking metrics at 10 of the popularity recommender under the evaluation caps:
+    first 10,000 validation samples (event order), then their first 1,000 positives."""
+    from orchard.operators import ranking as N
+    from orchard.operators.recommend import popular_top_k_array
+    inter, _, _ = _binary_indexed(spark, sf_dir)
+    sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8)
+    pop = I.popular_items(sx.where("split = 'train'"), item_col="item_idx", weight_col=None)
+    val = sx.where("split = 'validation'").withColumn("label", F.lit(1))
+    truth = N.capped_evaluation_pairs(val, ["event_id"], 10000, 1000)
+    top = popular_top_k_array(pop, 10, item_col="item_idx").scalar()
+    topk = truth.select("user_idx").distinct().select("user_idx", F.explode(top).alias("t")).select(
+        "user_idx", F.col("t.item").alias("item_idx"), F.col("t.rank").alias("rank"))
+    return round_doubles(N.ranking_metrics(topk, truth, 10))
