@@ -27,7 +27,7 @@ TOPK_SCHEMA = "user_idx long, item_idx long, logit double, rank long"
 
 
 def _local_top_k(user_ids: np.ndarray, P: np.ndarray, bu: np.ndarray, item_ids: np.ndarray, Q: np.ndarray,
-                 bi: np.ndarray, k: int, mu: float) -> pd.DataFrame:
+                 bi: np.ndarray, k: int, mu: float, seen=None) -> pd.DataFrame:
     """Exact top-k per user row of S = mu + bu + bi + P Q^T; ties -> smaller item id.
 
     ``item_ids`` must be ascending so that column order equals id order. Rows are handled as
@@ -38,6 +38,11 @@ def _local_top_k(user_ids: np.ndarray, P: np.ndarray, bu: np.ndarray, item_ids:
         return pd.DataFrame({"user_idx": np.zeros(0, np.int64), "item_idx": np.zeros(0, np.int64),
                              "logit": np.zeros(0), "rank": np.zeros(0, np.int64)})
     S = P @ Q.T + bu[:, None] + bi[None, :] + mu
+    if seen is not None:  # already-seen items of each user never compete
+        for r, items_r in enumerate(seen):
+            if items_r is not None and len(items_r):
+                _, hit, _ = np.intersect1d(item_ids, np.asarray(items_r, dtype=np.int64), return_indices=True)
+                S[r, hit] = -np.inf
     n_rows, n = S.shape
     kk = min(k, n)
     part = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
@@ -53,10 +58,11 @@ def _local_top_k(user_ids: np.ndarray, P: np.ndarray, bu: np.ndarray, item_ids:
     for r in np.nonzero(~clean)[0]:
         cand = np.nonzero(S[r] >= kth[r])[0]
         top[r] = cand[np.argsort(-S[r, cand], kind="stable")][:kk]
-    return pd.DataFrame({"user_idx": np.repeat(user_ids.astype(np.int64), kk),
-                         "item_idx": item_ids[top].ravel().astype(np.int64),
-                         "logit": np.take_along_axis(S, top, axis=1).ravel(),
-                         "rank": np.tile(np.arange(1, kk + 1, dtype=np.int64), n_rows)})
+    out = pd.DataFrame({"user_idx": np.repeat(user_ids.astype(np.int64), kk),
+                        "item_idx": item_ids[top].ravel().astype(np.int64),
+                        "logit": np.take_along_axis(S, top, axis=1).ravel(),
+                        "rank": np.tile(np.arange(1, kk + 1, dtype=np.int64), n_rows)})
+    return out[np.isfinite(out["logit"].to_numpy())] if seen is not None else out
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -66,11 +72,14 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, global_bias: float = 0.0,
                  strategy: str = "auto", max_broadcast_bytes: int = 256 << 20,
-                 block_size: int = 2048) -> DataFrame:
+                 block_size: int = 2048, exclude_seen: DataFrame | None = None) -> DataFrame:
     """Top-k items per user under the biased dot-product (MF) score.
 
     users: (user_idx, factors, bias); items: (item_idx, factors, bias).
     Returns (user_idx, item_idx, logit, score, rank); ordering score desc, item asc.
+    ``exclude_seen`` (user_idx, item_idx): those pairs are never recommended (default: the
+    reference behaviour, seen items stay eligible). Seen lists travel with the user rows,
+    cut per item block on the blocked path.
     """
     spark = users.sparkSession
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factors")).alias("d")).first()
@@ -89,15 +98,22 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, global_bias: float
                    ip["bias"].to_numpy(np.float64))
         bc = spark.sparkContext.broadcast(payload)
 
+        u = users.select("user_idx", "factors", "bias")
+        if exclude_seen is not None:
+            seen = exclude_seen.groupBy("user_idx").agg(F.collect_set("item_idx").alias("_seen"))
+            u = u.join(seen, "user_idx", "left")
+        has_seen = exclude_seen is not None
+
         def score_batches(it):
             ids, Q, bi = bc.value
             for pdf in it:
                 if len(pdf) == 0:
                     continue
                 yield _local_top_k(pdf["user_idx"].to_numpy(np.int64), _matrix(pdf["factors"]),
-                                   pdf["bias"].to_numpy(np.float64), ids, Q, bi, k, mu)
+                                   pdf["bias"].to_numpy(np.float64), ids, Q, bi, k, mu,
+                                   pdf["_seen"].tolist() if has_seen else None)
 
-        out = users.select("user_idx", "factors", "bias").mapInPandas(score_batches, TOPK_SCHEMA)
+        out = u.mapInPandas(score_batches, TOPK_SCHEMA)
     elif strategy == "blocked":
         n_users = users.count()
         n_ub = max(1, math.ceil(n_users / block_size))
@@ -108,13 +124,18 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, global_bias: float
         i = items.select("item_idx", "factors", "bias",
                          F.pmod(F.xxhash64("item_idx"), F.lit(n_ib)).alias("ib"),
                          F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))).alias("ub"))
+        has_seen = exclude_seen is not None
+        if has_seen:
+            seen = (exclude_seen.withColumn("ib", F.pmod(F.xxhash64("item_idx"), F.lit(n_ib)))
+                    .groupBy("user_idx", "ib").agg(F.collect_set("item_idx").alias("_seen")))
+            u = u.join(seen, ["user_idx", "ib"], "left")
 
         def block(updf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
             ipdf = ipdf.sort_values("item_idx")
             return _local_top_k(updf["user_idx"].to_numpy(np.int64), _matrix(updf["factors"]) if len(updf) else None,
                                 updf["bias"].to_numpy(np.float64), ipdf["item_idx"].to_numpy(np.int64),
                                 _matrix(ipdf["factors"]) if len(ipdf) else None, ipdf["bias"].to_numpy(np.float64),
-                                k, mu)
+                                k, mu, updf["_seen"].tolist() if has_seen and len(updf) else None)
 
         local = u.groupBy("ub", "ib").cogroup(i.groupBy("ub", "ib")).applyInPandas(block, TOPK_SCHEMA)
         w = Window.partitionBy("user_idx").orderBy(F.col("logit").desc(), F.col("item_idx").asc())

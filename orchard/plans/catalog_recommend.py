@@ -280,3 +280,14 @@ def q_discount(spark, sf_dir):
     from orchard.functions.expressions import discount
     tk = top_k(spark, sf_dir).select("user_idx", "item_idx", "rank")
     return round_doubles(tk.withColumn("discount", discount("rank")))
+
+
+@register("top_k_exclude_seen", _sql(f"""WITH s AS (SELECT u.user_idx, i.item_idx,
+  u.bias + i.bias + list_dot_product(u.factors, i.factors) AS logit FROM user_factors u, item_factors i
+  WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE t.user_idx = u.user_idx AND t.item_idx = i.item_idx)),
+tk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY logit DESC, item_idx) AS rank FROM s)
+  WHERE rank <= {K})
+{_TOPK_OUT}"""))
+def q_top_k_exclude_seen(spark, sf_dir):
+    """Top-10 per user with the user's known positives (truth pairs) excluded."""
+    return round_doubles(top_k(spark, sf_dir, exclude_seen=fx.truth(spark, sf_dir)))

@@ -108,3 +108,20 @@ def test_sessionize_matches_session_window(spark):
     a = sorted((r.u, r.start, r.end, r.n_events) for r in ours.collect())
     b = sorted((r.u, r.start, r.end, r.n_events) for r in ref.collect())
     assert a == b
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked"])
+def test_top_k_exclude_seen(spark, strategy):
+    users, P, bu = _factors(spark, 9, 4, 3, "user_idx")
+    items, Q, bi = _factors(spark, 15, 4, 4, "item_idx")
+    S = P @ Q.T + bu[:, None] + bi[None, :]
+    seen_rows = [(u * 3 + 1, j * 3 + 1) for u in range(9) for j in range(15) if (u + j) % 3 == 0]
+    seen = spark.createDataFrame(seen_rows, "user_idx long, item_idx long")
+    out = R.top_k_scores(users, items, 3, strategy=strategy, block_size=4, exclude_seen=seen).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.user_idx, []).append((r.rank, r.item_idx))
+    for u in range(9):
+        allowed = [j for j in range(15) if (u + j) % 3 != 0]
+        order = sorted(allowed, key=lambda j: (-S[u, j], j))[:3]
+        assert [it for _, it in sorted(got[u * 3 + 1])] == [j * 3 + 1 for j in order]
