@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from orchard.operators import clean as C
 from orchard.operators import profile as P
-from orchard.operators.interactions import popular_top_k  # noqa: F401
 from orchard.plans.common import CUSTOMERS_CLEAN_CTE, customers_clean, r, round_doubles, sql_parse
 from orchard.plans.registry import register
 from orchard.sources import fixtures as fx

@@ -229,7 +229,7 @@ _HU = "(((user_idx * 7919 + 42 * 1299709) % 1000003) / 1000003e0)"
 
 
 @register("sampled_user_eval", _sql(f"""WITH {_TOPK},
-su AS (SELECT user_idx FROM (SELECT DISTINCT user_idx FROM truth) ORDER BY {_HU}, user_idx LIMIT 50),
+su AS (SELECT user_idx FROM (SELECT DISTINCT user_idx FROM truth) ORDER BY {_HU}, user_idx LIMIT 1000),
 st AS (SELECT * FROM truth WHERE user_idx IN (SELECT user_idx FROM su)),
 ev AS (SELECT user_idx, item_idx, max(y) AS y_true FROM (
   SELECT user_idx, item_idx, 1 AS y FROM st UNION ALL
@@ -248,8 +248,9 @@ SELECT round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_prec
   {', '.join(f'round({c}_{K}, 6) AS {c}_{K}' for c in ('hit_rate', 'ndcg', 'precision', 'recall', 'mrr'))}
 FROM au, rm"""))
 def q_sampled_user_eval(spark, sf_dir):
-    """AUC / AP of truth vs recommended pairs and baseline ranking metrics for <= 50 hash-sampled users."""
-    truth = N.sampled_truth_users(fx.truth(spark, sf_dir), 50)
+    """AUC / AP of truth vs recommended pairs and baseline ranking metrics for <= 1,000
+    hash-sampled users (the reference's cap; smaller user sets are used whole)."""
+    truth = N.sampled_truth_users(fx.truth(spark, sf_dir), 1000)
     users = truth.select("user_idx").distinct()
     uf, itf = fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir)
     tk = R.top_k_scores(uf.join(users, "user_idx", "left_semi"), itf, K)

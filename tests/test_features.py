@@ -76,3 +76,27 @@ def test_mlp_weights_match_mllib(spark):
     ours = ML.ncf_score(df.withColumn("i", F.monotonically_increasing_id()), ML.mlp_weights(m), "x",
                         keep=("i",)).orderBy("i").collect()
     assert [round(r.p, 6) for r in ref] == [round(r.score, 6) for r in ours]
+
+
+def test_capped_evaluation_pairs(spark):
+    from orchard.operators.ranking import capped_evaluation_pairs
+    rows = [(i, i % 7, i % 5, 1 if i % 3 == 0 else 0) for i in range(100)]
+    df = spark.createDataFrame(rows, "seq long, user_idx long, item_idx long, label int")
+    got = capped_evaluation_pairs(df, ["seq"], sample_cap=30, positive_cap=4).collect()
+    expect = [(i % 7, i % 5) for i in range(30) if i % 3 == 0][:4]
+    assert sorted((r.user_idx, r.item_idx) for r in got) == sorted(expect)
+
+
+def test_loader_like_split_and_scaling(spark):
+    """10 customers, 20 % stratified test: 8 train / 2 test, scaled train means 0."""
+    rows = [(i, ["a", "b"][i % 2], float(i * 3 + 1), 1 if i < 5 else 0) for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, cat string, x double, label int")
+    sp = H.stratified_split(df, "label", "id", 0.2)
+    counts = {r.split: r["count"] for r in sp.groupBy("split").count().collect()}
+    assert counts == {"train": 8, "test": 2}
+    train = sp.where("split = 'train'")
+    dom = H.fit_label_domains(train, ["cat"])
+    enc = H.label_encode(train, dom, ["cat"])
+    scaled = H.standard_scale(enc, H.fit_scaler(enc, ["cat", "x"]))
+    means = scaled.agg(F.avg("cat").alias("c"), F.avg("x").alias("x")).first()
+    assert abs(means.c) < 1e-9 and abs(means.x) < 1e-9
