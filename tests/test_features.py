@@ -100,3 +100,14 @@ def test_loader_like_split_and_scaling(spark):
     scaled = H.standard_scale(enc, H.fit_scaler(enc, ["cat", "x"]))
     means = scaled.agg(F.avg("cat").alias("c"), F.avg("x").alias("x")).first()
     assert abs(means.c) < 1e-9 and abs(means.x) < 1e-9
+
+
+def test_negative_sampling_user_owning_almost_everything(spark):
+    # user 0 owns 98 of 100 items: random draws rarely hit the 2 free items
+    pos = [(0, i) for i in range(98)] + [(1, 5)]
+    df = spark.createDataFrame(pos, "user_idx long, item_idx long")
+    out = H.negative_sampling(df, 100, 4)
+    negs = out.where("label = 0.0")
+    per_user = {r.user_idx: r["count"] for r in negs.groupBy("user_idx").count().collect()}
+    assert per_user == {0: 98 * 4, 1: 4}
+    assert {r.item_idx for r in negs.where("user_idx = 0").collect()} <= {98, 99}
