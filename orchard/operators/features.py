@@ -217,10 +217,10 @@ def negative_sampling(positives: DataFrame, num_items: int | Column, n_neg: int
     the user; negatives may repeat across rows (as in uniform redraws).
 
     Candidates are hash-seeded integers (``oversample * n_neg`` per row), removed by an anti
-    join on (user, item), and the first ``n_neg`` survivors kept. Rows still short get one
-    top-up round with fresh seeds, then an exact completion from the user's enumerated unseen
-    items. A user owning the whole catalogue gets no negatives (the uniform redraw would never
-    end). Returns (user, item, label) with the
+    join on (user, item), and the first ``n_neg`` survivors kept. Rows still short (only users
+    owning a large share of the catalogue) are completed exactly from the user's enumerated
+    unseen items. A user owning the whole catalogue gets no negatives (the uniform redraw would
+    never end). Returns (user, item, label) with the
     positives (label 1.0) and negatives (label 0.0).
 
     ``row_col`` names a unique row key (e.g. an event id). Without it, row ids are assigned
@@ -246,20 +246,16 @@ def negative_sampling(positives: DataFrame, num_items: int | Column, n_neg: int
         return ok.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= need)
 
     first = keep_first(draw(pos, seed, oversample * n_neg), F.lit(n_neg))
+    # exact completion: a row is still short only if most of the user's catalogue is taken
+    # (with 3n draws this needs a large owned share); those users' unseen items are
+    # enumerated - a list no longer than the catalogue, i.e. a small multiple of the user's
+    # own interactions - and picked in a row-seeded rotation, repeating when fewer unseen
+    # items than needed exist (as uniform redraws would).
     got = first.groupBy("_row").agg(F.count(F.lit(1)).alias("_got"))
-    short = pos.join(got, "_row", "left").withColumn("_miss", n_neg - F.coalesce("_got", F.lit(0))) \
-               .where(F.col("_miss") > 0)
-    second = keep_first(draw(short, seed + 7777, 8 * oversample * n_neg).join(short.select("_row", "_miss"), "_row"),
-                        F.col("_miss"))
-    # exact completion: rows still short belong to users owning almost the whole catalogue.
-    # Their unseen items are enumerated (at most the catalogue minus their positives, i.e.
-    # bounded by their own interaction count once they own most items) and picked in a
-    # row-seeded rotation, repeating when fewer unseen items than needed exist.
-    got2 = second.groupBy("_row").agg(F.count(F.lit(1)).alias("_got2"))
-    still = (short.join(got2, "_row", "left")
-             .withColumn("_need", F.col("_miss") - F.coalesce("_got2", F.lit(0))).where(F.col("_need") > 0))
-    users3 = still.select(user_col).distinct()
-    unseen = (users3.select(user_col, F.explode(F.sequence(F.lit(0).cast("long"), n_items.cast("long") - 1))
+    still = (pos.join(got, "_row", "left").withColumn("_need", F.lit(n_neg) - F.coalesce("_got", F.lit(0)))
+             .where(F.col("_need") > 0))
+    users2 = still.select(user_col).distinct()
+    unseen = (users2.select(user_col, F.explode(F.sequence(F.lit(0).cast("long"), n_items.cast("long") - 1))
                             .alias(item_col))
               .join(pairs, [user_col, item_col], "left_anti"))
     wu = Window.partitionBy(user_col).orderBy(F.xxhash64(user_col, item_col, F.lit(seed)), item_col)
@@ -269,9 +265,8 @@ def negative_sampling(positives: DataFrame, num_items: int | Column, n_neg: int
     sizes = unseen.select(user_col, "_cnt").distinct()
     picks = picks.join(sizes, user_col).withColumn(
         "_r", F.pmod(F.xxhash64("_row", F.lit(seed + 1)) + F.col("_j"), F.col("_cnt")))
-    third = picks.join(unseen.select(user_col, "_r", item_col), [user_col, "_r"])
-    negs = (first.select(user_col, item_col).unionByName(second.select(user_col, item_col))
-            .unionByName(third.select(user_col, item_col)))
+    rest = picks.join(unseen.select(user_col, "_r", item_col), [user_col, "_r"])
+    negs = first.select(user_col, item_col).unionByName(rest.select(user_col, item_col))
     return (pos.select(user_col, item_col, F.lit(1.0).alias("label"))
             .unionByName(negs.select(user_col, item_col, F.lit(0.0).alias("label"))))
 
