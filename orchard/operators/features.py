@@ -313,18 +313,20 @@ def majority_baseline(train: DataFrame, test: DataFrame, label_col: str = "label
 # --- SMOTE ----------------------------------------------------------------------------------
 
 def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: int = 5, seed: int = 42,
-          n_buckets: int | None = None) -> DataFrame:
-    """Oversample the minority class to parity by interpolating towards near neighbours.
-
-    Neighbours are the k closest rows along a seeded random projection of the features
-    (k/2 on each side in projection order, value ranges of the projection are separate
-    tasks). Each row gets floor(need / n_min) synthetic rows, plus one for the first
-    (need mod n_min) rows in hash order; a synthetic row is x + lambda * (neighbour - x) with
-    hash-seeded neighbour choice and lambda in [0, 1). No pair table is built.
+          **top_k_kwargs) -> DataFrame:
+    """Oversample the minority class to parity by interpolating towards one of the k nearest
+    minority neighbours (exact Euclidean kNN).
+
+    The neighbour search reuses the top-K scorer: for a fixed x, ||x - y||^2 is smallest where
+    2 x.y - ||y||^2 is largest, i.e. a dot product plus an item bias; each point is excluded
+    from its own list. Items are the minority rows, so the broadcast (size-checked) or blocked
+    path applies and only k rows per point leave a task - no pair table. Each row gets
+    floor(need / n_min) synthetic rows, plus one for the first (need mod n_min) rows in hash
+    order; a synthetic row is x + lambda * (neighbour - x) with a hash-seeded neighbour rank and
+    lambda in [0, 1).
     """
-    import numpy as np
-
-    from orchard.operators.prefix import BUCKET, with_range_bucket
+    from orchard.operators.recommend import top_k_scores
+    from orchard.session import cut_lineage
 
     counts = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
@@ -334,27 +336,29 @@ def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: i
     need = max(counts.values()) - n_min
     if need <= 0:
         return df.select(*feature_cols, label_col)
-    from orchard.session import cut_lineage
-    df = cut_lineage(df.select(*feature_cols, label_col))  # several passes follow
-    rng = np.random.default_rng(seed)
-    wts = rng.normal(size=len(feature_cols))
-    proj = sum((F.col(c).cast("double") * float(w) for c, w in zip(feature_cols, wts)), F.lit(0.0))
-    mino = df.where(F.col(label_col) == minority).select(*feature_cols)
-    mino = mino.withColumn("_id", F.xxhash64(*feature_cols, F.lit(seed))).withColumn("_p", proj)
-    b = with_range_bucket(mino, "_p", n_buckets)
-    w = Window.partitionBy(BUCKET).orderBy("_p", "_id")
-    feats = F.struct(*[F.col(c).alias(c) for c in feature_cols])
-    half = max(1, k // 2)
-    near = [F.lag(feats, i).over(w) for i in range(1, half + 1)] + [F.lead(feats, i).over(w) for i in range(1, k - half + 1)]
-    b = b.withColumn("_nb", F.filter(F.array(*near), lambda x: x.isNotNull())).drop(BUCKET)
-    ranked = running_sums(b.withColumn("_one", F.lit(1)), "_id", ["_one"], tiebreak=list(feature_cols))
+    # several passes follow; the row ids must stay fixed, so materialise once
+    mino = cut_lineage(df.where(F.col(label_col) == minority).select(*feature_cols)
+                       .withColumn("_id", F.monotonically_increasing_id()))
+    x = F.array(*[F.col(c).cast("double") for c in feature_cols])
+    sq = sum((F.col(c).cast("double") * F.col(c).cast("double") for c in feature_cols), F.lit(0.0))
+    queries = mino.select(F.col("_id").alias("user_idx"), F.transform(x, lambda v: 2.0 * v).alias("factors"),
+                          F.lit(0.0).alias("bias"))
+    points = mino.select(F.col("_id").alias("item_idx"), x.alias("factors"), (-sq).alias("bias"))
+    itself = mino.select(F.col("_id").alias("user_idx"), F.col("_id").alias("item_idx"))
+    nn = top_k_scores(queries, points, k, exclude_seen=itself, **top_k_kwargs).select(
+        F.col("user_idx").alias("_id"), F.col("rank").alias("_g"), F.col("item_idx").alias("_nb"))
+    ranked = running_sums(mino.withColumn("_h", F.xxhash64("_id", F.lit(seed))).withColumn("_one", F.lit(1)),
+                          "_h", ["_one"], tiebreak=["_id"])
     base, rem = divmod(need, n_min)
     n_syn = F.lit(base) + F.when(F.col("_one_cum") <= rem, 1).otherwise(0)
-    ex = ranked.where(n_syn > 0).select("*", F.explode(F.sequence(F.lit(0), n_syn - 1)).alias("_j"))
-    nsz = F.size("_nb")
-    pick = F.when(nsz > 0, F.element_at("_nb", (F.pmod(F.xxhash64("_id", "_j", F.lit(seed)), nsz) + 1).cast("int")))
-    ex = ex.withColumn("_n", pick)
-    lam = F.pmod(F.xxhash64("_id", "_j", F.lit(seed + 1)), F.lit(1000003)).cast("double") / 1000003.0
-    synth = ex.select(*[(F.col(c) + lam * (F.coalesce(F.col(f"_n.{c}"), F.col(c)) - F.col(c))).alias(c)
-                        for c in feature_cols], F.lit(minority).alias(label_col))
-    return df.select(*feature_cols, label_col).unionByName(synth)
+    ex = ranked.where(n_syn > 0).select("_id", *feature_cols, F.explode(F.sequence(F.lit(0), n_syn - 1)).alias("_j"))
+    n_nb = min(k, n_min - 1)
+    if n_nb <= 0:  # a single minority row: copies of itself
+        synth = ex.select(*feature_cols)
+    else:
+        ex = ex.withColumn("_g", (F.pmod(F.xxhash64("_id", "_j", F.lit(seed)), F.lit(n_nb)) + 1).cast("long"))
+        nb = mino.select(F.col("_id").alias("_nb"), *[F.col(c).alias(f"_n_{c}") for c in feature_cols])
+        j = ex.join(nn, ["_id", "_g"]).join(nb, "_nb")
+        lam = F.pmod(F.xxhash64("_id", "_j", F.lit(seed + 1)), F.lit(1000003)).cast("double") / 1000003.0
+        synth = j.select(*[(F.col(c) + lam * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in feature_cols])
+    return df.select(*feature_cols, label_col).unionByName(synth.withColumn(label_col, F.lit(minority)))

@@ -111,3 +111,17 @@ def test_negative_sampling_user_owning_almost_everything(spark):
     per_user = {r.user_idx: r["count"] for r in negs.groupBy("user_idx").count().collect()}
     assert per_user == {0: 98 * 4, 1: 4}
     assert {r.item_idx for r in negs.where("user_idx = 0").collect()} <= {98, 99}
+
+
+def test_smote_neighbours_are_exact(spark):
+    # minority points on a line: the nearest neighbours of each are its line neighbours
+    rows = [(float(i * i), 0.0, 1) for i in range(8)] + [(100.0 + i, 50.0, 0) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double, label int")
+    out = H.smote(df, ["a", "b"], "label", k=1).where("label = 1")
+    assert out.count() == 20
+    xs = sorted(r.a for r in out.collect())
+    pts = [float(i * i) for i in range(8)]
+    # with k = 1 every synthetic point lies between a point and its nearest neighbour
+    nearest = {p: min((q for q in pts if q != p), key=lambda q: (abs(q - p), q)) for p in pts}
+    segs = [(min(p, q), max(p, q)) for p, q in nearest.items()]
+    assert all(any(lo - 1e-9 <= v <= hi + 1e-9 for lo, hi in segs) for v in xs)
