@@ -58,9 +58,9 @@ def fit_label_domains(df: DataFrame, columns: list[str]) -> DataFrame:
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.column", "kv.value").where(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    # distinct category values per column: small relative to rows
-    return long.withColumn("code", (F.row_number().over(w) - 1).cast("long"))
+    # ranks come from a range-partitioned sort, so no column's domain sits in one task
+    from orchard.operators.prefix import dense_rank_sorted
+    return dense_rank_sorted(long, ["value"], ["column"], "code")
 
 
 def label_encode(df: DataFrame, domains: DataFrame, columns: list[str]) -> DataFrame:

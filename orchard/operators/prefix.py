@@ -167,3 +167,26 @@ def quantile_columns(df: DataFrame, col: str, probs: dict[str, float],
          else exact_quantiles(df, col, list(probs.values()), g))
     return q.groupBy(*g).agg(*[F.max(F.when(F.col("q") == float(p), F.col("value"))).alias(name)
                                for name, p in probs.items()])
+
+
+def dense_rank_sorted(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
+                      index_col: str = "rank0") -> DataFrame:
+    """0-based rank of distinct rows ordered by ``order_cols`` within ``group_cols``, for any
+    orderable type (strings included).
+
+    Rows are range-partitioned on (group, order) and frozen with a reliable checkpoint (so a
+    recomputed task sees the same partitions); per-(partition, group) counts - at most
+    partitions x groups rows - give offsets, and each partition numbers its own rows.
+    """
+    from orchard.session import cut_lineage
+    g = list(group_cols or [])
+    keys = [*g, *order_cols]
+    rows = df.select(*keys).distinct()
+    n = default_buckets(df)
+    r = cut_lineage(rows.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+    counts = r.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", *g, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    local = r.withColumn("_ln", F.row_number().over(Window.partitionBy("_pid", *g).orderBy(*order_cols)))
+    out = local.join(offs, ["_pid", *g], "left")
+    return out.select(*keys, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_ln") - 1).cast("long").alias(index_col))

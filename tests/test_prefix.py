@@ -61,3 +61,15 @@ def test_many_buckets_use_binary_search_path(spark):
     assert got == list(zip(sorted(ids), range(len(ids))))
     qs = {r.q: r.value for r in exact_quantiles(df, "id", [0.5, 0.9], n_buckets=300).collect()}
     assert qs[0.5] == pytest.approx(float(np.quantile(np.array(ids, dtype=float), 0.5)))
+
+
+def test_dense_rank_sorted_strings(spark):
+    from orchard.operators.prefix import dense_rank_sorted
+    import random
+    random.seed(3)
+    rows = [(random.choice(["a", "b", "c"]), "".join(random.choice("xyzw") for _ in range(4))) for _ in range(800)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    got = {(r.g, r.v): r.rank0 for r in dense_rank_sorted(df, ["v"], ["g"]).collect()}
+    for g in "abc":
+        vals = sorted({v for gg, v in rows if gg == g})
+        assert [got[(g, v)] for v in vals] == list(range(len(vals)))
