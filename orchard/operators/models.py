@@ -80,7 +80,7 @@ def top_coefficients(model, feature_names: list[str], n: int = 10, spark=None) -
 
 # --- churn pipeline ---------------------------------------------------------------------------
 
-def churn_pipeline(categorical: list[str], numeric: list[str], label_col: str = "label",
+def churn_estimator(categorical: list[str], numeric: list[str], label_col: str = "label",
                    weight_col: str | None = "weight", reg_param: float = 0.0) -> Pipeline:
     """impute (mean) -> index + one-hot categoricals -> assemble -> scale -> weighted LR."""
     imp = Imputer(inputCols=numeric, outputCols=[f"{c}_imp" for c in numeric], strategy="mean")

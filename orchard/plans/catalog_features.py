@@ -147,7 +147,7 @@ def q_scale(spark, sf_dir):
     return round_doubles(H.standard_scale(sp.select("customerid", *NUM), stats))
 
 
-def loader_pipeline(spark, sf_dir):
+def loader_features(spark, sf_dir):
     """split -> label encode (train domains) -> mean impute (train) -> scale all features (train)."""
     sp = _split(spark, sf_dir).withColumnRenamed("churn_value", "label")
     dom = H.fit_label_domains(sp.where("split = 'train'"), CAT)
@@ -165,11 +165,11 @@ _ENC_STATS = "est AS (SELECT " + ", ".join(
     for c in FEATS) + " FROM enc WHERE split = 'train')"
 
 
-@register("loader_pipeline", _sql(f"""WITH {_DOMAINS}, {_ENC}, {_ENC_STATS}
+@register("loader_features", _sql(f"""WITH {_DOMAINS}, {_ENC}, {_ENC_STATS}
 SELECT customerid, split, label, """ + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in FEATS)
                                   + " FROM enc, est"))
 def q_loader(spark, sf_dir):
-    return round_doubles(loader_pipeline(spark, sf_dir))
+    return round_doubles(loader_features(spark, sf_dir))
 
 
 @register("balanced_weights", fx.with_views("""
@@ -285,7 +285,7 @@ def q_negative_sampling(spark, sf_dir):
 @register("smote")
 def q_smote(spark, sf_dir):
     """Minority class of the encoded training split oversampled to parity."""
-    lp = loader_pipeline(spark, sf_dir).where("split = 'train'")
+    lp = loader_features(spark, sf_dir).where("split = 'train'")
     return H.smote(lp, FEATS, "label", k=5)
 
 

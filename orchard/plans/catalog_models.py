@@ -15,7 +15,7 @@ from orchard.operators import interactions as I
 from orchard.operators import models as ML
 from orchard.operators import ranking as N
 from orchard.operators import recommend as R
-from orchard.plans.catalog_features import CAT, FEATS, NUM, _split, loader_pipeline
+from orchard.plans.catalog_features import CAT, FEATS, NUM, _split, loader_features
 from orchard.plans.common import round_doubles
 from orchard.plans.registry import register
 from orchard.session import cut_lineage
@@ -26,7 +26,7 @@ K = 10
 
 def _xy(spark, sf_dir):
     """Encoded + scaled churn features, assembled; materialised once for several fits."""
-    lp = cut_lineage(ML.assemble(loader_pipeline(spark, sf_dir), FEATS))
+    lp = cut_lineage(ML.assemble(loader_features(spark, sf_dir), FEATS))
     return lp.where("split = 'train'"), lp.where("split = 'test'")
 
 
@@ -105,25 +105,25 @@ def q_top_coef(spark, sf_dir):
     return ML.top_coefficients(ML.train_logreg(tr), FEATS, 10, spark)
 
 
-def _churn_pipeline_model(spark, sf_dir):
+def _churn_model(spark, sf_dir):
     sp = _split(spark, sf_dir).withColumnRenamed("churn_value", "label")
     sp = cut_lineage(H.balanced_weights(sp))
-    model = ML.churn_pipeline(CAT, NUM).fit(sp.where("split = 'train'"))
+    model = ML.churn_estimator(CAT, NUM).fit(sp.where("split = 'train'"))
     return model, sp
 
 
-@register("churn_pipeline")
-def q_churn_pipeline(spark, sf_dir):
+@register("churn_model_fit")
+def q_churn_model_fit(spark, sf_dir):
     """Impute / one-hot / scale + class-weighted LR as one Pipeline; test metrics (one row)."""
-    model, sp = _churn_pipeline_model(spark, sf_dir)
-    p = cut_lineage(ML.predictions(model, sp.where("split = 'test'")).withColumn("model", F.lit("pipeline")))
+    model, sp = _churn_model(spark, sf_dir)
+    p = cut_lineage(ML.predictions(model, sp.where("split = 'test'")).withColumn("model", F.lit("churn_model")))
     return round_doubles(M.model_summary(p, ["model"]))
 
 
 @register("churn_batch_score")
 def q_churn_batch(spark, sf_dir):
     """Class, P(churn) and confidence for a batch (the test split) from the fitted pipeline."""
-    model, sp = _churn_pipeline_model(spark, sf_dir)
+    model, sp = _churn_model(spark, sf_dir)
     return ML.churn_batch_score(model, sp.where("split = 'test'"))
 
 
