@@ -171,3 +171,10 @@ def append_run_metrics(metrics: DataFrame, dest: str) -> str:
     """Append (run, [epoch,] metric, value) rows for later comparison."""
     metrics.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(dest)
     return dest
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], n_buckets: int, mode: str = "overwrite") -> str:
+    """Save as a catalog table bucketed and sorted by ``keys``: later joins / aggregations on
+    those keys between tables with the same bucket count read co-located data (no shuffle)."""
+    df.write.mode(mode).bucketBy(n_buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return table

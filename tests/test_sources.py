@@ -117,3 +117,21 @@ def test_coerce_numeric_rules(spark):
     assert got[:9] == [12.0, None, 7.0, None, float("inf"), None, 1000.0, None, None]
     bad = {r.value for r in C.bad_numeric_values(df, "s").collect()}
     assert bad == {"abc", "nan", "n5.000", "5d", ""}
+
+
+def test_preprocess_job_bucketed_join_has_no_shuffle(spark):
+    from orchard.plans.jobs import preprocess_job
+    from orchard.sources import fixtures as fx
+    events = fx.interactions_raw(spark, "/root/testdata/sf0.001")
+    t = preprocess_job(spark, events, "proc_db", "weighted", n_buckets=4)
+    inter, users = spark.table(t["interactions"]), spark.table(t["user_index"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the bucketed sort-merge join
+    try:
+        joined = inter.join(users, "user_idx")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning" not in plan
+        assert joined.count() == inter.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert spark.table(t["popularity"]).count() == spark.table(t["item_index"]).count()
