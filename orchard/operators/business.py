@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +36,7 @@ def business_metrics(df: DataFrame, group_cols: list[str] | None = None, y_true=
 
 def all_churn_metrics(df: DataFrame, group_cols: list[str], y_true="y_true", y_pred="y_pred",
                       score="y_proba", **costs) -> DataFrame:
-    """Technical (AUC, AP, accuracy, precision, recall, F1) and money metrics, one row per group."""
-    parts = [M.roc_auc(df, group_cols, y_true, score), M.average_precision(df, group_cols, y_true, score),
-             M.class_metrics(df, group_cols, y_true, y_pred),
-             business_metrics(df, group_cols, y_true, y_pred, **costs)]
-    return reduce(lambda a, b: a.join(b, group_cols), parts)
+    """Technical (AUC, AP, accuracy, precision, recall, F1) and money metrics, one row per
+    group, from one pass over the predictions."""
+    summ = M.rank_and_class_summary(df, group_cols, y_true, y_pred, score, keep_confusion=True)
+    return business_from_confusion(summ, **costs)

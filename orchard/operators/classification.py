@@ -188,7 +188,7 @@ def recommended_model(best: DataFrame, model_col: str = "model") -> DataFrame:
 
 
 def rank_and_class_summary(df: DataFrame, group_cols: list[str], y_true="y_true", y_pred="y_pred",
-                           score="y_proba") -> DataFrame:
+                           score="y_proba", keep_confusion: bool = False) -> DataFrame:
     """AUC, AP, accuracy, precision, recall, F1 per group from ONE pass over the predictions.
 
     Rows collapse to (group, score, y_pred) counts; confusion counts come from that small
@@ -213,7 +213,8 @@ def rank_and_class_summary(df: DataFrame, group_cols: list[str], y_true="y_true"
     rk = rc.groupBy(*g).agg(
         (F.sum(F.col("pos") * (neg_below + 0.5 * F.col("neg"))) / (F.first("_P") * F.first("_N"))).alias("roc_auc"),
         (F.sum(F.col("pos") * tp_at / (tp_at + fp_at)) / F.first("_P")).alias("average_precision"))
-    cls = metrics_from_confusion(cm).select(*g, "accuracy", "precision", "recall", "f1")
+    cls = metrics_from_confusion(cm).select(*g, "accuracy", "precision", "recall", "f1", *(
+        ["tn", "fp", "fn", "tp"] if keep_confusion else []))
     return rk.join(cls, g)
 
 

@@ -122,11 +122,30 @@ def popular_top_k(popularity: DataFrame, k: int, item_col: str = "itemid",
 
 def interaction_summary(events: DataFrame, strategies: tuple[str, ...] = ("weighted", "binary", "implicit"),
                         min_count: int = 1) -> DataFrame:
-    """Users, items and rows per strategy (one aggregate per strategy, unioned)."""
+    """Users, items and rows per strategy.
+
+    Without a minimum-interaction filter every strategy is a row subset of the events (all
+    rows, or the positive types), so one scan with conditional distinct counts serves all of
+    them; with a filter each strategy is filtered separately.
+    """
+    if min_count <= 1:
+        pos = F.col("event").isin(list(POSITIVE_EVENTS))
+        keep = {"weighted": F.lit(True), "implicit": F.lit(True), "binary": pos}
+        aggs = []
+        for st in strategies:
+            c = keep[st]
+            aggs += [F.count_distinct(F.when(c, F.col("visitorid"))).alias(f"{st}__u"),
+                     F.count_distinct(F.when(c, F.col("itemid"))).alias(f"{st}__i"),
+                     F.count_if(c).alias(f"{st}__n")]
+        one = events.agg(*aggs)
+        rows = F.array(*[F.struct(F.lit(st).alias("strategy"), F.col(f"{st}__u").alias("n_users"),
+                                  F.col(f"{st}__i").alias("n_items"), F.col(f"{st}__n").alias("n_rows"))
+                         for st in strategies])
+        return one.select(F.explode(rows).alias("r")).select("r.*")
     parts = []
-    for s in strategies:
-        df = min_interactions(STRATEGIES[s](events), min_count)
-        parts.append(df.agg(F.lit(s).alias("strategy"),
+    for st in strategies:
+        df = min_interactions(STRATEGIES[st](events), min_count)
+        parts.append(df.agg(F.lit(st).alias("strategy"),
                             F.count_distinct("visitorid").alias("n_users"),
                             F.count_distinct("itemid").alias("n_items"),
                             F.count(F.lit(1)).alias("n_rows")))
