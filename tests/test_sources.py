@@ -135,3 +135,22 @@ def test_preprocess_job_bucketed_join_has_no_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert spark.table(t["popularity"]).count() == spark.table(t["item_index"]).count()
+
+
+def test_evaluate_churn_monitor_jobs(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from orchard.plans.common import customers_clean
+    from orchard.plans.jobs import churn_job, evaluate_job, monitor_job, preprocess_job
+    from orchard.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    t = preprocess_job(spark, fx.interactions_raw(spark, sf), "eval_db", "weighted", n_buckets=4)
+    runs = evaluate_job(spark, t, str(tmp_path / "runs"))
+    assert {r.run for r in runs.collect()} == {"popularity_weighted", "mf_weighted"}
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 10
+    cust = customers_clean(spark, sf).withColumn("cid", F.substring("customerid", 2, 20).cast("long"))
+    out = churn_job(spark, cust)
+    m = out["metrics"].first()
+    assert 0.0 <= m.roc_auc <= 1.0 and out["sweep"].count() == 18 and out["best_threshold"].count() == 1
+    checks = monitor_job(spark, fx.prediction_log(spark, sf), 0, str(tmp_path / "checks"), window=100)
+    assert {r.shift_type for r in checks.collect()} == {"model_drift", "data_shift"}
