@@ -8,7 +8,6 @@ ties are exact and no global ``ORDER BY`` runs in a single task.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

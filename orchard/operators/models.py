@@ -9,7 +9,6 @@ the reference models (sklearn / xgboost / torch defaults re-expressed in MLlib t
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)

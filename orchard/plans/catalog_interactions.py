@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from orchard.operators import interactions as I
 from orchard.plans.registry import register
 from orchard.sources import fixtures as fx
