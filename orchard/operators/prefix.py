@@ -62,7 +62,8 @@ def with_range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, acc
         tmp = "_range_key"
         b = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp, outputCol=BUCKET,
                        handleInvalid="keep")
-        out = b.transform(df.withColumn(tmp, x)).drop(tmp)
+        # nulls sort first: give them the lowest bucket (Bucketizer does not take nulls)
+        out = b.transform(df.withColumn(tmp, F.coalesce(x, F.lit(float("-inf"))))).drop(tmp)
         return out.withColumn(BUCKET, F.col(BUCKET).cast("int"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = df.select(F.array_distinct(F.percentile_approx(x, probs, accuracy)).alias("q")).scalar()

@@ -73,3 +73,10 @@ def test_dense_rank_sorted_strings(spark):
     for g in "abc":
         vals = sorted({v for gg, v in rows if gg == g})
         assert [got[(g, v)] for v in vals] == list(range(len(vals)))
+
+
+def test_running_sums_with_null_order_values_many_buckets(spark):
+    rows = [(None, 1)] + [(float(i), 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "x double, v long")
+    got = running_sums(df, "x", ["v"], n_buckets=100).where("x IS NOT NULL").orderBy("x").collect()
+    assert [r.v_cum for r in got][-1] == 501 and got[0].v_cum == 2
