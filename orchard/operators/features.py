@@ -115,11 +115,15 @@ def mode_table(df: DataFrame, columns: list[str]) -> DataFrame:
 
 # --- one-hot ------------------------------------------------------------------------------
 
-def fit_one_hot(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted categories per column (collected: the output schema depends on them)."""
+def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int = 10000) -> dict[str, list[str]]:
+    """Sorted categories per column. They are collected because the output schema depends on
+    them; at most ``max_categories + 1`` rows are fetched and a larger domain raises."""
     dom = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in columns])).alias("kv"))
-           .select("kv.*").where(F.col("value").isNotNull()).distinct().collect())
+           .select("kv.*").where(F.col("value").isNotNull()).distinct().limit(max_categories + 1).collect())
+    if len(dom) > max_categories:
+        raise ValueError(f"more than {max_categories} categories: one-hot columns would not fit; "
+                         "use label_encode or hashing instead")
     out: dict[str, list[str]] = {c: [] for c in columns}
     for r in dom:
         out[r["column"]].append(r["value"])

@@ -125,3 +125,10 @@ def test_smote_neighbours_are_exact(spark):
     nearest = {p: min((q for q in pts if q != p), key=lambda q: (abs(q - p), q)) for p in pts}
     segs = [(min(p, q), max(p, q)) for p, q in nearest.items()]
     assert all(any(lo - 1e-9 <= v <= hi + 1e-9 for lo, hi in segs) for v in xs)
+
+
+def test_one_hot_domain_bound(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(50)], "c string")
+    with pytest.raises(ValueError, match="categories"):
+        H.fit_one_hot(df, ["c"], max_categories=10)
+    assert len(H.fit_one_hot(df, ["c"], max_categories=50)["c"]) == 50
