@@ -85,7 +85,7 @@ STRATEGIES: dict[str, StrategyFn] = {
 
 def process(events: DataFrame, strategy: str | StrategyFn = "weighted", min_count: int = 1,
             **kwargs) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Strategy -> min-interaction filter -> dense indexes -> indexed interactions.
+    """Strategy -> min-interaction filter -> dense indexes (materialised) -> indexed interactions.
 
     ``strategy`` is a registered name or any function DataFrame -> DataFrame adding a
     ``weight`` column. Returns (interactions, user_index, item_index).
@@ -97,8 +97,11 @@ def process(events: DataFrame, strategy: str | StrategyFn = "weighted", min_coun
             raise ValueError(f"Unknown strategy '{strategy}'. Available: {sorted(STRATEGIES)}")
         fn = STRATEGIES[strategy]
     df = min_interactions(fn(events, **kwargs), min_count)
-    users = dense_index(df, "visitorid", "user_idx")
-    items = dense_index(df, "itemid", "item_idx")
+    # the two mapping tables are read by every later stage (joins, decoding, model fits):
+    # materialise them once, which also keeps their ranking sub-plans out of later plans
+    from orchard.session import cut_lineage
+    users = cut_lineage(dense_index(df, "visitorid", "user_idx"))
+    items = cut_lineage(dense_index(df, "itemid", "item_idx"))
     return apply_index(df, users, items), users, items
 
 

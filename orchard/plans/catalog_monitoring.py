@@ -16,9 +16,9 @@ def _log(spark, sf_dir):
     return fx.prediction_log(spark, sf_dir)
 
 
-def _as_of(log):
-    """Baseline taken when the middle batch was the latest one."""
-    return F.floor(log.select(F.max("batch_id")).scalar() / 2).cast("long")
+def _as_of(log) -> int:
+    """Baseline taken when the middle batch was the latest one (one value, read once)."""
+    return int(log.agg(F.max("batch_id")).first()[0]) // 2
 
 
 def _baseline(spark, sf_dir):
