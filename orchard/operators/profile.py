@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orchard.operators.prefix import quantile_columns, value_counts
+from orchard.session import cut_lineage
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -45,12 +46,13 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, linear), max per column.
 
     The input is read once: columns are unpivoted to (column, value) and collapsed to
-    (column, value, count); moments (two-pass: mean first, then squared deviations),
-    extremes and quantiles all come from that much smaller table.
+    (column, value, count), materialised; moments (two-pass: mean first, then squared
+    deviations), extremes and quantiles all come from that table.
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column", "value")
-    freq = value_counts(long, "value", ["column"])
+    # the count table feeds moments, extremes and the ranking job: materialise it once
+    freq = cut_lineage(value_counts(long, "value", ["column"]))
     n = F.col("_n").cast("double")
     m = freq.groupBy("column").agg(F.sum("_n").alias("count"), (F.sum(n * F.col("value")) / F.sum(n)).alias("mean"),
                                    F.min("value").alias("min"), F.max("value").alias("max"))
@@ -191,7 +193,7 @@ def box_stats(df: DataFrame, col: str, label_col: str) -> DataFrame:
     """Quartiles, IQR, whiskers (extreme values inside the 1.5 IQR fences) and outlier count
     per class - all from one (class, value, count) table, so the input is read once."""
     x = F.col(col).cast("double")
-    freq = value_counts(df.select(label_col, x.alias(col)), col, [label_col])
+    freq = cut_lineage(value_counts(df.select(label_col, x.alias(col)), col, [label_col]))
     q = quantile_columns(None, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [label_col], counts=freq)
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("iqr", iqr).withColumn("lo_fence", F.col("q1") - 1.5 * iqr) \
