@@ -71,17 +71,16 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str, str]] = BASE_RULES, u
             .withColumn("key", reversed_key(F.col("host")))
             .withColumn("sweep", F.pmod(F.monotonically_increasing_id(), F.lit(sweeps)))
             .withColumn("opened", F.lit(None).cast("array<struct<key:string,path:string,rule:string,verdict:string>>")))
-    listed = spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
-    listed = listed.select(reversed_key(F.col("host")).alias("key"), "path",
-                           F.concat("host", "path").alias("rule"), "verdict")
-    enclosing = listed.select(*[F.col(c).alias(f"o_{c}") for c in listed.columns])
     # the stack when a key opens: every rule whose key is a prefix of it, the key's own rules included
-    opened = (listed.select("key").distinct().join(enclosing, F.col("key").startswith(F.col("o_key")))
-              .groupBy("key").agg(F.collect_list(F.struct(
-                  *[F.col(f"o_{c}").alias(c) for c in ("key", "path", "rule", "verdict")])).alias("opened")))
+    keyed = [("".join(f"{part}." for part in reversed(host.split("."))) if host else "", path, host + path, verdict)
+             for verdict, host, path in rules]
+    stacks = [F.struct(F.lit(key).alias("key"), F.array(*[
+        F.struct(*[F.lit(v).alias(c) for v, c in zip(rule, ("key", "path", "rule", "verdict"))])
+        for rule in keyed if key.startswith(rule[0])]).alias("opened")) for key in sorted({k[0] for k in keyed})]
+    opened = spark.range(1).select(F.inline(F.array(*stacks)))
     marks = opened.select(F.lit(None).cast(rows.schema["row"].dataType).alias("row"),
                           F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), "key",
-                          F.explode(F.expr(f"sequence(0L, {sweeps - 1}L)")).alias("sweep"), "opened")
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sweeps - 1).cast("long"))).alias("sweep"), "opened")
     order = Window.partitionBy("sweep").orderBy("key", F.col("opened").isNull()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     swept = (rows.unionAll(marks).withColumn("stack", F.last("opened", ignorenulls=True).over(order))
