@@ -58,10 +58,11 @@ def hash_unit(*cols: str | Column, seed: int = 42) -> Column:
     """Deterministic pseudo-random number in [0, 1) from integer columns.
 
     Integer arithmetic only (no engine-specific hash), so the same value can be computed
-    in SQL elsewhere: ((a * 7919 + b * 104729 + seed * 1299709) % 1000003) / 1000003.
+    in SQL elsewhere: ((a * 7919 + b * 104729 + seed * 1299709) % 1000003) / 1000003. Each
+    value is reduced by the modulus first, so that ids of any size stay in range.
     """
     mult = [7919, 104729, 15485863, 32452843]
     acc = F.lit(seed * 1299709).cast("long")
     for m, c in zip(mult, cols):
-        acc = acc + col(c).cast("long") * m
+        acc = acc + F.pmod(col(c).cast("long"), F.lit(1000003)) * m
     return F.pmod(acc, F.lit(1000003)).cast("double") / 1000003.0

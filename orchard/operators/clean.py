@@ -133,13 +133,9 @@ def non_numeric_properties(props: DataFrame, property_col: str = "property") ->
             .groupBy(property_col).agg(F.count(F.lit(1)).alias("n")))
 
 
-def positive_eval_pairs(samples: DataFrame, cap: int | None, order_cols: list[str],
-                        label_col: str = "label") -> DataFrame:
-    """label = 1 rows, optionally the first ``cap`` of them in ``order_cols`` order."""
-    pos = samples.where(F.col(label_col) == 1)
-    if cap is None:
-        return pos
-    return pos.orderBy(*order_cols).limit(cap)
+def positive_eval_pairs(samples: DataFrame, label_col: str = "label") -> DataFrame:
+    """All label = 1 rows: the pairs that ranking metrics are computed over."""
+    return samples.where(F.col(label_col) == 1)
 
 
 def predict_class(df: DataFrame, threshold: float = 0.5, proba_col: str = "y_proba",

@@ -8,12 +8,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orchard.operators import classification as M
 from orchard.operators import interactions as I
 from orchard.operators import ranking as N
-from orchard.operators.features import sample_split
-from orchard.operators.recommend import popular_top_k_array
+from orchard.operators.features import negative_sampling, sample_split
+from orchard.operators.prefix import running_sums
+from orchard.operators.recommend import popular_top_k_array, popularity_lookup
 
-METRICS = ("hit_rate", "ndcg", "precision", "recall", "mrr")
+RANKING = ("hit_rate", "ndcg", "precision", "recall", "mrr")
+METRICS = (*RANKING, "roc_auc", "average_precision")
+N_NEGATIVES = 4  # per validation positive, for AUC and average precision
+
+
+def run_rows(values: DataFrame, run: str, model_type: str, processor: str, metrics=METRICS) -> DataFrame:
+    """One wide row of metrics -> long rows (run, model_type, processor, metric, value)."""
+    return values.unpivot([], list(metrics), "metric", "value").select(
+        F.lit(run).alias("run"), F.lit(model_type).alias("model_type"), F.lit(processor).alias("processor"),
+        "metric", "value")
 
 
 def popularity_run_metrics(events: DataFrame, strategies=("weighted", "binary", "implicit"), k: int = 10,
@@ -22,23 +33,33 @@ def popularity_run_metrics(events: DataFrame, strategies=("weighted", "binary",
 
     strategy -> dense indexes -> pair-keyed train / validation split -> item popularity on
     the training rows -> the same global top-k for every validation user -> ranking metrics
-    (duplicate-counting variant). Returns long rows (run, model_type, processor, metric, value).
+    (duplicate-counting variant); AUC and average precision over the validation positives and
+    ``N_NEGATIVES`` unowned items for each. Returns long rows (run, model_type, processor,
+    metric, value).
     """
+    from orchard.session import cut_lineage
+
     parts = []
     for s in strategies:
-        inter, _, _ = I.process(events, s, min_count=min_count)
-        sx = sample_split(inter, ["user_idx", "item_idx"], 0.8, seed)
+        inter, _, items = I.process(events, s, min_count=min_count)
+        # read by the popularity fit, the sampling and the metrics
+        sx = cut_lineage(sample_split(inter, ["user_idx", "item_idx"], 0.8, seed).select(
+            "event_id", "user_idx", "item_idx", "split"))
         train = sx.where("split = 'train'")
         val = sx.where("split = 'validation'").select("user_idx", "item_idx")
-        pop = I.popular_items(train, item_col="item_idx", weight_col=None)
+        pop = cut_lineage(I.popular_items(train, item_col="item_idx", weight_col=None))
         top = popular_top_k_array(pop, k, item_col="item_idx").scalar()
         topk = val.select("user_idx").distinct().select(
             "user_idx", F.explode(top).alias("t")).select("user_idx", F.col("t.item").alias("item_idx"),
                                                           F.col("t.rank").alias("rank"))
         m = N.ranking_metrics(topk, val, k, variant="baseline", suffix=False)
-        parts.append(m.unpivot([], list(METRICS), "metric", "value").select(
-            F.lit(f"popularity_{s}").alias("run"), F.lit("popularity").alias("model_type"),
-            F.lit(s).alias("processor"), "metric", "value"))
+        samples = negative_sampling(sx.where("split = 'validation'"), items.count(), N_NEGATIVES, seed, known=sx,
+                                    row_col="event_id")
+        scored = cut_lineage(popularity_lookup(samples, pop, "item_idx", "item_idx").select(
+            F.col("label").cast("int").alias("y_true"), F.col("score").alias("y_proba")))
+        m = m.select("*", M.roc_auc(scored).select("roc_auc").scalar().alias("roc_auc"),
+                     M.average_precision(scored).select("average_precision").scalar().alias("average_precision"))
+        parts.append(run_rows(m, f"popularity_{s}", "popularity", s))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

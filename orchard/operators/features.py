@@ -19,9 +19,11 @@ SPLIT_PRIME = 2147483647  # 2^31 - 1
 
 
 def split_hash(id_col: str | Column, seed: int = 42) -> Column:
-    """Integer permutation of ids below 2^31-1: ((id * 7919 + seed * 1299709) mod p)."""
+    """Integer permutation of ids below 2^31-1: ((id * 7919 + seed * 1299709) mod p).
+
+    The id is reduced modulo p first, so that large ids do not overflow."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod(c.cast("long") * 7919 + seed * 1299709, F.lit(SPLIT_PRIME))
+    return F.pmod(F.pmod(c.cast("long"), F.lit(SPLIT_PRIME)) * 7919 + seed * 1299709, F.lit(SPLIT_PRIME))
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, test_fraction: float = 0.2,
@@ -89,41 +91,30 @@ def impute(df: DataFrame, values: dict[str, object]) -> DataFrame:
                        for c in df.columns])
 
 
-def fit_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent value per column, ties -> smallest (grouped counts + TakeOrdered 1)."""
-    out = {}
-    for c in columns:
-        r = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-             .orderBy(F.col("_n").desc(), F.col(c).asc()).limit(1).first())
-        out[c] = r[c] if r is not None else None
-    return out
-
-
 def mode_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, mode) as a DataFrame (no driver round trip)."""
-    parts = []
-    for c in columns:
-        g = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value")).agg(
-            F.count(F.lit(1)).alias("_n"))
-        parts.append(g.orderBy(F.col("_n").desc(), F.col("value").asc()).limit(1)
-                     .select(F.lit(c).alias("column"), F.col("value").alias("mode")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(column, mode) as a DataFrame: most frequent non-null value, ties -> smallest.
+
+    One scan for all columns: unpivot, count, and the largest (count, value) per column.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                         for c in columns])).alias("kv")).select("kv.*").where("value is not null")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    # max of n, then min of value: the count orders first, the smallest value breaks ties
+    top = counts.groupBy("column").agg(F.max("_n").alias("_n"))
+    return counts.join(top, ["column", "_n"]).groupBy("column").agg(F.min("value").alias("mode"))
 
 
 # --- one-hot ------------------------------------------------------------------------------
 
-def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int = 10000) -> dict[str, list[str]]:
-    """Sorted categories per column. They are collected because the output schema depends on
-    them; at most ``max_categories + 1`` rows are fetched and a larger domain raises."""
+def fit_one_hot(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted categories per column, for ``one_hot_if_binary``.
+
+    They come to the driver because they name the columns of its result. For columns with too
+    many categories to be columns use ``one_hot_vectors``.
+    """
     dom = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in columns])).alias("kv"))
-           .select("kv.*").where(F.col("value").isNotNull()).distinct().limit(max_categories + 1).collect())
-    if len(dom) > max_categories:
-        raise ValueError(f"more than {max_categories} categories: one-hot columns would not fit; "
-                         "use label_encode or hashing instead")
+           .select("kv.*").where(F.col("value").isNotNull()).distinct().collect())
     out: dict[str, list[str]] = {c: [] for c in columns}
     for r in dom:
         out[r["column"]].append(r["value"])
@@ -133,15 +124,30 @@ def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int = 10000)
 def one_hot_if_binary(df: DataFrame, categories: dict[str, list[str]], drop_original: bool = True) -> DataFrame:
     """One 0/1 column per category; binary columns drop their first category; an unknown
     value gives all zeros."""
-    out = df
-    for c, cats in categories.items():
-        keep = cats[1:] if len(cats) == 2 else cats
-        for v in keep:
-            out = out.withColumn(f"{c}_{v}", (F.col(c).cast("string") == F.lit(v)).cast("double"))
-            out = out.withColumn(f"{c}_{v}", F.coalesce(F.col(f"{c}_{v}"), F.lit(0.0)))
-        if drop_original:
-            out = out.drop(c)
-    return out
+    new = [F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{v}")
+           for c, cats in categories.items() for v in (cats[1:] if len(cats) == 2 else cats)]
+    keep = [c for c in df.columns if not (drop_original and c in categories)]
+    return df.select(*keep, *new)
+
+
+def one_hot_vectors(df: DataFrame, domains: DataFrame, columns: list[str], id_col: str) -> DataFrame:
+    """(id, size, indices, values): one sparse vector per row over all categories of ``columns``.
+
+    ``domains`` is the table of ``fit_label_domains``, of any size: categories are joined, not
+    collected. A column's categories follow those of the columns before it; an unknown or
+    null value adds nothing.
+    """
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column"))
+    sizes = domains.groupBy("column").agg(F.count(F.lit(1)).alias("n")).withColumn("_k", place)
+    before = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)  # one row per column
+    first = sizes.select("column", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    names = sizes.agg(F.sum("n")).scalar()
+    long = df.select(id_col, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("kv"))
+    long = long.select(id_col, "kv.*").join(domains, ["column", "value"], "left").join(F.broadcast(first), "column", "left")
+    hit = long.select(id_col, (F.col("_first") + F.col("code")).alias("at"))
+    out = hit.groupBy(id_col).agg(F.array_sort(F.collect_list("at")).alias("indices"))  # one per column at most
+    return out.select(id_col, names.alias("size"), "indices", F.transform("indices", lambda _: F.lit(1.0)).alias("values"))
 
 
 # --- scaler -------------------------------------------------------------------------------
@@ -169,32 +175,6 @@ def standard_scale(df: DataFrame, stats: ScalerStats) -> DataFrame:
                        if c in stats.mean else F.col(c) for c in df.columns])
 
 
-def impute_means_from(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
-    """Lazy form of fit_means + impute: the training means are one scalar subquery.
-
-    Meant for materialised inputs; over a deep lineage prefer the eager fit (each scalar
-    subquery embeds the whole input plan)."""
-    stats = train.select(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns])).scalar()
-    return df.select(*[F.coalesce(F.col(c).cast("double"), stats.getField(c)).alias(c) if c in columns else F.col(c)
-                       for c in df.columns])
-
-
-def scale_from(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
-    """Lazy form of fit_scaler + standard_scale (population std; 0 -> 1), one scalar subquery."""
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
-    st = train.select(F.struct(*aggs)).scalar()
-
-    def scaled(c):
-        sd = st.getField(f"{c}__s")
-        sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-        return ((F.col(c).cast("double") - st.getField(f"{c}__m")) / sd).alias(c)
-
-    return df.select(*[scaled(c) if c in columns else F.col(c) for c in df.columns])
-
-
 # --- class weights --------------------------------------------------------------------------
 
 def balanced_weights(df: DataFrame, label_col: str = "label", weight_col: str = "weight") -> DataFrame:
@@ -213,64 +193,64 @@ def pos_weight(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 # --- negative sampling ----------------------------------------------------------------------
 
+def draw_hash(row: Column, j: Column, seed: int) -> Column:
+    """Pseudo-random integer below 2^31 - 1 of a row key and a draw number, in integer arithmetic
+    that SQL elsewhere can repeat: two rounds of h -> (48271 h + c) mod (2^31 - 1)."""
+    p = F.lit(SPLIT_PRIME)
+    h = F.pmod(F.pmod(row.cast("long"), p) * 48271 + j.cast("long") * 69621 + seed * 16807, p)
+    return F.pmod(F.pmod(h, F.lit(65537)) * 48271 + h * 69621 + 12345, p)
+
+
+def draw_hash_sql(row: str, j: str, seed: int) -> str:
+    """``draw_hash`` as DuckDB SQL (non-negative row keys)."""
+    h = f"((({row}) % {SPLIT_PRIME} * 48271 + ({j}) * 69621 + {seed * 16807}) % {SPLIT_PRIME})"
+    return f"(({h} % 65537 * 48271 + {h} * 69621 + 12345) % {SPLIT_PRIME})"
+
+
 def negative_sampling(positives: DataFrame, num_items: int | Column, n_neg: int = 4, seed: int = 42,
-                      oversample: int = 3, user_col: str = "user_idx", item_col: str = "item_idx",
+                      known: DataFrame | None = None, user_col: str = "user_idx", item_col: str = "item_idx",
                       row_col: str | None = None) -> DataFrame:
-    """``n_neg`` negatives per positive row, uniform over [0, num_items), never a positive of
-    the user; negatives may repeat across rows (as in uniform redraws).
+    """``n_neg`` negatives per positive row, uniform over the items of [0, num_items) that the
+    user does not own; negatives may repeat (as in uniform redraws).
+
+    ``known`` holds all (user, item) pairs that must not be drawn - every interaction, also
+    those of another split; by default the positives themselves.
 
-    Candidates are hash-seeded integers (``oversample * n_neg`` per row), removed by an anti
-    join on (user, item), and the first ``n_neg`` survivors kept. Rows still short (only users
-    owning a large share of the catalogue) are completed exactly from the user's enumerated
-    unseen items. A user owning the whole catalogue gets no negatives (the uniform redraw would
-    never end). Returns (user, item, label) with the
-    positives (label 1.0) and negatives (label 0.0).
+    A user who owns m items has num_items - m others. A hash of the row draws the rank r of one
+    of them, and the r-th item not owned is r + (number of owned items o_i, in order from
+    i = 0, with o_i - i <= r). That number is a running count over the owned items and the
+    draws of a user in order, taken by value ranges (``running_sums``), so there is no
+    redrawing, no enumeration of the catalogue and no task that holds a whole user. A user who
+    owns everything gets no negatives. Returns (user, item, label): positives with label 1.0,
+    negatives with 0.0.
 
     ``row_col`` names a unique row key (e.g. an event id). Without it, row ids are assigned
     and frozen with a reliable checkpoint so that a recomputed task draws the same items.
     """
     from orchard.session import cut_lineage
-    # three passes read the positives: materialise them once (this also freezes generated row ids)
     if row_col is not None:
-        pos = cut_lineage(positives.select(user_col, item_col, F.col(row_col).alias("_row")))
+        pos = positives.select(user_col, item_col, F.col(row_col).alias("_row"))
     else:
         pos = cut_lineage(positives.select(user_col, item_col).withColumn("_row", F.monotonically_increasing_id()))
-    pairs = pos.select(user_col, item_col).distinct()
-    n_items = F.lit(num_items) if not isinstance(num_items, Column) else num_items
-
-    def draw(rows: DataFrame, round_seed: int, m: int) -> DataFrame:
-        c = rows.select(user_col, "_row", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("_j"))
-        h = F.pmod(F.xxhash64(F.col("_row"), F.col("_j"), F.lit(round_seed)), n_items.cast("long"))
-        return c.withColumn(item_col, h)
-
-    def keep_first(cands: DataFrame, need: Column) -> DataFrame:
-        ok = cands.join(pairs, [user_col, item_col], "left_anti")
-        w = Window.partitionBy("_row").orderBy("_j")
-        return ok.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= need)
-
-    first = keep_first(draw(pos, seed, oversample * n_neg), F.lit(n_neg))
-    # exact completion: a row is still short only if most of the user's catalogue is taken
-    # (with 3n draws this needs a large owned share); those users' unseen items are
-    # enumerated - a list no longer than the catalogue, i.e. a small multiple of the user's
-    # own interactions - and picked in a row-seeded rotation, repeating when fewer unseen
-    # items than needed exist (as uniform redraws would).
-    got = first.groupBy("_row").agg(F.count(F.lit(1)).alias("_got"))
-    still = (pos.join(got, "_row", "left").withColumn("_need", F.lit(n_neg) - F.coalesce("_got", F.lit(0)))
-             .where(F.col("_need") > 0))
-    users2 = still.select(user_col).distinct()
-    unseen = (users2.select(user_col, F.explode(F.sequence(F.lit(0).cast("long"), n_items.cast("long") - 1))
-                            .alias(item_col))
-              .join(pairs, [user_col, item_col], "left_anti"))
-    wu = Window.partitionBy(user_col).orderBy(F.xxhash64(user_col, item_col, F.lit(seed)), item_col)
-    unseen = unseen.withColumn("_r", F.row_number().over(wu) - 1).withColumn(
-        "_cnt", F.count(F.lit(1)).over(Window.partitionBy(user_col)))
-    picks = still.select(user_col, "_row", F.explode(F.sequence(F.lit(0), F.col("_need") - 1)).alias("_j"))
-    sizes = unseen.select(user_col, "_cnt").distinct()
-    picks = picks.join(sizes, user_col).withColumn(
-        "_r", F.pmod(F.xxhash64("_row", F.lit(seed + 1)) + F.col("_j"), F.col("_cnt")))
-    rest = picks.join(unseen.select(user_col, "_r", item_col), [user_col, "_r"])
-    negs = first.select(user_col, item_col).unionByName(rest.select(user_col, item_col))
-    return (pos.select(user_col, item_col, F.lit(1.0).alias("label"))
+    own = (positives if known is None else known).select(user_col, F.col(item_col).cast("long").alias(item_col)).distinct()
+    # read by the counts and by the running sums
+    own = cut_lineage(own.withColumn("_one", F.lit(1).cast("long")))
+    n_items = (F.lit(num_items) if not isinstance(num_items, Column) else num_items).cast("long")
+    owned = own.groupBy(user_col).agg(F.count(F.lit(1)).alias("_owned"))
+    draws = (pos.join(owned, user_col, "left")
+             .withColumn("_free", n_items - F.coalesce("_owned", F.lit(0))).where("_free > 0")
+             .select(user_col, "_row", "_free", F.explode(F.sequence(F.lit(0), F.lit(n_neg - 1))).alias("_j"))
+             .select(user_col, F.pmod(draw_hash(F.col("_row"), F.col("_j"), seed), F.col("_free")).alias("_at"),
+                     F.lit(0).cast("long").alias("_mark"), "_row", F.col("_j").cast("long").alias("_j")))
+    ranked = running_sums(own, item_col, ["_one"], group_cols=[user_col])
+    marks = ranked.select(user_col, (F.col(item_col) - (F.col("_one_cum") - 1)).alias("_at"),
+                          F.lit(1).cast("long").alias("_mark"),
+                          F.lit(None).cast(draws.schema["_row"].dataType).alias("_row"), F.col(item_col).alias("_j"))
+    # both the window and the range totals read the draws: materialise them once
+    both = cut_lineage(marks.unionAll(draws).withColumn("_late", 1 - F.col("_mark")))
+    counted = running_sums(both, "_at", ["_mark"], group_cols=[user_col], tiebreak=["_late", "_row", "_j"])
+    negs = counted.where("_mark = 0").select(user_col, (F.col("_at") + F.col("_mark_cum")).alias(item_col))
+    return (pos.select(user_col, F.col(item_col).cast("long").alias(item_col), F.lit(1.0).alias("label"))
             .unionByName(negs.select(user_col, item_col, F.lit(0.0).alias("label"))))
 
 

@@ -96,12 +96,12 @@ def process(events: DataFrame, strategy: str | StrategyFn = "weighted", min_coun
         if strategy not in STRATEGIES:
             raise ValueError(f"Unknown strategy '{strategy}'. Available: {sorted(STRATEGIES)}")
         fn = STRATEGIES[strategy]
-    df = min_interactions(fn(events, **kwargs), min_count)
-    # the two mapping tables are read by every later stage (joins, decoding, model fits):
-    # materialise them once, which also keeps their ranking sub-plans out of later plans
+    # the filtered rows are read by both indexes and the join, and each table of ids by the cut
+    # points, the windows and the totals of its ranking: materialise each of them once
     from orchard.session import cut_lineage
-    users = cut_lineage(dense_index(df, "visitorid", "user_idx"))
-    items = cut_lineage(dense_index(df, "itemid", "item_idx"))
+    df = cut_lineage(min_interactions(fn(events, **kwargs), min_count))
+    users = cut_lineage(dense_index(cut_lineage(df.select("visitorid").distinct()), "visitorid", "user_idx"))
+    items = cut_lineage(dense_index(cut_lineage(df.select("itemid").distinct()), "itemid", "item_idx"))
     return apply_index(df, users, items), users, items
 
 

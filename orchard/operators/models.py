@@ -8,16 +8,19 @@ the reference models (sklearn / xgboost / torch defaults re-expressed in MLlib t
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orchard.operators import features as H
+
 FEATURES = "features"
 
 
@@ -59,10 +62,50 @@ def train_gbt(train: DataFrame, label_col: str = "label", max_iter: int = 100, m
 
 
 def train_mlp(train: DataFrame, n_features: int, label_col: str = "label", hidden=(128, 64, 32),
-              max_iter: int = 100, seed: int = 42):
+              max_iter: int = 100, seed: int = 42, initial=None):
     layers = [n_features, *hidden, 2]
-    return MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=label_col, layers=layers,
-                                          maxIter=max_iter, seed=seed).fit(train)
+    mlp = MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=label_col, layers=layers,
+                                         maxIter=max_iter, seed=seed)
+    return (mlp if initial is None else mlp.setInitialWeights(initial)).fit(train)
+
+
+def repeat_positives(train: DataFrame, key: str, label_col: str = "label") -> DataFrame:
+    """Every positive row n_negative / n_positive times: the positive-class weight as repetition.
+
+    MLlib's perceptron takes no weights. The fraction is spread over rows by a hash of ``key``.
+    """
+    weight = H.pos_weight(train, label_col).first()[0] or 1.0
+    extra = H.hash_unit(F.xxhash64(key)) < weight - int(weight)
+    times = F.when(F.col(label_col) == 1, F.lit(int(weight)) + extra.cast("int")).otherwise(1)
+    rows = train.withColumn("_times", times).where("_times > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times", "_copy")
+
+
+def train_mlp_early_stop(train: DataFrame, n_features: int, key: str, label_col: str = "label", hidden=(128, 64, 32),
+                         epochs: int = 100, step: int = 10, patience: int = 2, seed: int = 42):
+    """Perceptron with repeated positives that stops when the validation loss stops falling.
+
+    A fifth of the rows, chosen by hash of ``key``, is the validation set. Training goes on in
+    steps of ``step`` iterations from the last weights; after ``patience`` steps without a
+    lower log loss it ends with the best model. The reference counts single epochs; MLlib's solver
+    restarts its curvature history at each step, so steps are longer.
+    """
+    from orchard.operators.classification import log_loss
+    part = H.hash_unit(F.xxhash64(key), seed=seed)
+    fit = repeat_positives(train.where(part >= 0.2), key, label_col)
+    validation = train.where(part < 0.2)
+    best, best_loss, bad, weights = None, float("inf"), 0, None
+    for _ in range(max(1, epochs // step)):
+        model = train_mlp(fit, n_features, label_col, hidden, step, seed, weights)
+        weights = model.weights
+        loss = log_loss(predictions(model, validation, label_col)).first()["log_loss"]
+        if loss is None or loss < best_loss:
+            best, best_loss, bad = model, loss if loss is not None else best_loss, 0
+        else:
+            bad += 1
+        if bad >= patience:
+            break
+    return best
 
 
 def top_coefficients(model, feature_names: list[str], n: int = 10, spark=None) -> DataFrame:
@@ -79,24 +122,55 @@ def top_coefficients(model, feature_names: list[str], n: int = 10, spark=None) -
 
 # --- churn pipeline ---------------------------------------------------------------------------
 
-def churn_estimator(categorical: list[str], numeric: list[str], label_col: str = "label",
-                   weight_col: str | None = "weight", reg_param: float = 0.0) -> Pipeline:
-    """impute (mean) -> index + one-hot categoricals -> assemble -> scale -> weighted LR."""
-    imp = Imputer(inputCols=numeric, outputCols=[f"{c}_imp" for c in numeric], strategy="mean")
-    idx = StringIndexer(inputCols=categorical, outputCols=[f"{c}_idx" for c in categorical],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_oh" for c in categorical],
-                        dropLast=False, handleInvalid="keep")
-    va = VectorAssembler(inputCols=[f"{c}_imp" for c in numeric] + [f"{c}_oh" for c in categorical],
-                         outputCol="raw_features")
-    sc = StandardScaler(inputCol="raw_features", outputCol=FEATURES, withMean=True, withStd=True)
-    lr = LogisticRegression(featuresCol=FEATURES, labelCol=label_col, regParam=reg_param, maxIter=1000)
-    if weight_col:
-        lr = lr.setWeightCol(weight_col)
-    return Pipeline(stages=[imp, idx, ohe, va, sc, lr])
+@dataclass
+class ChurnModel:
+    """Preprocessing fitted on training rows and the classifier on top of it."""
+
+    modes: dict[str, str]
+    categories: dict[str, list[str]]
+    means: dict[str, float]
+    scaler: H.ScalerStats
+    classifier: object = None
+
+    @property
+    def columns(self) -> list[str]:
+        """Feature columns in order: one-hot columns, then scaled numerics."""
+        hot = [f"{c}_{v}" for c, cats in self.categories.items() for v in (cats[1:] if len(cats) == 2 else cats)]
+        return hot + list(self.means)
+
+    def matrix(self, df: DataFrame) -> DataFrame:
+        """``df`` with imputed, one-hot and scaled feature columns in place of the raw ones."""
+        filled = H.impute(df.select(*[F.col(c).cast("double").alias(c) if c in self.means else F.col(c)
+                                      for c in df.columns]), {**self.modes, **self.means})
+        return H.standard_scale(H.one_hot_if_binary(filled, self.categories), self.scaler)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.classifier.transform(assemble(self.matrix(df), self.columns))
+
 
+def fit_churn_preprocessor(train: DataFrame, categorical: list[str], numeric: list[str]) -> ChurnModel:
+    """Categoricals: mode imputing, one-hot that drops one column of binaries and ignores unknown
+    values. Numerics: mean imputing, scaling by mean and population deviation. All from ``train``."""
+    modes = {r["column"]: r["mode"] for r in H.mode_table(train, categorical).collect()}
+    means = H.fit_means(train, numeric)
+    filled = H.impute(train.select(*categorical, *[F.col(c).cast("double").alias(c) for c in numeric]), {**modes, **means})
+    categories = H.fit_one_hot(filled, categorical)
+    return ChurnModel(modes, {c: categories[c] for c in categorical}, means, H.fit_scaler(filled, numeric))
 
-def churn_batch_score(model: PipelineModel, batch: DataFrame, id_col: str = "customerid") -> DataFrame:
+
+def train_churn(train: DataFrame, categorical: list[str], numeric: list[str], label_col: str = "label") -> ChurnModel:
+    """Preprocessing, then logistic regression with balanced class weights and C = 1.
+
+    The weights come from the training rows alone and sum to their number n, so C = 1 on
+    the summed loss is regParam = 1 / n on MLlib's weighted mean.
+    """
+    model = fit_churn_preprocessor(train, categorical, numeric)
+    rows = H.balanced_weights(train, label_col)
+    model.classifier = train_logreg(assemble(model.matrix(rows), model.columns), label_col, weight_col="weight")
+    return model
+
+
+def churn_batch_score(model: ChurnModel, batch: DataFrame, id_col: str = "customerid") -> DataFrame:
     """Class, P(churn) and confidence (max class probability) for a batch of customers."""
     out = model.transform(batch)
     p = vector_to_array("probability")
@@ -106,7 +180,7 @@ def churn_batch_score(model: PipelineModel, batch: DataFrame, id_col: str = "cus
 
 # --- recommender factor models ----------------------------------------------------------------
 
-def train_als(interactions: DataFrame, rank: int = 16, max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0,
+def train_als(interactions: DataFrame, rank: int = 64, max_iter: int = 10, reg: float = 0.1, alpha: float = 1.0,
               seed: int = 42, user_col: str = "user_idx", item_col: str = "item_idx", rating_col: str = "weight"):
     """Implicit-feedback matrix factorisation (ALS) on (user, item, weight).
 
@@ -132,11 +206,49 @@ def als_factor_tables(model, user_col: str = "user_idx", item_col: str = "item_i
     return u, i
 
 
-def pair_features(samples: DataFrame, users: DataFrame, items: DataFrame, kind: str = "gmf") -> DataFrame:
-    """Factor features of (user, item) samples: GMF = p * q element-wise, NCF = concat(p, q)."""
+def als_biases(samples: DataFrame, users: DataFrame, items: DataFrame, sweeps: int = 2,
+               reg: float = 10.0) -> tuple[float, DataFrame, DataFrame]:
+    """Global, user and item biases for fitted factors: (mu, users, items) with ``bias`` filled.
+
+    MLlib's ALS has no biases. mu is the mean residual label - p.q over labelled samples;
+    user and item biases are, in turn, the regularised mean of what is left
+    (sum / (count + ``reg``)), by grouped aggregates and equi joins.
+    """
+    p = users.select("user_idx", F.col("factors").alias("_p"))
+    q = items.select("item_idx", F.col("factors").alias("_q"))
+    from orchard.functions.expressions import dot
+    from orchard.session import cut_lineage
+    rest = cut_lineage(samples.join(p, "user_idx").join(q, "item_idx").select(
+        "user_idx", "item_idx", (F.col("label") - dot("_p", "_q")).alias("_r")))
+    mu = float(rest.agg(F.avg("_r")).first()[0] or 0.0)
+
+    def mean_by(key: str, other: str, biases: DataFrame | None) -> DataFrame:
+        left = rest if biases is None else rest.join(biases, other)
+        value = F.col("_r") - mu - (F.lit(0.0) if biases is None else F.col("_b"))
+        return left.groupBy(key).agg((F.sum(value) / (F.count(F.lit(1)) + reg)).alias("_b"))
+
+    by_user = by_item = None
+    for _ in range(sweeps):
+        by_user = mean_by("user_idx", "item_idx", by_item)
+        by_item = mean_by("item_idx", "user_idx", by_user)
+
+    def filled(table: DataFrame, key: str, biases: DataFrame) -> DataFrame:
+        return cut_lineage(table.join(biases, key, "left").select(key, "factors", F.coalesce("_b", F.lit(0.0)).alias("bias")))
+
+    return mu, filled(users, "user_idx", by_user), filled(items, "item_idx", by_item)
+
+
+def pair_features(samples: DataFrame, users: DataFrame, items: DataFrame, kind: str = "gmf",
+                  rank: int = 64) -> DataFrame:
+    """Factor features of (user, item) samples: GMF = p * q element-wise, NCF = concat(p, q).
+
+    Users and items without fitted factors have zeros, so every sample keeps its row.
+    """
     u = users.select("user_idx", F.col("factors").alias("_p"))
     i = items.select("item_idx", F.col("factors").alias("_q"))
-    j = samples.join(u, "user_idx").join(i, "item_idx")
+    zero = F.array_repeat(F.lit(0.0), rank)
+    j = samples.join(u, "user_idx", "left").join(i, "item_idx", "left").withColumns(
+        {"_p": F.coalesce("_p", zero), "_q": F.coalesce("_q", zero)})
     feat = F.zip_with("_p", "_q", lambda a, b: a * b) if kind == "gmf" else F.concat("_p", "_q")
     from pyspark.ml.functions import array_to_vector
     return j.withColumn(FEATURES, array_to_vector(feat)).drop("_p", "_q")
@@ -159,10 +271,15 @@ def mlp_weights(model) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def ncf_score(features: DataFrame, weights: list[tuple[np.ndarray, np.ndarray]], array_col: str = "x",
-              keep: tuple[str, ...] = ()) -> DataFrame:
-    """Forward pass of an MLP (sigmoid hidden layers as in MLlib, softmax output) over an
-    array column, in Arrow batches; the weights (small, fixed by the architecture) are
-    broadcast once. Returns keep... + score = P(class 1)."""
+              keep: tuple[str, ...] = (), hidden: str = "sigmoid") -> DataFrame:
+    """Forward pass of a perceptron over an array column, in Arrow batches; the weights (small,
+    fixed by the architecture) are broadcast once. Returns keep... + score = P(class 1).
+
+    ``hidden``: the activation of the hidden layers, "sigmoid" as MLlib fits them or "relu". The
+    output is a sigmoid for one output unit, else the softmax of two.
+    """
+    if hidden not in ("sigmoid", "relu"):
+        raise ValueError("hidden must be 'sigmoid' or 'relu'")
     spark = features.sparkSession
     bc = spark.sparkContext.broadcast(weights)
 
@@ -175,13 +292,14 @@ def ncf_score(features: DataFrame, weights: list[tuple[np.ndarray, np.ndarray]],
             for li, (W, b) in enumerate(ws):
                 z = h @ W + b
                 if li < len(ws) - 1:
+                    h = 1.0 / (1.0 + np.exp(-z)) if hidden == "sigmoid" else np.maximum(z, 0.0)
+                elif z.shape[1] == 1:
                     h = 1.0 / (1.0 + np.exp(-z))
                 else:
-                    z = z - z.max(axis=1, keepdims=True)
-                    e = np.exp(z)
+                    e = np.exp(z - z.max(axis=1, keepdims=True))
                     h = e / e.sum(axis=1, keepdims=True)
             out = pdf[list(keep)].copy()
-            out["score"] = h[:, 1]
+            out["score"] = h[:, -1]
             yield out
 
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in features.select(*keep).schema.fields]

@@ -25,11 +25,19 @@ KS_ALPHA = 0.05
 
 
 def record_predictions(scores: DataFrame, dest: str, batch_id: int | Column | None = None) -> str:
-    """Append scored rows to the prediction log with a timestamp (and batch id)."""
+    """Append scored rows to the prediction log with a timestamp, a sequence number and a batch id.
+
+    The log is partitioned by ``batch_id`` (0 where none is given), so that later reads of a few batches skip the
+    rest. ``seq`` orders rows of one timestamp: the rows of a write in partition order.
+    """
     out = scores.withColumn("ts", F.current_timestamp())
+    if "seq" not in scores.columns:
+        out = out.withColumn("seq", F.monotonically_increasing_id())
     if batch_id is not None:
         out = out.withColumn("batch_id", batch_id if isinstance(batch_id, Column) else F.lit(batch_id))
-    out.write.mode("append").parquet(dest)
+    elif "batch_id" not in scores.columns:
+        out = out.withColumn("batch_id", F.lit(0))
+    out.write.mode("append").partitionBy("batch_id").parquet(dest)
     return dest
 
 
@@ -107,10 +115,16 @@ def ks_two_sample(a: DataFrame, b: DataFrame, score_col: str = "score") -> DataF
     Scores are collapsed to (score, n_a, n_b) and the empirical CDFs come from distributed
     running counts, so neither sample is ever held by one task.
     """
-    pooled = (a.select(F.col(score_col).alias("score"), F.lit(1).alias("_a"), F.lit(0).alias("_b"))
-              .unionByName(b.select(F.col(score_col).alias("score"), F.lit(0).alias("_a"), F.lit(1).alias("_b")))
-              .where(F.col("score").isNotNull())
-              .groupBy("score").agg(F.sum("_a").alias("n_a"), F.sum("_b").alias("n_b")))
+    return ks_from_flags(a.select(F.col(score_col).alias("score"), F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        b.select(F.col(score_col).alias("score"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))))
+
+
+def ks_from_flags(rows: DataFrame) -> DataFrame:
+    """``ks_two_sample`` of rows (score, _a, _b) that say which samples they belong to."""
+    from orchard.session import cut_lineage
+    # the counts are read by the cut points, the windows and the totals: materialise them once
+    pooled = cut_lineage(rows.where(F.col("score").isNotNull())
+                         .groupBy("score").agg(F.sum("_a").alias("n_a"), F.sum("_b").alias("n_b")))
     run = running_sums(pooled, "score", ["n_a", "n_b"])
     na = pooled.select(F.sum("n_a")).scalar()
     nb = pooled.select(F.sum("n_b")).scalar()
@@ -123,12 +137,13 @@ def ks_two_sample(a: DataFrame, b: DataFrame, score_col: str = "score") -> DataF
 def data_shift(log: DataFrame, baseline: DataFrame, alpha: float = KS_ALPHA) -> DataFrame:
     """KS test of the current latest batch against the baseline's latest batch.
 
-    The two batch ids are single values read once and used as literals, so the KS plan scans
-    the log with plain filters instead of nesting the baseline plan inside its subqueries."""
+    The two batch ids are single values read once and used as literals, so the log is read with
+    one pushed-down filter for both batches."""
     base_batch = baseline.select("baseline_batch").first()[0]
     latest = log.agg(F.max("batch_id")).first()[0]
-    ks = ks_two_sample(log.where(F.col("batch_id") == F.lit(base_batch)),
-                       log.where(F.col("batch_id") == F.lit(latest)))
+    both = log.where(F.col("batch_id").isin([base_batch, latest]))
+    ks = ks_from_flags(both.select("score", (F.col("batch_id") == F.lit(base_batch)).cast("int").alias("_a"),
+                                   (F.col("batch_id") == F.lit(latest)).cast("int").alias("_b")))
     return ks.select(F.lit("data_shift").alias("shift_type"), (F.col("p_value") < alpha).alias("has_shift"),
                      "statistic", "p_value", F.lit(float(alpha)).alias("threshold"), "n_a", "n_b")
 

@@ -9,66 +9,42 @@ rows per group) are turned into offsets and joined back.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_range_bucket"
 
 
-def range_boundaries(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> list[float]:
-    """Up to ``n_buckets - 1`` increasing cut points of ``col`` (one aggregate, one row)."""
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("q")).first()
-    qs = row["q"] if row is not None and row["q"] is not None else []
-    cuts: list[float] = []
-    for q in qs:
-        if q is not None and (not cuts or q > cuts[-1]):
-            cuts.append(float(q))
-    return cuts
-
-
-MAX_INLINE_CUTS = 64
-
-
 def default_buckets(df: DataFrame) -> int:
-    """Value ranges per ordered scan: one per shuffle partition (8 .. 4096)."""
-    try:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):
-        n = 200
-    return max(8, min(4096, n))
+    """Value ranges per ordered scan: one per shuffle partition, 8 at least."""
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def with_range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``_range_bucket``: equal values always share a bucket, buckets follow ``col`` order.
 
-    Cut points are approximate quantiles, fixed once per query execution so that a recomputed
-    task lands rows in the same buckets. Up to 64 buckets they come from a scalar subquery
-    inside the same query and each row counts the cut points below it; beyond that the cut
-    points (one small row) are fetched once and MLlib's ``Bucketizer`` binary-searches them.
+    Cut points are approximate quantiles from a scalar subquery of the same query, fixed once
+    per execution so that a recomputed task lands rows in the same buckets. A row finds its
+    place in two steps - among every m-th cut point, then among the m that follow, with m
+    the square root of their number - so thousands of ranges cost a row few comparisons.
+    Nulls take the lowest bucket.
     """
     n_buckets = n_buckets or default_buckets(df)
     if n_buckets <= 1:
         return df.withColumn(BUCKET, F.lit(0))
-    accuracy = max(accuracy, 10 * n_buckets)
     x = F.col(col).cast("double")
-    if n_buckets > MAX_INLINE_CUTS:
-        from pyspark.ml.feature import Bucketizer
-        cuts = range_boundaries(df, col, n_buckets, accuracy)
-        if not cuts:
-            return df.withColumn(BUCKET, F.lit(0))
-        tmp = "_range_key"
-        b = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=tmp, outputCol=BUCKET,
-                       handleInvalid="keep")
-        # nulls sort first: give them the lowest bucket (Bucketizer does not take nulls)
-        out = b.transform(df.withColumn(tmp, F.coalesce(x, F.lit(float("-inf"))))).drop(tmp)
-        return out.withColumn(BUCKET, F.col(BUCKET).cast("int"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = df.select(F.array_distinct(F.percentile_approx(x, probs, accuracy)).alias("q")).scalar()
-    bucket = F.coalesce(F.size(F.filter(F.col("_range_cuts"), lambda b: b < x)), F.lit(0))
-    return df.withColumn("_range_cuts", cuts).withColumn(BUCKET, bucket).drop("_range_cuts")
+    step = math.isqrt(n_buckets - 1) + 1
+    q = F.array_distinct(F.percentile_approx(x, probs, max(accuracy, 10 * n_buckets)))
+    cuts = df.select(q.alias("q")).select(F.struct(
+        "q", F.filter("q", lambda _, i: i % step == 0).alias("coarse")).alias("cuts")).scalar()
+    k = F.size(F.filter("_range_cuts.coarse", lambda b: b < x))
+    fine = F.size(F.filter(F.slice("_range_cuts.q", (k - 1) * step + 1, F.lit(step)), lambda b: b < x))
+    bucket = F.when(k > 0, (k - 1) * step + fine).otherwise(0)
+    return (df.withColumn("_range_cuts", cuts).withColumn(BUCKET, F.coalesce(bucket, F.lit(0)))
+            .drop("_range_cuts"))
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: list[str],

@@ -55,49 +55,19 @@ def ranking_metrics(topk: DataFrame, truth: DataFrame, k: int = 10, variant: str
         F.coalesce(F.avg("rr"), F.lit(0.0)).alias(f"mrr{s}"))
 
 
-def hit_rate_at_k(topk, truth, k=10, per_user=False):
-    return ranking_metrics(topk, truth, k, per_user=per_user).select(f"hit_rate_{k}")
-
-
-def ndcg_at_k(topk, truth, k=10):
-    return ranking_metrics(topk, truth, k).select(f"ndcg_{k}")
-
-
-def precision_at_k(topk, truth, k=10, variant="model"):
-    return ranking_metrics(topk, truth, k, variant).select(f"precision_{k}")
-
-
-def recall_at_k(topk, truth, k=10, variant="model"):
-    return ranking_metrics(topk, truth, k, variant).select(f"recall_{k}")
-
-
-def mrr_at_k(topk, truth, k=10):
-    return ranking_metrics(topk, truth, k).select(f"mrr_{k}")
-
-
-def hash_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
+def hash_sample(df: DataFrame, n: int | None, key_cols: list[str], seed: int = 42) -> DataFrame:
     """A reproducible sample of n rows: the n smallest hash values of the key columns
-    (TakeOrdered: n rows per task, then merge). Ties broken by the keys."""
+    (TakeOrdered: n rows per task, then merge). Ties broken by the keys. None: all rows."""
+    if n is None:
+        return df
     h = hash_unit(*key_cols, seed=seed)
     return (df.withColumn("_h", h).orderBy(F.col("_h").asc(), *[F.col(c).asc() for c in key_cols])
             .limit(n).drop("_h"))
 
 
-def sampled_truth_users(truth: DataFrame, n_users: int, seed: int = 42) -> DataFrame:
-    """Truth rows of at most ``n_users`` users chosen by hash order (semi join)."""
+def sampled_truth_users(truth: DataFrame, n_users: int | None = None, seed: int = 42) -> DataFrame:
+    """Truth rows of ``n_users`` users chosen by hash order (semi join); of all users by default."""
+    if n_users is None:
+        return truth
     users = hash_sample(truth.select("user_idx").distinct(), n_users, ["user_idx"], seed)
     return truth.join(users, "user_idx", "left_semi")
-
-
-def capped_evaluation_pairs(samples: DataFrame, order_cols: list[str], sample_cap: int | None = 10000,
-                            positive_cap: int | None = 1000, label_col: str = "label") -> DataFrame:
-    """The evaluation caps: the first ``sample_cap`` samples in ``order_cols`` order, then the
-    first ``positive_cap`` positives among them (each a TakeOrdered of bounded size).
-    Returns (user_idx, item_idx) truth rows."""
-    s = samples
-    if sample_cap is not None:
-        s = s.orderBy(*order_cols).limit(sample_cap)
-    pos = s.where(F.col(label_col) == 1)
-    if positive_cap is not None:
-        pos = pos.orderBy(*order_cols).limit(positive_cap)
-    return pos.select("user_idx", "item_idx")

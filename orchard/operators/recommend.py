@@ -1,20 +1,16 @@
 """Scoring and recommendation: factor scoring, per-user top-K, popularity fallback for
 cold users, request routing and rejects, index decoding.
 
-Top-K over a whole catalog never materialises the user x item table. Scores are computed
-block-wise in Arrow batches (numpy matmul) and only the k best items per user and block
-leave a task:
-
-* ``broadcast`` - the item factor table is small enough (size checked against
-  ``max_broadcast_bytes``) to ship to every executor once; users stream through
-  ``mapInPandas``.
-* ``blocked`` - users and items are cut into hash blocks; each (user block, item block)
-  pair is one cogroup task producing local top-k; a per-user window keeps the final k.
+Top-K over a whole catalog never materialises the user x item table. Items are taken in
+blocks of bounded size, each broadcast for one pass over the users; a task scores its
+users against slices of the block and keeps a running top k, so only k rows per user and
+block leave it and its memory does not depend on the number of items. A per-user window
+keeps the final k. The same path serves every catalogue size.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,46 +19,49 @@ from pyspark.sql import functions as F
 
 from orchard.functions.expressions import mf_logit, sigmoid
 
-TOPK_SCHEMA = "user_idx long, item_idx long, logit double, rank long"
+BLOCK_SCHEMA = "user_idx long, item_idx long, logit double"
 
 
-def _local_top_k(user_ids: np.ndarray, P: np.ndarray, bu: np.ndarray, item_ids: np.ndarray, Q: np.ndarray,
-                 bi: np.ndarray, k: int, mu: float, seen=None) -> pd.DataFrame:
-    """Exact top-k per user row of S = mu + bu + bi + P Q^T; ties -> smaller item id.
+BLOCK_BYTES = 64 << 20  # item factors that one broadcast holds
+SLICE = 4096  # items scored at once
+ROWS = 1024  # users scored at once
 
-    ``item_ids`` must be ascending so that column order equals id order. Rows are handled as
-    one matrix (argpartition + lexsort along the rows); only rows with a tie at the k-th
-    score are resolved one by one.
+
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Top k of each row by (score desc, id asc); fewer columns than k stay as they are, sorted."""
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+
+
+def _block_top_k(P: np.ndarray, bu: np.ndarray, ids: np.ndarray, Q: np.ndarray, bi: np.ndarray, k: int, mu: float,
+                 seen: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, item ids) of the k best items of one block for each user row; missing ones are -inf.
+
+    ``ids`` ascend. ``seen``: user rows and item ids that never compete.
     """
-    if len(user_ids) == 0 or len(item_ids) == 0:
-        return pd.DataFrame({"user_idx": np.zeros(0, np.int64), "item_idx": np.zeros(0, np.int64),
-                             "logit": np.zeros(0), "rank": np.zeros(0, np.int64)})
-    S = P @ Q.T + bu[:, None] + bi[None, :] + mu
-    if seen is not None:  # already-seen items of each user never compete
-        for r, items_r in enumerate(seen):
-            if items_r is not None and len(items_r):
-                _, hit, _ = np.intersect1d(item_ids, np.asarray(items_r, dtype=np.int64), return_indices=True)
-                S[r, hit] = -np.inf
-    n_rows, n = S.shape
-    kk = min(k, n)
-    part = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
-    kth = np.take_along_axis(S, part, axis=1).min(axis=1)
-    n_at_or_above = (S >= kth[:, None]).sum(axis=1)
-    top = np.empty((n_rows, kk), dtype=np.int64)
-    clean = n_at_or_above == kk  # no tie across the k-th boundary: argpartition's set is exact
-    if clean.any():
-        cand = part[clean]
-        sc = np.take_along_axis(S[clean], cand, axis=1)
-        order = np.lexsort((cand, -sc), axis=1)
-        top[clean] = np.take_along_axis(cand, order, axis=1)
-    for r in np.nonzero(~clean)[0]:
-        cand = np.nonzero(S[r] >= kth[r])[0]
-        top[r] = cand[np.argsort(-S[r, cand], kind="stable")][:kk]
-    out = pd.DataFrame({"user_idx": np.repeat(user_ids.astype(np.int64), kk),
-                        "item_idx": item_ids[top].ravel().astype(np.int64),
-                        "logit": np.take_along_axis(S, top, axis=1).ravel(),
-                        "rank": np.tile(np.arange(1, kk + 1, dtype=np.int64), n_rows)})
-    return out[np.isfinite(out["logit"].to_numpy())] if seen is not None else out
+    n = len(P)
+    best, best_ids = np.full((n, 0), -np.inf), np.zeros((n, 0), np.int64)
+    if seen is not None:
+        rows, items = seen
+        at = np.searchsorted(ids, items)
+        hit = (at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == items)
+        rows, at = rows[hit], at[hit]
+    for a in range(0, len(ids), SLICE):
+        part = ids[a:a + SLICE]
+        S = P @ Q[a:a + SLICE].T + bu[:, None] + bi[None, a:a + SLICE] + mu
+        if seen is not None:
+            here = (at >= a) & (at < a + SLICE)
+            S[rows[here], at[here] - a] = -np.inf
+        if S.shape[1] > 4 * k:  # all that reach the k-th score, ties included, then in order
+            kth = -np.partition(-S, k - 1, axis=1)[:, k - 1:k]
+            keep = S >= kth
+            width = int(keep.sum(axis=1).max())
+            column = np.argsort(~keep, axis=1, kind="stable")[:, :width]
+            S, part = np.where(np.take_along_axis(keep, column, axis=1), np.take_along_axis(S, column, axis=1), -np.inf), part[column]
+        else:
+            part = np.broadcast_to(part, S.shape)
+        best, best_ids = _best(np.concatenate((best, S), axis=1), np.concatenate((best_ids, part), axis=1), k)
+    return best, best_ids
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -71,78 +70,60 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, global_bias: float = 0.0,
-                 strategy: str = "auto", max_broadcast_bytes: int = 256 << 20,
-                 block_size: int = 2048, exclude_seen: DataFrame | None = None) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, exclude_seen: DataFrame | None = None) -> DataFrame:
     """Top-k items per user under the biased dot-product (MF) score.
 
     users: (user_idx, factors, bias); items: (item_idx, factors, bias).
     Returns (user_idx, item_idx, logit, score, rank); ordering score desc, item asc.
     ``exclude_seen`` (user_idx, item_idx): those pairs are never recommended (default: the
-    reference behaviour, seen items stay eligible). Seen lists travel with the user rows,
-    cut per item block on the blocked path.
+    reference behaviour, seen items stay eligible). A user's seen items travel block by block,
+    so a list is never longer than a block of items.
+
+    Items are dealt by hash into blocks of about ``block_bytes``; a block passes through the
+    driver once. Users are read once per block, and are not shuffled.
     """
     spark = users.sparkSession
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factors")).alias("d")).first()
     n_items, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-    item_bytes = n_items * max(dim, 1) * 8
-    if strategy == "auto":
-        strategy = "broadcast" if item_bytes <= max_broadcast_bytes else "blocked"
+    n_blocks = max(1, -(-n_items * (max(dim, 1) + 2) * 8 // block_bytes))
     mu = float(global_bias)
+    has_seen = exclude_seen is not None
+    block_of = F.pmod(F.xxhash64("item_idx"), F.lit(n_blocks))
 
-    if strategy == "broadcast":
-        if item_bytes > max_broadcast_bytes:
-            raise ValueError("item factors exceed the broadcast bound; use strategy='blocked'")
-        # size-checked above: at most max_broadcast_bytes of factors pass through the driver
-        ip = items.select("item_idx", "factors", "bias").orderBy("item_idx").toPandas()
-        payload = (ip["item_idx"].to_numpy(np.int64), _matrix(ip["factors"]) if len(ip) else np.zeros((0, dim)),
-                   ip["bias"].to_numpy(np.float64))
-        bc = spark.sparkContext.broadcast(payload)
-
-        u = users.select("user_idx", "factors", "bias")
-        if exclude_seen is not None:
-            seen = exclude_seen.groupBy("user_idx").agg(F.collect_set("item_idx").alias("_seen"))
-            u = u.join(seen, "user_idx", "left")
-        has_seen = exclude_seen is not None
-
+    def scorer(shared):
         def score_batches(it):
-            ids, Q, bi = bc.value
+            ids, Q, bi = shared.value
             for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                yield _local_top_k(pdf["user_idx"].to_numpy(np.int64), _matrix(pdf["factors"]),
-                                   pdf["bias"].to_numpy(np.float64), ids, Q, bi, k, mu,
-                                   pdf["_seen"].tolist() if has_seen else None)
-
-        out = u.mapInPandas(score_batches, TOPK_SCHEMA)
-    elif strategy == "blocked":
-        n_users = users.count()
-        n_ub = max(1, math.ceil(n_users / block_size))
-        n_ib = max(1, math.ceil(n_items / block_size))
-        u = users.select("user_idx", "factors", "bias",
-                         F.pmod(F.xxhash64("user_idx"), F.lit(n_ub)).alias("ub"),
-                         F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1))).alias("ib"))
-        i = items.select("item_idx", "factors", "bias",
-                         F.pmod(F.xxhash64("item_idx"), F.lit(n_ib)).alias("ib"),
-                         F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1))).alias("ub"))
-        has_seen = exclude_seen is not None
+                for a in range(0, len(pdf), ROWS):
+                    part = pdf.iloc[a:a + ROWS]
+                    seen = None
+                    if has_seen:
+                        lists = [np.zeros(0, np.int64) if x is None else np.asarray(x, np.int64) for x in part["_seen"]]
+                        seen = np.repeat(np.arange(len(part)), [len(x) for x in lists]), np.concatenate(lists)
+                    best, best_ids = _block_top_k(_matrix(part["factors"]), part["bias"].to_numpy(np.float64), ids, Q, bi,
+                                                  k, mu, seen)
+                    real = np.isfinite(best)
+                    row, _ = np.nonzero(real)
+                    yield pd.DataFrame({"user_idx": part["user_idx"].to_numpy(np.int64)[row],
+                                        "item_idx": best_ids[real], "logit": best[real]})
+
+        return score_batches
+
+    parts = []
+    for b in range(n_blocks):
+        ip = items.where(block_of == b).select("item_idx", "factors", "bias").toPandas().sort_values("item_idx")
+        if not len(ip):
+            continue
+        shared = spark.sparkContext.broadcast(
+            (ip["item_idx"].to_numpy(np.int64), _matrix(ip["factors"]), ip["bias"].to_numpy(np.float64)))
+        u = users.select("user_idx", "factors", "bias")
         if has_seen:
-            seen = (exclude_seen.withColumn("ib", F.pmod(F.xxhash64("item_idx"), F.lit(n_ib)))
-                    .groupBy("user_idx", "ib").agg(F.collect_set("item_idx").alias("_seen")))
-            u = u.join(seen, ["user_idx", "ib"], "left")
-
-        def block(updf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
-            ipdf = ipdf.sort_values("item_idx")
-            return _local_top_k(updf["user_idx"].to_numpy(np.int64), _matrix(updf["factors"]) if len(updf) else None,
-                                updf["bias"].to_numpy(np.float64), ipdf["item_idx"].to_numpy(np.int64),
-                                _matrix(ipdf["factors"]) if len(ipdf) else None, ipdf["bias"].to_numpy(np.float64),
-                                k, mu, updf["_seen"].tolist() if has_seen and len(updf) else None)
-
-        local = u.groupBy("ub", "ib").cogroup(i.groupBy("ub", "ib")).applyInPandas(block, TOPK_SCHEMA)
-        w = Window.partitionBy("user_idx").orderBy(F.col("logit").desc(), F.col("item_idx").asc())
-        out = (local.withColumn("rank", F.row_number().over(w).cast("long"))
-               .where(F.col("rank") <= k))
-    else:
-        raise ValueError(f"unknown strategy {strategy}")
+            own = exclude_seen.where(block_of == b).groupBy("user_idx").agg(F.collect_set("item_idx").alias("_seen"))
+            u = u.join(own, "user_idx", "left")
+        parts.append(u.mapInPandas(scorer(shared), BLOCK_SCHEMA))
+    local = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], BLOCK_SCHEMA)
+    w = Window.partitionBy("user_idx").orderBy(F.col("logit").desc(), F.col("item_idx").asc())
+    out = local.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
     return out.select("user_idx", "item_idx", "logit", sigmoid("logit").alias("score"), "rank")
 
 
@@ -221,23 +202,33 @@ def popular_top_k_array(popularity: DataFrame, k: int, item_col: str = "itemid",
                                                         F.col(score_col).alias("score")))).alias("top"))
 
 
-def recommend(request_users: DataFrame, users: DataFrame, items: DataFrame, popularity: DataFrame, k: int,
+def invalid_k(requests: DataFrame, k_col: str = "k") -> DataFrame:
+    """Requests whose k is given but not positive (reason column)."""
+    return requests.where(F.col(k_col) < 1).withColumn("reason", F.lit("k must be a positive integer"))
+
+
+def recommend(requests: DataFrame, users: DataFrame, items: DataFrame, popularity: DataFrame, k: int,
               global_bias: float = 0.0, **top_k_kwargs) -> DataFrame:
     """Top-k per requested user: factor model for known users, global popularity for cold ones.
 
-    request_users: (user_id). Returns (user_id, item_id, score, rank, cold_start).
+    requests: (user_id) or (user_id, k): each request gets as many rows as its own k says,
+    ``k`` where it is null or there is no such column. Requests with a k below 1 get none (see
+    ``invalid_k``). A user with several requests gets the largest of them, once.
+    Returns (user_id, item_id, score, rank, cold_start).
     """
-    ids = request_users.select("user_id").distinct()
+    own = F.coalesce(F.col("k").cast("long"), F.lit(k)) if "k" in requests.columns else F.lit(k).cast("long")
+    ids = requests.select("user_id", own.alias("k")).where("k >= 1").groupBy("user_id").agg(F.max("k").alias("k"))
+    most = int(ids.agg(F.max("k")).first()[0] or 0)
     known = users.join(ids.select(F.col("user_id").alias("user_idx")), "user_idx", "left_semi")
-    warm = top_k_scores(known, items, k, global_bias, **top_k_kwargs).select(
+    warm = top_k_scores(known, items, max(most, 1), global_bias, **top_k_kwargs).select(
         F.col("user_idx").alias("user_id"), F.col("item_idx").alias("item_id"), "score", "rank",
         F.lit(False).alias("cold_start"))
     cold_ids = ids.join(users.select(F.col("user_idx").alias("user_id")), "user_id", "left_anti")
-    top = popular_top_k_array(popularity, k).scalar()  # one row of k structs
+    top = popular_top_k_array(popularity, max(most, 1)).scalar()  # one row of that many structs
     cold = cold_ids.select("user_id", F.explode(top).alias("t")).select(
         "user_id", F.col("t.item").alias("item_id"), F.col("t.score").alias("score"), F.col("t.rank").alias("rank"),
         F.lit(True).alias("cold_start"))
-    return warm.unionByName(cold)
+    return warm.unionByName(cold).join(ids, "user_id").where("rank <= k").drop("k")
 
 
 def decode_index(df: DataFrame, index: DataFrame, idx_col: str, id_col: str) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orchard.operators import experiments as X
+from orchard.plans.catalog_features import negatives_sql
 from orchard.plans.common import rank_metrics_sql, round_doubles
 from orchard.plans.registry import register
 from orchard.sources import fixtures as fx
@@ -27,7 +28,7 @@ def _strategy_ctes(s: str) -> str:
   FROM (SELECT DISTINCT visitorid FROM {p}b)),
 {p}ii AS (SELECT itemid, CAST(row_number() OVER (ORDER BY itemid) - 1 AS BIGINT) AS item_idx
   FROM (SELECT DISTINCT itemid FROM {p}b)),
-{p}x AS (SELECT u.user_idx, i.item_idx,
+{p}x AS (SELECT event_id, u.user_idx, i.item_idx,
   CASE WHEN ((u.user_idx * 7919 + i.item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
   THEN 'train' ELSE 'validation' END AS split FROM {p}b JOIN {p}ui u USING (visitorid) JOIN {p}ii i USING (itemid)),
 {p}pc AS (SELECT item_idx, CAST(count(*) AS DOUBLE) AS s FROM {p}x WHERE split = 'train' GROUP BY item_idx),
@@ -35,10 +36,20 @@ def _strategy_ctes(s: str) -> str:
   AS popularity FROM {p}pc),
 {p}top AS (SELECT item_idx, row_number() OVER (ORDER BY popularity DESC, item_idx) AS rank FROM {p}pop
   ORDER BY popularity DESC, item_idx LIMIT {K}),
-{p}val AS (SELECT user_idx, item_idx FROM {p}x WHERE split = 'validation'),
+{p}val AS (SELECT event_id, user_idx, item_idx FROM {p}x WHERE split = 'validation'),
+{negatives_sql(p, f"{p}val", f"{p}x", f"{p}ii", X.N_NEGATIVES)},
+{p}sc AS (SELECT coalesce(popularity, 0e0) AS score, y FROM (SELECT item_idx, 1 AS y FROM {p}val
+  UNION ALL SELECT item_idx, 0 FROM {p}neg) LEFT JOIN {p}pop USING (item_idx)),
+{p}g AS (SELECT score, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM {p}sc GROUP BY score),
+{p}ca AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS nc,
+  sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS pcd,
+  sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS ncd FROM {p}g),
+{p}au AS (SELECT sum(pos * (nc - neg + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc,
+  sum(pos * pcd / (pcd + ncd)) / sum(pos) AS average_precision FROM {p}ca),
 {p}tk AS (SELECT v.user_idx, t.item_idx, t.rank FROM (SELECT DISTINCT user_idx FROM {p}val) v, {p}top t),
 {rank_metrics_sql(p, f"{p}val", f"{p}tk", K, "baseline", suffix=False)},
-{p}long AS (UNPIVOT {p}rm ON hit_rate, ndcg, precision, recall, mrr INTO NAME metric VALUE value)"""
+{p}wide AS (SELECT * FROM {p}rm, {p}au),
+{p}long AS (UNPIVOT {p}wide ON hit_rate, ndcg, precision, recall, mrr, roc_auc, average_precision INTO NAME metric VALUE value)"""
 
 
 _RUN_METRICS = ",\n".join(_strategy_ctes(s) for s in STRATEGIES) + ",\nrm_all AS (" + "\nUNION ALL\n".join(

@@ -149,9 +149,10 @@ def q_scale(spark, sf_dir):
 
 def loader_features(spark, sf_dir):
     """split -> label encode (train domains) -> mean impute (train) -> scale all features (train)."""
-    sp = _split(spark, sf_dir).withColumnRenamed("churn_value", "label")
+    # both the split and the encoded rows are read by several fits: materialised once
+    sp = cut_lineage(_split(spark, sf_dir).withColumnRenamed("churn_value", "label").select(
+        "customerid", "split", "label", *FEATS))
     dom = H.fit_label_domains(sp.where("split = 'train'"), CAT)
-    # materialised once: the fits below are separate passes over it
     enc = cut_lineage(H.label_encode(sp, dom, CAT).select("customerid", "split", "label", *FEATS))
     enc = H.impute(enc, H.fit_means(enc.where("split = 'train'"), FEATS))
     return H.standard_scale(enc, H.fit_scaler(enc.where("split = 'train'"), FEATS))
@@ -273,13 +274,55 @@ def q_valid_category(spark, sf_dir):
     return rejects
 
 
-@register("negative_sampling")
+_SX = """sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
+  THEN 'train' ELSE 'validation' END AS split FROM bx)"""
+
+
+def negatives_sql(p: str, rows: str, known: str, items: str, n_neg: int = 4, seed: int = 42) -> str:
+    """CTEs ending in {p}neg (the columns of ``rows``, item_idx drawn): the twin of negative_sampling."""
+    return f"""{p}own AS (SELECT DISTINCT user_idx, item_idx FROM {known}),
+{p}cnt AS (SELECT user_idx, (SELECT count(*) FROM {items}) - count(*) AS free FROM {p}own GROUP BY user_idx),
+{p}un AS (SELECT c.user_idx, i.item_idx, row_number() OVER (PARTITION BY c.user_idx ORDER BY i.item_idx) - 1 AS r
+  FROM {p}cnt c, {items} i
+  WHERE NOT EXISTS (SELECT 1 FROM {p}own o WHERE o.user_idx = c.user_idx AND o.item_idx = i.item_idx)),
+{p}dr AS (SELECT s.* EXCLUDE (item_idx), {H.draw_hash_sql("s.event_id", "d.j", seed)} % c.free AS r
+  FROM {rows} s JOIN {p}cnt c USING (user_idx), (SELECT unnest(range(0, {n_neg})) AS j) d WHERE c.free > 0),
+{p}neg AS (SELECT {p}dr.* EXCLUDE (r), {p}un.item_idx FROM {p}dr JOIN {p}un ON {p}dr.user_idx = {p}un.user_idx AND {p}dr.r = {p}un.r)"""
+
+
+@register("negative_sampling", fx.with_views(f"""WITH {_BIN_IDX}, {negatives_sql("", "bx", "bx", "ii")}
+SELECT user_idx, item_idx, 1e0 AS label FROM bx UNION ALL SELECT user_idx, item_idx, 0e0 FROM neg""", "interactions_raw"))
 def q_negative_sampling(spark, sf_dir):
-    """4 unseen items per positive row of the binary interactions (rows-only check:
-    count = positives x 5, no negative is a positive of its user)."""
+    """4 unowned items per positive row of the binary interactions."""
     inter, _, items = _binary_indexed(spark, sf_dir)
-    n_items = items.select(F.count(F.lit(1))).scalar()
-    return H.negative_sampling(inter.select("user_idx", "item_idx", "event_id"), n_items, 4, row_col="event_id")
+    return H.negative_sampling(inter.select("user_idx", "item_idx", "event_id"), items.count(), 4, row_col="event_id")
+
+
+@register("negative_sampling_split", fx.with_views(f"""WITH {_BIN_IDX}, {_SX},
+v AS (SELECT * FROM sx WHERE split = 'validation')
+SELECT CAST(count(*) AS BIGINT) AS n_positives, CAST(4 * count(*) AS BIGINT) AS n_negatives, CAST(0 AS BIGINT) AS n_owned
+FROM v""", "interactions_raw"))
+def q_negative_sampling_split(spark, sf_dir):
+    """Validation samples drawn against the positives of both splits: rows by label, and negatives that
+    some interaction owns (none)."""
+    inter, _, items = _binary_indexed(spark, sf_dir)
+    sx = cut_lineage(H.sample_split(inter, ["user_idx", "item_idx"], 0.8).select("user_idx", "item_idx", "event_id", "split"))
+    out = H.negative_sampling(sx.where("split = 'validation'"), items.count(), 4, known=sx, row_col="event_id")
+    owned = sx.select("user_idx", "item_idx").distinct().withColumn("_owned", F.lit(1))
+    return out.join(owned, ["user_idx", "item_idx"], "left").agg(
+        F.count_if(F.col("label") == 1).alias("n_positives"), F.count_if(F.col("label") == 0).alias("n_negatives"),
+        F.count_if((F.col("label") == 0) & F.col("_owned").isNotNull()).alias("n_owned"))
+
+
+@register("smote_invariants", _sql("""
+SELECT label, max(count(*)) OVER () AS n_rows, CAST(0 AS BIGINT) AS n_missing FROM (
+  SELECT churn_value AS label FROM sp WHERE split = 'train') GROUP BY label"""))
+def q_smote_invariants(spark, sf_dir):
+    """Rows per class after SMOTE: as many in each as in the larger one before; none with a missing feature."""
+    lp = loader_features(spark, sf_dir).where("split = 'train'")
+    missing = F.array_contains(F.array(*[F.col(c).isNull() | F.isnan(c) for c in FEATS]), True)
+    return H.smote(lp, FEATS, "label", k=5).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(missing).alias("n_missing"))
 
 
 @register("smote")
@@ -292,14 +335,13 @@ def q_smote(spark, sf_dir):
 @register("positive_eval_pairs", fx.with_views(f"""WITH {_BIN_IDX},
 sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
   THEN 'train' ELSE 'validation' END AS split FROM bx)
-SELECT event_id, user_idx, item_idx FROM sx WHERE split = 'validation' ORDER BY event_id LIMIT 1000""",
-                                               "interactions_raw"))
+SELECT event_id, user_idx, item_idx FROM sx WHERE split = 'validation'""", "interactions_raw"))
 def q_positive_eval_pairs(spark, sf_dir):
-    """The first 1,000 validation positives in event order (the evaluation cap)."""
+    """All validation positives."""
     inter, _, _ = _binary_indexed(spark, sf_dir)
     sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8).where("split = 'validation'")
     pos = sx.select("event_id", "user_idx", "item_idx", F.lit(1).alias("label"))
-    return C.positive_eval_pairs(pos, 1000, ["event_id"]).drop("label")
+    return C.positive_eval_pairs(pos).drop("label")
 
 
 @register("head_sample", _sql("SELECT * EXCLUDE (cid) FROM cs ORDER BY cid LIMIT 5"))
@@ -308,42 +350,67 @@ def q_head_sample(spark, sf_dir):
     return _cust_ids(spark, sf_dir).orderBy("cid").limit(5).drop("cid")
 
 
-@register("export_samples", fx.with_views(f"""WITH {_BIN_IDX},
-sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
-  THEN 'train' ELSE 'validation' END AS split FROM bx)
-SELECT ui.visitorid AS user_id, ii.itemid AS item_id, 1e0 AS label, sx.split
-FROM sx JOIN ui USING (user_idx) JOIN ii USING (item_idx)""", "interactions_raw"))
+@register("export_samples", fx.with_views(f"""WITH {_BIN_IDX}, {_SX}, {negatives_sql("", "sx", "sx", "ii")},
+ls AS (SELECT user_idx, item_idx, split, 1e0 AS label FROM sx UNION ALL SELECT user_idx, item_idx, split, 0e0 FROM neg)
+SELECT ui.visitorid AS user_id, ii.itemid AS item_id, ls.label, ls.split
+FROM ls JOIN ui USING (user_idx) JOIN ii USING (item_idx)""", "interactions_raw"))
 def q_export_samples(spark, sf_dir):
-    """Positive training / validation samples with external ids, as written by export_samples."""
+    """Training / validation samples of both labels with external ids, as written by export_samples.
+
+    Negatives are drawn against all positives and belong to the split of their positive."""
     from orchard.sources.io import samples_for_export
     inter, users, items = _binary_indexed(spark, sf_dir)
-    sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8).select(
-        "user_idx", "item_idx", F.lit(1.0).alias("label"), "split")
-    return samples_for_export(sx, users, items).select("user_id", "item_id", "label", "split")
+    sx = cut_lineage(H.sample_split(inter, ["user_idx", "item_idx"], 0.8).select("user_idx", "item_idx", "event_id", "split"))
+    n = items.count()
+    parts = [H.negative_sampling(sx.where(F.col("split") == s), n, 4, known=sx, row_col="event_id")
+             .withColumn("split", F.lit(s)) for s in ("train", "validation")]
+    return samples_for_export(parts[0].unionByName(parts[1]), users, items).select("user_id", "item_id", "label", "split")
 
 
-@register("ranking_metrics_capped", fx.with_views(f"""WITH {_BIN_IDX},
-sx AS (SELECT *, CASE WHEN ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0 < 0.8
-  THEN 'train' ELSE 'validation' END AS split FROM bx),
+@register("popularity_ranking_metrics", fx.with_views(f"""WITH {_BIN_IDX}, {_SX},
 pc AS (SELECT item_idx, CAST(count(*) AS DOUBLE) AS s FROM sx WHERE split = 'train' GROUP BY item_idx),
 top AS (SELECT item_idx, row_number() OVER (ORDER BY s DESC, item_idx) AS rank FROM pc ORDER BY s DESC, item_idx LIMIT 10),
-samp AS (SELECT * FROM sx WHERE split = 'validation' ORDER BY event_id LIMIT 10000),
-capped AS (SELECT user_idx, item_idx FROM samp ORDER BY event_id LIMIT 1000),
-ctk AS (SELECT u.user_idx, t.item_idx, t.rank FROM (SELECT DISTINCT user_idx FROM capped) u, top t),
-{rank_metrics_sql("c_", "capped", "ctk", 10, "model")}
+val AS (SELECT user_idx, item_idx FROM sx WHERE split = 'validation'),
+ctk AS (SELECT u.user_idx, t.item_idx, t.rank FROM (SELECT DISTINCT user_idx FROM val) u, top t),
+{rank_metrics_sql("c_", "val", "ctk", 10, "model")}
 SELECT {", ".join(f"round({m}_10, 6) AS {m}_10" for m in ("hit_rate", "ndcg", "precision", "recall", "mrr"))}
 FROM c_rm""", "interactions_raw"))
-def q_ranking_capped(spark, sf_dir):
-    """Ranking metrics at 10 of the popularity recommender under the evaluation caps:
-    first 10,000 validation samples (event order), then their first 1,000 positives."""
+def q_popularity_ranking(spark, sf_dir):
+    """Ranking metrics at 10 of the popularity recommender over every validation row."""
     from orchard.operators import ranking as N
     from orchard.operators.recommend import popular_top_k_array
     inter, _, _ = _binary_indexed(spark, sf_dir)
-    sx = H.sample_split(inter, ["user_idx", "item_idx"], 0.8)
+    sx = cut_lineage(H.sample_split(inter, ["user_idx", "item_idx"], 0.8).select("user_idx", "item_idx", "split"))
     pop = I.popular_items(sx.where("split = 'train'"), item_col="item_idx", weight_col=None)
-    val = sx.where("split = 'validation'").withColumn("label", F.lit(1))
-    truth = N.capped_evaluation_pairs(val, ["event_id"], 10000, 1000)
+    truth = sx.where("split = 'validation'").select("user_idx", "item_idx")
     top = popular_top_k_array(pop, 10, item_col="item_idx").scalar()
     topk = truth.select("user_idx").distinct().select("user_idx", F.explode(top).alias("t")).select(
         "user_idx", F.col("t.item").alias("item_idx"), F.col("t.rank").alias("rank"))
     return round_doubles(N.ranking_metrics(topk, truth, 10))
+
+
+_CHURN_STATS = "cst AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1e0 ELSE stddev_pop({c}) END AS s_{c}"
+    for c in NUM) + " FROM cfill WHERE split = 'train')"
+
+
+def _churn_matrix_sql():
+    mode = {c: f"(SELECT {c} FROM sp WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+            for c in CAT}
+    fill = ", ".join([f"coalesce({c}, {mode[c]}) AS {c}" for c in CAT]
+                     + [f"coalesce({c}, (SELECT avg({c}) FROM sp WHERE split = 'train')) AS {c}" for c in NUM])
+    hot = [f"CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS \"{c}_{v}\"" for c, cats in _ONEHOT_CATS.items()
+           for v in (cats[1:] if len(cats) == 2 else cats)]
+    return _sql(f"""WITH cfill AS (SELECT customerid, split, {fill} FROM sp), {_CHURN_STATS}
+SELECT customerid, split, {', '.join(hot)}, {', '.join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in NUM)}
+FROM cfill, cst""")
+
+
+@register("churn_matrix", _churn_matrix_sql())
+def q_churn_matrix(spark, sf_dir):
+    """The churn pipeline's feature matrix, all of it fitted on the training rows: mode and mean
+    imputing, one-hot with one column per binary, scaled numerics."""
+    from orchard.operators.models import fit_churn_preprocessor
+    sp = cut_lineage(_split(spark, sf_dir).select("customerid", "split", *FEATS))
+    model = fit_churn_preprocessor(sp.where("split = 'train'"), CAT, NUM)
+    return round_doubles(model.matrix(sp).select("customerid", "split", *model.columns))

@@ -6,7 +6,7 @@ from orchard.operators import interactions as I
 from orchard.plans.registry import register
 from orchard.sources import fixtures as fx
 
-MIN_N = 60  # minimum interactions at sf0.01 / sf0.1 (FIXTURES.md)
+MIN_N = 5  # minimum interactions of a user and of an item, the default of the training configuration
 
 _W_CASE = ("CASE event WHEN 'view' THEN 1e0 WHEN 'addtocart' THEN 2e0 "
            "WHEN 'transaction' THEN 3e0 ELSE 0e0 END")

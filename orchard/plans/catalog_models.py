@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from orchard.functions.expressions import mf_logit, sigmoid
 from orchard.operators import classification as M
 from orchard.operators import experiments as X
 from orchard.operators import features as H
@@ -15,7 +17,7 @@ from orchard.operators import interactions as I
 from orchard.operators import models as ML
 from orchard.operators import ranking as N
 from orchard.operators import recommend as R
-from orchard.plans.catalog_features import CAT, FEATS, NUM, _split, loader_features
+from orchard.plans.catalog_features import _BIN_IDX, _SX, CAT, FEATS, NUM, _split, loader_features
 from orchard.plans.common import round_doubles
 from orchard.plans.registry import register
 from orchard.session import cut_lineage
@@ -68,31 +70,63 @@ def q_gbt(spark, sf_dir):
 
 @register("mlp")
 def q_mlp(spark, sf_dir):
+    """128-64-32 perceptron with the positive class repeated to its weight, stopped early."""
     tr, te = _xy(spark, sf_dir)
-    return _eval(ML.train_mlp(tr, len(FEATS)), te, "mlp")
+    return _eval(ML.train_mlp_early_stop(tr, len(FEATS), "customerid"), te, "mlp")
+
+
+N_ITER = 10  # cells that a random search tries
+
+
+def _random_search(estimator, grid, train, n_iter=N_ITER, folds=3, seed=42):
+    """``n_iter`` cells of the grid, chosen by a seeded shuffle, by mean accuracy over the folds."""
+    import random
+    cells = random.Random(seed).sample(grid, min(n_iter, len(grid)))
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=cells, numFolds=folds, seed=seed, parallelism=4,
+                        evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"))
+    return cv.fit(train).bestModel
+
+
+def _search_rf(tr):
+    """Trees 100 / 200 / 300, depth unlimited (30, MLlib's limit) / 10 / 20, leaf size 1 / 2 / 4, bootstrap or not.
+
+    MLlib has no minimum split size; a split of at least s rows needs leaves, so the grid's split sizes
+    2 / 5 / 10 are covered by the leaf sizes alone."""
+    from pyspark.ml.classification import RandomForestClassifier
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=42)
+    grid = (ParamGridBuilder().addGrid(rf.numTrees, [100, 200, 300]).addGrid(rf.maxDepth, [30, 10, 20])
+            .addGrid(rf.minInstancesPerNode, [1, 2, 4]).addGrid(rf.bootstrap, [True, False]).build())
+    return _random_search(rf, grid, tr)
+
+
+def _search_gbt(tr, n_iter=N_ITER):
+    """Rounds 100 / 200 / 300, depth 3 / 5 / 7, rate 0.01 / 0.1 / 0.2, row share 0.8 / 1, column share 0.8 / 1."""
+    from pyspark.ml.classification import GBTClassifier
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42)
+    grid = (ParamGridBuilder().addGrid(gbt.maxIter, [100, 200, 300]).addGrid(gbt.maxDepth, [3, 5, 7])
+            .addGrid(gbt.stepSize, [0.01, 0.1, 0.2]).addGrid(gbt.subsamplingRate, [0.8, 1.0])
+            .addGrid(gbt.featureSubsetStrategy, ["0.8", "all"]).build())
+    return _random_search(gbt, grid, tr, n_iter)
 
 
 @register("random_search_rf")
 def q_random_search(spark, sf_dir):
-    """3-fold CV over a sampled random-forest grid (accuracy-equivalent AUC selection)."""
-    from pyspark.ml.classification import RandomForestClassifier
+    """3-fold random search over the random-forest grid by accuracy; test-split predictions of the best."""
     tr, te = _xy(spark, sf_dir)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=42)
-    full = ParamGridBuilder().addGrid(rf.numTrees, [50, 100, 200]).addGrid(rf.maxDepth, [5, 10, 20]).build()
-    grid = [full[i] for i in sorted({(i * 7 + 3) % len(full) for i in range(4)})]  # seeded sample of 4 cells
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, numFolds=3, seed=42, parallelism=4,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label"))
-    return _eval(cv.fit(tr).bestModel, te, "random_search_rf")
+    return _eval(_search_rf(tr), te, "random_search_rf")
 
 
 @register("controlled_experiment")
 def q_controlled(spark, sf_dir):
     """All churn models on one split and one scaling; leaderboard by AUC."""
     tr, te = _xy(spark, sf_dir)
+    sm = ML.assemble(H.smote(tr.select(*FEATS, "label"), FEATS, "label"), FEATS)
     preds = [_eval(ML.train_logreg(tr), te, "logreg"),
              _eval(ML.train_logreg(H.balanced_weights(tr), weight_col="weight"), te, "logreg_balanced"),
+             _eval(ML.train_logreg(sm), te, "logreg_smote"),
              _eval(ML.train_random_forest(tr, num_trees=100), te, "random_forest"),
-             _eval(ML.train_mlp(tr, len(FEATS)), te, "mlp"),
+             _eval(ML.train_gbt(tr), te, "gbt"),
+             _eval(ML.train_mlp_early_stop(tr, len(FEATS), "customerid"), te, "mlp"),
              H.majority_baseline(tr, te).select("customerid", F.col("label").alias("y_true"), "y_pred", "y_proba")
              .withColumn("model", F.lit("majority"))]
     allp = cut_lineage(reduce(lambda a, b: a.unionByName(b), preds))
@@ -106,15 +140,14 @@ def q_top_coef(spark, sf_dir):
 
 
 def _churn_model(spark, sf_dir):
-    sp = _split(spark, sf_dir).withColumnRenamed("churn_value", "label")
-    sp = cut_lineage(H.balanced_weights(sp))
-    model = ML.churn_estimator(CAT, NUM).fit(sp.where("split = 'train'"))
-    return model, sp
+    sp = cut_lineage(_split(spark, sf_dir).withColumnRenamed("churn_value", "label").select(
+        "customerid", "split", "label", *FEATS))
+    return ML.train_churn(sp.where("split = 'train'"), CAT, NUM), sp
 
 
 @register("churn_model_fit")
 def q_churn_model_fit(spark, sf_dir):
-    """Impute / one-hot / scale + class-weighted LR as one Pipeline; test metrics (one row)."""
+    """Impute / one-hot / scale + class-weighted LR fitted on the training rows; test metrics (one row)."""
     model, sp = _churn_model(spark, sf_dir)
     p = cut_lineage(ML.predictions(model, sp.where("split = 'test'")).withColumn("model", F.lit("churn_model")))
     return round_doubles(M.model_summary(p, ["model"]))
@@ -134,57 +167,107 @@ def _indexed(spark, sf_dir, strategy="weighted"):
     return sx, cut_lineage(users), cut_lineage(items)
 
 
+def _samples(sx, items):
+    """Labelled samples of both splits; negatives are drawn against the positives of both."""
+    n = items.count()
+    pos = sx.select("user_idx", "item_idx", "event_id", "split")
+    return {s: cut_lineage(H.negative_sampling(pos.where(F.col("split") == s), n, 4, known=pos, row_col="event_id"))
+            for s in ("train", "validation")}
+
+
+RANK = 64  # factors
+HIDDEN = (128, 64, 32)
+
+
+def _factors(sx, rank=RANK):
+    """User and item factors fitted on the training split, written once."""
+    tr = sx.where("split = 'train'")
+    if "weight" not in tr.columns:
+        tr = tr.withColumn("weight", F.lit(1.0))
+    u, i = ML.als_factor_tables(ML.train_als(tr, rank=rank))
+    return cut_lineage(u), cut_lineage(i)
+
+
+def _fit_recommender(kind, factors, samples, rank=RANK):
+    """Fits one model kind on fitted factors and the training samples; returns (users, items, mu, score)
+    with ``score`` a function from samples to (y_true, y_proba) that keeps every sample."""
+    u, i = factors
+    if kind == "matrix_factorization":
+        mu, u, i = ML.als_biases(samples["train"], u, i)
+
+        def score(rows):
+            # users and items without factors have no bias either: mu alone
+            zero = F.array_repeat(F.lit(0.0), rank)
+            p = u.select("user_idx", F.col("factors").alias("_p"), F.col("bias").alias("_bu"))
+            q = i.select("item_idx", F.col("factors").alias("_q"), F.col("bias").alias("_bi"))
+            j = rows.join(p, "user_idx", "left").join(q, "item_idx", "left")
+            logit = mf_logit(F.coalesce("_p", zero), F.coalesce("_q", zero), F.coalesce("_bu", F.lit(0.0)),
+                             F.coalesce("_bi", F.lit(0.0)), mu)
+            return j.select(F.col("label").cast("int").alias("y_true"), sigmoid(logit).alias("y_proba"))
+
+        return u, i, mu, score
+    features = ML.pair_features(samples["train"], u, i, kind, rank)
+    fit = ML.train_logreg(cut_lineage(features)) if kind == "gmf" else ML.train_mlp(cut_lineage(features), 2 * rank, hidden=HIDDEN)
+    return u, i, 0.0, lambda rows: ML.predictions(fit, ML.pair_features(rows, u, i, kind, rank)).select("y_true", "y_proba")
+
+
 @register("mf_train")
 def q_mf(spark, sf_dir):
-    """Implicit ALS on training interactions; top-10 ranking metrics on validation pairs."""
-    sx, _, _ = _indexed(spark, sf_dir)
-    model = ML.train_als(sx.where("split = 'train'"))
-    u, i = ML.als_factor_tables(model)
+    """Implicit ALS with fitted biases; top-10 ranking metrics on all validation pairs."""
+    sx, _, items = _indexed(spark, sf_dir)
+    u, i, mu, _ = _fit_recommender("matrix_factorization", _factors(sx), _samples(sx, items))
     val = sx.where("split = 'validation'").select("user_idx", "item_idx")
     users = u.join(val.select("user_idx").distinct(), "user_idx", "left_semi")
-    return round_doubles(N.ranking_metrics(R.top_k_scores(users, i, K), val, K))
+    return round_doubles(N.ranking_metrics(R.top_k_scores(users, i, K, mu), val, K))
 
 
-def _samples(spark, sf_dir):
+def _summary(spark, sf_dir, kind):
     sx, _, items = _indexed(spark, sf_dir, "binary")
-    n_items = items.select(F.count(F.lit(1))).scalar()
-    tr = sx.where("split = 'train'")
-    samples = H.negative_sampling(tr.select("user_idx", "item_idx", "event_id"), n_items, 4, row_col="event_id")
-    val = H.negative_sampling(sx.where("split = 'validation'").select("user_idx", "item_idx", "event_id"),
-                              n_items, 4, seed=7, row_col="event_id")
-    return tr, cut_lineage(samples), cut_lineage(val)
+    samples = _samples(sx, items)
+    p = _fit_recommender(kind, _factors(sx), samples)[3](samples["validation"])
+    p = cut_lineage(p.withColumn("y_pred", (F.col("y_proba") > 0.5).cast("int")).withColumn("model", F.lit(kind)))
+    return round_doubles(M.model_summary(p, ["model"]))
 
 
 @register("gmf_train")
 def q_gmf(spark, sf_dir):
     """GMF re-aimed: ALS factors -> element-wise product features -> logistic regression; AUC/AP."""
-    tr, samples, val = _samples(spark, sf_dir)
-    u, i = ML.als_factor_tables(ML.train_als(tr.withColumn("weight", F.lit(1.0))))
-    fit = ML.train_logreg(ML.pair_features(samples, u, i, "gmf"))
-    p = cut_lineage(ML.predictions(fit, ML.pair_features(val, u, i, "gmf")).withColumn("model", F.lit("gmf")))
-    return round_doubles(M.model_summary(p, ["model"]))
+    return _summary(spark, sf_dir, "gmf")
 
 
 @register("ncf_train")
 def q_ncf(spark, sf_dir):
-    """NCF re-aimed: ALS factors -> concat(p, q) -> multilayer perceptron; AUC/AP."""
-    tr, samples, val = _samples(spark, sf_dir)
-    u, i = ML.als_factor_tables(ML.train_als(tr.withColumn("weight", F.lit(1.0)), rank=8))
-    fit = ML.train_mlp(ML.pair_features(samples, u, i, "ncf"), 16, hidden=(16, 8), max_iter=50)
-    p = cut_lineage(ML.predictions(fit, ML.pair_features(val, u, i, "ncf")).withColumn("model", F.lit("ncf")))
-    return round_doubles(M.model_summary(p, ["model"]))
+    """NCF re-aimed: ALS factors -> concat(p, q) -> 128-64-32 perceptron; AUC/AP."""
+    return _summary(spark, sf_dir, "ncf")
+
+
+@register("recommender_sample_counts", fx.with_views(f"""WITH {_BIN_IDX}, {_SX}
+SELECT split, CAST(count(*) AS BIGINT) AS n_positives, CAST(4 * count(*) AS BIGINT) AS n_negatives,
+  CAST(5 * count(*) AS BIGINT) AS n_featured FROM sx GROUP BY split""", "interactions_raw"))
+def q_sample_counts(spark, sf_dir):
+    """What the recommender fits read: samples by split and label, and how many keep their row through
+    the factor join (all, cold users and items included)."""
+    sx, _, items = _indexed(spark, sf_dir, "binary")
+    samples = _samples(sx, items)
+    u, i = ML.als_factor_tables(ML.train_als(sx.where("split = 'train'"), rank=8))
+    parts = [ML.pair_features(rows, u, i, "gmf", 8).agg(
+        F.lit(s).alias("split"), F.count_if(F.col("label") == 1).alias("n_positives"),
+        F.count_if(F.col("label") == 0).alias("n_negatives"), F.count("features").alias("n_featured"))
+        for s, rows in samples.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @register("ncf_score")
 def q_ncf_score(spark, sf_dir):
-    """Score every truth pair with an MLP over concat(user, item) factors in Arrow batches."""
+    """Score every truth pair with a perceptron over concat(user, item) factors in Arrow batches."""
     uf, itf, truth = fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), fx.truth(spark, sf_dir)
-    pos = truth.withColumn("label", F.lit(1.0))
-    neg = truth.select("user_idx", ((F.col("item_idx") + 1) % 500).alias("item_idx")) \
-        .join(itf.select("item_idx"), "item_idx", "left_semi").join(truth, ["user_idx", "item_idx"], "left_anti") \
-        .withColumn("label", F.lit(0.0))
-    train = ML.pair_features(pos.unionByName(neg), uf, itf, "ncf")
-    mlp = ML.train_mlp(train, 128, hidden=(16,), max_iter=30)
+    # items of the factor table in dense order, so that negatives are drawn over all of them
+    ids = cut_lineage(I.dense_index(itf, "item_idx", "pos"))
+    pairs = cut_lineage(truth.join(ids, "item_idx").select("user_idx", F.col("pos").alias("item_idx")))
+    drawn = H.negative_sampling(pairs, ids.count(), 1, known=pairs)
+    back = drawn.join(ids.withColumnRenamed("item_idx", "id"), F.col("item_idx") == F.col("pos"))
+    train = ML.pair_features(back.select("user_idx", F.col("id").alias("item_idx"), "label"), uf, itf, "ncf")
+    mlp = ML.train_mlp(cut_lineage(train), 2 * RANK, hidden=HIDDEN)
     feats = truth.join(uf.select("user_idx", F.col("factors").alias("p")), "user_idx") \
         .join(itf.select("item_idx", F.col("factors").alias("q")), "item_idx") \
         .withColumn("x", F.concat("p", "q"))
@@ -195,34 +278,57 @@ def q_ncf_score(spark, sf_dir):
 def q_logreg_rec(spark, sf_dir):
     """Logistic regression on one-hot (user, item) pair vectors; validation AUC/AP."""
     sx, users, items = _indexed(spark, sf_dir, "binary")
-    ni = items.select(F.count(F.lit(1))).first()[0]
-    tr = sx.where("split = 'train'")
-    samples = H.negative_sampling(tr.select("user_idx", "item_idx", "event_id"), ni, 4, row_col="event_id")
-    val = H.negative_sampling(sx.where("split = 'validation'").select("user_idx", "item_idx", "event_id"), ni, 4,
-                              seed=7, row_col="event_id")
-    fit = ML.train_logreg(H.pair_one_hot_vectors(samples, users, items), max_iter=100)  # as the baseline: 100
+    samples = _samples(sx, items)
+    # the design matrix is read once per iteration and by the row count: materialise it
+    train = cut_lineage(H.pair_one_hot_vectors(samples["train"], users, items))
+    fit = ML.train_logreg(train, max_iter=100)  # as the baseline: 100
     # predictions feed several metric passes: materialise them once
-    p = cut_lineage(ML.predictions(fit, H.pair_one_hot_vectors(val, users, items)).withColumn(
+    p = cut_lineage(ML.predictions(fit, H.pair_one_hot_vectors(samples["validation"], users, items)).withColumn(
         "model", F.lit("logreg_recommender")))
     return round_doubles(M.model_summary(p, ["model"]))
 
 
+GRID_MODELS = ("ncf", "gmf", "matrix_factorization")
+GRID_METRICS = (*X.METRICS, "final_loss", "training_latency")
+
+
+def experiment_runs(spark, sf_dir, cells, finished=(), rank=RANK):
+    """Long run metrics of every (model kind, strategy) cell that is not among ``finished`` runs.
+
+    Ranking metrics of the factor top-k, AUC, average precision and log loss over the validation
+    samples, and the seconds that fitting took (the factors, which the kinds of one strategy
+    share, count for each)."""
+    rows = []
+    todo = [(m, s) for m, s in cells if f"{m}_{s}" not in finished]
+    for strategy in dict.fromkeys(s for _, s in todo):
+        sx, _, items = _indexed(spark, sf_dir, strategy)
+        samples = _samples(sx, items)
+        started = time.perf_counter()
+        factors = _factors(sx, rank)
+        shared = time.perf_counter() - started
+        val = sx.where("split = 'validation'").select("user_idx", "item_idx")
+        for kind in (m for m, s in todo if s == strategy):
+            started = time.perf_counter()
+            u, i, mu, score = _fit_recommender(kind, factors, samples, rank)
+            took = shared + time.perf_counter() - started
+            scored = cut_lineage(score(samples["validation"]))
+            users = u.join(val.select("user_idx").distinct(), "user_idx", "left_semi")
+            m = N.ranking_metrics(R.top_k_scores(users, i, K, mu), val, K, variant="baseline", suffix=False)
+            m = m.select("*", *[t.select(c).scalar().alias(name) for t, c, name in (
+                (M.roc_auc(scored), "roc_auc", "roc_auc"),
+                (M.average_precision(scored), "average_precision", "average_precision"),
+                (M.log_loss(scored), "log_loss", "final_loss"))], F.lit(took).alias("training_latency"))
+            rows.append(X.run_rows(m, f"{kind}_{strategy}", kind, strategy, GRID_METRICS))
+    return rows
+
+
 @register("experiment_grid")
 def q_experiment_grid(spark, sf_dir):
-    """Popularity and ALS models under each strategy: ranking metrics of every grid cell."""
-    ev = fx.interactions_raw(spark, sf_dir)
-    rows = [X.popularity_run_metrics(ev, ("weighted", "binary", "implicit"), K)]
-    for s in ("weighted", "binary", "implicit"):
-        sx, _, _ = _indexed(spark, sf_dir, s)
-        model = ML.train_als(sx.where("split = 'train'"), max_iter=5)
-        u, i = ML.als_factor_tables(model)
-        val = sx.where("split = 'validation'").select("user_idx", "item_idx")
-        users = u.join(val.select("user_idx").distinct(), "user_idx", "left_semi")
-        m = N.ranking_metrics(R.top_k_scores(users, i, K), val, K, variant="baseline", suffix=False)
-        rows.append(m.unpivot([], list(X.METRICS), "metric", "value").select(
-            F.lit(f"mf_{s}").alias("run"), F.lit("mf").alias("model_type"), F.lit(s).alias("processor"),
-            "metric", "value"))
-    return round_doubles(X.comparison_table(reduce(lambda a, b: a.unionByName(b), rows)))
+    """NCF, GMF and MF under each strategy beside the popularity runs: one row per run, all metrics."""
+    done = X.popularity_run_metrics(fx.interactions_raw(spark, sf_dir), ("weighted", "binary", "implicit"), K)
+    cells = [(m, s) for m in GRID_MODELS for s in ("weighted", "binary", "implicit")]
+    rows = experiment_runs(spark, sf_dir, cells)
+    return round_doubles(X.comparison_table(reduce(lambda a, b: a.unionByName(b), [done, *rows]), GRID_METRICS))
 
 
 @register("gbt_tuned")
@@ -234,16 +340,11 @@ def q_gbt_tuned(spark, sf_dir):
 
 @register("random_search_gbt")
 def q_random_search_gbt(spark, sf_dir):
-    """3-fold CV over a sampled boosted-trees grid."""
-    from pyspark.ml.classification import GBTClassifier
+    """3-fold random search over the boosted-trees grid by accuracy; test-split predictions of the best.
+
+    Boosting is a job per tree level, so this query tries two cells where the search itself tries ten."""
     tr, te = _xy(spark, sf_dir)
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42)
-    full = (ParamGridBuilder().addGrid(gbt.maxIter, [20, 50]).addGrid(gbt.maxDepth, [3, 5])
-            .addGrid(gbt.stepSize, [0.05, 0.1]).build())
-    grid = [full[i] for i in sorted({(i * 5 + 1) % len(full) for i in range(3)})]  # seeded sample of 3 cells
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, numFolds=3, seed=42, parallelism=3,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label"))
-    return _eval(cv.fit(tr).bestModel, te, "random_search_gbt")
+    return _eval(_search_gbt(tr, n_iter=2), te, "random_search_gbt")
 
 
 @register("event_summary_approx")

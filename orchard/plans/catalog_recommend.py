@@ -53,9 +53,8 @@ def _rm_select(cols=("hit_rate", "ndcg", "precision", "recall", "mrr")) -> str:
     return "SELECT " + ", ".join(f"round({c}_{K}, 6) AS {c}_{K}" for c in cols) + " FROM rm"
 
 
-def top_k(spark, sf_dir, strategy="auto", **kw):
-    return R.top_k_scores(fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), K,
-                          strategy=strategy, **kw)
+def top_k(spark, sf_dir, **kw):
+    return R.top_k_scores(fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir), K, **kw)
 
 
 # --- G: scoring expressions -------------------------------------------------------------------
@@ -95,8 +94,8 @@ def q_top_k(spark, sf_dir):
 
 @register("top_k_blocked", _sql(f"WITH {_TOPK} {_TOPK_OUT}"))
 def q_top_k_blocked(spark, sf_dir):
-    """Same result through the block-pair path (small blocks force several block pairs)."""
-    return round_doubles(top_k(spark, sf_dir, strategy="blocked", block_size=64))
+    """Same result with small item blocks, so that several passes meet in the final window."""
+    return round_doubles(top_k(spark, sf_dir, block_bytes=1 << 16))
 
 
 @register("top_k_explicit", _sql(f"""WITH s AS (SELECT t.user_idx, t.item_idx,
@@ -167,16 +166,18 @@ def q_score_requests(spark, sf_dir):
                                           fx.item_factors(spark, sf_dir)))
 
 
-@register("recommend", _sql(f"""WITH {_P0}, {_TOPK},
-ru AS (SELECT DISTINCT user_id FROM requests),
-ptop AS (SELECT itemid, popularity, row_number() OVER (ORDER BY popularity DESC, itemid) AS rank FROM pop
-  ORDER BY popularity DESC, itemid LIMIT {K})
+@register("recommend", _sql(f"""WITH {_P0},
+s AS (SELECT u.user_idx, i.item_idx, u.bias + i.bias + list_dot_product(u.factors, i.factors) AS logit
+  FROM user_factors u, item_factors i WHERE u.user_idx IN (SELECT user_id FROM requests)),
+tk AS (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY logit DESC, item_idx) AS rank FROM s),
+ptop AS (SELECT itemid, popularity, row_number() OVER (ORDER BY popularity DESC, itemid) AS rank FROM pop)
 SELECT tk.user_idx AS user_id, tk.item_idx AS item_id, round(1 / (1 + exp(-logit)), 6) AS score, rank,
-  false AS cold_start FROM tk WHERE tk.user_idx IN (SELECT user_id FROM ru)
+  false AS cold_start FROM tk JOIN requests q ON q.user_id = tk.user_idx WHERE rank <= q.k
 UNION ALL
-SELECT ru.user_id, ptop.itemid, round(ptop.popularity, 6), ptop.rank, true FROM ru, ptop
-WHERE ru.user_id NOT IN (SELECT user_idx FROM user_factors)""", "interactions_raw", "requests"))
+SELECT q.user_id, ptop.itemid, round(ptop.popularity, 6), ptop.rank, true FROM requests q JOIN ptop ON ptop.rank <= q.k
+WHERE q.user_id NOT IN (SELECT user_idx FROM user_factors)""", "interactions_raw", "requests"))
 def q_recommend(spark, sf_dir):
+    """As many recommendations for each request as its own k."""
     req = fx.requests(spark, sf_dir)
     return round_doubles(R.recommend(req, fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir),
                                      _popularity(spark, sf_dir), K))
@@ -213,23 +214,17 @@ register("baseline_ranking_metrics", _sql(f"WITH {_TOPK}, {_rank_sql('baseline')
 register("hit_rate_per_user", _sql(f"WITH {_TOPK}, {_rank_sql(per_user=True)} {_rm_select(('hit_rate',))}"))(
     lambda spark, sf_dir: _metrics(spark, sf_dir, per_user=True).select(f"hit_rate_{K}"))
 
-_HS = "(((t0.user_idx * 7919 + t0.item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0)"
-
-
 @register("ndcg_sampled", _sql(f"""WITH {_TOPK},
-st AS (SELECT user_idx, item_idx FROM truth t0 ORDER BY {_HS}, user_idx, item_idx LIMIT 100),
+st AS (SELECT user_idx, item_idx FROM truth),
 {_rank_sql(truth='st')} {_rm_select(('ndcg',))}"""))
 def q_ndcg_sampled(spark, sf_dir):
-    """NDCG@10 over at most 100 hash-sampled positives (the sample size is the feature)."""
-    st = N.hash_sample(fx.truth(spark, sf_dir), 100, ["user_idx", "item_idx"])
+    """NDCG@10 through the sampling operator, with every positive in the sample."""
+    st = N.hash_sample(fx.truth(spark, sf_dir), None, ["user_idx", "item_idx"])
     return _metrics(spark, sf_dir, truth=st).select(f"ndcg_{K}")
 
 
-_HU = "(((user_idx * 7919 + 42 * 1299709) % 1000003) / 1000003e0)"
-
-
 @register("sampled_user_eval", _sql(f"""WITH {_TOPK},
-su AS (SELECT user_idx FROM (SELECT DISTINCT user_idx FROM truth) ORDER BY {_HU}, user_idx LIMIT 1000),
+su AS (SELECT DISTINCT user_idx FROM truth),
 st AS (SELECT * FROM truth WHERE user_idx IN (SELECT user_idx FROM su)),
 ev AS (SELECT user_idx, item_idx, max(y) AS y_true FROM (
   SELECT user_idx, item_idx, 1 AS y FROM st UNION ALL
@@ -248,9 +243,9 @@ SELECT round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_prec
   {', '.join(f'round({c}_{K}, 6) AS {c}_{K}' for c in ('hit_rate', 'ndcg', 'precision', 'recall', 'mrr'))}
 FROM au, rm"""))
 def q_sampled_user_eval(spark, sf_dir):
-    """AUC / AP of truth vs recommended pairs and baseline ranking metrics for <= 1,000
-    hash-sampled users (the reference's cap; smaller user sets are used whole)."""
-    truth = N.sampled_truth_users(fx.truth(spark, sf_dir), 1000)
+    """AUC / AP of truth vs recommended pairs and baseline ranking metrics through the user
+    sampling operator, with every user in the sample."""
+    truth = N.sampled_truth_users(fx.truth(spark, sf_dir))
     users = truth.select("user_idx").distinct()
     uf, itf = fx.user_factors(spark, sf_dir), fx.item_factors(spark, sf_dir)
     tk = R.top_k_scores(uf.join(users, "user_idx", "left_semi"), itf, K)

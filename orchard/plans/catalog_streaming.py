@@ -24,13 +24,16 @@ def q_windowed_popularity(spark, sf_dir):
 
 @register("stream_monitor", fx.with_views("""
 WITH p AS (SELECT 'm' || CAST(user_id % 2 AS VARCHAR) AS model, ts, seq, score FROM prediction_log),
-r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ts DESC, seq DESC) AS rn FROM p),
-w AS (SELECT model, count(*) AS n, avg(score) AS mean, stddev_pop(score) AS std FROM r WHERE rn <= 1000 GROUP BY model)
-SELECT model, n, round(mean, 6) AS mean, round(std, 6) AS std,
-  round(CASE WHEN n >= 1000 THEN mean END, 6) AS baseline_mean, round(CASE WHEN n >= 1000 THEN std END, 6) AS baseline_std,
-  CASE WHEN n >= 1000 AND std > 0 THEN 0e0 END AS z, false AS has_drift FROM w""", "prediction_log"))
+r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ts DESC, seq DESC) AS late,
+  row_number() OVER (PARTITION BY model ORDER BY ts, seq) AS early FROM p),
+w AS (SELECT model, count(*) AS n, avg(score) AS mean, stddev_pop(score) AS std FROM r WHERE late <= 500 GROUP BY model),
+b AS (SELECT model, CASE WHEN count(*) >= 500 THEN avg(score) END AS bm, CASE WHEN count(*) >= 500 THEN stddev_pop(score) END AS bs
+  FROM r WHERE early <= 500 GROUP BY model),
+z AS (SELECT *, CASE WHEN bs > 0 THEN abs(mean - bm) / bs END AS zz FROM w JOIN b USING (model))
+SELECT model, n, round(mean, 6) AS mean, round(std, 6) AS std, round(bm, 6) AS baseline_mean, round(bs, 6) AS baseline_std,
+  round(zz, 6) AS z, coalesce(zz > 0.05, false) AS has_drift FROM z""", "prediction_log"))
 def q_stream_monitor(spark, sf_dir):
-    """Last-1000 state per model key over the whole log in one trigger (baseline = that window)."""
+    """The latest 500 scores of each model key against its first 500, flagged beyond 0.05 deviations."""
     log = fx.prediction_log(spark, sf_dir).withColumn(
         "model", F.concat(F.lit("m"), (F.col("user_id") % 2).cast("string")))
-    return round_doubles(stream_monitor(log, 1000, 2.0))
+    return round_doubles(stream_monitor(log, 500, 0.05))

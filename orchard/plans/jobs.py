@@ -36,7 +36,7 @@ def evaluate_job(spark: SparkSession, tables: dict[str, str], runs_path: str, k:
     from orchard.operators import models as ML
     from orchard.operators import ranking as N
     from orchard.operators import recommend as R
-    from orchard.operators.experiments import METRICS
+    from orchard.operators.experiments import RANKING, run_rows
     from orchard.operators.features import sample_split
     from orchard.session import cut_lineage
 
@@ -54,9 +54,7 @@ def evaluate_job(spark: SparkSession, tables: dict[str, str], runs_path: str, k:
     rows = []
     for model, topk in (("popularity", pop_topk), ("mf", als_topk)):
         m = N.ranking_metrics(topk, val, k, variant="baseline", suffix=False)
-        rows.append(m.unpivot([], list(METRICS), "metric", "value").select(
-            F.lit(f"{model}_{strategy}").alias("run"), F.lit(model).alias("model_type"),
-            F.lit(strategy).alias("processor"), "metric", "value"))
+        rows.append(run_rows(m, f"{model}_{strategy}", model, strategy, RANKING))
     out = cut_lineage(rows[0].unionByName(rows[1]))
     io.append_run_metrics(out, runs_path)
     return out
@@ -76,9 +74,8 @@ def churn_job(spark: SparkSession, customers: DataFrame, id_col: str = "cid", la
 
     cat = categorical or ["gender", "senior_citizen", "contract", "internet_service", "payment_method"]
     num = numeric or ["tenure_months", "monthly_charges", "total_charges"]
-    sp = H.stratified_split(customers, label_col, id_col, test_fraction).withColumnRenamed(label_col, "label")
-    sp = cut_lineage(H.balanced_weights(sp))
-    model = ML.churn_estimator(cat, num).fit(sp.where("split = 'train'"))
+    sp = cut_lineage(H.stratified_split(customers, label_col, id_col, test_fraction).withColumnRenamed(label_col, "label"))
+    model = ML.train_churn(sp.where("split = 'train'"), cat, num)
     pred = cut_lineage(ML.predictions(model, sp.where("split = 'test'")).withColumn("model", F.lit("churn")))
     sweep = M.threshold_sweep(pred, ["model"])
     return {"model": model, "metrics": M.model_summary(pred, ["model"]), "sweep": sweep,

@@ -4,64 +4,82 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: AQE for runtime re-planning (partition coalescing,
-# skew-join splitting, broadcast conversion from measured sizes) and UTC so that
-# timestamps compare equal with the DuckDB oracle.
+# skew-join splitting, broadcast conversion from measured sizes), UTC so that timestamps
+# compare equal with the DuckDB oracle, and removal of checkpoint files that nothing reads.
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Used where neither the submit arguments nor the caller say otherwise and the master is a
+# cluster: start wide and let AQE coalesce to ~256 MB partitions; scans split at 256 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "orchard", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session configured for the library.
 
-    On a cluster the master and resources come from spark-submit; ``master`` is only
-    used for local runs and tests.
+    ``master`` is for local runs and tests; without it the master, the resources and every
+    setting given to spark-submit stay as they are.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    local = bool(master) or not os.environ.get("SPARK_MASTER")
-    if local:
-        builder = builder.master(master or f"local[{cpus}]")
     conf = dict(BASE_CONF)
-    if local:
-        # one JVM: as many shuffle partitions as cores, driver memory is the executor memory
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-        conf["spark.driver.memory"] = os.environ.get("ORCHARD_DRIVER_MEMORY", "16g")
-    else:
-        # cluster: start wide and let AQE coalesce to ~256 MB partitions; scans split at 256 MB
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 4000)
-        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = "256m"
-        conf["spark.sql.files.maxPartitionBytes"] = "256m"
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            # one JVM: as many shuffle partitions as cores, driver memory is the executor memory
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or os.environ.get("BENCH_CPUS", "8"))
+            conf["spark.driver.memory"] = os.environ.get("ORCHARD_DRIVER_MEMORY", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not is_local(spark):
+        given = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if k not in conf and not given.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if is_local(spark):
+        ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (a local-cluster master is not)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint directory of the session.
+    """Checkpoint directory of the session: the folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local runs, tests) a private scratch folder is created.
+    Where it is unset, a local run (tests) gets a private scratch folder; on a cluster that
+    is an error, because executors do not see a folder of the driver's machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="orchard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -69,13 +87,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for materialised intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
-
-
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
+    """Reliable checkpoint into the shared checkpoint folder (never a local one).
+
+    With ``cleanCheckpoints`` the files go once the driver no longer refers to the result.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_shipped: set[str] = set()  # application ids
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in workers are found by module name there, whatever folder or
+    machine the workers start in.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="orchard-package-")) / "orchard-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)

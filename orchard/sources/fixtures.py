@@ -1,8 +1,9 @@
 """Input views over the driver's star-schema tables.
 
 The driver's tables contain no customer-churn or retail event table, so these views
-derive tables of the schema our jobs expect (see FIXTURES.md). They only rename and
-reshape columns; none of the jobs' work happens here.
+derive tables of the schema our jobs expect (see FIXTURES.md). They rename and reshape
+columns, and the customer view sums up each customer's orders; none of the jobs' work
+happens here.
 
 Each view exists twice: as a DataFrame builder for Spark and as SQL text for the DuckDB
 oracle (``DUCKDB_VIEWS``), so that every registered query can be checked side by side.
@@ -56,7 +57,7 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     churn = days_since_last > 180
     return (c.join(n, n.n_nationkey == c.c_nationkey)
             .join(r, r.r_regionkey == n.n_regionkey)
-            .join(o, o.o_custkey == c.c_custkey)
+            .join(o, o.o_custkey == c.c_custkey, "left")
             .select(
                 F.concat(F.lit("C"), key.cast("string")).alias("customerid"),
                 F.lit(1).alias("cnt"),
@@ -164,13 +165,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring requests: one row per visitor with the distinct items it touched.
 
     user_id / item_ids are raw event ids; users and items without a factor row are the
-    natural cold users and unknown items. k is 10 for every request.
+    natural cold users and unknown items. k differs between requests, from 1 to 15.
     """
     ev = table(spark, sf_dir, "events")
     return (ev.select(F.col("user_id"), _item_from_props().alias("item_id"))
             .groupBy("user_id")
             .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
-            .select("user_id", "item_ids", F.lit(10).alias("k")))
+            .select("user_id", "item_ids", (F.col("user_id") % 15 + 1).cast("int").alias("k")))
 
 
 # ---------------------------------------------------------------------------
@@ -204,7 +205,7 @@ SELECT concat('C', CAST(c.c_custkey AS VARCHAR)) AS customerid, 1 AS cnt,
 FROM customer c
 JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
-JOIN (SELECT o_custkey, min(o_orderdate) AS f, max(o_orderdate) AS l, max(o_totalprice) AS mx,
+LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS f, max(o_orderdate) AS l, max(o_totalprice) AS mx,
         sum(CAST(floor(o_totalprice) AS BIGINT)) AS tot FROM orders GROUP BY o_custkey) o
   ON o.o_custkey = c.c_custkey
 CROSS JOIN (SELECT max(o_orderdate) AS m FROM orders) g""",
@@ -235,7 +236,7 @@ SELECT ts, CAST(floor(event_id / 1000e0) AS BIGINT) AS batch_id, event_id AS seq
   CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS item_id, value / 500e0 AS score FROM events""",
     "requests": """
 SELECT user_id, list_sort(list(DISTINCT CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT))) AS item_ids,
-  10 AS k
+  CAST(user_id % 15 + 1 AS INT) AS k
 FROM events GROUP BY user_id""",
 }
 

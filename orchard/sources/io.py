@@ -93,13 +93,17 @@ def collect_sources(root: str, prefix: str = "") -> dict[str, list[str]]:
 
 def ingest_tables(spark: SparkSession, sources: dict[str, list[str]], database: str,
                   prefix: str = "") -> list[str]:
-    """Create the database, load each CSV source (schema inferred), append; return table names."""
+    """Create the database, load each CSV source, append; return table names.
+
+    The types of a source are inferred over all of its part files together."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for name, paths in sources.items():
         table = f"{database}.{prefix}{name}"
-        df = combine_parts(list(paths), spark) if len(paths) > 1 else (
-            spark.read.option("header", True).option("inferSchema", True).csv(paths[0]))
+        for p in paths:
+            if not _exists(spark, p):
+                raise FileNotFoundError(f"part file not found: {p}")
+        df = spark.read.option("header", True).option("inferSchema", True).csv(list(paths))
         df.write.mode("append").saveAsTable(table)
         names.append(table)
     return names

@@ -51,21 +51,41 @@ def stream_monitor(scores: DataFrame, window: int = 1000, threshold: float = 2.0
                        F.col("ts").cast("timestamp").cast("double").alias("_t"), "seq", "score")
     if not df.isStreaming:
         return _static_monitor(df, window, threshold)
-    return df.groupBy("model").applyInPandasWithState(
+    return _latest_of_partition(df, window).groupBy("model").applyInPandasWithState(
         _monitor_fn(window, threshold), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
 
+def _latest_of_partition(df: DataFrame, window: int) -> DataFrame:
+    """The latest ``window`` rows of each key in each partition: what a trigger shuffles, and what
+    the task of a hot key gets, is bounded by partitions x ``window`` rows. Earlier rows could
+    not be in the key's window after the trigger."""
+    def latest(batches):
+        held: dict[str, pd.DataFrame] = {}
+        for pdf in batches:
+            for key, rows in pdf.groupby("model", dropna=False, sort=False):
+                rows = pd.concat([held[key], rows]) if key in held else rows
+                held[key] = rows.sort_values(["_t", "seq"]).tail(window)
+        yield from held.values()
+
+    return df.mapInPandas(latest, df.schema)
+
+
 def _static_monitor(df: DataFrame, window: int, threshold: float) -> DataFrame:
-    """One trigger over a static table: the latest ``window`` rows per key (row_number limit,
-    applied per partition before the shuffle), baseline frozen on that window when full."""
+    """A static table as one long run of small triggers: the baseline is each key's first full
+    window, checked against its latest ``window`` rows. Both are row_number limits, applied
+    per partition before the shuffle."""
     from pyspark.sql import Window
-    w = Window.partitionBy("model").orderBy(F.col("_t").desc(), F.col("seq").desc())
-    last = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= window)
-    st = last.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"),
-                                   F.stddev_pop("score").alias("std"))
+
+    def stats(newest: bool) -> DataFrame:
+        order = [F.col(c).desc() if newest else F.col(c).asc() for c in ("_t", "seq")]
+        rank = F.row_number().over(Window.partitionBy("model").orderBy(*order))
+        return df.withColumn("_rn", rank).where(F.col("_rn") <= window).groupBy("model").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
+
     full = F.col("n") >= window
-    bm = F.when(full, F.col("mean"))
-    bs = F.when(full, F.col("std"))
-    z = F.when(bs > 0, F.abs(F.col("mean") - bm) / bs)
-    return st.select("model", "n", "mean", "std", bm.alias("baseline_mean"), bs.alias("baseline_std"),
-                     z.alias("z"), F.coalesce(z > threshold, F.lit(False)).alias("has_drift"))
+    base = stats(False).select("model", F.when(full, F.col("mean")).alias("baseline_mean"),
+                               F.when(full, F.col("std")).alias("baseline_std"))
+    z = F.when(F.col("baseline_std") > 0, F.abs(F.col("mean") - F.col("baseline_mean")) / F.col("baseline_std"))
+    return stats(True).join(base, "model").select(
+        "model", "n", "mean", "std", "baseline_mean", "baseline_std", z.alias("z"),
+        F.coalesce(z > threshold, F.lit(False)).alias("has_drift"))

@@ -78,13 +78,35 @@ def test_mlp_weights_match_mllib(spark):
     assert [round(r.p, 6) for r in ref] == [round(r.score, 6) for r in ours]
 
 
-def test_capped_evaluation_pairs(spark):
-    from orchard.operators.ranking import capped_evaluation_pairs
-    rows = [(i, i % 7, i % 5, 1 if i % 3 == 0 else 0) for i in range(100)]
-    df = spark.createDataFrame(rows, "seq long, user_idx long, item_idx long, label int")
-    got = capped_evaluation_pairs(df, ["seq"], sample_cap=30, positive_cap=4).collect()
-    expect = [(i % 7, i % 5) for i in range(30) if i % 3 == 0][:4]
-    assert sorted((r.user_idx, r.item_idx) for r in got) == sorted(expect)
+def test_negatives_avoid_the_other_split(spark):
+    pos = [(u, (u * 3 + j) % 11, u * 100 + j, "train" if j % 3 else "validation") for u in range(20) for j in range(8)]
+    df = spark.createDataFrame(pos, "user_idx long, item_idx long, event_id long, split string")
+    for split in ("train", "validation"):
+        out = H.negative_sampling(df.where(F.col("split") == split), 11, 4, known=df, row_col="event_id").where("label = 0")
+        assert out.count() == 4 * df.where(F.col("split") == split).count()
+        assert out.join(df, ["user_idx", "item_idx"], "left_semi").count() == 0
+        assert out.select("item_idx").distinct().count() == 11
+
+
+def test_large_ids_do_not_overflow(spark):
+    rows = [(2 * 10**15 + i, 10**15 + i % 7, i % 2, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "user_idx long, item_idx long, label int, event_id long")
+    assert H.stratified_split(df, "label", "user_idx").where("split = 'test'").count() == 10
+    assert H.sample_split(df, ["user_idx", "item_idx"]).count() == 50
+    out = H.negative_sampling(df.withColumn("event_id", F.col("event_id") + 2 * 10**15), 2 * 10**15, 2, row_col="event_id")
+    assert out.count() == 150
+
+
+def test_mode_table_breaks_ties_by_value(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "y"), ("b", None), ("a", "z")], "p string, q string")
+    assert {r["column"]: r["mode"] for r in H.mode_table(df, ["p", "q"]).collect()} == {"p": "a", "q": "x"}
+
+
+def test_one_hot_vectors(spark):
+    df = spark.createDataFrame([(1, "b", "u"), (2, "a", None), (3, "zz", "v")], "id long, p string, q string")
+    dom = H.fit_label_domains(df.where("id < 3").unionAll(df.where("id = 3").selectExpr("id", "'c'", "q")), ["p", "q"])
+    got = {r.id: (r.size, r.indices, r["values"]) for r in H.one_hot_vectors(df, dom, ["p", "q"], "id").collect()}
+    assert got == {1: (5, [1, 3], [1.0, 1.0]), 2: (5, [0], [1.0]), 3: (5, [4], [1.0])}
 
 
 def test_loader_like_split_and_scaling(spark):
@@ -127,8 +149,6 @@ def test_smote_neighbours_are_exact(spark):
     assert all(any(lo - 1e-9 <= v <= hi + 1e-9 for lo, hi in segs) for v in xs)
 
 
-def test_one_hot_domain_bound(spark):
+def test_one_hot_has_no_domain_limit(spark):
     df = spark.createDataFrame([(str(i),) for i in range(50)], "c string")
-    with pytest.raises(ValueError, match="categories"):
-        H.fit_one_hot(df, ["c"], max_categories=10)
-    assert len(H.fit_one_hot(df, ["c"], max_categories=50)["c"]) == 50
+    assert len(H.fit_one_hot(df, ["c"])["c"]) == 50

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orchard.operators import ranking as N
 from orchard.operators import recommend as R
@@ -47,11 +48,11 @@ def _factors(spark, n, d, seed, name):
     return spark.createDataFrame(rows, f"{name} long, factors array<double>, bias double"), F_, b
 
 
-@pytest.mark.parametrize("strategy,block", [("broadcast", 2048), ("blocked", 7)])
-def test_top_k_matches_brute_force(spark, strategy, block):
+@pytest.mark.parametrize("block", [1 << 26, 400])
+def test_top_k_matches_brute_force(spark, block):
     users, P, bu = _factors(spark, 23, 5, 1, "user_idx")
     items, Q, bi = _factors(spark, 41, 5, 2, "item_idx")
-    out = R.top_k_scores(users, items, 4, strategy=strategy, block_size=block).collect()
+    out = R.top_k_scores(users, items, 4, block_bytes=block).collect()
     S = P @ Q.T + bu[:, None] + bi[None, :]
     got = {}
     for r in out:
@@ -64,8 +65,8 @@ def test_top_k_matches_brute_force(spark, strategy, block):
 def test_top_k_ties_prefer_smaller_item(spark):
     users = spark.createDataFrame([(0, [1.0], 0.0)], "user_idx long, factors array<double>, bias double")
     items = spark.createDataFrame([(i, [1.0], 0.0) for i in (9, 3, 5, 1)], "item_idx long, factors array<double>, bias double")
-    for strat in ("broadcast", "blocked"):
-        out = R.top_k_scores(users, items, 2, strategy=strat, block_size=2).orderBy("rank").collect()
+    for block in (1 << 26, 24):
+        out = R.top_k_scores(users, items, 2, block_bytes=block).orderBy("rank").collect()
         assert [r.item_idx for r in out] == [1, 3]
 
 
@@ -110,14 +111,14 @@ def test_sessionize_matches_session_window(spark):
     assert a == b
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "blocked"])
-def test_top_k_exclude_seen(spark, strategy):
+@pytest.mark.parametrize("block", [1 << 26, 200])
+def test_top_k_exclude_seen(spark, block):
     users, P, bu = _factors(spark, 9, 4, 3, "user_idx")
     items, Q, bi = _factors(spark, 15, 4, 4, "item_idx")
     S = P @ Q.T + bu[:, None] + bi[None, :]
     seen_rows = [(u * 3 + 1, j * 3 + 1) for u in range(9) for j in range(15) if (u + j) % 3 == 0]
     seen = spark.createDataFrame(seen_rows, "user_idx long, item_idx long")
-    out = R.top_k_scores(users, items, 3, strategy=strategy, block_size=4, exclude_seen=seen).collect()
+    out = R.top_k_scores(users, items, 3, block_bytes=block, exclude_seen=seen).collect()
     got = {}
     for r in out:
         got.setdefault(r.user_idx, []).append((r.rank, r.item_idx))
@@ -125,3 +126,26 @@ def test_top_k_exclude_seen(spark, strategy):
         allowed = [j for j in range(15) if (u + j) % 3 != 0]
         order = sorted(allowed, key=lambda j: (-S[u, j], j))[:3]
         assert [it for _, it in sorted(got[u * 3 + 1])] == [j * 3 + 1 for j in order]
+
+
+def test_top_k_slices_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(R, "SLICE", 16)
+    rng = np.random.default_rng(9)
+    P, Q = rng.integers(-1, 2, (7, 3)).astype(float), rng.integers(-1, 2, (200, 3)).astype(float)
+    for k in (1, 3, 40):
+        best, ids = R._block_top_k(P, np.zeros(7), np.arange(200), Q, np.zeros(200), k, 0.0, None)
+        S = P @ Q.T
+        for u in range(7):
+            order = sorted(range(200), key=lambda j: (-S[u, j], j))[:k]
+            assert ids[u].tolist() == order and best[u].tolist() == S[u, order].tolist()
+
+
+def test_each_request_has_its_own_k(spark):
+    users = spark.createDataFrame([(1, [1.0], 0.0)], "user_idx long, factors array<double>, bias double")
+    items = spark.createDataFrame([(i, [float(i)], 0.0) for i in range(9)], "item_idx long, factors array<double>, bias double")
+    pop = spark.createDataFrame([(i, float(i)) for i in range(9)], "itemid long, popularity double")
+    req = spark.createDataFrame([(1, 2), (2, 4), (3, None), (4, 0)], "user_id long, k int")
+    got = {r.user_id: r.n for r in R.recommend(req, users, items, pop, 3).groupBy("user_id").agg(
+        F.count("*").alias("n")).collect()}
+    assert got == {1: 2, 2: 4, 3: 3}
+    assert [r.user_id for r in R.invalid_k(req).collect()] == [4]
