@@ -245,8 +245,8 @@ def _tile(row: pa.StructScalar):
 
 # DuckDB: every pair of one label
 ORACLE = """
-WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
-  WHERE label IS NOT NULL AND list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE) * x)) > 0),
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT vec_id AS n, vec_id AS m FROM embeddings UNION SELECT reach.n, links.b FROM reach JOIN links ON links.a = reach.m)
