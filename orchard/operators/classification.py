@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orchard.operators.prefix import running_sums
+from orchard.session import cut_lineage
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -81,7 +82,8 @@ def score_counts(df: DataFrame, group_cols: list[str] | None = None, y_true="y_t
 
 
 def _ranked_counts(df, group_cols, y_true, score, descending):
-    sc = score_counts(df, group_cols, y_true, score)
+    # read by the cut points, the windows and the range totals: materialised once
+    sc = cut_lineage(score_counts(df, group_cols, y_true, score))
     return running_sums(sc, "score", ["pos", "neg"], group_cols=group_cols, descending=descending)
 
 
@@ -196,8 +198,8 @@ def rank_and_class_summary(df: DataFrame, group_cols: list[str], y_true="y_true"
     """
     g = list(group_cols)
     t = F.col(y_true)
-    sc = df.groupBy(*g, F.col(score).alias("score"), F.col(y_pred).alias("_yp")).agg(
-        F.sum(t.cast("double")).alias("pos"), F.sum((1 - t).cast("double")).alias("neg"))
+    sc = cut_lineage(df.groupBy(*g, F.col(score).alias("score"), F.col(y_pred).alias("_yp")).agg(
+        F.sum(t.cast("double")).alias("pos"), F.sum((1 - t).cast("double")).alias("neg")))
     cm = sc.groupBy(*g).agg(
         F.sum(F.when(F.col("_yp") == 0, F.col("neg")).otherwise(0.0)).cast("long").alias("tn"),
         F.sum(F.when(F.col("_yp") == 1, F.col("neg")).otherwise(0.0)).cast("long").alias("fp"),

@@ -56,4 +56,5 @@ def load_all() -> None:
         catalog_extensions,
         catalog_streaming,
         catalog_models,
+        catalog_io,
     )
