@@ -7,8 +7,8 @@ smaller document, or earlier in the same one. Equal strings have to be brought t
    smallest hash (the leftmost of equals). Neighbouring strings with one anchor form a stretch.
    Equal strings have equal anchors, so only stretches with equal anchors are compared.
 2. Of equal stretches all but the first go whole. Anchors with one stretch need no more.
-3. The first of each of the other stretches are indexed in batches that hold all stretches of
-   their anchors, by column-wise construction: in each round one more symbol of every
+3. The first of each of the other stretches, where it agrees with another on enough bytes
+   beside the anchor, are indexed in batches that hold all stretches of their anchors, by column-wise construction: in each round one more symbol of every
    stretch, from its end on, is inserted, which updates the batch's Burrows-Wheeler transform
    and its array of common prefixes (``column_index``). Suffixes that follow each other with
    a common prefix of ``length`` hold equal strings; all but the earliest go.
@@ -35,7 +35,7 @@ from orchard.llm.common import Scratch, shuffle_partitions
 LENGTH = 100
 GRAM = 24
 BUFFER = 1 << 22  # bytes of text that are anchored at once
-BATCH = 2000  # stretches that one transform holds, about
+BATCH = 4000  # stretches that one transform holds, about
 HOT = 8192  # different stretches of one anchor from which they are dealt out by content
 
 _U = np.uint64
@@ -184,9 +184,9 @@ def column_index(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarr
     Column-wise construction. Round k inserts the suffix of k symbols of every string that has
     one. The transform holds, for each suffix so far, the symbol before it (0: none); its
     stable order by symbol is where the suffix extended by that symbol stands. Suffixes inserted
-    in the last round are the ones whose extension is new. A new suffix and its
-    predecessor share one symbol more than the least common prefix between the two suffixes
-    they extend; other common prefixes stay. Common prefixes are kept up to ``depth``; strings
+    in the last round are the ones whose extension is new. A new suffix shares with each
+    neighbour one symbol more than the least common prefix between the two suffixes that they
+    extend; other common prefixes stay. Common prefixes are kept up to ``depth``; strings
     that end stand before those that go on, in the order given.
     """
     m = len(strings)
@@ -196,47 +196,79 @@ def column_index(strings: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarr
     present, codes = np.unique(text, return_inverse=True)
     codes = (codes + 1).astype(np.uint16 if len(present) > 254 else np.uint8)
     codes[ends - sizes - 1] = 0
-    place, fresh = ends.copy(), np.ones(m, bool)
+    empty = ends.astype(np.int32)
+    place, fresh, common = empty, np.ones(m, bool), np.zeros(m, np.uint8)
     before = codes[place - 1]
-    common = np.zeros(m, np.uint8)
+    none, no_prefix = np.zeros(m, bool), np.zeros(m, np.uint8)
     while True:
-        n, ended = len(place), int((before == 0).sum())
-        order = np.argsort(before, kind="stable")[ended:]
+        order = np.argsort(before, kind="stable")[len(before) - np.count_nonzero(before):]
         new = fresh[order]
-        if not new.any():
+        to = np.flatnonzero(new)
+        if not len(to):
             break
-        symbol = before[order]
-        # least common prefixes over runs of the old list, by doubling; position 0 has none before it
-        table, span = [common], 1
-        while 2 * span <= n:
-            table.append(np.minimum(table[-1][:-span], table[-1][span:]))
-            span *= 2
-        renewed = new.copy()
-        renewed[1:] |= new[:-1]
-        at = np.flatnonzero(renewed)
-        inside = at[(at > 0)]
-        inside = inside[symbol[inside] == symbol[inside - 1]]
-        lo, hi = order[inside - 1] + 1, order[inside] + 1
-        level = np.frexp((hi - lo).astype(np.float64))[1] - 1
-        least = np.zeros(len(inside), np.uint8)
-        for v in np.unique(level):
-            k = np.flatnonzero(level == v)
-            least[k] = np.minimum(table[v][lo[k]], table[v][hi[k] - (1 << int(v))])
-        # the new list: the m empty suffixes, then the extensions; old suffixes keep their order
+        # the new suffixes and those after them, where the one before begins with the same symbol
+        near = np.unique(np.concatenate((to, to + 1)))
+        near = near[(near > 0) & (near < len(order))]
+        near = near[before[order[near]] == before[order[near - 1]]]
+        shared = _range_minimum(common, order[near - 1] + 1, order[near] + 1)
+        # the new list: the empty suffixes, then the extensions; suffixes of earlier rounds keep their order
         prefix = np.zeros(len(order), np.uint8)
         prefix[~new] = common[m:]
-        prefix[at] = 0
-        prefix[inside] = np.minimum(least.astype(np.int64) + 1, depth)
-        place = np.concatenate((ends, place[order] - 1))
-        common = np.concatenate((np.zeros(m, np.uint8), prefix))
-        fresh = np.concatenate((np.zeros(m, bool), new))
+        prefix[to] = 0
+        prefix[near] = np.minimum(shared.astype(np.int64) + 1, depth)
+        place = np.concatenate((empty, place[order] - 1))
+        common = np.concatenate((no_prefix, prefix))
+        fresh = np.concatenate((none, new))
         before = codes[place - 1]
     string = np.searchsorted(ends, place, "left")
     return string, place - (ends - sizes)[string], common, before
 
 
+def _range_minimum(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Least of ``values[lo[k]:hi[k]]`` for non-empty ranges, from minima over runs of doubling length."""
+    level = np.frexp((hi - lo).astype(np.float64))[1] - 1
+    out = np.zeros(len(lo), values.dtype)
+    run = values
+    for v in range(int(level.max(initial=-1)) + 1):
+        k = np.flatnonzero(level == v)
+        out[k] = np.minimum(run[lo[k]], run[hi[k] - (1 << v)])
+        run = np.minimum(run[: -(1 << v)], run[1 << v:])
+    return out
+
+
+def _related(strings: list[bytes], anchors: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Which stretches can share a string of ``length`` bytes with another of the same anchor.
+
+    A shared string holds the anchor's ``gram`` bytes and reaches at least half of the other
+    bytes to one side of it, so two stretches that share one agree on the anchor with that many
+    bytes before it, or after it. Stretches in which the anchor occurs twice always count.
+    """
+    width = gram + (length - gram + 1) // 2
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    starts = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    h = gram_hashes(data, gram)
+    owner = np.repeat(np.arange(len(strings)), sizes)[: len(h)]
+    hit = np.flatnonzero(h.view(np.int64) == anchors[owner])
+    hit = hit[hit - starts[owner[hit]] + gram <= sizes[owner[hit]]]
+    keep = np.bincount(owner[hit], minlength=len(strings)) != 1
+    hit = hit[~keep[owner[hit]]]
+    own, wide = owner[hit], gram_hashes(data, width)
+    for shift in (width - gram, 0):  # the bytes before the anchor, then those after it
+        begin = hit - shift
+        whole = (begin >= starts[own]) & (begin + width <= starts[own] + sizes[own])
+        seen = own[whole]
+        with np.errstate(over="ignore"):
+            side = wide[begin[whole]] * _U(0x9E3779B97F4A7C15) ^ anchors[seen].view(np.uint64)
+        _, back, times = np.unique(side, return_inverse=True, return_counts=True)
+        keep[seen[times[back] > 1]] = True
+    return keep
+
+
 def _repeats(strings, keys, orders, starts, length: int):
     """(key, ord, start) of the strings of ``length`` bytes that another one precedes."""
+    if not strings:
+        return keys, orders, starts
     string, at, common, _ = column_index(strings, length)
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
     long = np.flatnonzero(sizes[string] - at >= length)
@@ -249,7 +281,7 @@ def _repeats(strings, keys, orders, starts, length: int):
     return key[later], order[later], start[later]
 
 
-def _index(length: int):
+def _index(length: int, gram: int):
     names = ["key", "ord", "start", "n", "w0", "w1"]
 
     def rows(key, order, start, w0=None, w1=None):
@@ -260,12 +292,13 @@ def _index(length: int):
              empty if w0 is None else pa.array(w0), empty if w1 is None else pa.array(w1)], names)
 
     def flush(held):
-        strings, keys, orders, starts = zip(*held)
-        return rows(*_repeats(list(strings), np.array(keys, np.int64), np.array(orders, np.int32),
-                              np.array(starts, np.int64), length))
+        strings, keys, orders, starts, anchors = zip(*held)
+        kept = np.flatnonzero(_related(strings, np.array(anchors, np.int64), length, gram))
+        return rows(*_repeats([strings[k] for k in kept.tolist()], np.array(keys, np.int64)[kept],
+                              np.array(orders, np.int32)[kept], np.array(starts, np.int64)[kept], length))
 
     def deal(held):
-        for data, key, order, start in held:
+        for data, key, order, start, _ in held:
             view, n = memoryview(data), len(data) - length + 1
             both = np.array([[xxhash.xxh3_64_intdigest(view[k:k + length]), xxhash.xxh64_intdigest(view[k:k + length], 7)]
                              for k in range(n)], np.uint64).view(np.int64)
@@ -284,7 +317,7 @@ def _index(length: int):
                     if len(done) >= BATCH:
                         yield flush(done)
                         done = []
-                open_.append((data, key, order, start))
+                open_.append((data, key, order, start, a))
                 if len(open_) >= HOT:
                     hot = True
                 if hot:
@@ -385,7 +418,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         fetch, "anchor long, key long, ord int, start long, data binary")
     indexed = scratch.write(
         chosen.repartition(parts, "anchor").sortWithinPartitions("anchor", "key", "ord", "start")
-        .mapInArrow(_index(length), "key long, ord int, start long, n long, w0 long, w1 long"), "indexed")
+        .mapInArrow(_index(length, gram), "key long, ord int, start long, n long, w0 long, w1 long"), "indexed")
 
     place = F.struct("key", "ord", "start")
     dealt = indexed.where("w0 is not null")
