@@ -23,7 +23,7 @@ SAMPLE_DOCS = 1000  # labelled documents per language that the model is fitted o
 SWITCH = 10.0  # log-odds that a change of language costs
 FLOOR = -8.0  # the least log-probability of a language for one word
 MIN_SHARE = 0.01  # share of a language's words that makes a script one of its scripts
-CACHE_WORDS = 400_000  # scored words that a Python worker holds
+CACHE_WORDS = 150_000  # scored words that a Python worker holds
 
 # First code point of runs of scripts (Unicode blocks)
 _SCRIPTS = (

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from orchard.llm.common import Scratch
 
 GROUP = 1 << 18  # pieces that one task packs
-CACHE = 400_000  # words, and as many parts of words, whose ids a Python worker holds
+CACHE = 200_000  # words, and as many parts of words, whose ids a Python worker holds
 
 # Lower-case letters and digits below U+0250, as the tokenizer's classes \p{L} and \p{N} have them
 _LETTERS, _DIGITS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
