@@ -241,7 +241,8 @@ def _related(strings: list[bytes], anchors: np.ndarray, length: int, gram: int)
 
     A shared string holds the anchor's ``gram`` bytes and reaches at least half of the other
     bytes to one side of it, so two stretches that share one agree on the anchor with that many
-    bytes before it, or after it. Stretches in which the anchor occurs twice always count.
+    bytes before it, or after it. Where the gram occurs more than once in a stretch, each place
+    counts, because the partner may hold it once.
     """
     width = gram + (length - gram + 1) // 2
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
@@ -251,8 +252,7 @@ def _related(strings: list[bytes], anchors: np.ndarray, length: int, gram: int)
     owner = np.repeat(np.arange(len(strings)), sizes)[: len(h)]
     hit = np.flatnonzero(h.view(np.int64) == anchors[owner])
     hit = hit[hit - starts[owner[hit]] + gram <= sizes[owner[hit]]]
-    keep = np.bincount(owner[hit], minlength=len(strings)) != 1
-    hit = hit[~keep[owner[hit]]]
+    keep = np.zeros(len(strings), bool)
     own, wide = owner[hit], gram_hashes(data, width)
     for shift in (width - gram, 0):  # the bytes before the anchor, then those after it
         begin = hit - shift

@@ -53,6 +53,22 @@ def test_query_equals_brute_force(spark, docs_of, sf_of, monkeypatch, batch, hot
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("batch,buffer", [(4000, 1 << 22), (5, 700)])
+def test_header_and_line_against_header_and_repeated_line(spark, docs_of, sf_of, monkeypatch, batch, buffer):
+    monkeypatch.setattr(substrings, "BATCH", batch)
+    monkeypatch.setattr(substrings, "BUFFER", buffer)
+    r = random.Random(4)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=n))
+    texts = []
+    for _ in range(120):
+        header, line = noise(r.randrange(60, 200)), noise(r.randrange(30, 76)) + "\n"
+        pair = [header + line + noise(r.randrange(60)), header + line * r.randrange(2, 5) + noise(r.randrange(60))]
+        texts += r.sample(pair, 2)
+    rows = list(enumerate(texts))
+    got = queries.op7_suffix_index_dedup(spark, sf_of(documents=docs_of(rows))).collect()
+    assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got} == brute(rows)
+
+
 def test_index_is_the_sorted_collection():
     r = random.Random(3)
     for _ in range(60):
