@@ -7,11 +7,12 @@ from the characters (hex, base 32, decimal, base 36, base 62, base 64), then
 * runs: Wald-Wolfowitz runs above and below the mean symbol,
 * serial correlation: lag-1 correlation of neighbouring symbols
 
-must not reject randomness at ``ALPHA``. A run must also be flatter than ordinary words:
-under the symbol frequencies that the corpus's own long words have inside that alphabet, the
-chance of so few coinciding symbols in a run of its length is its p-value. Benjamini-Hochberg
-at ``FDR`` over all runs of a length class decides, so that short runs, whose tests are weak,
-do not spend the error of long ones.
+must not reject randomness at ``ALPHA``. A run must also be unlike ordinary runs: a chain of
+symbols is fitted on the corpus's different runs, with pre-set frequencies of letter case,
+digits and letters behind it where the corpus has few. The likelihood ratio of uniform symbols
+to that chain is at least t with a chance of at most 1 / t in a run from the chain, so its
+inverse is the p-value. Benjamini-Hochberg at ``FDR`` over all runs of a length class decides,
+so that short runs, whose tests are weak, do not spend the error of long ones.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ ASSIGN_MIN = 6
 KINDS = ("assign", "access", "hex", "random")
 RUN = "[A-Za-z0-9+/_-]{16,}"
 SYMBOLS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_-"
-TESTED = 20  # least length of a tested run; shorter ones only tell what ordinary words look like
+TESTED = 20  # least length of a tested run; shorter ones only tell what ordinary runs look like
 # alphabets from the narrowest on: (name, pattern, size)
 ENCODINGS = (
     ("decimal", "^[0-9]+$", 10),
@@ -46,6 +47,14 @@ ENCODINGS = (
 CLASSES = (20, 24, 32, 48, 80)  # least lengths of the length classes
 FDR = 0.01
 ALPHA_Z = 3.29  # two-sided 0.001
+# English letters per thousand, and how often a symbol's kind follows another's (^: the start)
+LETTERS = dict(zip("abcdefghijklmnopqrstuvwxyz", (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91,
+                                                  28, 10, 24, 2, 20, 1)))
+FOLLOWS = {"^": {"a": 0.6, "A": 0.3, "0": 0.07, "-": 0.03}, "a": {"a": 0.94, "A": 0.02, "0": 0.02, "-": 0.02},
+           "A": {"a": 0.45, "A": 0.5, "0": 0.03, "-": 0.02}, "0": {"a": 0.08, "A": 0.04, "0": 0.8, "-": 0.08},
+           "-": {"a": 0.6, "A": 0.2, "0": 0.15, "-": 0.05}}
+PRIOR = 1000  # counts that the pre-set frequencies weigh, and those of kinds beside those of symbols
+LOW_CODE, CODES = 43, 80  # code points of SYMBOLS: the first, and how many from it on
 LOG_STEP, LOG_MAX = 0.01, 100.0  # p-values are compared as -ln p, rounded down to steps, 100 at most
 
 
@@ -99,23 +108,19 @@ def squares(run: Column) -> Column:
         c != "", F.pow(F.length(run) - F.length(F.replace(run, c, F.lit(""))), F.lit(2))).otherwise(0.0))
 
 
-def log_tail(z: Column) -> Column:
-    """-ln of the standard normal lower tail at ``z``, between 0 and ``LOG_MAX``."""
-    x = F.abs(z)
-    t = 1 / (1 + 0.2316419 * x)
-    # Coefficients of Abramowitz and Stegun 26.2.17
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    log_upper = x * x / 2 + 0.5 * math.log(2 * math.pi) - F.log(poly)
-    return F.least(F.when(z < 0, log_upper).otherwise(-F.log1p(-F.exp(-log_upper))), F.lit(LOG_MAX))
+def pairs(run: Column) -> Column:
+    """For each symbol, its place in the table of a chain: by the symbol before it (row 0: none) and itself."""
+    codes = F.transform(F.filter(F.split(run, ""), lambda c: c != ""), lambda c: F.ascii(c) - LOW_CODE)
+    before = F.concat(F.array(F.lit(-1)), F.slice(codes, F.lit(1), F.size(codes) - 1))
+    return F.zip_with(before, codes, lambda a, b: (a + 1) * CODES + b)
 
 
-def surprise(run: Column, name: Column, kappa: dict[str, tuple[float, float]]) -> Column:
-    """-ln of the chance that an ordinary word of this length and alphabet has so few coinciding symbols."""
-    n = F.length(run).cast("double")
-    k2, k3 = by_encoding(name, {e: k[0] for e, k in kappa.items()}), by_encoding(name, {e: k[1] for e, k in kappa.items()})
-    pairs = n * (n - 1) / 2
-    spread = F.sqrt(F.greatest(pairs * (k2 - k2 * k2) + n * (n - 1) * (n - 2) * (k3 - k2 * k2), F.lit(1e-9)))
-    return log_tail(((squares(run) - n) / 2 - pairs * k2) / spread)
+def surprise(run: Column, name: Column, chain: list[float]) -> Column:
+    """-ln p that a run from the chain is as likely under uniform symbols, between 0 and ``LOG_MAX``."""
+    table = F.split(F.lit(",".join(f"{v:.6f}" for v in chain)), ",").cast("array<double>")
+    uniform = F.length(run) * by_encoding(name, {e: math.log(a) for e, _, a in ENCODINGS})
+    ratio = F.aggregate(pairs(run), F.lit(0.0), lambda total, k: total + F.get(table, k)) - uniform
+    return F.least(F.greatest(ratio, F.lit(0.0)), F.lit(LOG_MAX))
 
 
 def passes_battery(run: Column, name: Column) -> Column:
@@ -148,33 +153,47 @@ def length_class(run: Column) -> Column:
     return out
 
 
-def ordinary_symbols(runs: DataFrame) -> dict[str, tuple[float, float]]:
-    """Per encoding, the sums of squares and cubes of its symbols' frequencies in ordinary words.
+def _kind(symbol: str) -> str:
+    return "a" if symbol.islower() else "A" if symbol.isupper() else "0" if symbol.isdigit() else "-"
 
-    Ordinary words are the runs of letters that have no capital but the first; half a count is
-    added to every symbol. The driver gets one count per symbol.
-    """
-    words = runs.where(F.col("run").rlike("^[A-Za-z][a-z]*$"))
-    symbol = F.explode(F.split("run", "")).alias("symbol")
-    counts = {r["symbol"]: r["n"] for r in words.select(symbol).where("symbol != ''").groupBy("symbol").agg(
-        F.count("*").alias("n")).collect()}
-    members = {"decimal": SYMBOLS[:10], "hex": SYMBOLS[:10] + "abcdef", "base32": SYMBOLS[2:8] + SYMBOLS[10:36],
-               "base36": SYMBOLS[:10] + SYMBOLS[36:62], "base62": SYMBOLS[:62], "base64": SYMBOLS}
-    out = {}
-    for name, alphabet in members.items():
-        weights = [counts.get(s, 0) + 0.5 for s in alphabet]
-        total = sum(weights)
-        out[name] = sum((w / total) ** 2 for w in weights), sum((w / total) ** 3 for w in weights)
-    return out
 
+def ordinary_chain(runs: DataFrame) -> list[float]:
+    """-ln of the chance of each symbol after each other in ordinary runs, laid out as by ``pairs``.
 
-def discovery_limits(tested: DataFrame, kappa: dict) -> dict[int, float]:
+    Counts are of the different runs, so a key that is repeated weighs once. Behind the
+    counts of pairs stand those of kinds (lower case, capitals, digits, others) and of letters
+    whatever their case. The driver gets one count per pair of symbols.
+    """
+    counted = runs.distinct().select(F.explode(pairs(F.col("run"))).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    counts = {r["pair"]: r["n"] for r in counted.collect()}
+    rows = [(0, "^"), *((ord(s) - LOW_CODE + 1, _kind(s)) for s in SYMBOLS)]
+    at = [(ord(s) - LOW_CODE, s, _kind(s)) for s in SYMBOLS]
+    follows = {(k, j): PRIOR * share for k, own in FOLLOWS.items() for j, share in own.items()}
+    shares = {s: PRIOR * LETTERS[s] / sum(LETTERS.values()) if s in LETTERS else PRIOR / (10 if s.isdigit() else 4)
+              for s in SYMBOLS if not s.isupper()}
+    for row, kind in rows:
+        for place, s, other in at:
+            n = counts.get(row * CODES + place, 0)
+            follows[kind, other] += n
+            shares[s.lower()] += n
+    total = {k: sum(n for s, n in shares.items() if _kind(s) == k) for k in "a0-"}
+    chain = [0.0] * ((CODES + 1) * CODES)
+    for row, kind in rows:
+        own = sum(counts.get(row * CODES + place, 0) for place, _, _ in at)
+        kinds = sum(follows[kind, k] for k in FOLLOWS["^"])
+        for place, s, other in at:
+            behind = follows[kind, other] / kinds * shares[s.lower()] / total[other.lower()]
+            chain[row * CODES + place] = -math.log((counts.get(row * CODES + place, 0) + PRIOR * behind) / (own + PRIOR))
+    return chain
+
+
+def discovery_limits(tested: DataFrame, chain: list[float]) -> dict[int, float]:
     """Least -ln p of each length class's discoveries: Benjamini-Hochberg over all tested runs.
 
     p-values are rounded up to steps, so the table that reaches the driver has a bounded
     number of rows (classes x steps) and no discovery is added.
     """
-    step = F.floor(surprise(F.col("run"), F.col("encoding"), kappa) / LOG_STEP).cast("long")
+    step = F.floor(surprise(F.col("run"), F.col("encoding"), chain) / LOG_STEP).cast("long")
     bins = tested.select(length_class(F.col("run")).alias("cls"), step.alias("step")).groupBy("cls", "step").agg(
         F.count("*").alias("n")).collect()
     limits = {}
@@ -189,7 +208,7 @@ def discovery_limits(tested: DataFrame, kappa: dict) -> dict[int, float]:
     return limits
 
 
-def spans(text: Column, kappa: dict, limits: dict[int, float]) -> Column:
+def spans(text: Column, chain: list[float], limits: dict[int, float]) -> Column:
     """array<struct<start, rank, end, kind>> of all spans of a non-null text, in order."""
     def of(found: Column, kind: str) -> Column:
         return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
@@ -200,7 +219,7 @@ def spans(text: Column, kappa: dict, limits: dict[int, float]) -> Column:
         name = encoding(run)
         limit = reduce(lambda out, c: F.when(length_class(run) == c, F.lit(limits[c])).otherwise(out), CLASSES,
                        F.lit(LOG_MAX + 1))
-        return (F.length(run) >= TESTED) & (F.floor(surprise(run, name, kappa) / LOG_STEP) * LOG_STEP >= limit - 1e-9) \
+        return (F.length(run) >= TESTED) & (F.floor(surprise(run, name, chain) / LOG_STEP) * LOG_STEP >= limit - 1e-9) \
             & passes_battery(run, name)
 
     assign = F.filter(matches(text, ASSIGN), lambda m: F.length(
@@ -214,19 +233,18 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Null texts count as empty and have no spans. Rows are judged one by one under limits that
     come from all rows, so repeated rows, ids of any kind and other columns (one named
-    secret_spans gives way) play no part. Without ordinary long words no alphabet is
-    distinguished and only the fixed patterns find anything; an empty table gives no rows.
+    secret_spans gives way) play no part but for the counts. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     text = F.coalesce(F.col(text_col), F.lit(""))
     run = F.explode(F.regexp_extract_all(text, F.lit(RUN), F.lit(0))).alias("run")
     runs = scratch.write(docs.select(run), "runs")
-    kappa = ordinary_symbols(runs)
+    chain = ordinary_chain(runs)
     tested = runs.where(F.length("run") >= TESTED).withColumn("encoding", encoding(F.col("run")))
-    limits = discovery_limits(tested, kappa)
+    limits = discovery_limits(tested, chain)
     scratch.drop("runs")
     keep = [c for c in docs.columns if c.lower() != "secret_spans"]
-    return docs.select(*[F.col(f"`{c}`") for c in keep], spans(text, kappa, limits).alias("secret_spans"))
+    return docs.select(*[F.col(f"`{c}`") for c in keep], spans(text, chain, limits).alias("secret_spans"))
 
 
 def joined(found: Column) -> Column:

@@ -53,6 +53,23 @@ def test_base_and_random_spans(spark, docs_of, sf_of):
     assert sum(found[k] for k in range(80)) == 0  # words
 
 
+def test_short_keys_among_ordinary_runs(spark, docs_of, sf_of):
+    r = random.Random(9)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    syllables = ["con", "ter", "ing", "pre", "ma", "tion", "al", "is", "re", "der", "ly", "un", "est", "for", "ver", "ba"]
+    word = lambda n: "".join(r.choices(syllables, k=n))
+    plain = [lambda: word(8), lambda: word(9).upper(), lambda: "/".join(word(3) for _ in range(5)),
+             lambda: "_".join(word(2) for _ in range(5)), lambda: "".join(word(2).title() for _ in range(5)),
+             lambda: f"20{r.randrange(10, 30)}/{r.randrange(10, 13)}/{r.randrange(10, 29)}/{word(5)}-{r.randrange(100)}"]
+    rows = [(k, " ".join(r.choice(plain)() for _ in range(60))) for k in range(200)]
+    keys = [(200 + k, f"see {''.join(r.choices(lower + lower.upper() + digits, k=n))} here")
+            for k, n in enumerate([20, 24, 32, 40] * 10)]
+    got = queries.op2_randomness_secret_scan(spark, sf_of(documents=docs_of(rows + keys))).collect()
+    found = {x.doc_id: x.n_random for x in got}
+    assert all(sum(found[k] for k, _ in keys[c::4]) >= 9 for c in range(4))  # the battery may reject one
+    assert sum(found[k] for k, _ in rows) == 0
+
+
 def test_prefix_sums(spark):
     from pyspark.sql import functions as F
 
