@@ -26,7 +26,9 @@ CACHE = 200_000  # words, and as many parts of words, whose ids a Python worker
 # Lower-case letters and digits below U+0250, as the tokenizer's classes \p{L} and \p{N} have them
 _LETTERS, _DIGITS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
 _PARTS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+").findall
-_PLAIN = re.compile("[!-~¡-¬®-įı-ɏ]*").fullmatch
+# characters below U+0250 whose lower case is there too (not that of U+0130, U+0181, U+023A, ..)
+_PLAIN = re.compile("[!-~{}]*".format("".join(
+    c for c in map(chr, [*range(0xA1, 0xAD), *range(0xAE, 0x250)]) if max(c.lower()) < "\u0250"))).fullmatch
 _ODD_SPACE = re.compile("[\x1c-\x1f]").search  # white space to Python only
 
 

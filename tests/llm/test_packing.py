@@ -31,6 +31,13 @@ def test_ids_equal_the_library(tokenizer):
             assert np.frombuffer(own(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_every_character_between_letters(tokenizer):
+    own = packing.WordTokenizer(PATH)
+    for c in map(chr, range(0x21, 0x250)):
+        for text in (f"a{c}b", f"{c}b", f"a{c}", f"A{c}{c}B"):
+            assert np.frombuffer(own(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def naive_bfd(lengths, capacity):
     left = []
     for n in sorted(lengths, reverse=True):
