@@ -1,7 +1,8 @@
 """License statements: fixed phrases plus an exact set-similarity join with templates.
 
-A text block is a window of ``BLOCK`` words, one starting every ``BLOCK`` / 2 words, so that a
-passage of up to half a block stands whole in some block whatever its line breaks. A block
+A text block is a window of ``BLOCK`` words, for longer templates of ``BLOCK`` doubled until it
+holds twice the template's words; one starts every half block, so that a passage as long as the
+template stands whole in some block whatever its line breaks. A block
 matches a template when it holds at least ``CONTAINMENT`` of the template's distinct words.
 Words are ordered by their frequency over all documents, rarest first. Then
 
@@ -57,6 +58,14 @@ def _template_words(text: str) -> list[str]:
     return sorted(set(kept.split()))
 
 
+def block_words(text: str) -> int:
+    """Words of the text blocks that a template is compared with."""
+    size, least = BLOCK, 2 * len("".join(c if c.isalnum() else " " for c in text.lower()).split())
+    while size < least:
+        size *= 2
+    return size
+
+
 def places(words: Column, phrase: str) -> Column:
     """Starts of a phrase in an array of words, counted from 0."""
     parts = phrase.split()
@@ -95,28 +104,33 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "licenses")
-    sets = [(k, label, _template_words(text)) for k, (label, text) in enumerate(templates)]
-    order = frequency_order(docs, sorted({w for _, _, ws in sets for w in ws}), text_col)
+    sets = [(k, label, _template_words(text), block_words(text)) for k, (label, text) in enumerate(templates)]
+    order = frequency_order(docs, sorted({w for _, _, ws, _ in sets for w in ws}), text_col)
     rank = {w: k for k, w in enumerate(order)}
     index, prefixes = [], set()
-    for k, label, ws in sets:
+    for k, label, ws, size in sets:
         ranks = sorted(rank[w] for w in ws)
         need = math.ceil(threshold * len(ranks) - 1e-9)
         for i, r in enumerate(ranks[: len(ranks) - need + 1]):
-            index.append((k, label, r, i, need, ranks))
+            index.append((k, label, size, r, i, need, ranks))
             prefixes.add(order[r])
     prefix_words = F.array(*[F.lit(w) for w in sorted(prefixes)])
     ordered = F.array(*[F.lit(w) for w in order])
 
     words = F.col("words")
-    step = BLOCK // 2
-    every = F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / step).cast("int")),
-                        lambda b: F.slice(words, b * step + 1, F.lit(BLOCK)))
-    likely = F.filter(every, lambda block: F.arrays_overlap(block, prefix_words))
-    ranked = F.transform(likely, lambda block: F.array_sort(F.transform(
-        F.array_distinct(F.filter(block, lambda w: w.isin(order))),
-        lambda w: F.array_position(ordered, w).cast("int") - 1)))
-    blocks = F.when(F.arrays_overlap(words, prefix_words), ranked).otherwise(F.array().cast("array<array<int>>"))
+
+    def blocks_of(size: int) -> Column:
+        step = size // 2
+        every = F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / step).cast("int")),
+                            lambda b: F.slice(words, b * step + 1, F.lit(size)))
+        likely = F.filter(every, lambda block: F.arrays_overlap(block, prefix_words))
+        return F.transform(likely, lambda block: F.struct(F.lit(size).alias("size"), F.array_sort(F.transform(
+            F.array_distinct(F.filter(block, lambda w: w.isin(order))),
+            lambda w: F.array_position(ordered, w).cast("int") - 1)).alias("ranks")))
+
+    ranked = F.concat(*[blocks_of(size) for size in sorted({size for *_, size in sets} or {BLOCK})])
+    blocks = F.when(F.arrays_overlap(words, prefix_words), ranked).otherwise(
+        F.array().cast("array<struct<size:int,ranks:array<int>>>"))
     found = [places(words, p) for p, _ in PHRASES]
     labels = F.filter(F.array(*[F.when(F.size(f) > 0, F.lit(label)) for f, (_, label) in zip(found, PHRASES)]),
                       lambda x: x.isNotNull())
@@ -127,12 +141,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 F.flatten(F.array(*found)).alias("phrase_starts"), F.array_sort(labels).alias("phrase_labels"),
                 blocks.alias("blocks")), "rows")
 
-    block = F.posexplode(F.array_distinct("blocks")).alias("block", "ranks")
+    block = F.posexplode(F.array_distinct("blocks")).alias("block", "own")
     hit = rows.where(F.size("blocks") > 0).select("doc_id", "h", block).select(
-        "doc_id", "h", "block", "ranks", F.posexplode("ranks").alias("at", "rank"))
-    listed = spark.createDataFrame(index, "template int, label string, rank int, place int, need int, template_ranks array<int>")
+        "doc_id", "h", "block", "own.size", "own.ranks", F.posexplode("own.ranks").alias("at", "rank"))
+    listed = spark.createDataFrame(index, "template int, label string, size int, rank int, place int, need int, template_ranks array<int>")
     n_block, n_template = F.size("ranks"), F.size("template_ranks")
-    candidates = (hit.join(F.broadcast(listed), "rank")  # one row per template and prefix word
+    candidates = (hit.join(F.broadcast(listed), ["size", "rank"])  # one row per template and prefix word
                   .where(n_block >= F.col("need"))
                   .where(1 + F.least(n_block - F.col("at") - 1, n_template - F.col("place") - 1) >= F.col("need")))
     shared = F.size(F.array_intersect("ranks", "template_ranks"))

@@ -54,3 +54,14 @@ def test_no_python_and_empty_table(spark, docs_of):
     assert out.count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_templates_longer_than_a_block(spark, docs_of):
+    words = [f"w{k}" for k in range(300)]
+    templates = [("long", " ".join(words)), ("middle", " ".join(words[:90])), ("short", "p q r s t")]
+    rows = [(at, " ".join(["x"] * at + words + ["y"] * 50)) for at in (0, 63, 200, 299, 450)]
+    rows += [(1000 + at, " ".join(["x"] * at + words[:90] + ["y"] * 50)) for at in (50, 100)]
+    rows += [(2000, " ".join(words[:60])), (2001, " ".join(words[60:290])), (2002, ("z " * 150).join("pqrst"))]
+    got = {x.doc_id: x.labels for x in licenses.scan(docs_of(rows), templates=templates).collect()}
+    assert all(got[at] == ["long", "middle"] for at in (0, 63, 200, 299, 450))
+    assert got[1050] == got[1100] == ["middle"] and got[2000] == got[2001] == got[2002] == []
