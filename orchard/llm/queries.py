@@ -16,6 +16,7 @@ from orchard.llm import (
     simhash,
     substrings,
     url_rules,
+    vector_packing,
 )
 
 
@@ -97,6 +98,12 @@ def op10_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset; 4096 tokens, 256 segments a sequence."""
+    limits = vector_packing.Limits(tokens=4096, segments=256, loss=4096)
+    return vector_packing.pack(_table(spark, sf_dir, "documents"), packing.default_tokenizer(), limits, end_id=2)
+
+
 QUERIES = {
     "op1_pca_tiled_embedding_dedup": op1_pca_tiled_embedding_dedup,
     "op2_randomness_secret_scan": op2_randomness_secret_scan,
@@ -108,6 +115,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_virtual_slot_sharding": op9_virtual_slot_sharding,
     "op10_url_range_join": op10_url_range_join,
+    "op11_vector_bin_packing": op11_vector_bin_packing,
 }
 
 ORACLE = {
