@@ -16,6 +16,7 @@ from orchard.llm import (
     simhash,
     substrings,
     url_rules,
+    vector_codes,
     vector_packing,
 )
 
@@ -104,6 +105,14 @@ def op11_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack(_table(spark, sf_dir, "documents"), packing.default_tokenizer(), limits, end_id=2)
 
 
+def op12_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, code, error, label_error, codebooks_sha256 of every usable vector; 8 parts, 16 entries, 6 rounds."""
+    codes = vector_codes.compress(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    return vector_codes.label_errors(codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_pca_tiled_embedding_dedup": op1_pca_tiled_embedding_dedup,
     "op2_randomness_secret_scan": op2_randomness_secret_scan,
@@ -116,6 +125,7 @@ QUERIES = {
     "op9_virtual_slot_sharding": op9_virtual_slot_sharding,
     "op10_url_range_join": op10_url_range_join,
     "op11_vector_bin_packing": op11_vector_bin_packing,
+    "op12_norm_of_sum_codes": op12_norm_of_sum_codes,
 }
 
 ORACLE = {
@@ -123,4 +133,5 @@ ORACLE = {
     "op5_license_similarity_join": licenses.oracle(),
     "op6_benchmark_decontamination": decontaminate.ORACLE,
     "op10_url_range_join": url_rules.ORACLE,
+    "op12_norm_of_sum_codes": vector_codes.oracle(),
 }
