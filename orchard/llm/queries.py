@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orchard.llm import (
     decontaminate,
     embeddings,
+    filter_audit,
     language,
     licenses,
     packing,
@@ -113,6 +114,11 @@ def op12_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(codes.digest()).alias("codebooks_sha256"))
 
 
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """kept, removed, redundant, .. per part, order of the five filters and step, over all documents."""
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pca_tiled_embedding_dedup": op1_pca_tiled_embedding_dedup,
     "op2_randomness_secret_scan": op2_randomness_secret_scan,
@@ -126,6 +132,7 @@ QUERIES = {
     "op10_url_range_join": op10_url_range_join,
     "op11_vector_bin_packing": op11_vector_bin_packing,
     "op12_norm_of_sum_codes": op12_norm_of_sum_codes,
+    "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
 
 ORACLE = {
@@ -134,4 +141,5 @@ ORACLE = {
     "op6_benchmark_decontamination": decontaminate.ORACLE,
     "op10_url_range_join": url_rules.ORACLE,
     "op12_norm_of_sum_codes": vector_codes.oracle(),
+    "op13_filter_interaction_audit": filter_audit.ORACLE,
 }
