@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orchard.operators.dictionary import sorted_index
 from orchard.operators.prefix import dense_index as _dense_index
 
 # Default event weights and positive events of the strategies.
@@ -64,7 +66,12 @@ def min_interactions(df: DataFrame, n: int, user_col: str = "visitorid",
 
 
 def dense_index(df: DataFrame, col: str, index_col: str, n_buckets: int | None = None) -> DataFrame:
-    """Distinct ids -> 0-based dense index in ascending id order: (col, index_col)."""
+    """Distinct ids -> 0-based dense index in ascending id order: (col, index_col).
+
+    Numbers are cut into value ranges by quantiles, other ids by splits sampled from their own type.
+    """
+    if not isinstance(df.schema[col].dataType, T.NumericType):
+        return sorted_index(df, col, index_col)
     return _dense_index(df, col, index_col, n_buckets=n_buckets)
 
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from orchard.operators import interactions as I
+from orchard.operators.dictionary import update_index
 from orchard.plans.registry import register
+from orchard.session import ensure_checkpoint_dir
 from orchard.sources import fixtures as fx
 
 MIN_N = 5  # minimum interactions of a user and of an item, the default of the training configuration
@@ -77,6 +83,28 @@ def q_dense_items(spark, sf_dir):
     return I.dense_index(fx.interactions_raw(spark, sf_dir), "itemid", "item_idx")
 
 
+@register("dense_index_text", fx.with_views("""
+SELECT uid, CAST(row_number() OVER (ORDER BY uid) - 1 AS BIGINT) AS user_idx
+FROM (SELECT DISTINCT 'u' || CAST(visitorid AS VARCHAR) AS uid FROM interactions_raw)""", "interactions_raw"))
+def q_dense_text(spark, sf_dir):
+    """Dense index of ids that are text."""
+    ids = fx.interactions_raw(spark, sf_dir).select(F.concat(F.lit("u"), F.col("visitorid").cast("string")).alias("uid"))
+    return I.dense_index(ids, "uid", "user_idx")
+
+
+@register("index_versions", fx.with_views("""
+WITH e AS (SELECT 'u' || CAST(visitorid AS VARCHAR) AS uid, event FROM interactions_raw),
+v AS (SELECT uid, min(CASE event WHEN 'transaction' THEN 1 WHEN 'addtocart' THEN 2 ELSE 3 END) AS version FROM e GROUP BY uid)
+SELECT uid, CAST(row_number() OVER (ORDER BY version, uid) - 1 AS BIGINT) AS user_idx FROM v""", "interactions_raw"))
+def q_index_versions(spark, sf_dir):
+    """A dictionary in three runs: buyers, then cart users, then everybody; earlier numbers stay."""
+    ev = fx.interactions_raw(spark, sf_dir).withColumn("uid", F.concat(F.lit("u"), F.col("visitorid").cast("string")))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    for kinds in (("transaction",), ("transaction", "addtocart")):
+        update_index(ev.where(F.col("event").isin(*kinds)), "uid", "user_idx", path)
+    return update_index(ev, "uid", "user_idx", path)
+
+
 @register("apply_index", fx.with_views(f"""
 WITH {_FILTERED},
 u AS (SELECT visitorid, CAST(row_number() OVER (ORDER BY visitorid) - 1 AS BIGINT) AS user_idx
