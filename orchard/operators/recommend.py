@@ -1,17 +1,15 @@
 """Scoring and recommendation: factor scoring, per-user top-K, popularity fallback for
 cold users, request routing and rejects, index decoding.
 
-Top-K over a whole catalog never materialises the user x item table. Items are taken in
-blocks of bounded size, each broadcast for one pass over the users; a task scores its
-users against slices of the block and keeps a running top k, so only k rows per user and
-block leave it and its memory does not depend on the number of items. A per-user window
-keeps the final k. The same path serves every catalogue size.
+Top-K over a whole catalog never materialises the user x item table. Users are dealt into
+blocks; every block meets the items in descending order of their norm, tile by tile, in one
+sorted stream per task. A user leaves the race at the tile whose largest norm cannot reach the
+user's k-th score any more (Cauchy-Schwarz), so most tiles are not scored. No item passes the
+driver, a task holds one block of users and one tile, and the same path serves every catalogue size.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,10 +17,11 @@ from pyspark.sql import functions as F
 
 from orchard.functions.expressions import mf_logit, sigmoid
 
-BLOCK_SCHEMA = "user_idx long, item_idx long, logit double"
-
+TOP_SCHEMA = "user_idx long, item_idx long, logit double, rank long"
+USER, SEEN, ITEM = range(3)  # kinds of rows in a block's stream
 
-BLOCK_BYTES = 64 << 20  # item factors that one broadcast holds
+BLOCK_USERS = 16384  # users that one task holds
+BLOCK_BYTES = 2 << 20  # item factors of one tile
 SLICE = 4096  # items scored at once
 ROWS = 1024  # users scored at once
 
@@ -69,62 +68,140 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.vstack(series.to_numpy()).astype(np.float64, copy=False)
 
 
+class _UserBlock:
+    """The users of one block with their best items so far; tiles come in descending order of norm."""
+
+    def __init__(self, ids: list, factors: list, bias: list, k: int, mu: float):
+        self.ids, self.k, self.mu = np.array(ids, np.int64), k, mu
+        self.P, self.bu = np.vstack(factors).astype(np.float64), np.array(bias, np.float64)
+        self.norm = np.sqrt((self.P ** 2).sum(1) + 1)  # of (factors, 1): the item's bias is its last coordinate
+        self.row_of = {u: n for n, u in enumerate(self.ids.tolist())}
+        self.open = np.arange(len(ids))
+        self.best = np.full((len(ids), 0), -np.inf)
+        self.best_ids = np.zeros((len(ids), 0), np.int64)
+
+    def meet(self, items: np.ndarray, Q: np.ndarray, bi: np.ndarray, norm: float, seen: tuple[np.ndarray, np.ndarray]) -> None:
+        """Scores a tile whose items' norms are at most ``norm`` for the users that it can still serve."""
+        if self.best.shape[1] >= self.k:
+            reach = self.norm[self.open] * norm * (1 + 1e-9) + self.bu[self.open] + self.mu + 1e-9
+            self.open = self.open[reach >= self.best[self.open, self.k - 1]]
+        order = np.argsort(items, kind="stable")
+        items, Q, bi = items[order], Q[order], bi[order]
+        width = min(self.k, self.best.shape[1] + len(items))
+        best, best_ids = np.full((len(self.ids), width), -np.inf), np.zeros((len(self.ids), width), np.int64)
+        best[:, :self.best.shape[1]], best_ids[:, :self.best.shape[1]] = self.best, self.best_ids
+        for a in range(0, len(self.open), ROWS):
+            rows = self.open[a:a + ROWS]
+            at = np.searchsorted(rows, seen[0])
+            own = (at < len(rows)) & (rows[np.minimum(at, len(rows) - 1)] == seen[0])
+            S, ids = _block_top_k(self.P[rows], self.bu[rows], items, Q, bi, self.k, self.mu,
+                                  (at[own], seen[1][own]) if own.any() else None)
+            S, ids = _best(np.concatenate((self.best[rows], S), 1), np.concatenate((self.best_ids[rows], ids), 1), self.k)
+            best[rows, :S.shape[1]], best_ids[rows, :S.shape[1]] = S, ids
+        self.best, self.best_ids = best, best_ids
+
+    def result(self) -> pd.DataFrame:
+        real = np.isfinite(self.best)
+        row, rank = np.nonzero(real)
+        return pd.DataFrame({"user_idx": self.ids[row], "item_idx": self.best_ids[real], "logit": self.best[real], "rank": rank + 1})
+
+
+def _race(k: int, mu: float, tile: int):
+    """Function over a stream of rows (block, norm, kind, id, item, factors, bias): the top k of each block's users.
+
+    In a block the users come first, then the items in descending order of their norm, each right after
+    the seen pairs that name it.
+    """
+
+    def run(it):
+        users, seen, held, block, number = ([], [], []), ([], []), ([], [], [], []), None, None
+
+        def score():
+            ids, factors, bias, norms = held
+            rows = np.array([block.row_of.get(u, -1) for u in seen[0]], np.int64)
+            items = np.array(seen[1], np.int64)
+            block.meet(np.array(ids, np.int64), np.vstack(factors).astype(np.float64), np.array(bias, np.float64),
+                       norms[0], (rows[rows >= 0], items[rows >= 0]))
+            for part in (*held, *seen):
+                part.clear()
+
+        def finish():
+            nonlocal block
+            if block is not None:
+                if held[0]:
+                    score()
+                yield block.result()
+            block = None
+            for part in (*users, *seen, *held):
+                part.clear()
+
+        for pdf in it:
+            kinds, blocks = pdf["kind"].to_numpy(), pdf["block"].to_numpy()
+            turns = np.flatnonzero(np.diff(blocks * 2 + (kinds != USER))) + 1
+            starts = [0, *turns.tolist(), len(pdf)] if len(pdf) else []
+            for a, b in zip(starts, starts[1:]):
+                if blocks[a] != number:
+                    yield from finish()
+                    number = blocks[a]
+                if kinds[a] == USER:
+                    for own, c in zip(users, ("id", "factors", "bias")):
+                        own.extend(pdf[c].iloc[a:b])
+                    continue
+                if block is None and users[0]:
+                    block = _UserBlock(*users, k, mu)
+                at = np.flatnonzero(kinds[a:b] == ITEM) + a
+                while a < b and block is not None and len(block.open):
+                    room = tile - len(held[0])
+                    end = int(at[room - 1]) + 1 if len(at) >= room else b
+                    part, kind = pdf.iloc[a:end], kinds[a:end]
+                    for own, c in zip(seen, ("id", "item")):
+                        own.extend(part[c][kind == SEEN].astype(np.int64))
+                    for own, c in zip(held, ("id", "factors", "bias", "norm")):
+                        own.extend(part[c][kind == ITEM])
+                    if len(held[0]) >= tile:
+                        score()
+                    a, at = end, at[room:]
+        yield from finish()
+
+    return run
+
+
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, global_bias: float = 0.0,
-                 block_bytes: int = BLOCK_BYTES, exclude_seen: DataFrame | None = None) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, exclude_seen: DataFrame | None = None,
+                 block_users: int = BLOCK_USERS) -> DataFrame:
     """Top-k items per user under the biased dot-product (MF) score.
 
-    users: (user_idx, factors, bias); items: (item_idx, factors, bias).
+    users: (user_idx, factors, bias), one row per user; items: (item_idx, factors, bias).
     Returns (user_idx, item_idx, logit, score, rank); ordering score desc, item asc.
     ``exclude_seen`` (user_idx, item_idx): those pairs are never recommended (default: the
-    reference behaviour, seen items stay eligible). A user's seen items travel block by block,
-    so a list is never longer than a block of items.
+    reference behaviour, seen items stay eligible).
 
-    Items are dealt by hash into blocks of about ``block_bytes``; a block passes through the
-    driver once. Users are read once per block, and are not shuffled.
+    One shuffle: users once, the items once per block of ``block_users`` users, the seen pairs to
+    the place of their item in the stream. Items are scored in tiles of about ``block_bytes``.
     """
-    spark = users.sparkSession
-    stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factors")).alias("d")).first()
-    n_items, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-    n_blocks = max(1, -(-n_items * (max(dim, 1) + 2) * 8 // block_bytes))
-    mu = float(global_bias)
-    has_seen = exclude_seen is not None
-    block_of = F.pmod(F.xxhash64("item_idx"), F.lit(n_blocks))
-
-    def scorer(shared):
-        def score_batches(it):
-            ids, Q, bi = shared.value
-            for pdf in it:
-                for a in range(0, len(pdf), ROWS):
-                    part = pdf.iloc[a:a + ROWS]
-                    seen = None
-                    if has_seen:
-                        lists = [np.zeros(0, np.int64) if x is None else np.asarray(x, np.int64) for x in part["_seen"]]
-                        seen = np.repeat(np.arange(len(part)), [len(x) for x in lists]), np.concatenate(lists)
-                    best, best_ids = _block_top_k(_matrix(part["factors"]), part["bias"].to_numpy(np.float64), ids, Q, bi,
-                                                  k, mu, seen)
-                    real = np.isfinite(best)
-                    row, _ = np.nonzero(real)
-                    yield pd.DataFrame({"user_idx": part["user_idx"].to_numpy(np.int64)[row],
-                                        "item_idx": best_ids[real], "logit": best[real]})
-
-        return score_batches
-
-    parts = []
-    for b in range(n_blocks):
-        ip = items.where(block_of == b).select("item_idx", "factors", "bias").toPandas().sort_values("item_idx")
-        if not len(ip):
-            continue
-        shared = spark.sparkContext.broadcast(
-            (ip["item_idx"].to_numpy(np.int64), _matrix(ip["factors"]), ip["bias"].to_numpy(np.float64)))
-        u = users.select("user_idx", "factors", "bias")
-        if has_seen:
-            own = exclude_seen.where(block_of == b).groupBy("user_idx").agg(F.collect_set("item_idx").alias("_seen"))
-            u = u.join(own, "user_idx", "left")
-        parts.append(u.mapInPandas(scorer(shared), BLOCK_SCHEMA))
-    local = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], BLOCK_SCHEMA)
-    w = Window.partitionBy("user_idx").orderBy(F.col("logit").desc(), F.col("item_idx").asc())
-    out = local.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
-    return out.select("user_idx", "item_idx", "logit", sigmoid("logit").alias("score"), "rank")
+    parts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = users.count()
+    blocks = max(-(-n // block_users), min(parts, n // 64), 1)
+    block = F.pmod(F.xxhash64("user_idx"), F.lit(blocks)).cast("int")
+    squares = F.aggregate("factors", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    norm = F.sqrt(squares + F.col("bias") * F.col("bias"))
+    bias, every = F.col("bias").cast("double").alias("bias"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    factors = F.transform("factors", lambda x: x.cast("double")).alias("factors")
+    no = F.lit(None)
+    stream = users.select(block.alias("block"), F.lit(float("inf")).alias("norm"), F.lit(USER).alias("kind"),
+                          F.col("user_idx").alias("id"), no.cast("long").alias("item"), factors, bias)
+    stream = stream.unionByName(items.select(every, norm.alias("norm"), F.lit(ITEM).alias("kind"),
+                                             F.col("item_idx").alias("id"), F.col("item_idx").alias("item"), factors, bias))
+    if exclude_seen is not None:
+        pairs = exclude_seen.select("user_idx", "item_idx").join(items.select("item_idx", norm.alias("norm")), "item_idx")
+        stream = stream.unionByName(pairs.select(
+            block.alias("block"), "norm", F.lit(SEEN).alias("kind"), F.col("user_idx").alias("id"),
+            F.col("item_idx").alias("item"), no.cast("array<double>").alias("factors"), no.cast("double").alias("bias")))
+    dim = items.select(F.max(F.size("factors"))).first()[0] or 1
+    tile = max(1, block_bytes // (8 * (dim + 2)))
+    top = (stream.repartition(blocks, "block").sortWithinPartitions("block", F.col("kind") != USER, F.col("norm").desc(), "item", "kind")
+           .mapInPandas(_race(k, float(global_bias), tile), TOP_SCHEMA))
+    return top.select("user_idx", "item_idx", "logit", sigmoid("logit").alias("score"), "rank")
 
 
 def top_k_per_user(scores: DataFrame, k: int, user_col: str = "user_idx", item_col: str = "item_idx",

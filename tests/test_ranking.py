@@ -62,6 +62,39 @@ def test_top_k_matches_brute_force(spark, block):
         assert [it for _, it in sorted(got[u * 3 + 1])] == [j * 3 + 1 for j in order]
 
 
+def test_users_leave_when_norms_cannot_reach_their_best():
+    """Tiles behind the bound are not scored, and the result is that of scoring all."""
+    rng = np.random.default_rng(3)
+    P, Q = rng.normal(size=(50, 6)), rng.normal(size=(4000, 6)) * rng.exponential(size=(4000, 1))
+    bu, bi = rng.normal(size=50), rng.normal(size=4000) / 10
+    block = R._UserBlock(list(range(50)), list(P), list(bu), 5, 0.25)
+    norm = np.sqrt((Q ** 2).sum(1) + bi ** 2)
+    scored, none = 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for t in np.split(np.argsort(-norm), 80):
+        if len(block.open):
+            block.meet(t, Q[t], bi[t], norm[t[0]], none)
+            scored += len(block.open)
+    S = P @ Q.T + bu[:, None] + bi + 0.25
+    assert scored < 0.5 * 50 * 80
+    for u in range(50):
+        assert block.best_ids[u].tolist() == sorted(range(4000), key=lambda j: (-S[u, j], j))[:5]
+
+
+def test_top_k_many_blocks(spark):
+    users, P, bu = _factors(spark, 300, 4, 5, "user_idx")
+    items, Q, bi = _factors(spark, 60, 4, 6, "item_idx")
+    seen = spark.createDataFrame([(u * 3 + 1, j * 3 + 1) for u in range(0, 300, 7) for j in range(0, 60, 2)], "user_idx long, item_idx long")
+    out = R.top_k_scores(users, items, 6, 0.5, block_bytes=300, block_users=40, exclude_seen=seen)
+    assert "BroadcastNestedLoopJoin" not in out._jdf.queryExecution().toString()
+    S = P @ Q.T + bu[:, None] + bi[None, :] + 0.5
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.user_idx, []).append((r.rank, r.item_idx))
+    for u in range(300):
+        allowed = [j for j in range(60) if u % 7 or j % 2]
+        assert [i for _, i in sorted(got[u * 3 + 1])] == [j * 3 + 1 for j in sorted(allowed, key=lambda j: (-S[u, j], j))[:6]]
+
+
 def test_top_k_ties_prefer_smaller_item(spark):
     users = spark.createDataFrame([(0, [1.0], 0.0)], "user_idx long, factors array<double>, bias double")
     items = spark.createDataFrame([(i, [1.0], 0.0) for i in (9, 3, 5, 1)], "item_idx long, factors array<double>, bias double")
