@@ -295,20 +295,16 @@ def majority_baseline(train: DataFrame, test: DataFrame, label_col: str = "label
 
 # --- SMOTE ----------------------------------------------------------------------------------
 
-def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: int = 5, seed: int = 42,
-          **top_k_kwargs) -> DataFrame:
+def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: int = 5, seed: int = 42) -> DataFrame:
     """Oversample the minority class to parity by interpolating towards one of the k nearest
     minority neighbours (exact Euclidean kNN).
 
-    The neighbour search reuses the top-K scorer: for a fixed x, ||x - y||^2 is smallest where
-    2 x.y - ||y||^2 is largest, i.e. a dot product plus an item bias; each point is excluded
-    from its own list. Items are the minority rows, so the broadcast (size-checked) or blocked
-    path applies and only k rows per point leave a task - no pair table. Each row gets
-    floor(need / n_min) synthetic rows, plus one for the first (need mod n_min) rows in hash
-    order; a synthetic row is x + lambda * (neighbour - x) with a hash-seeded neighbour rank and
-    lambda in [0, 1).
+    The neighbours come from the pivot search of ``knn``: cells and triangle bounds in place of all
+    distances. Each row gets floor(need / n_min) synthetic rows, plus one for the first (need mod
+    n_min) rows in hash order; a synthetic row is x + lambda * (neighbour - x) with a hash-seeded
+    neighbour rank and lambda in [0, 1).
     """
-    from orchard.operators.recommend import top_k_scores
+    from orchard.operators.knn import nearest_neighbours
     from orchard.session import cut_lineage
 
     counts = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -323,13 +319,8 @@ def smote(df: DataFrame, feature_cols: list[str], label_col: str = "label", k: i
     mino = cut_lineage(df.where(F.col(label_col) == minority).select(*feature_cols)
                        .withColumn("_id", F.monotonically_increasing_id()))
     x = F.array(*[F.col(c).cast("double") for c in feature_cols])
-    sq = sum((F.col(c).cast("double") * F.col(c).cast("double") for c in feature_cols), F.lit(0.0))
-    queries = mino.select(F.col("_id").alias("user_idx"), F.transform(x, lambda v: 2.0 * v).alias("factors"),
-                          F.lit(0.0).alias("bias"))
-    points = mino.select(F.col("_id").alias("item_idx"), x.alias("factors"), (-sq).alias("bias"))
-    itself = mino.select(F.col("_id").alias("user_idx"), F.col("_id").alias("item_idx"))
-    nn = top_k_scores(queries, points, k, exclude_seen=itself, **top_k_kwargs).select(
-        F.col("user_idx").alias("_id"), F.col("rank").alias("_g"), F.col("item_idx").alias("_nb"))
+    nn = nearest_neighbours(mino.select("_id", x.alias("x")), k, "_id").select(
+        F.col("id").alias("_id"), F.col("rank").alias("_g"), F.col("nb").alias("_nb"))
     ranked = running_sums(mino.withColumn("_h", F.xxhash64("_id", F.lit(seed))).withColumn("_one", F.lit(1)),
                           "_h", ["_one"], tiebreak=["_id"])
     base, rem = divmod(need, n_min)
