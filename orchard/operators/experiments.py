@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,40 +97,85 @@ def champion_decision(run_metrics: DataFrame, metric: str, incumbent_run: str |
         .when(F.col("incumbent_value").isNull(), F.lit(True)).otherwise(better))
 
 
+SEGMENT = 1 << 16  # epochs that one task of the stopper's scan holds
+
+
+def _hops(values: np.ndarray, patience: int, min_delta: float) -> np.ndarray:
+    """Place of the first value within ``patience`` places that is below each value by more than ``min_delta``; -1: none."""
+    n = len(values)
+    hop = np.full(n, -1, np.int64)
+    for step in range(1, min(patience, n - 1) + 1):
+        better = np.zeros(n, bool)
+        better[:n - step] = values[step:] < values[:n - step] - min_delta
+        hop[better & (hop < 0)] = step
+    return np.where(hop > 0, np.arange(n) + hop, -1)
+
+
 def early_stop_point(epoch_metrics: DataFrame, patience: int = 3, mode: str = "min",
                      min_delta: float = 0.0) -> DataFrame:
     """Per run, replay early stopping over its epochs in order.
 
     Returns run, best_value, best_epoch, num_bad_epochs (when stopping / at the end) and
     stop_epoch (null: never stopped). patience <= 0 disables the stopper (no tracking).
-    The fold runs over one run's epoch list (a handful of rows per run).
+    Null and NaN values improve on nothing, and every other value improves on them.
+
+    A segmented scan: an improvement is followed by the next one within ``patience`` epochs or by the
+    stop, so a segment of ``SEGMENT`` epochs is entered at one of its first ``patience`` ones. Each
+    segment is a task that says, for each of these entries, where the chain of improvements leaves it;
+    a run's segments, ``patience`` rows each, are then followed from the first.
     """
     if mode not in ("min", "max"):
         raise ValueError(f"mode must be 'min' or 'max', got {mode!r}")
-    seq = epoch_metrics.groupBy("run").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("epoch").cast("int").alias("epoch"),
-                                             F.col("value").cast("double").alias("value")))).alias("_s"))
-    init = F.struct(F.lit(None).cast("double").alias("best"), F.lit(None).cast("int").alias("best_epoch"),
-                    F.lit(0).alias("bad"), F.lit(None).cast("int").alias("stop"))
+    schema = "run {}, best_value double, best_epoch int, num_bad_epochs int, stop_epoch int".format(
+        epoch_metrics.schema["run"].dataType.simpleString())
+    rows = epoch_metrics.select("run", F.col("epoch").cast("int").alias("epoch"), F.col("value").cast("double").alias("value"))
     if patience <= 0:
-        return seq.select("run", F.lit(None).cast("double").alias("best_value"),
-                          F.lit(None).cast("int").alias("best_epoch"), F.lit(0).alias("num_bad_epochs"),
-                          F.lit(None).cast("int").alias("stop_epoch"))
-
-    def step(acc, e):
-        v = e["value"]
-        imp = (v < acc["best"] - min_delta) if mode == "min" else (v > acc["best"] + min_delta)
-        improved = acc["best"].isNull() | imp
-        bad = acc["bad"] + 1
-        return F.when(acc["stop"].isNotNull(), acc).when(
-            improved, F.struct(v.alias("best"), e["epoch"].alias("best_epoch"), F.lit(0).alias("bad"),
-                               acc["stop"].alias("stop"))
-        ).otherwise(F.struct(acc["best"].alias("best"), acc["best_epoch"].alias("best_epoch"), bad.alias("bad"),
-                             F.when(bad >= patience, e["epoch"]).alias("stop")))
-
-    st = seq.select("run", F.aggregate("_s", init, step).alias("st"))
-    return st.select("run", F.col("st.best").alias("best_value"), F.col("st.best_epoch").alias("best_epoch"),
-                     F.col("st.bad").alias("num_bad_epochs"), F.col("st.stop").alias("stop_epoch"))
+        return rows.groupBy("run").agg(F.lit(None).cast("double").alias("best_value"), F.lit(None).cast("int").alias("best_epoch"),
+                                       F.lit(0).alias("num_bad_epochs"), F.lit(None).cast("int").alias("stop_epoch"))
+    length = max(SEGMENT, 4 * patience)
+    sign = 1.0 if mode == "min" else -1.0
+    placed = running_sums(rows.withColumn("_one", F.lit(1).cast("long")), "epoch", ["_one"], group_cols=["run"],
+                          tiebreak=["value"]).withColumn("place", F.col("_one_cum") - 1)
+    own = F.floor(F.col("place") / length).cast("long")
+    ahead = (F.col("place") % length < patience) & (own > 0)  # a segment also sees the first epochs of the next
+    segments = F.when(ahead, F.array(own - 1, own)).otherwise(F.array(own))
+    dealt = placed.select("run", F.explode(segments).alias("segment"), "place", "epoch", "value")
+
+    def leave(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place")
+        epoch, value = pdf["epoch"].to_numpy(), pdf["value"].to_numpy(np.float64)
+        v = np.where(np.isnan(value), np.inf, sign * value)
+        n, inner = len(v), min(len(v), length)
+        hop = _hops(v, patience, min_delta)
+        last = np.arange(n)  # where the chain through each place ends or leaves the segment
+        for j in range(inner - 1, -1, -1):
+            if hop[j] >= 0:
+                last[j] = hop[j] if hop[j] >= inner else last[hop[j]]
+        out = []
+        for j in range(min(patience, inner)) if key[1] else (0,):
+            end = int(last[j])
+            if end >= inner:
+                out.append((end - inner, None, None, None, None))
+            else:
+                stop = end + patience
+                out.append((None, value[end], epoch[end], min(patience, n - 1 - end), epoch[stop] if stop < n else None))
+        found = pd.DataFrame(out, columns=["leaves", "best_value", "best_epoch", "num_bad_epochs", "stop_epoch"], dtype=object)
+        found.insert(0, "entry", np.arange(len(out)))
+        found.insert(0, "segment", key[1])
+        found.insert(0, "run", key[0])
+        return found
+
+    chains = dealt.groupBy("run", "segment").applyInPandas(
+        leave, schema.replace(", best_value", ", segment long, entry int, leaves int, best_value", 1))
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = pdf.set_index(["segment", "entry"])
+        segment, entry = 0, 0
+        while pd.notna(table.at[(segment, entry), "leaves"]):
+            segment, entry = segment + 1, int(table.at[(segment, entry), "leaves"])
+        return table.loc[[(segment, entry)], ["run", "best_value", "best_epoch", "num_bad_epochs", "stop_epoch"]]
+
+    return chains.groupBy("run").applyInPandas(follow, schema)
 
 
 def comparison_table(run_metrics: DataFrame, metrics=METRICS) -> DataFrame:

@@ -7,15 +7,19 @@
 * performance drift: z = |mean - baseline mean| / baseline std, flag z > threshold,
   one-sided p = 1 - Phi(z)
 * data shift: two-sample Kolmogorov-Smirnov between the baseline's latest batch and the
-  current latest batch; D from distributed running counts, p from the asymptotic series
+  current latest batch; D from distributed running counts, p from lattice paths (small samples) or
+  the asymptotic series
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orchard.operators.prefix import running_sums
 
@@ -109,8 +113,44 @@ def kolmogorov_sf(lam: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
+EXACT_KS = 10_000  # largest sample for which the p-value counts lattice paths
+
+
+def ks_exact_p(n_a: int, n_b: int, statistic: float) -> float:
+    """P(D >= ``statistic``) of two samples from one continuous law, by lattice paths.
+
+    Merging the samples is a path from (0, 0) to (n_a, n_b), all paths alike. The path takes a step for a with
+    probability (a's left) / (all left); the probability that it ever is ``statistic`` off the diagonal is summed
+    up diagonal by diagonal, over the band that is still inside.
+    """
+    n = n_a + n_b
+    d = round(statistic * n_a * n_b)
+    if d <= 0:
+        return 1.0
+    mass, low, outside = np.ones(1), 0, 0.0  # mass[x]: path inside so far with low + x steps for a
+    for s in range(n):
+        i = np.arange(low, low + len(mass))
+        grown = np.append(mass * (n_b - (s - i)) / (n - s), 0.0)
+        grown[1:] += mass * (n_a - i) / (n - s)
+        first, last = max(low, ((s + 1) * n_a - d) // n + 1), min(low + len(mass), -(-((s + 1) * n_a + d) // n) - 1)
+        kept = grown[first - low:last - low + 1]
+        outside += grown[:first - low].sum() + grown[last - low + 1:].sum()
+        mass, low = kept, first
+        if not len(mass):
+            break
+    return float(min(1.0, outside))
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_ks(n_a: pd.Series, n_b: pd.Series, statistic: pd.Series) -> pd.Series:
+    return pd.Series([ks_exact_p(int(a), int(b), d) if max(a, b) <= EXACT_KS and min(a, b) > 0 else np.nan
+                      for a, b, d in zip(n_a.fillna(0), n_b.fillna(0), statistic.fillna(0))], dtype="float64")
+
+
 def ks_two_sample(a: DataFrame, b: DataFrame, score_col: str = "score") -> DataFrame:
-    """D = max |F_a - F_b| over the pooled scores, sizes, asymptotic p-value (one row).
+    """D = max |F_a - F_b| over the pooled scores, sizes, p-value (one row).
+
+    The p-value is exact for samples of at most ``EXACT_KS`` scores and asymptotic beyond.
 
     Scores are collapsed to (score, n_a, n_b) and the empirical CDFs come from distributed
     running counts, so neither sample is ever held by one task.
@@ -131,7 +171,9 @@ def ks_from_flags(rows: DataFrame) -> DataFrame:
     d = run.agg(F.max(F.abs(F.col("n_a_cum") / na - F.col("n_b_cum") / nb)).alias("statistic"))
     d = d.select("statistic", na.cast("long").alias("n_a"), nb.cast("long").alias("n_b"))
     en = (F.col("n_a") * F.col("n_b")).cast("double") / (F.col("n_a") + F.col("n_b"))
-    return d.withColumn("p_value", kolmogorov_sf(F.sqrt(en) * F.col("statistic")))
+    small = F.greatest("n_a", "n_b") <= EXACT_KS
+    return d.withColumn("p_value", F.when(small, _exact_ks("n_a", "n_b", "statistic")).otherwise(
+        kolmogorov_sf(F.sqrt(en) * F.col("statistic"))))
 
 
 def data_shift(log: DataFrame, baseline: DataFrame, alpha: float = KS_ALPHA) -> DataFrame:

@@ -131,3 +131,22 @@ FROM fin f""", "prediction_log"))
 def q_early_stop(spark, sf_dir):
     """Early stopping (mode min, patience 3) replayed over each run's epoch sequence."""
     return round_doubles(X.early_stop_point(epoch_metrics(spark, sf_dir), patience=3, mode="min"))
+
+
+@register("early_stop_min_delta", fx.with_views("""WITH em AS (
+  SELECT 'run_' || CAST(user_id % 4 AS VARCHAR) AS run, CAST(batch_id + 1 AS INT) AS epoch, round(avg(score), 4) AS value
+  FROM prediction_log GROUP BY ALL)
+SELECT e.run, r.best_value, r.best_epoch, r.num_bad_epochs, r.stop_epoch
+FROM (SELECT DISTINCT run FROM em) e, LATERAL (WITH RECURSIVE st AS (
+  SELECT 1 AS n, value AS best, epoch AS hit, 0 AS bad, CAST(NULL AS INT) AS stop FROM em WHERE em.run = e.run AND epoch = 1
+  UNION ALL
+  SELECT n + 1, CASE WHEN value > best + 0.002 THEN value ELSE best END, CASE WHEN value > best + 0.002 THEN epoch ELSE hit END,
+    CASE WHEN value > best + 0.002 THEN 0 ELSE bad + 1 END,
+    CASE WHEN value <= best + 0.002 AND bad + 1 >= 2 THEN epoch END
+  FROM st JOIN em ON em.run = e.run AND em.epoch = st.n + 1 WHERE stop IS NULL)
+  SELECT arg_max(best, n) AS best_value, arg_max(hit, n) AS best_epoch, arg_max(bad, n) AS num_bad_epochs,
+    max(stop) AS stop_epoch FROM st) r""", "prediction_log"))
+def q_early_stop_min_delta(spark, sf_dir):
+    """Early stopping of a metric that shall rise by more than 0.002, patience 2, over each run's epochs."""
+    em = epoch_metrics(spark, sf_dir).withColumn("value", F.round("value", 4))
+    return X.early_stop_point(em, patience=2, mode="max", min_delta=0.002)

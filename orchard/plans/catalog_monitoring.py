@@ -67,7 +67,19 @@ kd AS (SELECT max(abs(ca / (SELECT na FROM kn) - cb / (SELECT nb FROM kn))) AS s
 kl AS (SELECT statistic, sqrt((SELECT na * nb / (na + nb) FROM kn)) * statistic AS lam FROM kd),
 ks AS (SELECT 'data_shift' AS shift_type, statistic, CAST((SELECT na FROM kn) AS BIGINT) AS n_a,
   CAST((SELECT nb FROM kn) AS BIGINT) AS n_b,
-  CASE WHEN lam < 0.2 THEN 1e0 ELSE least(1e0, greatest(0e0, 2e0 * list_sum(list_transform(range(1, 101),
+  CASE WHEN (SELECT greatest(na, nb) FROM kn) <= 10000 THEN (WITH RECURSIVE
+    kz AS (SELECT CAST(na AS BIGINT) AS a, CAST(nb AS BIGINT) AS b, CAST(round(statistic * na * nb) AS BIGINT) AS d
+      FROM kn, kd),
+    kx AS (SELECT 0 AS s, [CASE WHEN i = 0 THEN 1e0 ELSE 0e0 END FOR i IN range(0, a + 1)] AS p, 0e0 AS o, a, b, d FROM kz
+      UNION ALL
+      SELECT s + 1, [CASE WHEN abs(i * (a + b) - (s + 1) * a) < d THEN q[i + 1] ELSE 0e0 END FOR i IN range(0, a + 1)],
+        o + list_sum([CASE WHEN abs(i * (a + b) - (s + 1) * a) >= d THEN q[i + 1] ELSE 0e0 END FOR i IN range(0, a + 1)]),
+        a, b, d
+      FROM (SELECT s, o, a, b, d, [p[i + 1] * greatest(b - (s - i), 0) / (a + b - s)
+          + CASE WHEN i > 0 THEN p[i] * (a - (i - 1)) / (a + b - s) ELSE 0e0 END FOR i IN range(0, a + 1)] AS q
+        FROM kx WHERE s < a + b))
+    SELECT max(CASE WHEN d <= 0 THEN 1e0 ELSE least(1e0, o) END) FROM kx WHERE s = a + b)
+  WHEN lam < 0.2 THEN 1e0 ELSE least(1e0, greatest(0e0, 2e0 * list_sum(list_transform(range(1, 101),
     lambda k: CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2e0 * k * k * lam * lam))))) END AS p_value
   FROM kl)"""
 

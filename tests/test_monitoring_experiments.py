@@ -81,3 +81,53 @@ def test_pending_and_champion(spark):
     assert dec == {"b": False, "c": False}
     none = {r.run: r.promote for r in X.champion_decision(rm, "ndcg", None).collect()}
     assert none["a"] and none["b"] and not none["c"]
+
+
+def replay(values, patience, min_delta):
+    best = stop = None
+    at = bad = 0
+    for k, v in enumerate(values, 1):
+        if best is None or v < best - min_delta:
+            best, at, bad = v, k, 0
+        else:
+            bad += 1
+            if bad >= patience:
+                return best, at, bad, k
+    return best, at, bad, stop
+
+
+def test_early_stopping_across_segments(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(X, "SEGMENT", 16)
+    r = random.Random(3)
+    runs = {}
+    for n in (1, 2, 15, 16, 17, 200, 500):
+        for drift in (0.0, 0.02, 0.2):
+            runs[f"{n}-{drift}"] = [round(5 - drift * k + r.gauss(0, 0.5), 3) for k in range(n)]
+    em = _epochs(spark, runs).repartition(4)
+    for patience, delta in ((1, 0.0), (3, 0.0), (4, 0.3), (9, 0.05)):
+        got = {x.run: (x.best_value, x.best_epoch, x.num_bad_epochs, x.stop_epoch)
+               for x in X.early_stop_point(em, patience, "min", delta).collect()}
+        assert got == {k: replay(v, patience, delta) for k, v in runs.items()}
+
+
+def test_exact_ks_against_all_merges():
+    from itertools import combinations
+    for n, m in ((1, 1), (3, 3), (4, 2), (5, 4), (2, 7)):
+        seen = []
+        for own in combinations(range(n + m), n):
+            a = b = d = 0
+            for k in range(n + m):
+                a, b = a + (k in own), b + (k not in own)
+                d = max(d, abs(a * m - b * n))
+            seen.append(d)
+        for d in sorted(set(seen)):
+            assert MO.ks_exact_p(n, m, d / (n * m)) == pytest.approx(sum(x >= d for x in seen) / len(seen))
+    assert MO.ks_exact_p(5, 5, 0.0) == 1.0
+    assert MO.ks_exact_p(1000, 900, 0.06) == pytest.approx(0.0640, abs=0.004)
+
+
+def test_ks_small_samples_are_exact(spark):
+    a = spark.createDataFrame([(x,) for x in (0.1, 0.2, 0.3, 0.4)], "score double")
+    b = spark.createDataFrame([(x,) for x in (0.5, 0.6, 0.7, 0.8)], "score double")
+    assert MO.ks_two_sample(a, b).first().p_value == pytest.approx(2 / 70)
