@@ -238,6 +238,29 @@ def als_biases(samples: DataFrame, users: DataFrame, items: DataFrame, sweeps: i
     return mu, filled(users, "user_idx", by_user), filled(items, "item_idx", by_item)
 
 
+def train_fm(train: DataFrame, rank: int = 64, label_col: str = "label", max_iter: int = 100, step: float = 0.02,
+             reg: float = 1e-3, seed: int = 42):
+    """Matrix factorisation with global, user and item biases, all learned on the log loss.
+
+    A factorisation machine over [one-hot(user) | one-hot(item)] vectors scores mu + b_u + b_i + p_u . q_i. MLlib
+    keeps the coefficients, (users + items) x (rank + 1) numbers, on the driver; beyond that size ALS remains.
+    """
+    from pyspark.ml.classification import FMClassifier
+    return FMClassifier(featuresCol=FEATURES, labelCol=label_col, factorSize=rank, fitIntercept=True, fitLinear=True,
+                        regParam=reg, maxIter=max_iter, stepSize=step, solver="adamW", seed=seed, initStd=0.05).fit(train)
+
+
+def fm_factor_tables(model, n_users: int, spark, user_col: str = "user_idx", item_col: str = "item_idx"):
+    """(users, items, mu) of a fitted factorisation machine: (id, factors, bias) tables for ``recommend``."""
+    factors, linear = model.factors.toArray(), model.linear.toArray()
+
+    def table(a: int, b: int, col: str) -> DataFrame:
+        rows = [(k - a, factors[k].tolist(), float(linear[k])) for k in range(a, b)]
+        return spark.createDataFrame(rows, f"{col} long, factors array<double>, bias double")
+
+    return table(0, n_users, user_col), table(n_users, len(linear), item_col), float(model.intercept)
+
+
 def pair_features(samples: DataFrame, users: DataFrame, items: DataFrame, kind: str = "gmf",
                   rank: int = 64) -> DataFrame:
     """Factor features of (user, item) samples: GMF = p * q element-wise, NCF = concat(p, q).

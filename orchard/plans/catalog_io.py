@@ -129,15 +129,22 @@ def q_record_predictions(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.count_distinct("seq").alias("n_seq")))
 
 
-@register("feature_types", fx.with_views("""
-SELECT * FROM (VALUES ('gender', 'categorical'), ('senior_citizen', 'categorical'), ('contract', 'categorical'),
-  ('internet_service', 'categorical'), ('payment_method', 'categorical'), ('tenure_months', 'numeric'),
-  ('monthly_charges', 'numeric'), ('total_charges', 'numeric')) t("column", kind) WHERE (SELECT count(*) FROM customers_raw) > 0""",
-                                         "customers_raw"))
+_LINE = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+         "l_shipdate").split()  # the SQL's columns; the query reads them from the table
+
+
+@register("feature_types", """WITH n AS ({})
+SELECT d.column_name AS "column", CASE WHEN d.column_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS kind, n.n_missing,
+  n.n_values FROM (DESCRIBE lineitem) d JOIN n USING (column_name)
+WHERE d.column_type IN ('VARCHAR', 'DOUBLE', 'FLOAT', 'BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT') OR d.column_type LIKE 'DECIMAL%'""".format(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing, count(DISTINCT {c}) AS n_values FROM lineitem"
+                       for c in _LINE)))
 def q_feature_types(spark, sf_dir):
-    """Kind of each feature column of the cleaned customer table, from its schema."""
-    df = C.select_features(customers_clean(spark, sf_dir))
+    """Kind of each feature column of a table with text, whole and floating numbers and times (times are no
+    features), with its missing and distinct values."""
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     cat, num = C.feature_types(df)
-    kinds = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"))
-                      for k, cols in (("categorical", cat), ("numeric", num)) for c in cols])
-    return df.limit(1).select(F.inline(kinds))
+    kinds = {**dict.fromkeys(cat, "categorical"), **dict.fromkeys(num, "numeric")}
+    one = df.agg(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.count_if(F.col(c).isNull()).alias("n_missing"),
+                            F.count_distinct(c).alias("n_values")).alias(c) for c, k in kinds.items()])
+    return one.select(F.inline(F.array(*[F.col(c) for c in kinds])))

@@ -253,8 +253,8 @@ def q_sample_counts(spark, sf_dir):
     the factor join (all, cold users and items included)."""
     sx, _, items = _indexed(spark, sf_dir, "binary")
     samples = _samples(sx, items)
-    u, i = ML.als_factor_tables(ML.train_als(sx.where("split = 'train'"), rank=8))
-    parts = [ML.pair_features(rows, u, i, "gmf", 8).agg(
+    u, i = ML.als_factor_tables(ML.train_als(sx.where("split = 'train'"), rank=RANK))
+    parts = [ML.pair_features(rows, u, i, "gmf", RANK).agg(
         F.lit(s).alias("split"), F.count_if(F.col("label") == 1).alias("n_positives"),
         F.count_if(F.col("label") == 0).alias("n_negatives"), F.count("features").alias("n_featured"))
         for s, rows in samples.items()]

@@ -223,6 +223,27 @@ def q_ndcg_sampled(spark, sf_dir):
     return _metrics(spark, sf_dir, truth=st).select(f"ndcg_{K}")
 
 
+@register("ndcg_sampled_100", _sql(f"""WITH {_TOPK},
+st AS (SELECT user_idx, item_idx FROM truth
+  ORDER BY ((user_idx * 7919 + item_idx * 104729 + 42 * 1299709) % 1000003) / 1000003e0, user_idx, item_idx LIMIT 100),
+{_rank_sql(truth='st')} {_rm_select(('ndcg',))}"""))
+def q_ndcg_sampled_100(spark, sf_dir):
+    """NDCG@10 on a sample of 100 positives."""
+    st = N.hash_sample(fx.truth(spark, sf_dir), 100, ["user_idx", "item_idx"])
+    return _metrics(spark, sf_dir, truth=st).select(f"ndcg_{K}")
+
+
+@register("sampled_users_20", _sql(f"""WITH {_TOPK},
+su AS (SELECT user_idx FROM (SELECT DISTINCT user_idx FROM truth)
+  ORDER BY ((user_idx * 7919 + 42 * 1299709) % 1000003) / 1000003e0, user_idx LIMIT 20),
+st AS (SELECT * FROM truth WHERE user_idx IN (SELECT user_idx FROM su)),
+{_rank_sql('baseline', truth='st')} {_rm_select()}"""))
+def q_sampled_users_20(spark, sf_dir):
+    """Baseline ranking metrics of a sample of 20 users."""
+    truth = N.sampled_truth_users(fx.truth(spark, sf_dir), 20)
+    return _metrics(spark, sf_dir, "baseline", truth=truth)
+
+
 @register("sampled_user_eval", _sql(f"""WITH {_TOPK},
 su AS (SELECT DISTINCT user_idx FROM truth),
 st AS (SELECT * FROM truth WHERE user_idx IN (SELECT user_idx FROM su)),

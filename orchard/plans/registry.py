@@ -56,5 +56,6 @@ def load_all() -> None:
         catalog_extensions,
         catalog_streaming,
         catalog_models,
+        catalog_invariants,
         catalog_io,
     )
