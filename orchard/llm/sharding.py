@@ -22,8 +22,18 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")
 
 
-def slot_of(*keys: Column, n_slots: int = N_SLOTS) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(n_slots).cast("long")).cast("int")
+def number_twins(records: DataFrame) -> DataFrame:
+    """``records`` (a written table with hash and part) with ``twin``: numbers from 0 among rows of one hash.
+
+    Rows are numbered within the part of the table that they were read in, after the totals of the
+    parts before, so a record that makes up a third of all rows is numbered by many tasks.
+    """
+    totals = records.groupBy("hash", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("hash").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = totals.select("hash", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    inside = F.row_number().over(Window.partitionBy("hash", "part").orderBy("doc_id")) - 1
+    numbered = records.withColumn("inside", inside).join(firsts, ["hash", "part"])
+    return numbered.withColumn("twin", (F.col("first") + F.col("inside")).cast("long")).drop("first", "inside")
 
 
 def slot_totals(records: DataFrame) -> DataFrame:
@@ -105,20 +115,23 @@ def shard(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS, id_col: s
           text_col: str = "text", map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, vslot, shard, slot (place in the shard), map_version per row of ``docs``.
 
-    The virtual slot is the hash of id and text, so ids that repeat or are null spread by
-    text; null text counts as no bytes and checksum 0. Equal rows share a slot. The map is
-    stored under ``map_path`` (default: the shared folder) as version 1. An empty table
-    gives no rows; other columns play no part. Places run from 0 without gaps in every
-    shard, ordered by virtual slot, then id and checksum; they come from the slot sums and
-    a row number inside a slot, so no task sees a whole shard.
+    The virtual slot is the hash of id, text and the row's number among its equals, so ids that
+    repeat or are null spread by text and equal rows spread by number; null text counts as no
+    bytes and checksum 0. The map is stored under ``map_path`` (default: the shared folder) as
+    version 1. An empty table gives no rows; other columns play no part. Places run from 0
+    without gaps in every shard, ordered by virtual slot, then id and checksum; they come from
+    the slot sums and a row number inside a slot, so no task sees a whole shard.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "shards")
     text = F.col(text_col)
-    records = scratch.write(docs.select(
+    read = scratch.write(docs.select(
         F.col(id_col).alias("doc_id"), record_size(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        slot_of(F.col(id_col), text, n_slots=n_slots).alias("vslot")), "records")
+        F.xxhash64(F.col(id_col), text).alias("hash"), F.spark_partition_id().alias("part")), "read")
+    vslot = F.pmod(F.xxhash64("hash", "twin"), F.lit(n_slots).cast("long")).cast("int")
+    records = scratch.write(number_twins(read).select("doc_id", "size", "text_crc32", vslot.alias("vslot")), "records")
+    scratch.drop("read")
     totals = [tuple(r) for r in slot_totals(records).collect()]  # n_slots rows at most
     path = map_path or f"{scratch.base}/map"
     store_map(spark, balanced_map(totals, n_shards), path, 1)

@@ -60,3 +60,30 @@ def test_written_shards_hold_the_texts(spark, docs_of, tmp_path):
     sharding.write_shards(docs, placed, path)
     back = spark.read.parquet(path)
     assert sorted((r.doc_id, r.text) for r in back.collect()) == [(i, f"text {i}") for i in range(50)]
+
+
+def test_equal_rows_spread(spark, docs_of):
+    twin = "the same text again and again " * 3
+    rows = [(i, "word " * (i * 7 % 40)) for i in range(2000)] + [(None, twin)] * 1000 + [(7, twin)] * 500
+    got = sharding.shard(docs_of(rows).withColumnsRenamed({"source": "size", "lang": "Shard"})).collect()
+    assert len(got) == 3500 and len({r.vslot for r in got if r.doc_id is None}) > 700
+    load = {}
+    for r in got:
+        load.setdefault(r.shard, []).append(r)
+    sizes = [sum(r.size for r in held) for held in load.values()]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= max(r.size for r in got)
+    for held in load.values():
+        assert sorted(r.slot for r in held) == list(range(len(held)))
+
+
+def test_very_long_text(spark, docs_of):
+    got = sharding.shard(docs_of([(1, "é" * 3_000_000), (2, "x")])).collect()
+    assert sorted(r.size for r in got) == [9, 6_000_008]
+
+
+def test_twins_are_numbered_over_all_parts(spark):
+    df = spark.createDataFrame([(i % 3, i % 5, 1) for i in range(100)], "hash long, part int, doc_id long")
+    seen = {}
+    for r in sharding.number_twins(df).collect():
+        seen.setdefault(r.hash, []).append(r.twin)
+    assert {h: sorted(t) for h, t in seen.items()} == {h: list(range(len(t))) for h, t in seen.items()}
