@@ -6,23 +6,29 @@ least m = ceil(threshold * q) of them, so it may lack q - m, and one of the item
 q - m + 1 smallest shingle hashes (its bottom-k MinHash sketch) must be present. A
 document's sketch for a class is its shingle hashes up to the class's largest sketch value;
 it probes only the classes whose smallest item it is long enough to contain. No item at or
-above the threshold is missed; candidates are verified on the shingles themselves.
+above the threshold is missed.
+
+Items of fewer words than a shingle are one shingle of their own width, and documents are searched by runs of
+that width too. The item sketches are a table that the documents' values are joined with by a shuffle; a
+bit filter of fixed size, whatever the number of items, spares the values that no sketch has. Candidates
+are verified on the shingles themselves.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-BLOCK_BYTES = 8 << 20  # item text that one broadcast holds; more items are searched block by block
+from orchard.llm.common import Scratch
+
+FILTER_BITS = 26  # the filter has 2^26 bits, 8 MB
+CACHE = 200_000  # words whose hashes a Python worker holds
 
 _WORDS = re.compile(r"\w+").findall
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -51,138 +57,172 @@ def _mix(h: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-class ItemBlock:
-    """The sketches of one block of items and what verifies a candidate."""
-
-    def __init__(self, items: list[tuple], size: int, threshold: float):
-        self.size, self.threshold = size, threshold
-        self.ids, self.shingles = [], []
-        self.vocabulary: dict[str, int] = {}
-        entries: dict[int, list[int]] = {}
-        self.cuts: dict[tuple[int, int], tuple[int, int]] = {}  # (width, class) -> least shingles, largest value
-        for item_id, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            for w in words:
-                self.vocabulary.setdefault(w, xxhash.xxh64_intdigest(w) | 1)
-            distinct = set(shingles_of(words, size))
-            width = min(size, len(words))
-            hashes = np.unique(_mix(np.array([self.vocabulary[w] for w in words], np.uint64), width))
-            q = len(distinct)
-            need = math.ceil(threshold * q - 1e-9)
-            sketch = hashes[: q - need + 1].tolist()
-            at = len(self.ids)
-            self.ids.append(item_id)
-            self.shingles.append((distinct, need))
-            key = (width, q.bit_length())
-            least, largest = self.cuts.get(key, (need, 0))
-            self.cuts[key] = min(least, need), max(largest, sketch[-1])
-            for h in sketch:
-                entries.setdefault(h, []).append(at)
-        self.values = np.array(sorted(entries), np.uint64)
-        self.items_at = [entries[h] for h in self.values.tolist()]
-
-    def find(self, text: str | None) -> list[tuple]:
-        """(item id, shingles shared, shingles of the item) of every item that ``text`` contains."""
-        words = words_of(text)
-        if not words or not self.ids:
-            return []
-        width = min(self.size, len(words))
-        h = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, len(words))
-        known = np.concatenate(([0], np.cumsum(h == 0)))
-        runs = np.flatnonzero(known[width:] == known[:-width])  # shingles of item words only
-        if not len(runs):
-            return []
-        hashes = _mix(h, width)[runs]
-        largest = max((cut for (w, _), (least, cut) in self.cuts.items() if w == width and least <= len(runs)), default=0)
-        sketch = np.unique(hashes[hashes <= np.uint64(largest)])
-        at = np.searchsorted(self.values, sketch)
-        at = at[(at < len(self.values)) & (self.values[np.minimum(at, len(self.values) - 1)] == sketch)]
-        if not len(at):
-            return []
-        own = {" ".join(words[i:i + width]) for i in runs.tolist()}
-        out = []
-        for k in sorted({k for a in at.tolist() for k in self.items_at[a]}):
-            distinct, need = self.shingles[k]
-            shared = sum(s in own for s in distinct)
-            if shared >= need:
-                out.append((self.ids[k], shared, len(distinct)))
-        return out
-
-
-def _blocks(items: DataFrame, id_col: str, text_col: str):
-    block, held = [], 0
-    for item_id, text in items.select(id_col, text_col).toLocalIterator():
-        block.append((item_id, text))
-        held += len(text or "")
-        if held >= BLOCK_BYTES:
-            yield block
-            block, held = [], 0
-    yield block
-
-
-def contained_items(text: Column, items: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                    shingle: int = 5, threshold: float = 0.8) -> Column:
-    """Column of the items whose containment in ``text`` is at least ``threshold``.
-
-    array<struct<item_id, shared, total>>: distinct ``shingle``-word shingles shared and in
-    the item. Words are runs of letters, digits and _ in lower case. A text of fewer words is
-    one shingle, so such an item is found only in documents of the same few words. Null or
-    wordless texts contain nothing and wordless items are contained in nothing; repeated
-    items are reported as often as they occur. The items are a query set: blocks of at most
-    ``BLOCK_BYTES`` of text are broadcast one by one and all documents are searched for each.
-    """
-    spark = items.sparkSession
-    item_type = items.schema[id_col].dataType.simpleString()
-    kind = f"array<struct<item_id:{item_type},shared:int,total:int>>"
-    arrow = pa.list_(pa.struct([("item_id", to_arrow_type(items.schema[id_col].dataType)),
-                                ("shared", pa.int32()), ("total", pa.int32())]))
+class _Hashes(dict):
+    """Word hashes, made when first asked for."""
 
-    def searching(shared):
-        @F.arrow_udf(kind)
-        def search(texts: pa.Array) -> pa.Array:
-            rows = (shared.value.find(t.as_py()) for t in texts)
-            return pa.array([[dict(zip(("item_id", "shared", "total"), x)) for x in r] for r in rows], arrow)
+    def __missing__(self, word: str) -> int:
+        if len(self) > CACHE:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
 
-        return search
 
-    found = [searching(spark.sparkContext.broadcast(ItemBlock(block, shingle, threshold)))(text)
-             for block in _blocks(items, id_col, text_col)]
-    return F.concat(*found) if len(found) > 1 else found[0]
+_HASHES = _Hashes()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", shingle: int = 5,
-                 threshold: float = 0.8) -> DataFrame:
-    """One row per row of ``docs`` and item found in it: the columns of ``docs`` but the text, then
-    item_id, n_shared, n_shingles, containment. Columns of ``docs`` with such names give way."""
-    new = {"item_id", "n_shared", "n_shingles", "containment"}
-    keep = [c for c in docs.columns if c != text_col and c.lower() not in new]
-    hits = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
-                       contained_items(F.col(text_col), items, shingle=shingle, threshold=threshold).alias("hits"))
-    hit = hits.select("row", F.explode("hits").alias("hit"))
-    return hit.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], F.col("hit.item_id").alias("item_id"),
-                      F.col("hit.shared").alias("n_shared"), F.col("hit.total").alias("n_shingles"),
-                      (F.col("hit.shared") / F.col("hit.total")).alias("containment"))
-
+def _runs(words: list[str], widths: list[int]) -> dict[int, np.ndarray]:
+    """Hashes (63 bits) of all runs of words of each width that the words are enough for."""
+    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return {w: (_mix(h, w) >> np.uint64(1)).astype(np.int64) for w in widths if len(words) >= w}
 
-def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", shingle: int = 5,
-          threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that contain no item."""
-    return docs.where(F.size(contained_items(F.col(text_col), items, shingle=shingle, threshold=threshold)) == 0)
 
+def item_sketch(text: str | None, size: int, threshold: float) -> tuple[int, int, int, np.ndarray] | None:
+    """(width, class, least shingles, sketch values) of an item; None without words."""
+    words = words_of(text)
+    if not words:
+        return None
+    width = min(size, len(words))
+    q = len(set(shingles_of(words, size)))
+    need = math.ceil(threshold * q - 1e-9)
+    return width, q.bit_length(), need, np.unique(_runs(words, [width])[width])[: q - need + 1]
+
+
+class Probe:
+    """What a document's search needs to know of all items: class bounds and a filter of fixed size."""
+
+    def __init__(self, cuts: list[tuple[int, int, int]], filled: list[tuple[int, int]], bits: int):
+        self.cuts, self.mask = cuts, (1 << bits) - 1  # cuts: (width, least shingles, largest value) of each class
+        self.widths = sorted({w for w, _, _ in cuts})
+        self.filter = np.zeros(max(1, 1 << (bits - 6)), np.uint64)
+        for word, value in filled:
+            self.filter[word] = value & (2 ** 64 - 1)
+
+    def find(self, text: str | None) -> np.ndarray:
+        """Sketch values that ``text`` may share with an item."""
+        out = [np.zeros(0, np.int64)]
+        words = words_of(text)
+        if words and self.widths:
+            for width, h in _runs(words, self.widths).items():
+                h = h[h <= max((cut for w, least, cut in self.cuts if w == width and least <= len(h)), default=-1)]
+                at = (h & self.mask).astype(np.uint64)
+                on = (self.filter[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
+                out.append(np.unique(h[on == 1]))
+        return np.unique(np.concatenate(out))
+
+
+def shared_shingles(text: str, item: str, size: int, threshold: float) -> tuple[int, int] | None:
+    """(distinct shingles of the item in the text, of the item) where the text contains the item; else None."""
+    words = words_of(item)
+    wanted = set(shingles_of(words, size))
+    own = words_of(text)
+    width = min(size, len(words))
+    found = wanted.intersection(" ".join(own[i:i + width]) for i in range(len(own) - width + 1))
+    return (len(found), len(wanted)) if len(found) >= math.ceil(threshold * len(wanted) - 1e-9) else None
+
+
+class Search:
+    """One benchmark as written tables: items with row keys, and their sketches."""
+
+    def __init__(self, items: DataFrame, id_col: str, text_col: str, shingle: int, threshold: float, bits: int = FILTER_BITS):
+        self.scratch = Scratch(items.sparkSession, "decontaminate")
+        self.shingle, self.threshold = shingle, threshold
+        self.items = self.scratch.write(items.select(
+            F.monotonically_increasing_id().alias("item"), F.col(f"`{id_col}`").alias("item_id"),
+            F.col(f"`{text_col}`").alias("item_text")), "items")
+
+        def sketch(batches):
+            for batch in batches:
+                rows = []
+                for item, text in zip(*batch.columns):
+                    found = item_sketch(text.as_py(), shingle, threshold)
+                    if found:
+                        rows += [(item.as_py(), *found[:3], v) for v in found[3].tolist()]
+                names = ["item", "width", "class", "least", "value"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], names)
+
+        self.sketches = self.scratch.write(self.items.select("item", "item_text").mapInArrow(
+            sketch, "item long, width long, class long, least long, value long"), "sketches")
+        # bounded: a row per width and class, and the words of the filter that have a bit
+        cuts = self.sketches.groupBy("width", "class").agg(F.min("least"), F.max("value")).drop("class").collect()
+        at = F.col("value").bitwiseAND((1 << bits) - 1)
+        filled = self.sketches.groupBy(F.shiftright(at, 6).alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, CAST(value & 63 AS INT))")).alias("value"))
+        self.shared = items.sparkSession.sparkContext.broadcast(
+            Probe([tuple(r) for r in cuts], [tuple(r) for r in filled.collect()], bits))
+
+    def probed(self, docs: DataFrame, text_col: str) -> DataFrame:
+        """row (all columns of ``docs``), text and probes, the values that it may share with items."""
+        shared = self.shared
+
+        @F.arrow_udf("array<long>")
+        def probe(texts: pa.Array) -> pa.Array:
+            return pa.array([shared.value.find(t.as_py()) for t in texts], pa.list_(pa.int64()))
+
+        # not deterministic for the planner only: a filter on the result shall not run it twice
+        return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"),
+                           probe.asNondeterministic()(F.col(f"`{text_col}`")).alias("probes"))
+
+    def hits(self, candidates: DataFrame) -> DataFrame:
+        """key, item_id, shared, total of every item found in ``candidates`` (key, text, probes)."""
+        size, threshold = self.shingle, self.threshold
+
+        @F.arrow_udf("struct<shared:int,total:int>")
+        def verify(texts: pa.Array, items: pa.Array) -> pa.Array:
+            found = (shared_shingles(t.as_py(), i.as_py(), size, threshold) for t, i in zip(texts, items))
+            return pa.array([f and dict(shared=f[0], total=f[1]) for f in found],
+                            pa.struct([("shared", pa.int32()), ("total", pa.int32())]))
+
+        pairs = (candidates.select("key", F.explode("probes").alias("value")).join(self.sketches.select("value", "item"), "value")
+                 .select("key", "item").distinct())
+        both = pairs.join(candidates.select("key", "text"), "key").join(self.items, "item")
+        return both.select("key", "item_id", verify.asNondeterministic()("text", "item_text").alias("found")).where(
+            "found IS NOT NULL").select("key", "item_id", "found.shared", "found.total")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", shingle: int = 5, threshold: float = 0.8,
+                 id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs`` and item found in it: the columns of ``docs`` but the text, then
+    item_id, n_shared, n_shingles, containment. Columns of ``docs`` with such names give way.
 
-# DuckDB: every shingle of every document joined with every shingle of every item
+    Words are runs of letters, digits and _ in lower case. Null or wordless texts contain nothing and wordless
+    items are contained in nothing; repeated items are reported as often as they occur, and rows of ``docs`` that repeat or
+    have no id are rows of their own.
+    """
+    search = Search(items, id_col, item_text_col, shingle, threshold)
+    new = {"item_id", "n_shared", "n_shingles", "containment"}
+    keep = [c for c in docs.columns if c != text_col and c.lower() not in new]
+    candidates = search.scratch.write(search.probed(docs, text_col).where("size(probes) > 0").withColumn(
+        "key", F.monotonically_increasing_id()), "candidates")
+    hit = search.hits(candidates).join(candidates.select("key", "row"), "key")
+    return hit.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "item_id", F.col("shared").alias("n_shared"),
+                      F.col("total").alias("n_shingles"), (F.col("shared") / F.col("total")).alias("containment"))
+
+
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", shingle: int = 5, threshold: float = 0.8,
+          id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that contain no item, by the rules of ``contaminated``; only rows with a candidate are shuffled."""
+    search = Search(items, id_col, item_text_col, shingle, threshold)
+    probed = search.scratch.write(search.probed(docs, text_col).drop("text").withColumn(
+        "key", F.monotonically_increasing_id()), "probed")
+    candidates = probed.where("size(probes) > 0")
+    hit = search.hits(candidates.select("key", F.col(f"row.`{text_col}`").alias("text"), "probes")).select("key").distinct()
+    kept = probed.where("size(probes) = 0").unionByName(candidates.join(hit, "key", "left_anti").select(*probed.columns))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+# DuckDB: every shingle of every document joined with every shingle of every item, by the items' widths
 ORACLE = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS w FROM documents),
-ds AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))])
-         AS s FROM dw WHERE len(w) > 0),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS w FROM benchmark),
-sh AS (SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))])
-         AS s FROM iw WHERE len(w) > 0),
+sh AS (SELECT DISTINCT item_id, least(5, len(w)) AS width,
+    unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))]) AS s FROM iw WHERE len(w) > 0),
+wd AS (SELECT DISTINCT width FROM sh),
+ds AS (SELECT DISTINCT doc_id, width,
+    unnest([array_to_string(w[i:i + width - 1], ' ') FOR i IN range(1, len(w) - width + 2)]) AS s FROM dw, wd
+    WHERE len(w) >= width),
 tot AS (SELECT item_id, count(*) AS n FROM sh GROUP BY item_id)
 SELECT doc_id, item_id, CAST(count(*) AS INTEGER) AS n_shared, CAST(any_value(n) AS INTEGER) AS n_shingles,
        count(*) / any_value(n) AS containment
-FROM ds JOIN sh USING (s) JOIN tot USING (item_id) GROUP BY doc_id, item_id
+FROM ds JOIN sh USING (width, s) JOIN tot USING (item_id) GROUP BY doc_id, item_id
 HAVING count(*) >= ceil(0.8 * any_value(n) - 1e-9)
 """

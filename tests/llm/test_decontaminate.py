@@ -4,15 +4,18 @@ from orchard.llm import decontaminate, queries
 
 
 def brute(doc, item):
-    d, q = (set(decontaminate.shingles_of(decontaminate.words_of(t), 5)) for t in (doc, item))
+    own, words = decontaminate.words_of(doc), decontaminate.words_of(item)
+    width = min(5, len(words))  # items of fewer words are one run of their own width
+    q = set(decontaminate.shingles_of(words, 5))
+    d = {" ".join(own[i:i + width]) for i in range(len(own) - width + 1)}
     return (len(d & q), len(q)) if q and len(d & q) >= 0.8 * len(q) - 1e-9 else None
 
 
 def test_query_equals_brute_force(spark, docs_of, sf_of, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 500)  # several blocks
+    monkeypatch.setattr(decontaminate.Search.__init__, "__defaults__", (8,))  # a filter that lets most values through
     r = random.Random(5)
     words = [f"w{k}" for k in range(40)] + ["Été", "x_1"]
-    items = [" ".join(r.choices(words, k=r.choice([1, 3, 5, 8, 30, 60]))) for _ in range(30)] + [None, "", "...", "w1, W2"]
+    items = [" ".join(r.choices(words, k=r.choice([1, 2, 3, 4, 5, 8, 30, 60]))) for _ in range(30)] + [None, "", "...", "w1, W2"]
     docs = []
     for k in range(60):
         body = r.choices(words, k=r.choice([1, 20, 200, 2000]))
@@ -49,3 +52,19 @@ def test_empty_tables(spark, docs_of):
     assert decontaminate.contaminated(docs_of([(1, "a")]), none).count() == 0
     assert decontaminate.clean(docs_of([(1, "a")]), none).count() == 1
     assert decontaminate.contaminated(docs_of([]), none).count() == 0
+
+
+def test_short_items_inside_long_documents(spark, docs_of):
+    items = spark.createDataFrame([(1, "what is blue"), (2, "Blue"), (3, "is what"), (4, "one two three four")], "item_id long, text string")
+    docs = docs_of([(1, "tell me: What is BLUE? " + "filler " * 3000), (2, "one two three, four"), (None, "one two three 4"), (None, "blue")])
+    got = decontaminate.contaminated(docs, items).collect()
+    assert sorted((x.doc_id or 0, x.item_id) for x in got) == [(0, 2), (1, 1), (1, 2), (2, 4)]
+    assert [x.text for x in decontaminate.clean(docs, items).collect()] == ["one two three 4"]
+
+
+def test_a_third_of_the_documents_hold_one_item(spark, docs_of):
+    item = " ".join(f"q{k}" for k in range(20))
+    docs = docs_of([(k, f"a{k} {item} b{k}" if k % 3 == 0 else f"c{k} d") for k in range(600)] + [(None, item)] * 50)
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert decontaminate.contaminated(docs, items).count() == 250
+    assert decontaminate.clean(docs, items).count() == 400
