@@ -8,51 +8,81 @@ into the ring one at a time. The baseline freezes the first time a key's window
 
 from __future__ import annotations
 
-import numpy as np
+import math
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 OUTPUT_SCHEMA = ("model string, n long, mean double, std double, baseline_mean double, baseline_std double, "
                  "z double, has_drift boolean")
-STATE_SCHEMA = "ts array<double>, seq array<long>, score array<double>, base_mean double, base_std double"
-
-
-def _monitor_fn(window: int, threshold: float):
-    def fn(key, batches, state):
-        if state.exists:
-            ts, seq, sc, bm, bs = state.get
-            ts, seq, sc = np.asarray(ts, float), np.asarray(seq, np.int64), np.asarray(sc, float)
-        else:
-            ts, seq, sc, bm, bs = np.zeros(0), np.zeros(0, np.int64), np.zeros(0), None, None
-        for pdf in batches:
-            ts = np.concatenate([ts, pdf["_t"].to_numpy(float)])
-            seq = np.concatenate([seq, pdf["seq"].to_numpy(np.int64)])
-            sc = np.concatenate([sc, pdf["score"].to_numpy(float)])
-            order = np.lexsort((seq, ts))[-window:]  # keep the latest `window` by (ts, seq)
-            ts, seq, sc = ts[order], seq[order], sc[order]
-        mean = float(sc.mean()) if len(sc) else None
-        std = float(sc.std()) if len(sc) else None
-        if bm is None and len(sc) >= window:
-            bm, bs = mean, std
-        z = abs(mean - bm) / bs if (bm is not None and bs and bs > 0 and mean is not None) else None
-        state.update((ts.tolist(), seq.tolist(), sc.tolist(), bm, bs))
-        yield pd.DataFrame({"model": [key[0]], "n": [len(sc)], "mean": [mean], "std": [std],
-                            "baseline_mean": [bm], "baseline_std": [bs], "z": [z],
-                            "has_drift": [bool(z is not None and z > threshold)]})
-
-    return fn
-
-
-def stream_monitor(scores: DataFrame, window: int = 1000, threshold: float = 2.0, model_col: str = "model") -> DataFrame:
-    """scores: (model, ts, seq, score), streaming or static. Returns one row per key and trigger."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class ScoreWindow(StatefulProcessor):
+    """State of one key: a list of its latest scores and, once the window was full, the baseline.
+
+    A late row takes its place by (ts, seq), or none where it is older than the window. With ``idle_ms`` a
+    timer clears a key that has had no rows for so long, baseline included.
+    """
+
+    def __init__(self, window: int, threshold: float, idle_ms: int | None = None):
+        self.window, self.threshold, self.idle_ms = window, threshold, idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.latest = handle.getListState("latest", "ts double, seq long, score double")
+        self.baseline = handle.getValueState("baseline", "mean double, std double")
+
+    def handleInputRows(self, key, rows, timerValues):
+        held = [tuple(r) for r in self.latest.get()]
+        for row in rows:
+            held.append((row["_t"], row["seq"], row["score"]))
+            if len(held) >= 2 * self.window:  # a long batch is merged piece by piece
+                held = sorted(held)[-self.window:]
+        held = sorted(held)[-self.window:]
+        self.latest.put(held)
+        scores = [x for _, _, x in held if x is not None]
+        mean = math.fsum(scores) / len(scores) if scores else None
+        std = math.sqrt(math.fsum((x - mean) ** 2 for x in scores) / len(scores)) if scores else None
+        base = self.baseline.get()
+        if base is None and len(held) >= self.window and scores:
+            base = (mean, std)
+            self.baseline.update(base)
+        base_mean, base_std = base or (None, None)
+        z = abs(mean - base_mean) / base_std if base_std and mean is not None else None
+        if self.idle_ms is not None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield Row(model=key[0], n=len(held), mean=mean, std=std, baseline_mean=base_mean, baseline_std=base_std, z=z,
+                  has_drift=z is not None and z > self.threshold)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.latest.clear()
+        self.baseline.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_monitor(scores: DataFrame, window: int = 1000, threshold: float = 2.0, model_col: str = "model",
+                   idle_ms: int | None = None) -> DataFrame:
+    """scores: (model, ts, seq, score), streaming or static. Returns one row per key and trigger.
+
+    The stream keeps its state with ``transformWithState`` in RocksDB (set for the session here, which the
+    operator requires); a query restarted from its checkpoint goes on with it. ``idle_ms`` clears keys that fall silent; use it
+    with a trigger that goes on, since an available-now query waits for its timers.
+    """
     df = scores.select(F.col(model_col).cast("string").alias("model"),
                        F.col("ts").cast("timestamp").cast("double").alias("_t"), "seq", "score")
     if not df.isStreaming:
         return _static_monitor(df, window, threshold)
-    return _latest_of_partition(df, window).groupBy("model").applyInPandasWithState(
-        _monitor_fn(window, threshold), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return _latest_of_partition(df, window).groupBy("model").transformWithState(
+        ScoreWindow(window, threshold, idle_ms), OUTPUT_SCHEMA, "Update", "None" if idle_ms is None else "ProcessingTime")
 
 
 def _latest_of_partition(df: DataFrame, window: int) -> DataFrame:

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from orchard.streaming.monitor import stream_monitor
+from orchard.streaming.monitor import ScoreWindow, stream_monitor
 from orchard.streaming.popularity import run_stream_popularity, windowed_item_weights
 
 EV_SCHEMA = "event_id long, timestamp timestamp_ntz, visitorid long, itemid long, event string, transactionid long"
@@ -68,3 +68,91 @@ def test_static_monitor_window(spark):
     df = spark.createDataFrame(rows, "model string, ts timestamp, seq long, score double")
     r = stream_monitor(df, window=4).first()
     assert r.n == 4 and r.mean == pytest.approx(7.5)
+
+
+def test_monitor_restart_and_late_rows(spark, tmp_path):
+    schema = "model string, ts timestamp, seq long, score double"
+    base = dt.datetime(2024, 1, 1)
+    src, ck, sink = tmp_path / "s", str(tmp_path / "c"), str(tmp_path / "o")
+
+    def run(part, rows, idle_ms=None):
+        """Each run is a query of its own that goes on from the checkpoint."""
+        df = spark.createDataFrame([(m, base + dt.timedelta(seconds=t), t, x) for m, t, x in rows], schema)
+        df.write.parquet(str(src / part))
+        stream = spark.readStream.schema(schema).parquet(str(src / "*"))
+        q = (stream_monitor(stream, window=4, threshold=1.0, idle_ms=idle_ms).writeStream.outputMode("update")
+             .foreachBatch(lambda b, n: b.withColumn("epoch", F.lit(n)).write.mode("append").parquet(sink))
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        seen = spark.read.parquet(sink)
+        last = seen.agg(F.max("epoch")).first()[0]
+        return {r.model: r for r in seen.where(F.col("epoch") == last).collect()}
+
+    first = run("a", [("m", t, float(t)) for t in range(10, 14)] + [("k", 1, 0.5)])
+    assert first["m"].baseline_mean == pytest.approx(11.5) and first["k"].n == 1 and first["k"].baseline_mean is None
+    late = run("b", [("m", 5, 99.0)])["m"]  # older than the window: no change
+    assert late.n == 4 and late.mean == pytest.approx(11.5) and not late.has_drift
+    between = run("c", [("m", 20, 30.0), ("m", 12, 12.0)])["m"]  # one newer, one at its place
+    assert between.n == 4 and between.mean == pytest.approx((12 + 12 + 13 + 30) / 4)
+    assert between.baseline_mean == pytest.approx(11.5) and between.has_drift
+
+
+class _State:
+    """Stand-in for a list or value state."""
+
+    def __init__(self):
+        self.held = None
+
+    def get(self):
+        return self.held if self.held is not None else getattr(self, "empty", None)
+
+    def put(self, rows):
+        self.held = rows
+
+    update = put
+
+    def clear(self):
+        self.held = None
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = set()
+
+    def getListState(self, name, schema):
+        state = _State()
+        state.empty = []
+        return state
+
+    def getValueState(self, name, schema):
+        return _State()
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+class _Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_idle_keys_are_cleared():
+    handle, job = _Handle(), ScoreWindow(window=3, threshold=1.0, idle_ms=100)
+    job.init(handle)
+    rows = [{"_t": float(t), "seq": t, "score": float(t)} for t in range(20)]
+    first, = job.handleInputRows(("m",), iter(rows), _Clock(1000))
+    assert first.n == 3 and first.baseline_mean == pytest.approx(18.0) and handle.timers == {1100}
+    list(job.handleInputRows(("m",), iter(rows[-1:]), _Clock(1050)))
+    assert handle.timers == {1150}  # one timer per key, moved on by every trigger with rows
+    assert list(job.handleExpiredTimer(("m",), _Clock(1200), None)) == []
+    again, = job.handleInputRows(("m",), iter(rows[:1]), _Clock(1300))
+    assert again.n == 1 and again.baseline_mean is None
