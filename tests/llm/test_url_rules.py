@@ -47,3 +47,49 @@ def test_nested_rules_and_random_hosts(spark):
 
 def test_empty_table(spark):
     assert url_rules.judge(spark.createDataFrame([], "url string")).count() == 0
+
+
+def test_rules_that_fit_nothing_and_equal_text(spark):
+    rules = spark.createDataFrame(
+        [("block", "a.com", "/"), ("allow", "a.com", "/"), (None, "a.com", "/x/"), ("block", None, "/"), ("block", "", "/"),
+         ("block", "a.com", "x"), ("block", "b.com/x", "/"), ("block", "A.net", "/"), ("block", "c.com", None)],
+        "verdict string, host string, path string")
+    df = spark.createDataFrame([(f"http://{u}",) for u in ("a.com/x/", "a.com", "b.com/x/", "a.net/", "x.c.com", "xc.com")],
+                               "url string")
+    got = {r.url[7:]: (r.rule, r.verdict) for r in url_rules.judge(df, rules, default="none").collect()}
+    assert got == {"a.com/x/": ("a.com/", "allow"), "a.com": (None, "none"), "b.com/x/": (None, "none"),
+                   "a.net/": (None, "none"), "x.c.com": ("c.com", "block"), "xc.com": (None, "none")}
+    assert url_rules.judge(df, [], default="none").where("rule is null and verdict = 'none'").count() == 6
+
+
+def test_deep_nests_across_ranges(spark):
+    # chains of nested hosts and paths, longer than a range, with urls on every level
+    deep = [".".join(["a"] * n) for n in range(1, 30)]
+    rules = [("block" if n % 2 else "allow", h, "/" + "p" * (n % 5)) for n, h in enumerate(deep)]
+    rules += [("block", "x.y", "/" + "q" * n) for n in range(40)] + [("allow", "y", "")]
+    urls = [f"http://{h}/{'p' * n}" for h in deep for n in range(6)] + [f"http://w.x.y/{'q' * n}r" for n in range(45)]
+    urls += ["http://x.y", "http://w.x.y/z"] * 300
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = url_rules.judge(df, rules, default="none").collect()
+    assert len(got) == len(urls)
+    for row in got:
+        want = brute(row.url, rules)
+        assert row.rule == want[2] and row.verdict == (want[3] if want[2] else "none"), row.url
+
+
+def test_many_rules(spark):
+    # 100,000 rules as a table, none of them in the plan; one host has a third of the urls
+    n = 100_000
+    ids = spark.range(n)
+    rules = ids.selectExpr("CASE WHEN id % 3 = 0 THEN 'allow' ELSE 'block' END AS verdict",
+                           "CASE WHEN id % 2 = 0 THEN concat('h', id, '.com') ELSE 'big.org' END AS host",
+                           "CASE WHEN id % 2 = 0 THEN '/' ELSE concat('/', id, '/') END AS path")
+    urls = ids.selectExpr("id", "concat('http://www.', CASE WHEN id % 3 = 0 THEN 'big.org' ELSE concat('h', id, '.com') END, "
+                          "'/', id, '/x') AS url")
+    out = url_rules.judge(urls, rules, default="none")
+    assert "ELSE block END" not in out._jdf.queryExecution().toString()
+    got = out.selectExpr(
+        "count(*) AS n", "count_if(rule IS NOT NULL) AS hit",
+        """count_if(NOT rule <=> CASE WHEN id % 3 = 0 THEN IF(id % 2 = 1, concat('big.org/', id, '/'), NULL)
+           ELSE IF(id % 2 = 0, concat('h', id, '.com/'), NULL) END) AS wrong""").first()
+    assert got.n == n and got.wrong == 0 and got.hit > 0
