@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orchard.operators import extensions as XT
+from orchard.operators import sketches as SK
 from orchard.operators.clean import predict_class
+from orchard.operators.profile import event_summary, event_summary_approx
+from orchard.plans.catalog_io import _folder
 from orchard.plans.catalog_recommend import _TOPK, top_k
 from orchard.plans.common import round_doubles
 from orchard.plans.registry import register
+from orchard.session import cut_lineage
 from orchard.sources import fixtures as fx
 
 
@@ -123,3 +127,31 @@ def q_fairness(spark, sf_dir):
     lab = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
     sp = predict_class(fx.scored(spark, sf_dir), 0.5).join(lab, "id")
     return round_doubles(XT.group_fairness(sp, ["model", "quality"]))
+
+
+_QUANTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+@register("sketch_summary", """
+SELECT event_type, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_outside FROM events GROUP BY event_type""")
+def q_sketch_summary(spark, sf_dir):
+    """Distinct users and value percentiles per event type from stored day sketches, checked against every event.
+
+    The earlier days are stored first, then the later ones, with the last early day once more."""
+    ev = fx.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    path = f"{_folder(spark, 'sketches')}/store"
+    middle = ev.select(F.percentile_approx(F.unix_date("day"), 0.5)).scalar()
+    for days in F.unix_date("day") <= middle, F.unix_date("day") >= middle:
+        SK.update_sketches(ev.where(days), path, "day", ["event_type"], "user_id", "value")
+    summary = SK.merged_summary(SK.load_sketches(spark, path), ["event_type"], _QUANTILES)
+    return SK.outside_bounds(ev, cut_lineage(summary), ["event_type"], "user_id", "value", _QUANTILES)
+
+
+@register("event_summary_approx_bound", fx.with_views("""
+SELECT count(*) AS n_events, CAST(0 AS BIGINT) AS n_outside FROM interactions_raw""", "interactions_raw"))
+def q_event_summary_approx_bound(spark, sf_dir):
+    """Whether the approximate user count is within five standard errors of the exact one."""
+    events = fx.interactions_raw(spark, sf_dir)
+    exact = event_summary(events).select("n_users").scalar()
+    near = F.abs(F.col("n_users_approx") - exact) <= exact * 0.05
+    return event_summary_approx(events, rsd=0.01).select("n_events", (~near).cast("long").alias("n_outside"))

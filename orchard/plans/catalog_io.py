@@ -68,6 +68,21 @@ def q_ingest_tables(spark, sf_dir):
     return io.extract_table(spark, table).select(F.col("itemid").cast("long").alias("itemid"), "property", "value")
 
 
+@register("ingest_new_files", fx.with_views("""
+SELECT property, count_if(TRY_CAST(value AS DOUBLE) IS NOT NULL) AS n_rows, count_if(TRY_CAST(value AS DOUBLE) IS NULL) AS n_rejected,
+  sum(TRY_CAST(value AS DOUBLE)) AS total FROM item_properties_all GROUP BY property""", "item_properties_all"))
+def q_ingest_new_files(spark, sf_dir):
+    """The property part files as numbers, one run per part: a run loads only the files that are new, other values are rejects."""
+    folder = _folder(spark, "ingest-new")
+    for k, part in enumerate(fx.item_property_parts(spark, sf_dir)):
+        _csv(part, f"{folder}/files/part{k}")
+        io.ingest_new_files(spark, f"{folder}/files/*", "itemid bigint, property string, value double",
+                            f"{folder}/table", f"{folder}/checkpoint")
+    lines = io.load_ingested(spark, f"{folder}/table")
+    return lines.groupBy("property").agg(F.count_if(~F.col("rejected")).alias("n_rows"),
+                                         F.count_if("rejected").alias("n_rejected"), F.sum("value").alias("total"))
+
+
 @register("extract_query", fx.with_views("""
 SELECT event, CAST(count(*) AS BIGINT) AS n FROM interactions_raw GROUP BY event""", "interactions_raw"))
 def q_extract_query(spark, sf_dir):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orchard.operators.dictionary import versions
 from orchard.operators.interactions import with_load_weights
 
 EVENT_SCHEMA = T.StructType([
@@ -109,6 +110,34 @@ def ingest_tables(spark: SparkSession, sources: dict[str, list[str]], database:
     return names
 
 
+def ingest_new_files(spark: SparkSession, files: str, schema: str, path: str, checkpoint: str) -> None:
+    """Loads the CSV files under ``files`` that no earlier run has loaded.
+
+    The checkpoint remembers the files; each run's micro-batches are stored under their ids, so
+    one that runs again overwrites itself. Types are declared: a line that does not fit them
+    is kept apart as rejected, with its text. Without new files a run adds nothing.
+    """
+    typed = T.StructType.fromDDL(schema).add("rejected_line", "string")
+    stream = (spark.readStream.schema(typed).option("header", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "rejected_line").csv(files)
+              .withColumn("source_file", F.col("_metadata.file_path")))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("rejected", F.col("rejected_line").isNotNull()).write.mode("overwrite")
+         .partitionBy("rejected").parquet(f"{path}/version={batch_id}"))
+
+    (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .start().awaitTermination())
+
+
+def load_ingested(spark: SparkSession, path: str) -> DataFrame:
+    """All stored lines: the declared columns, rejected_line, source_file, rejected and version (the batch)."""
+    known = versions(spark, path)
+    if not known:
+        raise ValueError(f"nothing ingested under {path}")
+    return spark.read.option("basePath", path).parquet(*[f"{path}/version={v}" for v in known])
+
+
 def extract_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from orchard.sources import io
 
@@ -154,3 +155,24 @@ def test_evaluate_churn_monitor_jobs(spark, tmp_path):
     assert 0.0 <= m.roc_auc <= 1.0 and out["sweep"].count() == 18 and out["best_threshold"].count() == 1
     checks = monitor_job(spark, fx.prediction_log(spark, sf), 0, str(tmp_path / "checks"), window=100)
     assert {r.shift_type for r in checks.collect()} == {"model_drift", "data_shift"}
+
+
+def test_ingest_new_files_loads_each_file_once(spark, tmp_path):
+    files, table, ckpt = tmp_path / "files", str(tmp_path / "table"), str(tmp_path / "ckpt")
+    files.mkdir()
+
+    def run():
+        io.ingest_new_files(spark, str(files), "id bigint, name string, price double", table, ckpt)
+        return sorted((r.id, r.name, r.price, r.rejected_line) for r in io.load_ingested(spark, table).collect())
+
+    (files / "a.csv").write_text("id,name,price\n1,x,2.5\n2,,\n3,y,dear\n")
+    first = [(1, "x", 2.5, None), (2, None, None, None), (3, "y", None, "3,y,dear")]
+    assert run() == first
+    assert run() == first  # nothing new
+    (files / "b.csv").write_text("id,name,price\n4,z,1\n")
+    assert run() == [*first, (4, "z", 1.0, None)]
+    lines = io.load_ingested(spark, table)
+    assert {r.source_file.rsplit("/", 1)[1]: r.n for r in lines.groupBy("source_file").agg(F.count("*").alias("n")).collect()} == {
+        "a.csv": 3, "b.csv": 1}
+    with pytest.raises(ValueError):
+        io.load_ingested(spark, str(tmp_path / "none"))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orchard.streaming.monitor import ScoreWindow, stream_monitor
-from orchard.streaming.popularity import run_stream_popularity, windowed_item_weights
+from orchard.streaming.popularity import (load_popularity, run_popularity_table, run_stream_popularity, store_batch,
+                                          windowed_item_weights)
 
 EV_SCHEMA = "event_id long, timestamp timestamp_ntz, visitorid long, itemid long, event string, transactionid long"
 
@@ -156,3 +157,43 @@ def test_idle_keys_are_cleared():
     assert list(job.handleExpiredTimer(("m",), _Clock(1200), None)) == []
     again, = job.handleInputRows(("m",), iter(rows[:1]), _Clock(1300))
     assert again.n == 1 and again.baseline_mean is None
+
+
+COLS = ["window_start", "window_end", "itemid", "weight", "n_events"]
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select(*[F.col(c).cast("string") for c in COLS]).collect()))
+
+
+def test_popularity_table_drops_replays_and_late_rows(spark, tmp_path):
+    src, table = str(tmp_path / "src"), str(tmp_path / "table")
+
+    def run():
+        stream = spark.readStream.schema(EV_SCHEMA).parquet(src + "/*")
+        run_popularity_table(stream, table, str(tmp_path / "ckpt"), watermark="1 hour").awaitTermination(120)
+        return _rows(load_popularity(spark, table))
+
+    first, later = _events(spark, 10, 20), _events(spark, 13, 20)
+    nameless = first.limit(3).withColumn("event_id", F.lit(None).cast("long"))
+    first.union(nameless).write.parquet(src + "/a")
+    assert run() == _rows(windowed_item_weights(first.union(nameless), "1 hour"))
+    assert run() == _rows(windowed_item_weights(first.union(nameless), "1 hour"))  # nothing new
+    first.union(nameless).write.parquet(src + "/replayed")
+    _events(spark, 2, 20).write.parquet(src + "/late")  # hours before the watermark
+    later.write.parquet(src + "/b")
+    assert run() == _rows(windowed_item_weights(first.union(nameless).union(later), "1 hour"))
+
+
+def test_popularity_table_versions_and_bases(spark, tmp_path):
+    table = str(tmp_path)
+    parts = [_events(spark, h, 5) for h in (0, 0, 3, 3, 6)]
+    for k, part in enumerate(parts):
+        store_batch(part, k, table, compact_every=2)
+    store_batch(parts[3], 3, table, compact_every=2)  # runs again after a failure
+    seen = parts[0]
+    for k, part in enumerate(parts):
+        seen = seen.union(part) if k else seen
+        assert _rows(load_popularity(spark, table, k)) == _rows(windowed_item_weights(seen, "1 hour"))
+    with pytest.raises(ValueError):
+        load_popularity(spark, str(tmp_path / "none"))
