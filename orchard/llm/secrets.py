@@ -7,12 +7,15 @@ from the characters (hex, base 32, decimal, base 36, base 62, base 64), then
 * runs: Wald-Wolfowitz runs above and below the mean symbol,
 * serial correlation: lag-1 correlation of neighbouring symbols
 
-must not reject randomness at ``ALPHA``. A run must also be unlike ordinary runs: a chain of
+each give a p-value, and Fisher's method makes one p-value q of the three, which is about
+uniform in random runs and near 0 in others. A run must also be unlike ordinary runs: a chain of
 symbols is fitted on the corpus's different runs, with pre-set frequencies of letter case,
-digits and letters behind it where the corpus has few. The likelihood ratio of uniform symbols
-to that chain is at least t with a chance of at most 1 / t in a run from the chain, so its
-inverse is the p-value. Benjamini-Hochberg at ``FDR`` over all runs of a length class decides,
-so that short runs, whose tests are weak, do not spend the error of long ones.
+digits and letters behind it where the corpus has few. What a run is weighed against that chain
+by are uniform symbols tilted towards large q, of density (1 + ``TILT``) q ^ ``TILT`` times the
+uniform one's. That likelihood ratio is at least t with a chance of at most 1 / t in a run from
+the chain, so its inverse is the p-value: the battery weighs in it, for or against, and no test
+decides alone. Benjamini-Hochberg at ``FDR`` over all runs of a length class decides, so that
+short runs, whose tests are weak, do not spend the error of long ones.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orchard.llm.common import Scratch
+from orchard.operators.monitoring import erfc
 
 # The base patterns
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -46,7 +50,8 @@ ENCODINGS = (
 )
 CLASSES = (20, 24, 32, 48, 80)  # least lengths of the length classes
 FDR = 0.01
-ALPHA_Z = 3.29  # two-sided 0.001
+TILT = 1.0  # how steeply the battery's p-value weighs in the likelihood ratio
+LEAST_P = 1e-300  # p-values of single tests are not taken as smaller
 # English letters per thousand, and how often a symbol's kind follows another's (^: the start)
 LETTERS = dict(zip("abcdefghijklmnopqrstuvwxyz", (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91,
                                                   28, 10, 24, 2, 20, 1)))
@@ -115,35 +120,58 @@ def pairs(run: Column) -> Column:
     return F.zip_with(before, codes, lambda a, b: (a + 1) * CODES + b)
 
 
-def surprise(run: Column, name: Column, chain: list[float]) -> Column:
-    """-ln p that a run from the chain is as likely under uniform symbols, between 0 and ``LOG_MAX``."""
+def log_likelihood_ratio(run: Column, name: Column, chain: list[float]) -> Column:
+    """ln of how much likelier a run is under uniform symbols of its encoding than under the chain."""
     table = F.split(F.lit(",".join(f"{v:.6f}" for v in chain)), ",").cast("array<double>")
     uniform = F.length(run) * by_encoding(name, {e: math.log(a) for e, _, a in ENCODINGS})
-    ratio = F.aggregate(pairs(run), F.lit(0.0), lambda total, k: total + F.get(table, k)) - uniform
-    return F.least(F.greatest(ratio, F.lit(0.0)), F.lit(LOG_MAX))
+    return F.aggregate(pairs(run), F.lit(0.0), lambda total, k: total + F.get(table, k)) - uniform
+
+
+def surprise(run: Column, name: Column, chain: list[float]) -> Column:
+    """-ln p of a run from the chain: its likelihood ratio with the battery's weight, between 0 and ``LOG_MAX``."""
+    best = log_likelihood_ratio(run, name, chain) + math.log1p(TILT)  # the battery can only lower it
+    return bind(best, lambda b: F.when(b > 0, F.least(F.greatest(b + TILT * battery(run, name), F.lit(0.0)), F.lit(LOG_MAX)))
+                .otherwise(0.0))
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
+def battery(run: Column, name: Column) -> Column:
+    """ln of the three tests' joint p-value by Fisher's method: chi-squared with six degrees of freedom."""
+    def surprisal(z: Column, k: Column) -> Column:  # chi-squared rejects large scores only, the others both
+        p = F.when(k == 0, 0.5 * erfc(z / math.sqrt(2))).otherwise(erfc(F.abs(z) / math.sqrt(2)))
+        return -F.log(F.greatest(p, F.lit(LEAST_P)))
 
-def passes_battery(run: Column, name: Column) -> Column:
-    """Whether none of the three tests rejects randomness."""
+    total = F.aggregate(F.transform(test_scores(run, name), surprisal), F.lit(0.0), lambda a, x: a + x)
+    return bind(total, lambda x: F.log1p(x + x * x / 2) - x)
+
+
+def test_scores(run: Column, name: Column) -> Column:
+    """Normal scores of chi-squared (large: uneven), runs and serial correlation, as an array."""
     n = F.length(run).cast("double")
     free = by_encoding(name, {e: a - 1 for e, _, a in ENCODINGS})
     chi = (free + 1) / n * squares(run) - n
     # Wilson-Hilferty: the cube root of chi-squared over its degrees of freedom is about normal
     z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
-    codes = F.transform(F.filter(F.split(run, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("double"))
-    mean = F.aggregate(codes, F.lit(0.0), lambda a, c: a + c) / n
-    off = F.transform(codes, lambda c: c - mean)
-    last, rest = F.slice(off, F.lit(1), F.size(off) - 1), F.slice(off, F.lit(2), F.size(off) - 1)
     add = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    above = add(F.transform(off, lambda x: F.when(x > 0, 1.0).otherwise(0.0)))
-    runs = 1 + add(F.zip_with(last, rest, lambda x, y: F.when((x > 0) != (y > 0), 1.0).otherwise(0.0)))
-    mu = 2 * above * (n - above) / n + 1
-    var = (mu - 1) * (mu - 2) / (n - 1)
-    z_runs = F.when(var > 0, (runs - mu) / F.sqrt(var)).otherwise(0.0)
-    power = add(F.transform(off, lambda x: x * x))
-    lag = add(F.zip_with(last, rest, lambda x, y: x * y))
-    z_lag = F.when(power > 0, (lag / power + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0))
-    return (z_chi <= ALPHA_Z) & (F.abs(z_runs) <= ALPHA_Z) & (F.abs(z_lag) <= ALPHA_Z)
+    codes = F.transform(F.filter(F.split(run, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("double"))
+    off = bind(codes, lambda c: bind(add(c) / n, lambda mean: F.transform(c, lambda x: x - mean)))
+
+    def by_order(off: Column) -> Column:
+        last, rest = F.slice(off, F.lit(1), F.size(off) - 1), F.slice(off, F.lit(2), F.size(off) - 1)
+        runs = 1 + add(F.zip_with(last, rest, lambda x, y: F.when((x > 0) != (y > 0), 1.0).otherwise(0.0)))
+        above = add(F.transform(off, lambda x: F.when(x > 0, 1.0).otherwise(0.0)))
+        z_runs = bind(2 * above * (n - above) / n + 1, lambda mu: bind((mu - 1) * (mu - 2) / (n - 1), lambda var: F.when(
+            var > 0, (runs - mu) / F.sqrt(var)).otherwise(0.0)))
+        lag = add(F.zip_with(last, rest, lambda x, y: x * y))
+        z_lag = bind(add(F.transform(off, lambda x: x * x)), lambda power: F.when(
+            power > 0, (lag / power + 1 / n) * F.sqrt(n)).otherwise(F.lit(99.0)))
+        return F.array(z_chi, z_runs, z_lag)
+
+    return bind(off, by_order)
 
 
 def length_class(run: Column) -> Column:
@@ -219,8 +247,7 @@ def spans(text: Column, chain: list[float], limits: dict[int, float]) -> Column:
         name = encoding(run)
         limit = reduce(lambda out, c: F.when(length_class(run) == c, F.lit(limits[c])).otherwise(out), CLASSES,
                        F.lit(LOG_MAX + 1))
-        return (F.length(run) >= TESTED) & (F.floor(surprise(run, name, chain) / LOG_STEP) * LOG_STEP >= limit - 1e-9) \
-            & passes_battery(run, name)
+        return (F.length(run) >= TESTED) & (F.floor(surprise(run, name, chain) / LOG_STEP) * LOG_STEP >= limit - 1e-9)
 
     assign = F.filter(matches(text, ASSIGN), lambda m: F.length(
         F.regexp_extract(m["value"], ASSIGN, 2)) >= ASSIGN_MIN)

@@ -1,7 +1,10 @@
 import hashlib
+import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from orchard.llm import queries, secrets
 
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -70,9 +73,61 @@ def test_short_keys_among_ordinary_runs(spark, docs_of, sf_of):
     assert sum(found[k] for k, _ in rows) == 0
 
 
-def test_prefix_sums(spark):
-    from pyspark.sql import functions as F
+def plain_surprise(run, name, chain):
+    """The statistic of a run, by its definition in plain Python."""
+    size = {e: a for e, _, a in secrets.ENCODINGS}[name]
+    codes = [ord(c) for c in run]
+    n, before, ratio = len(codes), 0, -len(codes) * math.log(size)
+    for c in codes:
+        ratio += chain[before * secrets.CODES + c - secrets.LOW_CODE]
+        before = c - secrets.LOW_CODE + 1
+    free = size - 1
+    chi = sum((run.count(c) - n / size) ** 2 / (n / size) for c in set(run)) + (size - len(set(run))) * n / size
+    z_chi = ((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+    mean = sum(codes) / n
+    up = [c > mean for c in codes]
+    mu = 2 * sum(up) * (n - sum(up)) / n + 1
+    var = (mu - 1) * (mu - 2) / (n - 1)
+    runs = 1 + sum(a != b for a, b in zip(up, up[1:]))
+    z_runs = (runs - mu) / math.sqrt(var) if var > 0 else 0.0
+    power = sum((c - mean) ** 2 for c in codes)
+    lag = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:]))
+    z_lag = (lag / power + 1 / n) * math.sqrt(n) if power else 99.0
+    ps = [math.erfc(z_chi / math.sqrt(2)) / 2, math.erfc(abs(z_runs) / math.sqrt(2)), math.erfc(abs(z_lag) / math.sqrt(2))]
+    x = -sum(math.log(max(p, secrets.LEAST_P)) for p in ps)
+    weighed = ratio + math.log1p(secrets.TILT) + secrets.TILT * (math.log1p(x + x * x / 2) - x)
+    return min(max(weighed, 0.0), secrets.LOG_MAX)
+
+
+def test_random_spans_equal_plain_version(spark, docs_of):
+    r = random.Random(12)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
+    piece = [lambda: "".join(r.choices("etaoinshrdlu", weights=range(12, 0, -1), k=r.randrange(10, 40))),
+             lambda: "".join(r.choices(chars[:62], k=r.randrange(16, 50))),
+             lambda: "".join(r.choices("0123456789abcdef", k=r.randrange(16, 90))), lambda: r.choice(chars) * r.randrange(16, 40),
+             lambda: "".join(r.choices(chars, k=r.randrange(16, 100))), lambda: chars[:r.randrange(20, 60)],
+             lambda: "".join(r.choices("ACGT", k=r.randrange(20, 60))), lambda: str(r.randrange(10 ** 24, 10 ** 40))]
+    rows = [(k, " ".join(r.choices(piece, weights=[20, 2, 1, 1, 1, 1, 1, 1])[0]() for _ in range(25))) for k in range(80)]
+    runs = [(k, m.start(), m.end(), m[0]) for k, text in rows for m in re.finditer("[A-Za-z0-9+/_-]{16,}", text)]
+    chain = secrets.ordinary_chain(spark.createDataFrame([(x[3],) for x in runs], "run string"))
+    name = lambda run: next(e for e, p, _ in secrets.ENCODINGS if re.match(p, run))
+    tested = [(*x, max(c for c in secrets.CLASSES if c <= len(x[3])), plain_surprise(x[3], name(x[3]), chain))
+              for x in runs if len(x[3]) >= 20]
+    near = {s[3]: s[5] for s in tested}
+    df = spark.createDataFrame(list(near.items()), "run string, want double").withColumn(
+        "got", secrets.surprise(F.col("run"), secrets.encoding(F.col("run")), chain))
+    assert all(abs(x.want - x.got) < 1e-4 for x in df.collect())
+    want = set()
+    for c in secrets.CLASSES:
+        own = sorted((math.floor(s[5] / secrets.LOG_STEP) for s in tested if s[4] == c), reverse=True)
+        good = [k for i, k in enumerate(own) if math.exp(-k * secrets.LOG_STEP) <= secrets.FDR
+                * sum(x >= k for x in own) / len(own)]
+        want |= {s[:3] for s in tested if s[4] == c and good and math.floor(s[5] / secrets.LOG_STEP) >= min(good)}
+    got = {(x.doc_id, s.start, s.end) for x in secrets.scan(docs_of(rows)).collect() for s in x.secret_spans if s.kind == "random"}
+    assert got == want and len(want) > 40
 
+
+def test_prefix_sums(spark):
     for n in (0, 1, 5, 512, 513, 1500):
         df = spark.createDataFrame([(list(range(n)),)], "v array<long>")
         got = df.select(secrets.prefix_sums(F.col("v"), 512)).first()[0]
