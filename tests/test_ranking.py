@@ -95,6 +95,22 @@ def test_top_k_many_blocks(spark):
         assert [i for _, i in sorted(got[u * 3 + 1])] == [j * 3 + 1 for j in sorted(allowed, key=lambda j: (-S[u, j], j))[:6]]
 
 
+def test_items_travel_once_per_core_whatever_the_shuffle_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert R.user_blocks(spark, 64 * 10_000) == max(cores, 10)
+    assert R.user_blocks(spark, 100) == 1 and R.user_blocks(spark, 0) == 1
+    assert R.user_blocks(spark, 64 * 10_000, 1000) == max(cores, 640)
+    users, *_ = _factors(spark, 64 * 2 * cores, 2, 5, "user_idx")
+    items, *_ = _factors(spark, 3, 2, 6, "item_idx")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(4 * cores))
+        plan = R.top_k_scores(users, items, 2)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "RepartitionByExpression [block" in plan and f"], {cores}" in plan
+
+
 def test_top_k_ties_prefer_smaller_item(spark):
     users = spark.createDataFrame([(0, [1.0], 0.0)], "user_idx long, factors array<double>, bias double")
     items = spark.createDataFrame([(i, [1.0], 0.0) for i in (9, 3, 5, 1)], "item_idx long, factors array<double>, bias double")
