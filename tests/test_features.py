@@ -152,3 +152,30 @@ def test_smote_neighbours_are_exact(spark):
 def test_one_hot_has_no_domain_limit(spark):
     df = spark.createDataFrame([(str(i),) for i in range(50)], "c string")
     assert len(H.fit_one_hot(df, ["c"])["c"]) == 50
+
+
+def test_forest_is_fitted_in_groups_of_trees(spark):
+    """No group holds more nodes than asked for, the trees are as many as set, and the votes add up over all of them."""
+    import random
+
+    from pyspark.ml.functions import vector_to_array
+
+    from orchard.operators import models as ML
+
+    rng = random.Random(3)
+    rows = [(i, rng.random(), rng.random()) for i in range(400)]
+    df = ML.assemble(spark.createDataFrame([(i, a, b, float(a + 0.3 * rng.random() > b)) for i, a, b in rows],
+                                           "customerid long, a double, b double, label double"), ["a", "b"])
+    forest = ML.train_random_forest(df, num_trees=9)
+    forest.nodes = 200
+    fits = list(forest.groups())
+    assert sum(m.getNumTrees for m in fits) == 9 and len(fits) > 2
+    assert all(m.totalNumNodes <= 2 * 200 for m in fits[1:])
+    assert len({tuple(t.toDebugString for t in m.trees) for m in fits}) == len(fits)
+    out = ML.predictions(forest, df, keep=("customerid",)).collect()
+    assert len(out) == 400 and sum(r.y_true == r.y_pred for r in out) > 380
+    votes = [0.0] * 400
+    for m in fits:
+        for r in m.transform(df).select("customerid", vector_to_array("rawPrediction")[1].alias("v")).collect():
+            votes[r.customerid] += r.v
+    assert all(abs(votes[r.customerid] / 9 - r.y_proba) < 1e-9 for r in out)
