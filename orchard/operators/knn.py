@@ -21,6 +21,7 @@ MAX_PIVOTS = 1024
 VISITORS = 4096  # points that one block looks up neighbours for
 TILE = 1024  # points compared at once
 ROWS = 128  # visitors compared at once
+CHOOSERS = 256  # points that choose their cells at once
 SLACK = 1e-9
 
 _FOUND = "id long, nb long, d2 double"
@@ -44,9 +45,12 @@ class Cells:
         self.radius = np.zeros(len(pivots))
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d = np.sqrt(_distances(x, self.pivots))
-        cell = d.argmin(1)
-        return cell, d[np.arange(len(x)), cell]
+        cell, near = np.empty(len(x), np.int64), np.empty(len(x))
+        for a in range(0, len(x), CHOOSERS):
+            d = np.sqrt(_distances(x[a:a + CHOOSERS], self.pivots))
+            cell[a:a + CHOOSERS] = d.argmin(1)
+            near[a:a + CHOOSERS] = d.min(1)
+        return cell, near
 
     def visits(self, x: np.ndarray, cell: np.ndarray, reach: np.ndarray, k: int) -> tuple[list, np.ndarray]:
         """Per row the (cell, distance to its pivot) pairs still to visit, and the bound on the k-th distance."""
@@ -66,6 +70,17 @@ class Cells:
         open_[at, cell] = False
         return [list(zip(np.flatnonzero(o).tolist(), r[o].tolist())) for o, r in zip(open_, d)], reach
 
+    def choose(self, pdf: pd.DataFrame, k: int):
+        """Rows (id, x, cell, d, reach) of the open visits of (id, x, cell, reach) rows, for ``CHOOSERS`` of them at a time:
+        an Arrow batch times all pivots would fill the worker."""
+        for a in range(0, len(pdf), CHOOSERS):
+            part = pdf.iloc[a:a + CHOOSERS]
+            found, bound = self.visits(_stack(part["x"]), part["cell"].to_numpy(), part["reach"].fillna(np.inf).to_numpy(), k)
+            row = np.repeat(np.arange(len(part)), [len(f) for f in found])
+            flat = [c for f in found for c in f]
+            yield pd.DataFrame({"id": part["id"].to_numpy()[row], "x": part["x"].to_numpy()[row], "cell": [c for c, _ in flat],
+                                "d": [d for _, d in flat], "reach": bound[row]})
+
 
 def _stack(column) -> np.ndarray:
     return np.vstack(column.to_numpy()).astype(np.float64, copy=False)
@@ -191,13 +206,7 @@ def nearest_neighbours(points: DataFrame, k: int, id_col: str = "id", vector_col
 
     def visit(it):
         for pdf in it:
-            if not len(pdf):
-                continue
-            found, bound = cells.visits(_stack(pdf["x"]), pdf["cell"].to_numpy(), pdf["reach"].fillna(np.inf).to_numpy(), k)
-            row = np.repeat(np.arange(len(pdf)), [len(f) for f in found])
-            flat = [c for f in found for c in f]
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "x": pdf["x"].to_numpy()[row], "cell": [c for c, _ in flat],
-                                "d": [d for _, d in flat], "reach": bound[row]})
+            yield from cells.choose(pdf, k)
 
     more = cut_lineage(placed.select("id", "x", "cell").join(reach, "id", "left").mapInPandas(
         visit, "id long, x array<double>, cell int, d double, reach double"))

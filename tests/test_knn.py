@@ -53,3 +53,23 @@ def test_bounds_close_most_cells():
         cells.count[c], cells.radius[c] = (cell == c).sum(), d[cell == c].max()
     visits, _ = cells.visits(X[:200], cell[:200], np.full(200, np.inf), 5)
     assert sum(map(len, visits)) < 200
+
+
+def test_choosing_cells_needs_little_memory_whatever_the_batch():
+    import tracemalloc
+
+    import pandas as pd
+
+    r = np.random.default_rng(4)
+    X = r.normal(size=(10_000, 1))
+    cells = knn.Cells(np.unique(X[:1024], axis=0))
+    tracemalloc.start()
+    cell, d = cells.assign(X)
+    for c in range(1024):
+        mine = cell == c
+        cells.count[c], cells.radius[c] = mine.sum(), d[mine].max(initial=0)
+    pdf = pd.DataFrame({"id": np.arange(10_000), "x": list(X), "cell": cell, "reach": np.nan})
+    rows = sum(len(part) for part in cells.choose(pdf, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 0 and peak < 100 << 20  # all at once: 80 MB for each of several matrices
