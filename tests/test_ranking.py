@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orchard.operators import ranking as N
 from orchard.operators import recommend as R
+from orchard.sources import fixtures as fx
 
 
 def test_hand_ranking_case(spark):
@@ -198,3 +199,26 @@ def test_each_request_has_its_own_k(spark):
         F.count("*").alias("n")).collect()}
     assert got == {1: 2, 2: 4, 3: 3}
     assert [r.user_id for r in R.invalid_k(req).collect()] == [4]
+
+
+def test_truth_pairs_are_not_shuffled(spark, tmp_path):
+    """The truth view has users x items / 97 rows: it is dealt by user before its pairs exist."""
+    spark.createDataFrame([(v, [float(v % 7), 1.0], v % 10) for v in range(400)],
+                          "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    truth = fx.truth(spark, str(tmp_path))
+    topk = spark.createDataFrame([(0, 97, 1)], "user_idx long, item_idx long, rank long")
+    plan = N.per_user_ranking(topk, truth, 10)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "item_idx" in line]
+    assert not moved, plan
+    expected = sorted((u, i) for u in range(0, 400, 5) for i in range(400) if i % 5 and (31 * u + 17 * i) % 97 == 0)
+    assert sorted(map(tuple, truth.collect())) == expected
+
+
+def test_truth_hits_with_repeated_rows_and_nulls(spark):
+    pairs = "user_idx long, item_idx long"
+    truth = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (2, 5), (None, 5), (3, None)], pairs)
+    topk = spark.createDataFrame([(1, 5, 1), (1, 5, 2), (1, 7, 3), (4, 5, 1)], pairs + ", rank long")
+    hits = sorted((r.item_idx, r.rank, r.mult) for r in N.truth_hits(topk, truth).where("rank is not null").collect())
+    assert hits == [(5, 1, 2), (5, 2, 2)]
+    rows = {r.user_idx: (r.n_true, r.hits_distinct, r.hits_dup, r.rr) for r in N.per_user_ranking(topk, truth, 10).collect()}
+    assert rows == {1: (3, 2, 4, 1.0), 2: (1, 0, 0, 0.0), None: (1, 0, 0, 0.0), 3: (1, 0, 0, 0.0)}
