@@ -18,7 +18,7 @@ from orchard.plans.catalog_features import _BIN_IDX, _SX, FEATS
 from orchard.plans.catalog_features import _sql as _split_sql
 from orchard.plans.common import round_doubles
 from orchard.plans.registry import register
-from orchard.session import cut_lineage
+from orchard.session import cut_lineage, side_by_side
 from orchard.sources import fixtures as fx
 
 
@@ -62,13 +62,18 @@ _CHURN = ["logreg", "logreg_balanced", "logreg_smote", "random_forest", "gbt", "
 def q_churn_invariants(spark, sf_dir):
     """Every churn classifier scores each test row once, with the split's labels."""
     tr, te = CM._xy(spark, sf_dir)
-    sm = ML.assemble(H.smote(tr.select(*FEATS, "label"), FEATS, "label"), FEATS)
-    fits = {"logreg": ML.train_logreg(tr), "logreg_smote": ML.train_logreg(sm),
-            "logreg_balanced": ML.train_logreg(H.balanced_weights(tr), weight_col="weight"),
-            "random_forest": ML.train_random_forest(tr), "gbt": ML.train_gbt(tr),
-            "gbt_tuned": ML.train_gbt(tr, max_iter=150, max_depth=6, step=0.05, subsample=0.8),
-            "mlp": ML.train_mlp_early_stop(tr, len(FEATS), "customerid")}
-    return prediction_digest(_all([CM._eval(fit, te, name) for name, fit in fits.items()]))
+
+    def smote():
+        return ML.assemble(H.smote(tr.select(*FEATS, "label"), FEATS, "label"), FEATS)
+
+    fits = {"logreg": lambda: ML.train_logreg(tr), "logreg_smote": lambda: ML.train_logreg(smote()),
+            "logreg_balanced": lambda: ML.train_logreg(H.balanced_weights(tr), weight_col="weight"),
+            "random_forest": lambda: ML.train_random_forest(tr), "gbt": lambda: ML.train_gbt(tr),
+            "gbt_tuned": lambda: ML.train_gbt(tr, max_iter=150, max_depth=6, step=0.05, subsample=0.8),
+            "mlp": lambda: ML.train_mlp_early_stop(tr, len(FEATS), "customerid")}
+    # a forest is fitted where it scores: fit and scores of a model are one job
+    return prediction_digest(_all(side_by_side(spark, [
+        lambda name=name, fit=fit: CM._eval(fit(), te, name) for name, fit in fits.items()])))
 
 
 @register("search_invariants", _split_sql(_digest_sql(["random_search_rf", "random_search_gbt"], _TEST)))

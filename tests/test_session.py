@@ -65,3 +65,27 @@ def test_entry_without_the_training_operators(tmp_path):
             "q, o = E.queries(), E.oracle_sql()\n"
             "print(len(q) > 100 and set(o) <= set(q) and not any(k.startswith('op1') or k == 'pipeline' for k in q))")
     assert run(code, tmp_path) == "True"
+
+
+def test_spread_deals_many_rows_over_the_cores(spark, monkeypatch):
+    from orchard import session
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    one = spark.range(400).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    out = session.spread(one, "id")
+    assert out.rdd.getNumPartitions() == max(1, min(4, cores))
+    assert sorted(r.id for r in out.collect()) == list(range(400))
+    assert session.spread(spark.range(99).coalesce(1), "id").rdd.getNumPartitions() == 1
+
+
+def test_side_by_side_runs_at_once_and_keeps_the_order(spark):
+    import threading
+
+    from orchard.session import side_by_side
+    meet = threading.Barrier(3, timeout=30)  # passes only when all three are running
+
+    def job(n):
+        meet.wait()
+        return spark.range(n).count()
+
+    assert side_by_side(spark, [lambda n=n: job(n) for n in (5, 3, 9)]) == [5, 3, 9]
