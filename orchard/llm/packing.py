@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from orchard.llm.common import Scratch
 
 GROUP = 1 << 18  # pieces that one task packs
-CACHE = 200_000  # words, and as many parts of words, whose ids a Python worker holds
+CACHE = 200_000  # words, and as many parts of words, in each of the two generations whose ids a Python worker holds
 
 # Lower-case letters and digits below U+0250, as the tokenizer's classes \p{L} and \p{N} have them
 _LETTERS, _DIGITS = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
@@ -32,6 +32,29 @@ _PLAIN = re.compile("[!-~{}]*".format("".join(
 _ODD_SPACE = re.compile("[\x1c-\x1f]").search  # white space to Python only
 
 
+def _generations(make, limit: int) -> dict:
+    """A cache of at most ``limit`` values of ``make`` and those of the generation before.
+
+    When it is full it becomes the older generation. What is asked for again comes back from there, so frequent
+    keys outlive any number of rare ones.
+    """
+    older: dict = {}
+
+    class Cache(dict):
+        def __missing__(self, key):
+            nonlocal older
+            value = older.get(key)
+            if value is None:
+                value = make(key)
+            if len(self) >= limit:
+                older = dict(self)
+                self.clear()
+            self[key] = value
+            return value
+
+    return Cache()
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space and never joins across it.
 
@@ -43,34 +66,24 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        model, cache = self.tokenizer.model, CACHE
+        model = self.tokenizer.model
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {b: chr(b) for b in printable}
         byte |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in byte)}
         encode = self._encode
 
-        class Parts(dict):
-            def __missing__(self, part):
-                if len(self) > cache:
-                    self.clear()
-                name = part if part.isascii() else "".join(map(byte.get, part.encode()))
-                self[part] = ids = np.array([t.id for t in model.tokenize(name)], "<u4").tobytes()
-                return ids
-
-        parts = Parts()
-
-        class Runs(dict):
-            def __missing__(self, run):
-                if len(self) > cache:
-                    self.clear()
-                if _PLAIN(run) and "<|" not in run:
-                    ids = b"".join([parts[p] for p in _PARTS(run.lower())])
-                else:
-                    ids = encode(run)
-                self[run] = ids
-                return ids
-
-        self.runs = Runs()
+        def of_part(part: str) -> bytes:
+            name = part if part.isascii() else "".join(map(byte.get, part.encode()))
+            return b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(name)])
+
+        parts = _generations(of_part, CACHE)
+
+        def of_run(run: str) -> bytes:
+            if _PLAIN(run) and "<|" not in run:
+                return b"".join([parts[p] for p in _PARTS(run.lower())])
+            return encode(run)
+
+        self.runs = _generations(of_run, CACHE)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -38,6 +38,13 @@ def test_every_character_between_letters(tokenizer):
             assert np.frombuffer(own(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_rare_words_do_not_push_out_frequent_ones():
+    made = []
+    cache = packing._generations(lambda key: made.append(key) or str(key), 50)
+    assert all(cache[k] == str(k) and cache["often"] == "often" for k in range(1000))
+    assert made.count("often") == 1 and len(made) == 1001 and len(cache) <= 50
+
+
 def naive_bfd(lengths, capacity):
     left = []
     for n in sorted(lengths, reverse=True):
