@@ -88,6 +88,17 @@ def test_negatives_avoid_the_other_split(spark):
         assert out.select("item_idx").distinct().count() == 11
 
 
+def test_one_draw_for_both_splits_is_the_draws_of_each(spark):
+    pos = [(u, (u * 3 + j) % 11, u * 100 + j, "train" if j % 3 else "validation") for u in range(20) for j in range(8)]
+    df = spark.createDataFrame(pos, "user_idx long, item_idx long, event_id long, split string")
+    both = H.negative_sampling(df, 11, 4, known=df, row_col="event_id", keep=("split",))
+    for split in ("train", "validation"):
+        own = H.negative_sampling(df.where(F.col("split") == split), 11, 4, known=df, row_col="event_id")
+        part = both.where(F.col("split") == split).drop("split")
+        assert part.columns == own.columns
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, own.collect()))
+
+
 def test_large_ids_do_not_overflow(spark):
     rows = [(2 * 10**15 + i, 10**15 + i % 7, i % 2, i) for i in range(50)]
     df = spark.createDataFrame(rows, "user_idx long, item_idx long, label int, event_id long")
