@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orchard.operators import classification as M
 from orchard.operators import recommend as R
 from orchard.plans import catalog_recommend as CR
+from orchard.sources import fixtures as fx
 
 
 def _tables(spark):
@@ -42,3 +43,17 @@ def test_no_factors_at_all(spark):
     pairs, users, items = _tables(spark)
     assert R.with_factors(pairs, users.limit(0), items, plain_rows=0).count() == 0
     assert R.with_factors(pairs, users.limit(0), items, "left", plain_rows=0).count() == pairs.join(items, "item_idx", "left").count()
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_sampled_user_eval_counts_each_pair_once(spark, tmp_path, copies):
+    rows = [(v, [float((v * 7 + j) % 13) / 13 - 0.5 for j in range(4)], v % 3) for v in range(240)] * copies
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    d = str(tmp_path)
+    uf, itf, truth = fx.user_factors(spark, d), fx.item_factors(spark, d), fx.truth(spark, d)
+    tk = R.top_k_scores(uf, itf, 10).join(truth.select("user_idx").distinct(), "user_idx", "left_semi")
+    ev = truth.withColumn("y", F.lit(1)).unionByName(tk.select("user_idx", "item_idx", F.lit(0).alias("y")))
+    sc = R.score_pairs(ev.groupBy("user_idx", "item_idx").agg(F.max("y").alias("y_true")), uf, itf).withColumnRenamed("score", "y_proba")
+    got = CR.q_sampled_user_eval(spark, d).first()
+    assert got.roc_auc == pytest.approx(M.roc_auc(sc).first()[0], abs=2e-6)
+    assert got.average_precision == pytest.approx(M.average_precision(sc).first()[0], abs=2e-6)
