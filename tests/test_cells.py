@@ -57,3 +57,14 @@ def test_sampled_user_eval_counts_each_pair_once(spark, tmp_path, copies):
     got = CR.q_sampled_user_eval(spark, d).first()
     assert got.roc_auc == pytest.approx(M.roc_auc(sc).first()[0], abs=2e-6)
     assert got.average_precision == pytest.approx(M.average_precision(sc).first()[0], abs=2e-6)
+
+
+@pytest.mark.parametrize("query", [CR.q_gmf_score, CR.q_top_k_exclude_seen])
+def test_pairs_that_a_view_makes_are_not_broadcast(spark, tmp_path, query):
+    rows = [(v, [float((v * 7 + j) % 13) / 13 - 0.5 for j in range(64)], v % 3) for v in range(240)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    out = query(spark, str(tmp_path))
+    assert out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the pairs stand left; Spark takes them for a row per user, as it does not count what an explode makes
+    assert "Generate explode" in plan and "BuildLeft" not in plan, plan
