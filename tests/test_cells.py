@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orchard.operators import classification as M
 from orchard.operators import recommend as R
+from orchard.plans import catalog_models as CM
 from orchard.plans import catalog_recommend as CR
 from orchard.sources import fixtures as fx
 
@@ -68,3 +69,21 @@ def test_pairs_that_a_view_makes_are_not_broadcast(spark, tmp_path, query):
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     # the pairs stand left; Spark takes them for a row per user, as it does not count what an explode makes
     assert "Generate explode" in plan and "BuildLeft" not in plan, plan
+
+
+def test_ncf_score_does_not_broadcast_its_pairs(spark, tmp_path, monkeypatch):
+    rows = [(v, [float((v * 7 + j) % 13) / 13 - 0.5 for j in range(64)], v % 3) for v in range(240)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    monkeypatch.setattr(CM, "FEW_PAIRS", 10, raising=False)
+    plans, cut = [], CM.cut_lineage
+
+    def keep(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(CM, "cut_lineage", keep)
+    monkeypatch.setattr(CM.H, "negative_sampling", lambda *a, **k: 1 / 0)  # what follows is not looked at
+    with pytest.raises(ZeroDivisionError):
+        CM.q_ncf_score(spark, str(tmp_path))
+    pairs = [p for p in plans if "Generate explode" in p]
+    assert pairs and all("BuildLeft" not in p for p in pairs), pairs
